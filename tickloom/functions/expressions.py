@@ -24,9 +24,14 @@ def divide(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
-def relative_to(value: Column, base: Column) -> Column:
-    """(value - base) / base with the guarded denominator."""
-    return (value - base) / (base + F.lit(EPSILON))
+def guarded(denominator: str) -> str:
+    """SQL of a denominator kept away from zero."""
+    return f"({denominator} + {EPSILON!r}D)"
+
+
+def ratio(numerator: str, denominator: str) -> str:
+    """SQL of :func:`divide`."""
+    return f"try_divide(CAST({numerator} AS DOUBLE), CAST({denominator} AS DOUBLE))"
 
 
 def require_columns(df: DataFrame, names: Iterable[str], user: str) -> None:
@@ -55,3 +60,8 @@ def add_missing(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Add the columns whose names are still free; earlier blocks win."""
     fresh = {name: expr for name, expr in columns.items() if name not in df.columns}
     return df.withColumns(fresh) if fresh else df
+
+
+def complete_rows(df: DataFrame) -> DataFrame:
+    """Rows without a missing value; also right for names that hold a dot."""
+    return df.filter(" and ".join(f"`{name}` is not null" for name in df.columns))

@@ -10,29 +10,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import divide, flag, q, require_columns
-from .panel import Panel, open_panel
+from .panel import Block, Panel, run_blocks
 
 REQUIRED = ("ticker", "open", "high", "low", "close")
 LOOKBACK = 10
 # Share of the bar's range below which close counts as at its high or low.
 NEAR_EDGE = 0.05
 
-_LAGS = ("_close_1", "_close_5", "_close_10", "_open_1", "_side_1", "_side_2")
 
-
-def with_lags(panel: Panel) -> Panel:
+class EarlierBars(Block):
     """The few values of earlier bars that the row-wise columns below need."""
-    panel = panel.add({"_side": F.signum(F.col("close") - F.col("open"))})
-    return panel.add(
-        {
+
+    lookback = LOOKBACK
+
+    def first(self, panel: Panel) -> dict[str, str]:
+        side = "signum(close - open)"
+        return {
             "_close_1": panel.lag("close", 1),
             "_close_5": panel.lag("close", 5),
             "_close_10": panel.lag("close", 10),
             "_open_1": panel.lag("open", 1),
-            "_side_1": panel.lag("_side", 1),
-            "_side_2": panel.lag("_side", 2),
+            "_side_1": panel.lag(side, 1),
+            "_side_2": panel.lag(side, 2),
         }
-    ).drop("_side")
+
+    def columns(self) -> list[str]:
+        return ["_close_1", "_close_5", "_close_10", "_open_1", "_side_1", "_side_2"]
 
 
 def shape_columns() -> dict[str, Column]:
@@ -94,15 +97,14 @@ def range_columns() -> dict[str, Column]:
 
 
 def candle_columns() -> dict[str, Column]:
-    """All candlestick columns; needs the lags of :func:`with_lags`."""
+    """All candlestick columns; needs those of :class:`EarlierBars`."""
     return shape_columns() | momentum_columns() | pattern_columns() | range_columns()
 
 
 def candle_features(df: DataFrame, order: str = "timestamp") -> DataFrame:
     """All candlestick columns for a table of bars."""
     require_columns(df, (*REQUIRED, order), "candle_features")
-    panel = with_lags(open_panel(df, order=order, lookback=LOOKBACK))
-    return panel.close().select(
+    return run_blocks(df, EarlierBars(), order=order).select(
         *[q(c) for c in df.columns], *[e.alias(n) for n, e in candle_columns().items()]
     )
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expressions import divide, require_columns
-from .panel import Panel, open_panel
+from ..functions.expressions import divide, ratio, require_columns
+from .panel import Block, Panel, run_blocks
 
 BETA_WINDOW = 20
 MARKET_COLUMNS = ("market_close", "market_return", "stock_vs_market_return", "relative_return")
@@ -40,11 +40,31 @@ def relative_columns() -> dict:
     return {"stock_vs_market_return": own - market, "relative_return": divide(own, market)}
 
 
-def with_beta(panel: Panel, n: int = BETA_WINDOW) -> Panel:
-    """Slope of the ticker's return on the market's over ``n`` rows with both known."""
-    both = F.when(F.col("daily_return").isNotNull() & F.col("market_return").isNotNull(), F.lit(1))
-    value = F.regr_slope("daily_return", "market_return").over(panel.frame(n))
-    return panel.add({f"beta_{n}d": panel.full(n, value, both)})
+class Beta(Block):
+    """Slope of the ticker's return on the market's over rows with both known."""
+
+    def __init__(self, window: int = BETA_WINDOW):
+        self.window = window
+        self.lookback = window + 1
+
+    def first(self, panel: Panel) -> dict[str, str]:
+        return {"daily_return": f"{ratio('close', panel.lag('close'))} - 1"}
+
+    def second(self, panel: Panel) -> dict[str, str]:
+        both = "daily_return + market_return"
+        fit = f"regr_slope(daily_return, market_return) OVER ({panel.frame(self.window)})"
+        return {f"beta_{self.window}d": panel.full(self.window, fit, both)}
+
+    def columns(self) -> list[str]:
+        return ["daily_return", f"beta_{self.window}d"]
+
+
+class DailyReturn(Block):
+    def first(self, panel: Panel) -> dict[str, str]:
+        return {"daily_return": f"{ratio('close', panel.lag('close'))} - 1"}
+
+    def columns(self) -> list[str]:
+        return ["daily_return"]
 
 
 def market_features(bars: DataFrame, index_bars: DataFrame, beta: bool = False) -> DataFrame:
@@ -52,8 +72,8 @@ def market_features(bars: DataFrame, index_bars: DataFrame, beta: bool = False)
     ``beta`` adds the rolling beta, which needs the rows in order."""
     require_columns(bars, ("ticker", "date", "close"), "market_features")
     joined = attach_index(bars, index_returns(index_bars))
-    if beta or "daily_return" not in bars.columns:
-        panel = open_panel(joined, lookback=BETA_WINDOW + 1)
-        panel = panel.add({"daily_return": divide(F.col("close"), panel.lag("close")) - 1})
-        joined = (with_beta(panel) if beta else panel).close()
+    if beta:
+        joined = run_blocks(joined, Beta())
+    elif "daily_return" not in bars.columns:
+        joined = run_blocks(joined, DailyReturn())
     return joined.withColumns(relative_columns())

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import NewsFeatureConfig
 from ..functions.expressions import flag, require_columns
-from .panel import Panel, open_panel
+from .panel import Block, Panel, run_blocks
 
 REQUIRED = ("ticker", "title", "description", "author", "type", "keywords", "tickers")
 
@@ -60,9 +60,8 @@ def _items(name: str) -> Column:
 def news_daily(news: DataFrame, config: NewsFeatureConfig | None = None) -> DataFrame:
     """One row per ticker and UTC day with news.
 
-    The texts are reduced to their lengths before the shuffle. Day counts and
-    sums are first taken per author and type, so the distinct counts need no
-    copy of the rows and a busy day shrinks before it is shuffled.
+    The texts are reduced to their lengths before the shuffle, and every
+    aggregate is first taken per input partition, so a busy day stays small.
     """
     cfg = config or NewsFeatureConfig()
     require_columns(news, REQUIRED, "news_daily")
@@ -97,30 +96,44 @@ def news_daily(news: DataFrame, config: NewsFeatureConfig | None = None) -> Data
     )
 
 
-def _with_rolling(panel: Panel, cfg: NewsFeatureConfig) -> Panel:
-    recent = panel.frame(cfg.lookback_days)
-    score = F.col("sentiment_score_mean")
-    # Numbers the days that have a score, so days without one leave no step.
-    panel = panel.add({"_scored": F.count(score).over(panel.so_far).cast("double")})
-    known = F.count(score).over(recent)
-    slope = F.regr_slope(score, F.col("_scored")).over(recent)
-    trend = F.when((known >= cfg.trend_min_periods) & (known >= 2), slope)
-    # Enough periods but fewer than two points is a flat line, not a missing one.
-    trend = trend.when(known >= cfg.trend_min_periods, F.lit(0.0))
-    return panel.add(
-        {
-            "news_rolling_count": F.sum("news_count").over(recent),
-            "sentiment_rolling_avg": F.avg(score).over(recent),
-            "sentiment_trend": F.coalesce(trend, F.lit(cfg.fill_numeric)),
+class NewsRolling(Block):
+    """Rolling count, average score and score trend over days that have news."""
+
+    def __init__(self, cfg: NewsFeatureConfig):
+        self.cfg = cfg
+        self.lookback = cfg.lookback_days
+
+    def first(self, panel: Panel) -> dict[str, str]:
+        score, recent = "sentiment_score_mean", panel.frame(self.cfg.lookback_days)
+        return {
+            # Numbers the days that have a score, so days without one leave no step.
+            "_scored": f"CAST(count({score}) OVER ({panel.so_far}) AS DOUBLE)",
+            "_points": f"count({score}) OVER ({recent})",
+            "news_rolling_count": f"sum(news_count) OVER ({recent})",
+            "sentiment_rolling_avg": f"avg({score}) OVER ({recent})",
         }
-    ).drop("_scored")
+
+    def second(self, panel: Panel) -> dict[str, str]:
+        recent = panel.frame(self.cfg.lookback_days)
+        return {"_slope": f"regr_slope(sentiment_score_mean, _scored) OVER ({recent})"}
+
+    def rows(self) -> list[dict[str, str]]:
+        # Enough periods but a single point is a flat line, not a missing one.
+        enough = f"_points >= {self.cfg.trend_min_periods}"
+        return [
+            {
+                "sentiment_trend": f"CASE WHEN {enough} AND _points >= 2 THEN _slope "
+                f"WHEN {enough} THEN 0D ELSE {float(self.cfg.fill_numeric)!r}D END"
+            }
+        ]
+
+    def columns(self) -> list[str]:
+        return ["news_rolling_count", "sentiment_rolling_avg", "sentiment_trend"]
 
 
 def news_rolling(daily_news: DataFrame, config: NewsFeatureConfig | None = None) -> DataFrame:
     """Add rolling columns; the window counts days that have news."""
-    cfg = config or NewsFeatureConfig()
-    panel = open_panel(daily_news, lookback=cfg.lookback_days)
-    return _with_rolling(panel, cfg).close()
+    return run_blocks(daily_news, NewsRolling(config or NewsFeatureConfig()))
 
 
 def attach_news(bars: DataFrame, news: DataFrame | None, config: NewsFeatureConfig | None = None) -> DataFrame:

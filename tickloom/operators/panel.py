@@ -24,11 +24,9 @@ The order column must be unique within a key, as it is in the bar tables.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field, replace
-from functools import reduce
-from operator import add
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,14 +107,16 @@ class Affine:
 
     name: str
     decay: float
-    term: Column
+    term: str
 
-    def local(self, live: Column, place: Column, seen: WindowSpec) -> Column:
+    def local(self, live: str, place: str, seen: str) -> str:
+        term = f"CASE WHEN {live} THEN {self.term} END"
         if self.decay == 0:
-            return F.when(live, self.term)
-        place = place.cast("double")
-        weighted = F.when(live, self.term * F.pow(F.lit(self.decay), -place))
-        return F.coalesce(F.sum(weighted).over(seen), F.lit(0.0)) * F.pow(F.lit(self.decay), place)
+            return term
+        return (
+            f"coalesce(sum({term} * power({self.decay!r}D, -({place}))) OVER ({seen}), 0D)"
+            f" * power({self.decay!r}D, {place})"
+        )
 
     def weights(self, rows: int) -> list[float]:
         """Weights of the end states of the previous slices in the state at the
@@ -127,18 +127,17 @@ class Affine:
         step = -math.log(self.decay) * rows
         return [math.exp(-step * m) for m in range(int(_UNDERFLOW / step) + 1)]
 
-    def handed_over(self, state: Column, order: WindowSpec, rows: int) -> Column:
+    def handed_over(self, state: str, by_slice: str, rows: int) -> str:
         parts = [
-            F.coalesce(F.lag(state, m).over(order) if m else state, F.lit(0.0)) * F.lit(weight)
+            f"coalesce({f'lag({state}, {m}) OVER ({by_slice})' if m else state}, 0D) * {weight!r}D"
             for m, weight in enumerate(self.weights(rows))
         ]
-        return reduce(add, parts, F.lit(0.0))
+        return " + ".join(parts) or "0D"
 
-    def combine(self, own: Column, handed: Column, place: Column) -> Column:
+    def combine(self, own: str, handed: str, place: str) -> str:
         if self.decay == 0:
             return own
-        faded = F.pow(F.lit(self.decay), (place + 1).cast("double"))
-        return own + F.coalesce(handed, F.lit(0.0)) * faded
+        return f"{own} + coalesce({handed}, 0D) * power({self.decay!r}D, {place} + 1)"
 
 
 @dataclass(frozen=True)
@@ -146,16 +145,16 @@ class RunningMax:
     """Largest value so far in the key."""
 
     name: str
-    value: Column
+    value: str
 
-    def local(self, live: Column, place: Column, seen: WindowSpec) -> Column:
-        return F.max(F.when(live, self.value)).over(seen)
+    def local(self, live: str, place: str, seen: str) -> str:
+        return f"max(CASE WHEN {live} THEN {self.value} END) OVER ({seen})"
 
-    def handed_over(self, state: Column, order: WindowSpec, rows: int) -> Column:
-        return F.max(state).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    def handed_over(self, state: str, by_slice: str, rows: int) -> str:
+        return f"max({state}) OVER ({by_slice} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 
-    def combine(self, own: Column, handed: Column, place: Column) -> Column:
-        return F.greatest(own, handed)
+    def combine(self, own: str, handed: str, place: str) -> str:
+        return f"greatest({own}, {handed})"
 
 
 @dataclass(frozen=True)
@@ -163,16 +162,16 @@ class LastKnown:
     """Latest non-null value so far in the key."""
 
     name: str
-    value: Column
+    value: str
 
-    def local(self, live: Column, place: Column, seen: WindowSpec) -> Column:
-        return F.last(F.when(live, self.value), ignorenulls=True).over(seen)
+    def local(self, live: str, place: str, seen: str) -> str:
+        return f"last(CASE WHEN {live} THEN {self.value} END, true) OVER ({seen})"
 
-    def handed_over(self, state: Column, order: WindowSpec, rows: int) -> Column:
-        return F.last(state, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    def handed_over(self, state: str, by_slice: str, rows: int) -> str:
+        return f"last({state}, true) OVER ({by_slice} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 
-    def combine(self, own: Column, handed: Column, place: Column) -> Column:
-        return F.coalesce(own, handed)
+    def combine(self, own: str, handed: str, place: str) -> str:
+        return f"coalesce({own}, {handed})"
 
 
 Step = Affine | RunningMax | LastKnown
@@ -180,195 +179,156 @@ Step = Affine | RunningMax | LastKnown
 
 @dataclass(frozen=True)
 class Panel:
-    """Rows grouped so that windows over ``window`` and ``frame(n)`` are right on
-    every row that ``close`` returns."""
+    """Rows grouped so that the window expressions below are right on every row
+    that ``close`` returns. Expressions are SQL text; columns and the results of
+    earlier ``add`` calls may be used in them."""
 
     df: DataFrame
-    names: frozenset[str]
     key: tuple[str, ...]
     rows: int
     halo: int
-    specs: dict = field(default_factory=dict, repr=False, compare=False)
 
     # -- windows ---------------------------------------------------------------
-    def _ordered(self) -> WindowSpec:
-        return Window.partitionBy(*self.key, SLICE).orderBy(INDEX)
-
     @property
-    def window(self) -> WindowSpec:
-        if "all" not in self.specs:
-            self.specs["all"] = self._ordered()
-        return self.specs["all"]
+    def window(self) -> str:
+        """Partition and order of the panel, for an OVER clause."""
+        return f"PARTITION BY {', '.join(self.key)}, {SLICE} ORDER BY {INDEX}"
 
-    def frame(self, n: int) -> WindowSpec:
+    def frame(self, n: int) -> str:
         """The row and the n-1 rows before it."""
         if n > self.halo + 1:
             raise ValueError(f"frame of {n} rows needs a panel with lookback >= {n - 1}")
-        if n not in self.specs:
-            self.specs[n] = self.window.rowsBetween(-(n - 1), 0)
-        return self.specs[n]
+        return f"{self.window} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW"
 
     @property
-    def so_far(self) -> WindowSpec:
-        """The rows of the slice up to this one."""
-        return self.window.rowsBetween(Window.unboundedPreceding, 0)
-
-    def lag(self, column: Column | str, n: int = 1) -> Column:
-        return F.lag(column, n).over(self.window)
+    def so_far(self) -> str:
+        """The rows of the panel's group up to this one."""
+        return f"{self.window} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 
-    def full(self, n: int, value: Column, counted: Column | str) -> Column:
-        """The value only once the frame holds n non-null inputs."""
-        return F.when(F.count(counted).over(self.frame(n)) >= n, value)
+    def lag(self, value: str, n: int = 1) -> str:
+        return f"lag({value}, {n}) OVER ({self.window})"
 
-    def mean(self, column: Column | str, n: int) -> Column:
-        return self.full(n, F.avg(column).over(self.frame(n)), column)
+    def full(self, n: int, result: str, counted: str) -> str:
+        """The result only once the frame holds n non-null inputs."""
+        return f"CASE WHEN count({counted}) OVER ({self.frame(n)}) >= {n} THEN {result} END"
 
-    def stddev(self, column: Column | str, n: int, ddof: int = 1) -> Column:
-        fn = F.stddev_samp if ddof == 1 else F.stddev_pop
-        return self.full(n, fn(column).over(self.frame(n)), column)
+    def rolling(self, function: str, value: str, n: int) -> str:
+        """Aggregate over a full frame."""
+        return self.full(n, f"{function}({value}) OVER ({self.frame(n)})", value)
 
-    def lowest(self, column: Column | str, n: int) -> Column:
-        return self.full(n, F.min(column).over(self.frame(n)), column)
+    def mean(self, value: str, n: int) -> str:
+        return self.rolling("avg", value, n)
 
-    def highest(self, column: Column | str, n: int) -> Column:
-        return self.full(n, F.max(column).over(self.frame(n)), column)
-
-    def slope(self, column: Column | str, n: int) -> Column:
+    def slope(self, value: str, n: int) -> str:
         """Least-squares slope per row; a frame of one row has slope 0."""
         if n < 2:
-            return self.full(n, F.lit(0.0), column)
-        y = (F.col(column) if isinstance(column, str) else column).cast("double")
-        return self.full(n, F.regr_slope(y, self.position.cast("double")).over(self.frame(n)), column)
+            return self.full(n, "0D", value)
+        fit = f"regr_slope(CAST({value} AS DOUBLE), CAST({INDEX} AS DOUBLE)) OVER ({self.frame(n)})"
+        return self.full(n, fit, value)
+
+    def running(self, value: str) -> dict[str, str]:
+        """Running sum and count that :meth:`long_mean` takes differences of."""
+        return {
+            f"_sum_{value}": f"sum(CAST({value} AS DOUBLE)) OVER ({self.so_far})",
+            f"_known_{value}": f"count({value}) OVER ({self.so_far})",
+        }
 
-    def long_means(self, column: str, windows: dict[str, int]) -> Panel:
-        """Add full-window means of long windows, named by the keys of ``windows``.
+    def long_mean(self, value: str, n: int) -> str:
+        """Mean over a full frame of any length at the cost of one row.
 
-        A sliding frame is evaluated anew for every row. Beyond ``_LONG_WINDOW``
-        rows the difference of two running sums is used instead, which costs the
-        same for every length.
+        A sliding frame is evaluated anew for every row, which is wasteful for
+        long ones. Needs the columns of :meth:`running`.
         """
-        panel = self.add(
-            {
-                f"_sum_{column}": F.sum(F.col(column).cast("double")).over(self.so_far),
-                f"_known_{column}": F.count(column).over(self.so_far),
-            }
-        )
-        means = {}
-        for name, n in windows.items():
-            total = F.col(f"_sum_{column}") - F.coalesce(panel.lag(f"_sum_{column}", n), F.lit(0.0))
-            known = F.col(f"_known_{column}") - F.coalesce(panel.lag(f"_known_{column}", n), F.lit(0))
-            means[name] = F.when(known >= n, total / n)
-        return panel.add(means).drop(f"_sum_{column}", f"_known_{column}")
-
-    def means(self, column: str, windows: dict[str, int]) -> Panel:
-        """Add full-window means of any length."""
-        short = {name: self.mean(column, n) for name, n in windows.items() if n <= _LONG_WINDOW}
-        long = {name: n for name, n in windows.items() if n > _LONG_WINDOW}
-        panel = self.add(short)
-        return panel.long_means(column, long) if long else panel
+        total = f"_sum_{value} - coalesce({self.lag(f'_sum_{value}', n)}, 0D)"
+        known = f"_known_{value} - coalesce({self.lag(f'_known_{value}', n)}, 0)"
+        return f"CASE WHEN {known} >= {n} THEN ({total}) / {n} END"
 
     # -- row positions ---------------------------------------------------------
-    @property
-    def position(self) -> Column:
-        """0-based position of the row in its key."""
-        return F.col(INDEX)
-
-    @property
-    def is_first(self) -> Column:
-        return F.col(INDEX) == 0
-
-    @property
-    def is_last(self) -> Column:
-        return F.col(INDEX) == F.col(TOTAL) - 1
+    position = INDEX
+    is_first = f"{INDEX} = 0"
+    is_last = f"{INDEX} = {TOTAL} - 1"
 
     # -- building --------------------------------------------------------------
-    def add(self, columns: dict[str, Column]) -> Panel:
+    def add(self, columns: dict[str, str]) -> Panel:
         """Add columns; names already present stay as they are."""
-        fresh = {n: c for n, c in columns.items() if n not in self.names}
-        if not fresh:
-            return self
-        return replace(self, df=self.df.withColumns(fresh), names=self.names | fresh.keys())
-
-    def drop(self, *names: str) -> Panel:
-        return replace(self, df=self.df.drop(*names), names=self.names - set(names))
+        have = set(self.df.columns)
+        fresh = [f"{sql} AS `{name}`" for name, sql in columns.items() if name not in have]
+        return replace(self, df=self.df.selectExpr("*", *fresh)) if fresh else self
 
     def scan(self, *steps: Step) -> Panel:
         """Add one column per step, each a value that depends on all earlier rows."""
         if not steps:
             return self
-        start = F.when(F.col(SLICE) == 0, F.lit(0)).otherwise(
-            F.col(SLICE) * self.rows - self.halo + _LEAD
+        start = f"CASE WHEN {SLICE} = 0 THEN 0 ELSE {SLICE} * {self.rows} - {self.halo - _LEAD} END"
+        own = self.df.selectExpr("*", f"{INDEX} - {start} AS _place").selectExpr(
+            "*", *[f"{s.local('_place >= 0', '_place', self.so_far)} AS _own_{s.name}" for s in steps]
         )
-        place = F.col(INDEX) - start
-        live = place >= 0
-        own = self.df.withColumns({f"_own_{s.name}": s.local(live, place, self.so_far) for s in steps})
-
         # The row just before the next slice's first live row, in its home slice.
-        edge = (F.pmod(F.col(INDEX) + 1 + self.halo - _LEAD, F.lit(self.rows)) == 0) & self._at_home
-        edges = own.filter(edge).select(
-            *self.key, (F.col(SLICE) + 1).alias(SLICE), *[f"_own_{s.name}" for s in steps]
+        edge = f"({INDEX} + {1 + self.halo - _LEAD}) % {self.rows} = 0 AND {self._at_home}"
+        edges = own.filter(edge).selectExpr(
+            *self.key, f"{SLICE} + 1 AS {SLICE}", *[f"_own_{s.name}" for s in steps]
         )
-        by_slice = Window.partitionBy(*self.key).orderBy(SLICE)
-        handed = edges.select(
+        by_slice = f"PARTITION BY {', '.join(self.key)} ORDER BY {SLICE}"
+        handed = edges.selectExpr(
             *self.key,
             SLICE,
-            *[
-                s.handed_over(F.col(f"_own_{s.name}"), by_slice, self.rows).alias(f"_in_{s.name}")
-                for s in steps
-            ],
+            *[f"{s.handed_over(f'_own_{s.name}', by_slice, self.rows)} AS _in_{s.name}" for s in steps],
         )
         joined = own.join(handed, [*self.key, SLICE], "left")
-        return self._combined(joined, steps, place, live)
+        return self._combined(joined, steps, "_place >= 0")
 
-    def _combined(self, df: DataFrame, steps: tuple[Step, ...], place: Column, live: Column) -> Panel:
-        values = {
-            s.name: F.when(live, s.combine(F.col(f"_own_{s.name}"), F.col(f"_in_{s.name}"), place))
+    def _combined(self, df: DataFrame, steps: tuple[Step, ...], live: str) -> Panel:
+        values = [
+            f"CASE WHEN {live} THEN {s.combine(f'_own_{s.name}', f'_in_{s.name}', '_place')} END AS {s.name}"
             for s in steps
-        }
-        spent = [f"_{side}_{s.name}" for s in steps for side in ("own", "in")]
-        return replace(self, df=df.withColumns(values).drop(*spent), names=self.names | values.keys())
+        ]
+        spent = ["_place"] + [f"_{side}_{s.name}" for s in steps for side in ("own", "in")]
+        return replace(self, df=df.selectExpr("*", *values).drop(*spent))
 
     @property
-    def _at_home(self) -> Column:
-        return F.floor(F.col(INDEX) / self.rows) == F.col(SLICE)
+    def _at_home(self) -> str:
+        return f"floor({INDEX} / {self.rows}) = {SLICE}"
 
-    def close(self, keep_internal: bool = False) -> DataFrame:
+    def close(self) -> DataFrame:
         """The rows themselves, without the copies lent to neighbouring slices."""
-        home = self.df.filter(self._at_home)
-        return home if keep_internal else home.drop(*_INTERNAL)
+        return self.df.filter(self._at_home).drop(*_INTERNAL)
 
 
 class WholeKeyPanel(Panel):
     """Panel of a small table: a key stays in one task, its slices only keep the
     powers of the recurrences in range."""
 
-    def _ordered(self) -> WindowSpec:
-        return Window.partitionBy(*self.key).orderBy(SLICE, INDEX)
+    @property
+    def window(self) -> str:
+        return f"PARTITION BY {', '.join(self.key)} ORDER BY {SLICE}, {INDEX}"
 
     def scan(self, *steps: Step) -> Panel:
         if not steps:
             return self
-        place, live = F.col(INDEX) % self.rows, F.lit(True)
-        in_slice = Window.partitionBy(*self.key, SLICE).orderBy(INDEX)
-        in_slice = in_slice.rowsBetween(Window.unboundedPreceding, 0)
-        affine = [s for s in steps if isinstance(s, Affine)]
-        others = {s.name: s.local(live, place, self.so_far) for s in steps if s not in affine}
-        df = self.df.withColumns({f"_own_{s.name}": s.local(live, place, in_slice) for s in affine})
-        slice_end = (F.col(INDEX) + 1) % self.rows == 0
-        by_slice = Window.partitionBy(*self.key).orderBy(SLICE)
-        handed = {}
-        for s in affine:
-            end_state = F.when(slice_end, F.col(f"_own_{s.name}"))
+        affine = tuple(s for s in steps if isinstance(s, Affine))
+        others = [f"{s.local('true', '_place', self.so_far)} AS {s.name}" for s in steps if s not in affine]
+        by_slice = f"PARTITION BY {', '.join(self.key)}, {SLICE} ORDER BY {INDEX}"
+        seen = f"{by_slice} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+        own = self.df.selectExpr("*", f"{INDEX} % {self.rows} AS _place").selectExpr(
+            "*", *[f"{s.local('true', '_place', seen)} AS _own_{s.name}" for s in affine], *others
+        )
+        end = f"({INDEX} + 1) % {self.rows} = 0"
+        slices = f"PARTITION BY {', '.join(self.key)} ORDER BY {SLICE}"
+
+        def handed(s: Affine) -> str:
+            state = f"CASE WHEN {end} THEN _own_{s.name} END"
             parts = [
-                F.coalesce(F.sum(end_state).over(by_slice.rangeBetween(-m, -m)), F.lit(0.0)) * F.lit(weight)
+                f"coalesce(sum({state}) OVER ({slices} RANGE BETWEEN {m} PRECEDING AND {m} PRECEDING), 0D)"
+                f" * {weight!r}D"
                 for m, weight in enumerate(s.weights(self.rows), start=1)
             ]
-            handed[f"_in_{s.name}"] = reduce(add, parts, F.lit(0.0))
-        panel = self._combined(df.withColumns(handed), affine, place, live) if affine else self
-        return replace(panel, df=panel.df.withColumns(others), names=panel.names | others.keys()) if others else panel
+            return " + ".join(parts) or "0D"
+
+        df = own.selectExpr("*", *[f"{handed(s)} AS _in_{s.name}" for s in affine])
+        return self._combined(df, affine, "true")
 
-    def close(self, keep_internal: bool = False) -> DataFrame:
-        return self.df if keep_internal else self.df.drop(*_INTERNAL)
+    def close(self) -> DataFrame:
+        return self.df.drop(*_INTERNAL)
 
 
 def open_panel(
@@ -385,24 +345,24 @@ def open_panel(
     frames reaches; ``decays`` are the factors of the recurrences to be scanned.
     """
     key, decays = tuple(key), tuple(decays)
-    names = frozenset(df.columns)
     if keeps_keys_whole(df):
         rows = _fitting_slice_rows(slice_rows, 0, decays)
-        whole = Window.partitionBy(*key)
-        numbered = df.withColumns(
-            {INDEX: F.row_number().over(whole.orderBy(order)) - 1, TOTAL: F.count(F.lit(1)).over(whole)}
+        keys = ", ".join(key)
+        numbered = df.selectExpr(
+            "*",
+            f"row_number() OVER (PARTITION BY {keys} ORDER BY {order}) - 1 AS {INDEX}",
+            f"count(1) OVER (PARTITION BY {keys}) AS {TOTAL}",
         )
-        cut = F.floor(F.col(INDEX) / rows) if decays else F.lit(0)
-        return WholeKeyPanel(numbered.withColumn(SLICE, cut), names, key, rows, lookback + _LEAD)
+        cut = f"CAST(floor({INDEX} / {rows}) AS INT)" if decays else "0"
+        return WholeKeyPanel(numbered.selectExpr("*", f"{cut} AS {SLICE}"), key, rows, lookback + _LEAD)
     halo = lookback + _LEAD
     rows = _fitting_slice_rows(slice_rows, halo, decays)
-    placed = with_positions(df, key, order)
-    home = F.floor(F.col(INDEX) / rows)
-    lent = (F.col(INDEX) >= (home + 1) * rows - halo) & ((home + 1) * rows < F.col(TOTAL))
-    sliced = placed.withColumn(
-        SLICE, F.explode(F.when(lent, F.array(home, home + 1)).otherwise(F.array(home)))
+    home = f"floor({INDEX} / {rows})"
+    lent = f"{INDEX} >= ({home} + 1) * {rows} - {halo} AND ({home} + 1) * {rows} < {TOTAL}"
+    sliced = with_positions(df, key, order).selectExpr(
+        "*", f"explode(CASE WHEN {lent} THEN array({home}, {home} + 1) ELSE array({home}) END) AS {SLICE}"
     )
-    return Panel(sliced, names, key, rows, halo)
+    return Panel(sliced, key, rows, halo)
 
 
 def ema_decay(span: int) -> float:
@@ -413,3 +373,72 @@ def ema_decay(span: int) -> float:
 def wilder_decay(length: int) -> float:
     """Factor of Wilder's average of the given length."""
     return 1.0 - 1.0 / length
+
+
+class Block:
+    """Columns that belong together, in the stages a panel computes them.
+
+    A stage may use the bars and everything of the stages before it. Stages keep
+    the number of passes over the rows small: blocks that run together share them.
+    """
+
+    lookback: int = 1
+    decays: tuple[float, ...] = ()
+
+    def first(self, panel: Panel) -> dict[str, str]:
+        """Window expressions over the bars."""
+        return {}
+
+    def scans(self, panel: Panel) -> list[Step]:
+        """Values that depend on all earlier rows."""
+        return []
+
+    def second(self, panel: Panel) -> dict[str, str]:
+        """Window expressions over the first stage and the scans."""
+        return {}
+
+    def late_scans(self, panel: Panel) -> list[Step]:
+        """Scans over the second stage."""
+        return []
+
+    def third(self, panel: Panel) -> dict[str, str]:
+        """Window expressions over the second stage."""
+        return {}
+
+    def rows(self) -> list[dict[str, str]]:
+        """Row-wise expressions, in levels."""
+        return []
+
+    def columns(self) -> list[str]:
+        """Names of the result, in output order."""
+        raise NotImplementedError
+
+
+def run_blocks(
+    df: DataFrame, *blocks: Block, order: str = "date", slice_rows: int = DEFAULT_SLICE_ROWS
+) -> DataFrame:
+    """Add the columns of all blocks in one pass over the ordered rows."""
+    panel = open_panel(
+        df,
+        order=order,
+        lookback=max(b.lookback for b in blocks),
+        decays=tuple(d for b in blocks for d in b.decays),
+        slice_rows=slice_rows,
+    )
+
+    def merged(parts: list[dict[str, str]]) -> dict[str, str]:
+        # The first block wins on a shared name.
+        out: dict[str, str] = {}
+        for part in parts:
+            out = part | out
+        return {name: out[name] for part in parts for name in part}
+
+    panel = panel.add(merged([b.first(panel) for b in blocks]))
+    panel = panel.scan(*[s for b in blocks for s in b.scans(panel)])
+    panel = panel.add(merged([b.second(panel) for b in blocks]))
+    panel = panel.scan(*[s for b in blocks for s in b.late_scans(panel)])
+    panel = panel.add(merged([b.third(panel) for b in blocks]))
+    for level in range(max(len(b.rows()) for b in blocks)):
+        panel = panel.add(merged([b.rows()[level] for b in blocks if level < len(b.rows())]))
+    names = dict.fromkeys([*df.columns, *[c for b in blocks for c in b.columns()]])
+    return panel.close().select(*[f"`{name}`" for name in names])

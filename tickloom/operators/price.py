@@ -5,157 +5,197 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..config import PriceFeatureConfig
-from ..functions.expressions import EPSILON, divide, q, relative_to, require_columns
-from .panel import Affine, LastKnown, Panel, RunningMax, ema_decay, open_panel
+from ..functions.expressions import EPSILON, guarded, ratio, require_columns
+from .panel import INDEX, Affine, Block, LastKnown, Panel, RunningMax, Step, ema_decay, run_blocks
 
 REQUIRED = ("ticker", "date", "open", "high", "low", "close", "volume")
 TRADING_DAYS = 252
+# From this length on a mean is taken from running sums.
+LONG_WINDOW = 32
 
+TRUE_RANGE = "greatest(high - low, abs(high - {previous}), abs(low - {previous}))"
 
-def lookback(cfg: PriceFeatureConfig) -> int:
-    """Preceding rows the finite windows of the block reach."""
-    return max(
-        *cfg.return_windows,
-        *cfg.sma_windows,
-        *cfg.price_position_windows,
-        *(n + 1 for n in cfg.volatility_windows),
-        cfg.true_range_window + 1,
-        1,
-    )
 
+class Returns(Block):
+    """Price change, daily return, and returns over several days."""
+
+    def __init__(self, cfg: PriceFeatureConfig):
+        self.cfg = cfg
+        self.lookback = max(1, *cfg.return_windows)
 
-def decays(cfg: PriceFeatureConfig) -> tuple[float, ...]:
-    return tuple(ema_decay(n) for n in cfg.ema_windows)
-
-
-def with_returns(panel: Panel, cfg: PriceFeatureConfig) -> Panel:
-    previous = panel.lag("close")
-    changes = {
-        "price_change": F.col("close") - previous,
-        "daily_return": divide(F.col("close"), previous) - 1,
-    }
-    for n in cfg.return_windows:
-        change = divide(F.col("close"), panel.lag("close", n)) - 1
-        changes[f"return_{n}d"] = change
-        changes[f"momentum_{n}d"] = change
-    return panel.add(changes)
-
-
-def with_risk(panel: Panel, cfg: PriceFeatureConfig) -> Panel:
-    """Volatility, mean return and annualised Sharpe ratio of the daily return."""
-    moments = {}
-    for n in cfg.volatility_windows:
-        moments[f"return_volatility_{n}d"] = panel.stddev("daily_return", n)
-        moments[f"mean_daily_return_{n}d"] = panel.mean("daily_return", n)
-    panel = panel.add(moments)
-    return panel.add(
-        {
-            f"sharpe_ratio_{n}d": F.when(
-                F.col(f"return_volatility_{n}d") > EPSILON,
-                divide(F.col(f"mean_daily_return_{n}d"), F.col(f"return_volatility_{n}d"))
-                * math.sqrt(TRADING_DAYS),
-            )
-            for n in cfg.volatility_windows
+    def first(self, panel: Panel) -> dict[str, str]:
+        out = {
+            "price_change": f"close - {panel.lag('close')}",
+            "daily_return": f"{ratio('close', panel.lag('close'))} - 1",
         }
-    )
+        for n in self.cfg.return_windows:
+            change = f"{ratio('close', panel.lag('close', n))} - 1"
+            out |= {f"return_{n}d": change, f"momentum_{n}d": change}
+        return out
 
+    def columns(self) -> list[str]:
+        spans = self.cfg.return_windows
+        return ["price_change", "daily_return", *[f"return_{n}d" for n in spans], *[f"momentum_{n}d" for n in spans]]
 
-def drawdown_steps() -> tuple[RunningMax, LastKnown]:
-    """State of the drawdown: the peak starts at the key's second row, where the
-    first return is known; the first close turns it into a growth factor."""
-    return (
-        RunningMax("_peak_close", F.when(F.col("_index") >= 1, F.col("close"))),
-        LastKnown("_base_close", F.when(F.col("_index") == 0, F.col("close"))),
-    )
 
+class Risk(Block):
+    """Volatility, mean return and annualised Sharpe ratio of ``daily_return``."""
 
-def with_drawdown(panel: Panel, cfg: PriceFeatureConfig) -> Panel:
-    """Worst drawdown in the window. The product of (1 + return) telescopes to
-    close / first close, so the growth factor needs no product aggregate."""
-    growth = divide(F.col("close"), F.col("_base_close"))
-    peak = divide(F.col("_peak_close"), F.col("_base_close"))
-    panel = panel.add(
-        {"_drawdown": F.when(F.col("_index") >= 1, (growth - peak) / (peak + F.lit(EPSILON)))}
-    )
-    return panel.add(
-        {
-            f"max_drawdown_{n}d": F.min("_drawdown").over(panel.frame(n))
-            for n in cfg.volatility_windows
-        }
-    ).drop("_drawdown", "_peak_close", "_base_close")
-
-
-def ema_steps(cfg: PriceFeatureConfig) -> tuple[Affine, ...]:
-    """Exponential averages that start at the first close."""
-    steps = []
-    for n in cfg.ema_windows:
-        decay = ema_decay(n)
-        term = F.when(F.col("_index") == 0, F.col("close")).otherwise(F.col("close") * (1 - decay))
-        steps.append(Affine(f"ema_{n}", decay, term))
-    return tuple(steps)
-
-
-def with_averages(panel: Panel, cfg: PriceFeatureConfig) -> Panel:
-    """Moving averages and distances to them; the exponential ones must be scanned before."""
-    panel = panel.means("close", {f"sma_{n}": n for n in cfg.sma_windows})
-    distances = {f"close_vs_sma{n}": relative_to(F.col("close"), F.col(f"sma_{n}")) for n in cfg.sma_windows}
-    distances |= {f"close_vs_ema{n}": relative_to(F.col("close"), F.col(f"ema_{n}")) for n in cfg.ema_windows}
-    return panel.add(distances)
-
-
-def with_range_position(panel: Panel, cfg: PriceFeatureConfig) -> Panel:
-    columns = {}
-    for n in cfg.price_position_windows:
-        low, high = panel.lowest("low", n), panel.highest("high", n)
-        columns[f"price_vs_{n}d_range"] = (F.col("close") - low) / (high - low + F.lit(EPSILON))
-    return panel.add(columns)
-
-
-def with_true_range(panel: Panel, cfg: PriceFeatureConfig) -> Panel:
-    previous = panel.lag("close")
-    panel = panel.add(
-        {
-            "true_range": F.greatest(
-                F.col("high") - F.col("low"),
-                F.abs(F.col("high") - previous),
-                F.abs(F.col("low") - previous),
-            )
-        }
-    )
-    n = cfg.true_range_window
-    return panel.add(
-        {
-            f"avg_true_range_{n}": panel.mean("true_range", n),
-            "tr_percent": F.col("true_range") / (F.col("close") + F.lit(EPSILON)),
-        }
-    )
+    def __init__(self, cfg: PriceFeatureConfig):
+        self.windows = cfg.volatility_windows
+        self.lookback = max(n + 1 for n in self.windows)
+
+    def second(self, panel: Panel) -> dict[str, str]:
+        out = {}
+        for n in self.windows:
+            out[f"return_volatility_{n}d"] = panel.rolling("stddev_samp", "daily_return", n)
+            out[f"mean_daily_return_{n}d"] = panel.mean("daily_return", n)
+        return out
+
+    def rows(self) -> list[dict[str, str]]:
+        return [
+            {
+                f"sharpe_ratio_{n}d": f"CASE WHEN return_volatility_{n}d > {EPSILON!r}D THEN "
+                f"mean_daily_return_{n}d / return_volatility_{n}d * {math.sqrt(TRADING_DAYS)!r}D END"
+                for n in self.windows
+            }
+        ]
+
+    def columns(self) -> list[str]:
+        stems = ("return_volatility", "mean_daily_return", "sharpe_ratio")
+        return [f"{stem}_{n}d" for stem in stems for n in self.windows]
+
+
+class Drawdown(Block):
+    """Worst drawdown in the window.
+
+    The product of (1 + return) telescopes to close / first close, so the growth
+    factor needs no product aggregate. Its peak starts at the key's second row,
+    where the first return is known.
+    """
+
+    def __init__(self, cfg: PriceFeatureConfig):
+        self.windows = cfg.volatility_windows
+        self.lookback = max(self.windows)
+
+    def scans(self, panel: Panel) -> list[Step]:
+        return [
+            RunningMax("_peak_close", f"CASE WHEN {INDEX} >= 1 THEN close END"),
+            LastKnown("_base_close", f"CASE WHEN {INDEX} = 0 THEN close END"),
+        ]
+
+    def second(self, panel: Panel) -> dict[str, str]:
+        growth, peak = ratio("close", "_base_close"), ratio("_peak_close", "_base_close")
+        fall = f"CASE WHEN {INDEX} >= 1 THEN ({growth} - {peak}) / {guarded(peak)} END"
+        return {f"max_drawdown_{n}d": f"min({fall}) OVER ({panel.frame(n)})" for n in self.windows}
+
+    def columns(self) -> list[str]:
+        return [f"max_drawdown_{n}d" for n in self.windows]
+
+
+class SimpleAverages(Block):
+    """Moving averages of the close and the distance to them."""
+
+    def __init__(self, windows: tuple[int, ...]):
+        self.windows = windows
+        self.lookback = max(self.windows)
+
+    def first(self, panel: Panel) -> dict[str, str]:
+        short = {f"sma_{n}": panel.mean("close", n) for n in self.windows if n < LONG_WINDOW}
+        return short | (panel.running("close") if len(short) < len(self.windows) else {})
 
+    def second(self, panel: Panel) -> dict[str, str]:
+        return {f"sma_{n}": panel.long_mean("close", n) for n in self.windows if n >= LONG_WINDOW}
 
-def column_order(cfg: PriceFeatureConfig) -> list[str]:
-    """Names the block adds, in the order of the output table."""
-    names = ["price_change", "daily_return"]
-    names += [f"return_{n}d" for n in cfg.return_windows]
-    for stem in ("return_volatility", "mean_daily_return", "sharpe_ratio", "max_drawdown"):
-        names += [f"{stem}_{n}d" for n in cfg.volatility_windows]
-    names += [f"momentum_{n}d" for n in cfg.return_windows]
-    for n in cfg.sma_windows:
-        names += [f"sma_{n}", f"close_vs_sma{n}"]
-    for n in cfg.ema_windows:
-        names += [f"ema_{n}", f"close_vs_ema{n}"]
-    names += [f"price_vs_{n}d_range" for n in cfg.price_position_windows]
-    return names + ["true_range", f"avg_true_range_{cfg.true_range_window}", "tr_percent"]
+    def rows(self) -> list[dict[str, str]]:
+        return [{f"close_vs_sma{n}": f"(close - sma_{n}) / {guarded(f'sma_{n}')}" for n in self.windows}]
+
+    def columns(self) -> list[str]:
+        return [name for n in self.windows for name in (f"sma_{n}", f"close_vs_sma{n}")]
+
+
+class ExponentialAverages(Block):
+    """Exponential averages that start at the first close, and the distance to them."""
+
+    def __init__(self, windows: tuple[int, ...]):
+        self.windows = windows
+        self.decays = tuple(ema_decay(n) for n in windows)
+
+    def scans(self, panel: Panel) -> list[Step]:
+        def term(decay: float) -> str:
+            return f"CASE WHEN {INDEX} = 0 THEN close ELSE close * {1 - decay!r}D END"
+
+        return [Affine(f"ema_{n}", d, term(d)) for n, d in zip(self.windows, self.decays)]
+
+    def rows(self) -> list[dict[str, str]]:
+        return [{f"close_vs_ema{n}": f"(close - ema_{n}) / {guarded(f'ema_{n}')}" for n in self.windows}]
+
+    def columns(self) -> list[str]:
+        return [name for n in self.windows for name in (f"ema_{n}", f"close_vs_ema{n}")]
+
+
+class RangePosition(Block):
+    """Place of the close between the lowest low and the highest high."""
+
+    def __init__(self, windows: tuple[int, ...]):
+        self.windows = windows
+        self.lookback = max(windows)
+
+    def first(self, panel: Panel) -> dict[str, str]:
+        out = {}
+        for n in self.windows:
+            out |= {f"_low_{n}": panel.rolling("min", "low", n), f"_high_{n}": panel.rolling("max", "high", n)}
+        return out
+
+    def rows(self) -> list[dict[str, str]]:
+        return [
+            {
+                f"price_vs_{n}d_range": f"(close - _low_{n}) / {guarded(f'_high_{n} - _low_{n}')}"
+                for n in self.windows
+            }
+        ]
+
+    def columns(self) -> list[str]:
+        return [f"price_vs_{n}d_range" for n in self.windows]
+
+
+class TrueRange(Block):
+    """True range, its average, and its share of the close."""
+
+    def __init__(self, window: int):
+        self.window = window
+        self.lookback = window + 1
+
+    def first(self, panel: Panel) -> dict[str, str]:
+        return {"true_range": TRUE_RANGE.format(previous=panel.lag("close"))}
+
+    def second(self, panel: Panel) -> dict[str, str]:
+        return {f"avg_true_range_{self.window}": panel.mean("true_range", self.window)}
+
+    def rows(self) -> list[dict[str, str]]:
+        return [{"tr_percent": f"true_range / {guarded('close')}"}]
+
+    def columns(self) -> list[str]:
+        return ["true_range", f"avg_true_range_{self.window}", "tr_percent"]
+
+
+def price_blocks(cfg: PriceFeatureConfig) -> tuple[Block, ...]:
+    return (
+        Returns(cfg),
+        Risk(cfg),
+        Drawdown(cfg),
+        SimpleAverages(cfg.sma_windows),
+        ExponentialAverages(cfg.ema_windows),
+        RangePosition(cfg.price_position_windows),
+        TrueRange(cfg.true_range_window),
+    )
 
 
 def price_features(df: DataFrame, config: PriceFeatureConfig | None = None) -> DataFrame:
     """All price columns for a table of daily bars."""
     cfg = config or PriceFeatureConfig()
     require_columns(df, REQUIRED, "price_features")
-    panel = open_panel(df, lookback=lookback(cfg), decays=decays(cfg))
-    panel = panel.scan(*ema_steps(cfg), *drawdown_steps())
-    for step in (with_returns, with_risk, with_drawdown, with_averages, with_range_position, with_true_range):
-        panel = step(panel, cfg)
-    done = panel.close().select(*[q(c) for c in df.columns], *[q(c) for c in column_order(cfg)])
+    done = run_blocks(df, *price_blocks(cfg))
     return done if cfg.keep_na else done.dropna(subset=["close"])

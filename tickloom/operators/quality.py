@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import flag, require_columns
-from .panel import LastKnown, Panel, open_panel
+from .panel import Block, LastKnown, Panel, Step, run_blocks
 
 # Market holidays of the default calendar.
 HOLIDAYS = (
@@ -43,18 +43,68 @@ def calendar_columns(time: Column) -> dict[str, Column]:
     return {"is_monday": flag(F.weekday(time) == 0), "is_friday": flag(F.weekday(time) == 4)}
 
 
-def with_day_distance(panel: Panel) -> Panel:
-    days = F.datediff(F.col("date"), panel.lag("date"))
-    return panel.add({"days_since_prev_close": F.coalesce(days, F.lit(0))})
+class DayDistance(Block):
+    """Days since the previous bar, 0 for the first."""
 
+    def first(self, panel: Panel) -> dict[str, str]:
+        return {"days_since_prev_close": f"coalesce(datediff(date, {panel.lag('date')}), 0)"}
 
-def _seconds_between(later: Column, earlier: Column) -> Column:
-    return (F.unix_micros(later) - F.unix_micros(earlier)) / 1e6
+    def columns(self) -> list[str]:
+        return ["days_since_prev_close"]
 
 
-def with_second_distance(panel: Panel) -> Panel:
-    seconds = _seconds_between(F.col("timestamp"), panel.lag("timestamp"))
-    return panel.add({"seconds_since_prev_bar": F.coalesce(seconds.cast("long"), F.lit(0))})
+class SecondDistance(Block):
+    """Whole seconds since the previous bar, 0 for the first."""
+
+    def first(self, panel: Panel) -> dict[str, str]:
+        micros = f"unix_micros(timestamp) - unix_micros({panel.lag('timestamp')})"
+        return {"seconds_since_prev_bar": f"coalesce(({micros}) DIV 1000000, 0)"}
+
+    def columns(self) -> list[str]:
+        return ["seconds_since_prev_bar"]
+
+
+class Previous(Block):
+    """Time of the previous bar."""
+
+    def __init__(self, time: str, name: str):
+        self.time, self.name = time, name
+
+    def first(self, panel: Panel) -> dict[str, str]:
+        return {self.name: panel.lag(self.time)}
+
+    def columns(self) -> list[str]:
+        return [self.name]
+
+
+class Boundary(Block):
+    """Flags of the first and last bar of each ticker."""
+
+    def first(self, panel: Panel) -> dict[str, str]:
+        return {
+            "missing_next_bar": f"CASE WHEN {panel.is_last} THEN 1 ELSE 0 END",
+            "missing_previous_bar": f"CASE WHEN {panel.is_first} THEN 1 ELSE 0 END",
+        }
+
+    def columns(self) -> list[str]:
+        return ["missing_next_bar", "missing_previous_bar"]
+
+
+class RangeStart(Block):
+    """First date of the run of dates that lie at most ``max_gap_days`` apart."""
+
+    def __init__(self, max_gap_days: int):
+        self.max_gap_days = max_gap_days
+
+    def first(self, panel: Panel) -> dict[str, str]:
+        opens = f"{panel.is_first} OR datediff(date, {panel.lag('date')}) > {self.max_gap_days}"
+        return {"_opens": f"CASE WHEN {opens} THEN date END"}
+
+    def scans(self, panel: Panel) -> list[Step]:
+        return [LastKnown("range_start", "_opens")]
+
+    def columns(self) -> list[str]:
+        return ["range_start"]
 
 
 def _holiday_inside(gaps: DataFrame, holidays: Sequence[date] | DataFrame) -> DataFrame:
@@ -82,15 +132,10 @@ def _holiday_inside(gaps: DataFrame, holidays: Sequence[date] | DataFrame) -> Da
     return gaps.filter(~(long_enough & spanned))
 
 
-def gap_columns(panel: Panel) -> Panel:
-    return panel.add({"previous_date": panel.lag("date")})
-
-
 def daily_gaps(bars: DataFrame, holidays: Sequence[date] | DataFrame = HOLIDAYS) -> DataFrame:
     """Steps of more than three days between bars of a ticker, holidays excepted."""
     require_columns(bars, ("ticker", "date"), "daily_gaps")
-    panel = gap_columns(open_panel(bars.select("ticker", "date"), lookback=1))
-    gaps = panel.close().select(
+    gaps = run_blocks(bars.select("ticker", "date"), Previous("date", "previous_date")).select(
         "ticker",
         "previous_date",
         F.col("date").alias("current_date"),
@@ -103,11 +148,12 @@ def intraday_gaps(bars: DataFrame, expected_interval_minutes: int = 5) -> DataFr
     """Steps longer than 1.5 intervals, the two usual closed-market steps
     excepted, with the timestamps that are missing inside."""
     require_columns(bars, ("ticker", "timestamp"), "intraday_gaps")
-    panel = open_panel(bars.select("ticker", "timestamp"), order="timestamp", lookback=1)
-    panel = panel.add({"previous_timestamp": panel.lag("timestamp")})
-    seconds = _seconds_between(F.col("timestamp"), F.col("previous_timestamp"))
+    times = run_blocks(
+        bars.select("ticker", "timestamp"), Previous("timestamp", "previous_timestamp"), order="timestamp"
+    )
+    seconds = (F.unix_micros("timestamp") - F.unix_micros("previous_timestamp")) / 1e6
     step = F.expr(f"interval {int(expected_interval_minutes)} minutes")
-    steps = panel.close().select(
+    steps = times.select(
         "ticker",
         "previous_timestamp",
         F.col("timestamp").alias("current_timestamp"),
@@ -128,16 +174,9 @@ def intraday_gaps(bars: DataFrame, expected_interval_minutes: int = 5) -> DataFr
     )
 
 
-def boundary_flags(panel: Panel) -> Panel:
-    """First and last bar of each ticker."""
-    return panel.add(
-        {"missing_next_bar": flag(panel.is_last), "missing_previous_bar": flag(panel.is_first)}
-    )
-
-
 def flag_missing_neighbors(bars: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Bars with boundary flags, and the table of the flagged ones."""
-    flagged = boundary_flags(open_panel(bars, order="timestamp", lookback=1)).close()
+    flagged = run_blocks(bars, Boundary(), order="timestamp")
     return flagged, neighbor_table(flagged)
 
 
@@ -158,14 +197,8 @@ def missing_bars(gaps: DataFrame) -> DataFrame:
 def fetch_ranges(missing: DataFrame, max_gap_days: int = RANGE_GAP_DAYS) -> DataFrame:
     """Dates of a ticker packed into ranges; dates up to a week apart share one."""
     dates = missing.select("ticker", "date").distinct()
-    panel = open_panel(dates, lookback=1)
-    distance = F.datediff(F.col("date"), panel.lag("date"))
-    opens = panel.is_first | (distance > max_gap_days)
-    panel = panel.add({"_opens": F.when(opens, F.col("date"))}).scan(
-        LastKnown("range_start", F.col("_opens"))
-    )
     return (
-        panel.close()
+        run_blocks(dates, RangeStart(max_gap_days))
         .groupBy("ticker", "range_start")
         .agg(F.max("date").alias("range_end"), F.count(F.lit(1)).alias("dates"))
     )

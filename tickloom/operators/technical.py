@@ -13,272 +13,268 @@ used here):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ..config import TechnicalIndicatorConfig
-from ..functions.expressions import EPSILON, divide, q, require_columns
-from .panel import Affine, Panel, ema_decay, open_panel, wilder_decay
+from ..functions.expressions import guarded, ratio, require_columns
+from .panel import INDEX, Affine, Block, Panel, Step, ema_decay, run_blocks, wilder_decay
+from .price import TRUE_RANGE
 
 REQUIRED = ("open", "high", "low", "close", "volume")
 
 
-def lookback(cfg: TechnicalIndicatorConfig) -> int:
-    return max(
-        cfg.stochastic_k + cfg.stochastic_smooth + cfg.stochastic_d,
-        cfg.bollinger_length,
-        cfg.atr_length + 1,
-        cfg.ema_length,
-        cfg.sma_length,
-        cfg.wma_length,
-        cfg.macd_fast,
-        cfg.macd_slow,
-        cfg.macd_signal,
-        1,
-    )
+def _from(position: int, value: str) -> str:
+    return f"CASE WHEN {INDEX} >= {position} THEN {value} END"
 
 
-def decays(cfg: TechnicalIndicatorConfig) -> tuple[float, ...]:
-    spans = (cfg.macd_fast, cfg.macd_slow, cfg.macd_signal, cfg.ema_length)
-    lengths = (cfg.rsi_length, cfg.atr_length, cfg.adx_length)
-    return tuple(ema_decay(n) for n in spans) + tuple(wilder_decay(n) for n in lengths)
+def _seeded(name: str, value: str, mean: str, n: int, first: int = 0) -> Affine:
+    """EMA whose input starts at position ``first``; ``mean`` is the frame mean
+    of n values, which is the seed where n values are known."""
+    seed_at, decay = first + n - 1, ema_decay(n)
+    term = f"CASE WHEN {INDEX} = {seed_at} THEN {mean} WHEN {INDEX} > {seed_at} THEN {value} * {1 - decay!r}D END"
+    return Affine(name, decay, term)
 
 
-def _seeded(panel: Panel, name: str, value: Column, n: int, first: int = 0) -> Affine:
-    """EMA whose input starts at position ``first``: its mean of n values is the seed."""
-    seed_at = first + n - 1
-    decay = ema_decay(n)
-    term = F.when(panel.position == seed_at, F.avg(value).over(panel.frame(n)))
-    return Affine(name, decay, term.when(panel.position > seed_at, value * (1 - decay)))
+def _weighted_mean(total: str, n: int, first: int) -> str:
+    """Decayed sum -> mean with normalised weights over the values since ``first``."""
+    decay = wilder_decay(n)
+    observed = f"({INDEX} - {first - 1})"
+    weight = f"((1 - power({decay!r}D, {observed})) * {n})" if n > 1 else "1D"
+    return _from(first + n - 1, f"{total} / {weight}")
 
 
-def _from(panel: Panel, position: int, value: Column) -> Column:
-    return F.when(panel.position >= position, value)
+class Rsi(Block):
+    """Share of the averaged gains in all averaged moves, in percent."""
 
+    def __init__(self, length: int):
+        self.length = length
+        self.decays = (wilder_decay(length),)
 
-def _normalised(panel: Panel, total: Column, n: int, first: int) -> Column:
-    """Weighted sum -> weighted mean of the values observed since position ``first``."""
-    decay = wilder_decay(n)
-    observed = panel.position - first + 1
-    weight = (1 - F.pow(F.lit(decay), observed)) / (1 - decay)
-    return F.when(observed >= n, total / weight)
+    def first(self, panel: Panel) -> dict[str, str]:
+        return {"_change": f"close - {panel.lag('close')}"}
 
+    def scans(self, panel: Panel) -> list[Step]:
+        decay = self.decays[0]
+        return [
+            Affine("_gain", decay, f"CASE WHEN {INDEX} >= 1 THEN greatest(_change, 0D) END"),
+            Affine("_loss", decay, f"CASE WHEN {INDEX} >= 1 THEN greatest(-_change, 0D) END"),
+        ]
 
-def _true_range(panel: Panel) -> Column:
-    previous = panel.lag("close")
-    known = F.greatest(
-        F.col("high") - F.col("low"), F.abs(F.col("high") - previous), F.abs(F.col("low") - previous)
-    )
-    return F.when(panel.position >= 1, known)
+    def rows(self) -> list[dict[str, str]]:
+        value = f"{ratio('_gain', '_gain + _loss')} * 100"
+        return [{f"rsi_{self.length}": _from(self.length, value)}]
 
+    def columns(self) -> list[str]:
+        return [f"rsi_{self.length}"]
 
-# -- recurrences over the bars ---------------------------------------------------
-def rsi_steps(panel: Panel, cfg: TechnicalIndicatorConfig) -> list[Affine]:
-    change = F.col("close") - panel.lag("close")
-    decay = wilder_decay(cfg.rsi_length)
-    return [
-        Affine("_gain", decay, F.when(panel.position >= 1, F.greatest(change, F.lit(0.0)))),
-        Affine("_loss", decay, F.when(panel.position >= 1, F.greatest(-change, F.lit(0.0)))),
-    ]
 
+class Macd(Block):
+    """Difference of two EMAs, its own EMA, and the difference of those."""
 
-def macd_steps(panel: Panel, cfg: TechnicalIndicatorConfig) -> list[Affine]:
-    return [
-        _seeded(panel, "_macd_fast", F.col("close"), cfg.macd_fast),
-        _seeded(panel, "_macd_slow", F.col("close"), cfg.macd_slow),
-    ]
+    def __init__(self, fast: int, slow: int, signal: int):
+        self.fast, self.slow, self.signal = fast, slow, signal
+        self.base = f"{fast}_{slow}_{signal}"
+        self.start = max(fast, slow) - 1
+        self.lookback = max(fast, slow, signal)
+        self.decays = tuple(ema_decay(n) for n in (fast, slow, signal))
 
+    def first(self, panel: Panel) -> dict[str, str]:
+        return {f"_mean_{n}": panel.mean("close", n) for n in (self.fast, self.slow)}
 
-def ema_step(panel: Panel, cfg: TechnicalIndicatorConfig) -> list[Affine]:
-    return [_seeded(panel, "_ema_tail", F.col("close"), cfg.ema_length)]
+    def scans(self, panel: Panel) -> list[Step]:
+        return [
+            _seeded("_ema_fast", "close", f"_mean_{self.fast}", self.fast),
+            _seeded("_ema_slow", "close", f"_mean_{self.slow}", self.slow),
+        ]
 
+    def second(self, panel: Panel) -> dict[str, str]:
+        line = _from(self.start, "_ema_fast - _ema_slow")
+        return {f"macd_{self.base}": line, "_mean_line": panel.mean(line, self.signal)}
 
-def atr_steps(panel: Panel, cfg: TechnicalIndicatorConfig) -> list[Affine]:
-    if cfg.atr_smoothing not in ("wilder", "sma"):
-        raise ValueError("atr_smoothing must be 'wilder' or 'sma'")
-    if cfg.atr_smoothing == "sma":
-        return []
-    return [Affine("_atr_sum", wilder_decay(cfg.atr_length), _true_range(panel))]
+    def late_scans(self, panel: Panel) -> list[Step]:
+        return [_seeded("_ema_line", f"macd_{self.base}", "_mean_line", self.signal, self.start)]
 
+    def rows(self) -> list[dict[str, str]]:
+        signal = _from(self.start + self.signal - 1, "_ema_line")
+        return [
+            {
+                f"macd_signal_{self.base}": signal,
+                f"macd_hist_{self.base}": f"macd_{self.base} - {signal}",
+            }
+        ]
 
-def adx_steps(panel: Panel, cfg: TechnicalIndicatorConfig) -> list[Affine]:
-    up = F.col("high") - panel.lag("high")
-    down = panel.lag("low") - F.col("low")
-    decay = wilder_decay(cfg.adx_length)
-    return [
-        Affine("_move_up", decay, F.when((up > down) & (up > 0), up).otherwise(0.0)),
-        Affine("_move_down", decay, F.when((down > up) & (down > 0), down).otherwise(0.0)),
-    ]
+    def columns(self) -> list[str]:
+        return [f"macd_{self.base}", f"macd_signal_{self.base}", f"macd_hist_{self.base}"]
 
 
-# -- recurrences over the results of the first ones --------------------------------
-def macd_signal_steps(panel: Panel, cfg: TechnicalIndicatorConfig) -> list[Affine]:
-    first = max(cfg.macd_slow, cfg.macd_fast) - 1
-    return [_seeded(panel, "_macd_signal", q(_macd_name(cfg)), cfg.macd_signal, first)]
+class Stochastic(Block):
+    """Place of the close in the recent range, smoothed once (%K) and twice (%D)."""
 
+    def __init__(self, k: int, d: int, smooth: int):
+        self.k, self.d, self.smooth = k, d, smooth
+        self.base = f"{k}_{d}_{smooth}"
+        self.lookback = k + d + smooth
 
-def adx_smooth_steps(panel: Panel, cfg: TechnicalIndicatorConfig) -> list[Affine]:
-    up, down = F.col("_move_up"), F.col("_move_down")
-    # The common divisor (average true range and weights) cancels in the ratio.
-    index = divide(F.abs(up - down), up + down) * 100
-    return [Affine("_adx_sum", wilder_decay(cfg.adx_length), _from(panel, cfg.adx_length, index))]
+    def first(self, panel: Panel) -> dict[str, str]:
+        low, high = panel.rolling("min", "low", self.k), panel.rolling("max", "high", self.k)
+        return {f"_floor_{self.k}": low, f"_ceiling_{self.k}": high}
 
+    def second(self, panel: Panel) -> dict[str, str]:
+        low, high = f"_floor_{self.k}", f"_ceiling_{self.k}"
+        raw = f"({ratio(f'close - {low}', f'{high} - {low}')} * 100)"
+        return {f"stoch_k_{self.base}": panel.mean(raw, self.smooth)}
 
-# -- columns -----------------------------------------------------------------------
-def _macd_base(cfg: TechnicalIndicatorConfig) -> str:
-    return f"{cfg.macd_fast}_{cfg.macd_slow}_{cfg.macd_signal}"
+    def third(self, panel: Panel) -> dict[str, str]:
+        return {f"stoch_d_{self.base}": panel.mean(f"stoch_k_{self.base}", self.d)}
 
+    def columns(self) -> list[str]:
+        return [f"stoch_k_{self.base}", f"stoch_d_{self.base}"]
 
-def _macd_name(cfg: TechnicalIndicatorConfig) -> str:
-    return f"macd_{_macd_base(cfg)}"
 
+class Bollinger(Block):
+    """Mean plus and minus a multiple of the standard deviation (divisor n - ddof)."""
 
-def with_rsi(panel: Panel, cfg: TechnicalIndicatorConfig) -> Panel:
-    gain, loss = F.col("_gain"), F.col("_loss")
-    value = _from(panel, cfg.rsi_length, divide(gain, gain + loss) * 100)
-    return panel.add({f"rsi_{cfg.rsi_length}": value}).drop("_gain", "_loss")
+    def __init__(self, length: int, width: float, ddof: int = 1):
+        self.length, self.width, self.ddof = length, width, ddof
+        self.base = f"{length}_{width}"
+        self.lookback = length
 
+    def first(self, panel: Panel) -> dict[str, str]:
+        function = "stddev_samp" if self.ddof == 1 else "stddev_pop"
+        return {
+            f"bb_middle_{self.base}": panel.mean("close", self.length),
+            "_band": f"{panel.rolling(function, 'close', self.length)} * {self.width!r}D",
+        }
 
-def with_macd_line(panel: Panel, cfg: TechnicalIndicatorConfig) -> Panel:
-    first = max(cfg.macd_slow, cfg.macd_fast) - 1
-    line = _from(panel, first, F.col("_macd_fast") - F.col("_macd_slow"))
-    return panel.add({_macd_name(cfg): line}).drop("_macd_fast", "_macd_slow")
+    def rows(self) -> list[dict[str, str]]:
+        middle, lower, upper = (f"`bb_{side}_{self.base}`" for side in ("middle", "lower", "upper"))
+        return [
+            {f"bb_lower_{self.base}": f"{middle} - _band", f"bb_upper_{self.base}": f"{middle} + _band"},
+            {
+                f"bb_bandwidth_{self.base}": f"({upper} - {lower}) / {guarded(middle)}",
+                f"bb_pct_{self.base}": ratio(f"close - {lower}", f"{upper} - {lower}"),
+            },
+        ]
 
+    def columns(self) -> list[str]:
+        return [f"bb_{side}_{self.base}" for side in ("lower", "middle", "upper", "bandwidth", "pct")]
 
-def with_macd_signal(panel: Panel, cfg: TechnicalIndicatorConfig) -> Panel:
-    seed_at = max(cfg.macd_slow, cfg.macd_fast) + cfg.macd_signal - 2
-    signal = _from(panel, seed_at, F.col("_macd_signal"))
-    base = _macd_base(cfg)
-    panel = panel.add({f"macd_signal_{base}": signal}).drop("_macd_signal")
-    return panel.add({f"macd_hist_{base}": q(_macd_name(cfg)) - q(f"macd_signal_{base}")})
 
+class AverageTrueRange(Block):
+    """Average true range and its share of the close."""
 
-def with_ema(panel: Panel, cfg: TechnicalIndicatorConfig) -> Panel:
-    value = _from(panel, cfg.ema_length - 1, F.col("_ema_tail"))
-    return panel.add({f"ema_{cfg.ema_length}": value}).drop("_ema_tail")
+    def __init__(self, length: int, smoothing: str = "wilder"):
+        if smoothing not in ("wilder", "sma"):
+            raise ValueError("smoothing must be 'wilder' or 'sma'")
+        self.length, self.smoothing = length, smoothing
+        self.lookback = length + 1
+        self.decays = (wilder_decay(length),)
 
+    def first(self, panel: Panel) -> dict[str, str]:
+        return {"_bar_range": _from(1, TRUE_RANGE.format(previous=panel.lag("close")))}
 
-def with_stochastic(panel: Panel, cfg: TechnicalIndicatorConfig) -> Panel:
-    base = f"{cfg.stochastic_k}_{cfg.stochastic_d}_{cfg.stochastic_smooth}"
-    low, high = panel.lowest("low", cfg.stochastic_k), panel.highest("high", cfg.stochastic_k)
-    panel = panel.add({"_raw_k": divide(F.col("close") - low, high - low) * 100})
-    panel = panel.add({f"stoch_k_{base}": panel.mean("_raw_k", cfg.stochastic_smooth)})
-    return panel.add({f"stoch_d_{base}": panel.mean(f"stoch_k_{base}", cfg.stochastic_d)}).drop("_raw_k")
+    def scans(self, panel: Panel) -> list[Step]:
+        return [Affine("_range_sum", self.decays[0], "_bar_range")] if self.smoothing == "wilder" else []
 
+    def second(self, panel: Panel) -> dict[str, str]:
+        if self.smoothing == "sma":
+            return {f"atr_{self.length}": panel.mean("_bar_range", self.length)}
+        return {f"atr_{self.length}": _weighted_mean("_range_sum", self.length, 1)}
 
-def with_bollinger(panel: Panel, cfg: TechnicalIndicatorConfig) -> Panel:
-    n, base = cfg.bollinger_length, f"{cfg.bollinger_length}_{cfg.bollinger_std}"
-    panel = panel.add(
-        {
-            "_band": panel.stddev("close", n, cfg.bollinger_ddof) * cfg.bollinger_std,
-            f"bb_middle_{base}": panel.mean("close", n),
-        }
-    )
-    middle, band = q(f"bb_middle_{base}"), F.col("_band")
-    panel = panel.add({f"bb_lower_{base}": middle - band, f"bb_upper_{base}": middle + band}).drop("_band")
-    lower, upper = q(f"bb_lower_{base}"), q(f"bb_upper_{base}")
-    return panel.add(
-        {
-            f"bb_bandwidth_{base}": (upper - lower) / (middle + F.lit(EPSILON)),
-            f"bb_pct_{base}": divide(F.col("close") - lower, upper - lower),
-        }
-    )
+    def rows(self) -> list[dict[str, str]]:
+        share = ratio(f"atr_{self.length}", "close")
+        return [{f"atr_pct_{self.length}": share, "atr": f"atr_{self.length}", "atr_pct": share}]
+
+    def columns(self) -> list[str]:
+        return [f"atr_{self.length}", f"atr_pct_{self.length}", "atr", "atr_pct"]
+
+
+class Adx(Block):
+    """Average of the relative difference of upward and downward moves, in percent."""
+
+    def __init__(self, length: int):
+        self.length = length
+        self.decays = (wilder_decay(length),)
+
+    def first(self, panel: Panel) -> dict[str, str]:
+        return {"_up": f"high - {panel.lag('high')}", "_down": f"{panel.lag('low')} - low"}
+
+    def scans(self, panel: Panel) -> list[Step]:
+        decay = self.decays[0]
+        return [
+            Affine("_rise", decay, "CASE WHEN _up > _down AND _up > 0 THEN _up ELSE 0D END"),
+            Affine("_fall", decay, "CASE WHEN _down > _up AND _down > 0 THEN _down ELSE 0D END"),
+        ]
+
+    def late_scans(self, panel: Panel) -> list[Step]:
+        # The common divisor (average true range and weights) cancels in the ratio.
+        index = f"{ratio('abs(_rise - _fall)', '_rise + _fall')} * 100"
+        return [Affine("_index_sum", self.decays[0], _from(self.length, index))]
+
+    def rows(self) -> list[dict[str, str]]:
+        value = _weighted_mean("_index_sum", self.length, self.length)
+        return [{f"adx_{self.length}": value, "adx": value}]
+
+    def columns(self) -> list[str]:
+        return [f"adx_{self.length}", "adx"]
+
+
+class SeededEma(Block):
+    """EMA seeded with the mean of its first values."""
+
+    def __init__(self, length: int):
+        self.length = length
+        self.lookback = length
+        self.decays = (ema_decay(length),)
+
+    def first(self, panel: Panel) -> dict[str, str]:
+        return {f"_mean_{self.length}": panel.mean("close", self.length)}
 
+    def scans(self, panel: Panel) -> list[Step]:
+        return [_seeded("_ema_tail", "close", f"_mean_{self.length}", self.length)]
 
-def with_atr(panel: Panel, cfg: TechnicalIndicatorConfig) -> Panel:
-    n = cfg.atr_length
-    if cfg.atr_smoothing == "sma":
-        panel = panel.add({"_bar_range": _true_range(panel)})
-        panel = panel.add({f"atr_{n}": panel.mean("_bar_range", n)}).drop("_bar_range")
-    else:
-        panel = panel.add({f"atr_{n}": _normalised(panel, F.col("_atr_sum"), n, 1)}).drop("_atr_sum")
-    share = divide(F.col(f"atr_{n}"), F.col("close"))
-    return panel.add({f"atr_pct_{n}": share, "atr": F.col(f"atr_{n}"), "atr_pct": share})
+    def rows(self) -> list[dict[str, str]]:
+        return [{f"ema_{self.length}": _from(self.length - 1, "_ema_tail")}]
 
+    def columns(self) -> list[str]:
+        return [f"ema_{self.length}"]
 
-def with_adx(panel: Panel, cfg: TechnicalIndicatorConfig) -> Panel:
-    n = cfg.adx_length
-    value = _normalised(panel, F.col("_adx_sum"), n, n)
-    return panel.add({f"adx_{n}": value, "adx": value}).drop("_move_up", "_move_down", "_adx_sum")
 
+class LinearAverages(Block):
+    """Plain mean, and the mean with linear weights, the newest value weighing n."""
 
-def with_sma(panel: Panel, cfg: TechnicalIndicatorConfig) -> Panel:
-    return panel.add({f"sma_{cfg.sma_length}": panel.mean("close", cfg.sma_length)})
+    def __init__(self, sma_length: int, wma_length: int):
+        self.sma, self.wma = sma_length, wma_length
+        self.lookback = max(sma_length, wma_length)
 
+    def first(self, panel: Panel) -> dict[str, str]:
+        n = self.wma
+        # Weighting by position gives the linear weights up to a shift.
+        weighted = f"sum(close * {INDEX}) OVER ({panel.frame(n)})"
+        plain = f"sum(close) OVER ({panel.frame(n)})"
+        value = f"({weighted} - {plain} * ({INDEX} - {n})) / {n * (n + 1) / 2!r}D"
+        return {f"sma_{self.sma}": panel.mean("close", self.sma), f"wma_{n}": panel.full(n, value, "close")}
 
-def with_wma(panel: Panel, cfg: TechnicalIndicatorConfig) -> Panel:
-    """Linear weights, the newest value weighing n."""
-    n = cfg.wma_length
-    # Sum of position * close over the frame gives the weights up to a shift.
-    weighted = F.sum(F.col("close") * panel.position).over(panel.frame(n))
-    plain = F.sum("close").over(panel.frame(n))
-    shifted = weighted - plain * (panel.position - n).cast("double")
-    return panel.add({f"wma_{n}": panel.full(n, shifted / (n * (n + 1) / 2), "close")})
+    def columns(self) -> list[str]:
+        return [f"sma_{self.sma}", f"wma_{self.wma}"]
 
 
-def scan_indicators(panel: Panel, cfg: TechnicalIndicatorConfig, extra=()) -> Panel:
-    """Run the recurrences of all indicators in two scans; ``extra`` steps of
-    other blocks ride along in the first one."""
-    panel = panel.scan(
-        *extra,
-        *rsi_steps(panel, cfg),
-        *macd_steps(panel, cfg),
-        *ema_step(panel, cfg),
-        *atr_steps(panel, cfg),
-        *adx_steps(panel, cfg),
+def technical_blocks(cfg: TechnicalIndicatorConfig) -> tuple[Block, ...]:
+    return (
+        Rsi(cfg.rsi_length),
+        Macd(cfg.macd_fast, cfg.macd_slow, cfg.macd_signal),
+        Stochastic(cfg.stochastic_k, cfg.stochastic_d, cfg.stochastic_smooth),
+        Bollinger(cfg.bollinger_length, cfg.bollinger_std, cfg.bollinger_ddof),
+        AverageTrueRange(cfg.atr_length, cfg.atr_smoothing),
+        Adx(cfg.adx_length),
+        SeededEma(cfg.ema_length),
+        LinearAverages(cfg.sma_length, cfg.wma_length),
     )
-    panel = with_macd_line(panel, cfg)
-    return panel.scan(*macd_signal_steps(panel, cfg), *adx_smooth_steps(panel, cfg))
-
-
-INDICATORS = (
-    with_rsi,
-    with_macd_signal,
-    with_ema,
-    with_stochastic,
-    with_bollinger,
-    with_atr,
-    with_adx,
-    with_sma,
-    with_wma,
-)
-
-
-def column_order(cfg: TechnicalIndicatorConfig) -> list[str]:
-    macd, bands = _macd_base(cfg), f"{cfg.bollinger_length}_{cfg.bollinger_std}"
-    stoch = f"{cfg.stochastic_k}_{cfg.stochastic_d}_{cfg.stochastic_smooth}"
-    return [
-        f"rsi_{cfg.rsi_length}",
-        f"macd_{macd}",
-        f"macd_signal_{macd}",
-        f"macd_hist_{macd}",
-        f"stoch_k_{stoch}",
-        f"stoch_d_{stoch}",
-        f"bb_lower_{bands}",
-        f"bb_middle_{bands}",
-        f"bb_upper_{bands}",
-        f"bb_bandwidth_{bands}",
-        f"bb_pct_{bands}",
-        f"atr_{cfg.atr_length}",
-        f"atr_pct_{cfg.atr_length}",
-        "atr",
-        "atr_pct",
-        f"adx_{cfg.adx_length}",
-        "adx",
-        f"ema_{cfg.ema_length}",
-        f"sma_{cfg.sma_length}",
-        f"wma_{cfg.wma_length}",
-    ]
 
 
 def technical_features(
     df: DataFrame, config: TechnicalIndicatorConfig | None = None, order: str = "date"
 ) -> DataFrame:
     """All indicator columns for a table of bars."""
-    cfg = config or TechnicalIndicatorConfig()
     require_columns(df, ("ticker", order, *REQUIRED), "technical_features")
-    panel = open_panel(df, order=order, lookback=lookback(cfg), decays=decays(cfg))
-    panel = scan_indicators(panel, cfg)
-    for step in INDICATORS:
-        panel = step(panel, cfg)
-    return panel.close().select(*[q(c) for c in df.columns], *[q(c) for c in column_order(cfg)])
+    return run_blocks(df, *technical_blocks(config or TechnicalIndicatorConfig()), order=order)

@@ -3,65 +3,83 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..config import VolumeFeatureConfig
-from ..functions.expressions import EPSILON, flag, q, require_columns
-from .panel import Panel, open_panel
+from ..functions.expressions import guarded, require_columns
+from .panel import Block, Panel, run_blocks
 
 REQUIRED = ("ticker", "close", "volume")
 TRADED_VALUE_WINDOW = 20
 
 
-def lookback(cfg: VolumeFeatureConfig) -> int:
-    return max(*cfg.volume_windows, *cfg.trend_windows, cfg.ratio_baseline_window, TRADED_VALUE_WINDOW)
+class VolumeRatio(Block):
+    """Volume against its average, with spike and dry flags."""
 
+    def __init__(self, cfg: VolumeFeatureConfig):
+        self.cfg = cfg
+        self.windows = tuple(dict.fromkeys((*cfg.volume_windows, cfg.ratio_baseline_window)))
+        self.lookback = max(self.windows)
 
-def with_ratio(panel: Panel, cfg: VolumeFeatureConfig) -> Panel:
-    windows = dict.fromkeys((*cfg.volume_windows, cfg.ratio_baseline_window))
-    panel = panel.means("volume", {f"volume_sma_{n}": n for n in windows})
-    baseline = F.col(f"volume_sma_{cfg.ratio_baseline_window}")
-    panel = panel.add({"volume_ratio": F.col("volume") / (baseline + F.lit(EPSILON))})
-    return panel.add(
-        {
-            "volume_spike": flag(F.col("volume_ratio") > cfg.spike_threshold),
-            "volume_dry": flag(F.col("volume_ratio") < cfg.dry_threshold),
-        }
-    )
+    def first(self, panel: Panel) -> dict[str, str]:
+        return {f"volume_sma_{n}": panel.mean("volume", n) for n in self.windows}
+
+    def rows(self) -> list[dict[str, str]]:
+        cfg = self.cfg
+        return [
+            {"volume_ratio": f"volume / {guarded(f'volume_sma_{cfg.ratio_baseline_window}')}"},
+            {
+                "volume_spike": f"CASE WHEN volume_ratio > {cfg.spike_threshold!r}D THEN 1 ELSE 0 END",
+                "volume_dry": f"CASE WHEN volume_ratio < {cfg.dry_threshold!r}D THEN 1 ELSE 0 END",
+            },
+        ]
+
+    def columns(self) -> list[str]:
+        return [f"volume_sma_{n}" for n in self.windows] + ["volume_ratio", "volume_spike", "volume_dry"]
+
+
+class VolumeTrend(Block):
+    """Least-squares slope of the volume."""
+
+    def __init__(self, cfg: VolumeFeatureConfig):
+        self.windows = cfg.trend_windows
+        self.lookback = max(self.windows)
 
+    def first(self, panel: Panel) -> dict[str, str]:
+        return {f"volume_trend_{n}d": panel.slope("volume", n) for n in self.windows}
 
-def with_trend(panel: Panel, cfg: VolumeFeatureConfig) -> Panel:
-    return panel.add({f"volume_trend_{n}d": panel.slope("volume", n) for n in cfg.trend_windows})
+    def columns(self) -> list[str]:
+        return [f"volume_trend_{n}d" for n in self.windows]
 
 
-def with_traded_value(panel: Panel, cfg: VolumeFeatureConfig, liquidity: bool = True) -> Panel:
+class TradedValue(Block):
     """Traded value and its averages. ``liquidity`` adds the product of the two
     separate averages and the average of the product, which differ."""
-    panel = panel.add({"price_volume": F.col("close") * F.col("volume")})
-    columns = {f"price_volume_sma_{TRADED_VALUE_WINDOW}": panel.mean("price_volume", TRADED_VALUE_WINDOW)}
-    if liquidity:
-        for n in cfg.volume_windows:
-            columns[f"liquidity_{n}d"] = panel.mean("close", n) * panel.mean("volume", n)
-            columns[f"avg_dollar_volume_{n}d"] = panel.mean("price_volume", n)
-    return panel.add(columns)
-
-
-def column_order(cfg: VolumeFeatureConfig, liquidity: bool = True) -> list[str]:
-    names = [f"volume_sma_{n}" for n in dict.fromkeys((*cfg.volume_windows, cfg.ratio_baseline_window))]
-    names += ["volume_ratio", "volume_spike", "volume_dry"]
-    names += [f"volume_trend_{n}d" for n in cfg.trend_windows]
-    names += ["price_volume", f"price_volume_sma_{TRADED_VALUE_WINDOW}"]
-    if liquidity:
-        for n in cfg.volume_windows:
-            names += [f"liquidity_{n}d", f"avg_dollar_volume_{n}d"]
-    return names
+
+    def __init__(self, cfg: VolumeFeatureConfig, liquidity: bool = True):
+        self.windows = cfg.volume_windows if liquidity else ()
+        self.lookback = max(TRADED_VALUE_WINDOW, *self.windows, 1)
+
+    def first(self, panel: Panel) -> dict[str, str]:
+        value = "close * volume"
+        out = {
+            "price_volume": value,
+            f"price_volume_sma_{TRADED_VALUE_WINDOW}": panel.mean(value, TRADED_VALUE_WINDOW),
+        }
+        for n in self.windows:
+            out[f"liquidity_{n}d"] = f"{panel.mean('close', n)} * {panel.mean('volume', n)}"
+            out[f"avg_dollar_volume_{n}d"] = panel.mean(value, n)
+        return out
+
+    def columns(self) -> list[str]:
+        averages = [name for n in self.windows for name in (f"liquidity_{n}d", f"avg_dollar_volume_{n}d")]
+        return ["price_volume", f"price_volume_sma_{TRADED_VALUE_WINDOW}", *averages]
+
+
+def volume_blocks(cfg: VolumeFeatureConfig, liquidity: bool = True) -> tuple[Block, ...]:
+    return VolumeRatio(cfg), VolumeTrend(cfg), TradedValue(cfg, liquidity)
 
 
 def volume_features(df: DataFrame, config: VolumeFeatureConfig | None = None, order: str = "date") -> DataFrame:
     """All volume columns; windows run in the order of ``order`` within a ticker."""
-    cfg = config or VolumeFeatureConfig()
     require_columns(df, (*REQUIRED, order), "volume_features")
-    panel = open_panel(df, order=order, lookback=lookback(cfg))
-    for step in (with_ratio, with_trend, with_traded_value):
-        panel = step(panel, cfg)
-    return panel.close().select(*[q(c) for c in df.columns], *[q(c) for c in column_order(cfg)])
+    return run_blocks(df, *volume_blocks(config or VolumeFeatureConfig()), order=order)
