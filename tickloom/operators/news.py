@@ -11,6 +11,8 @@ from .panel import Block, Panel, run_blocks
 
 REQUIRED = ("ticker", "title", "description", "author", "type", "keywords", "tickers")
 
+FLAT_SLOPE = 1e-12
+
 COUNT_COLUMNS = (
     "news_count",
     "news_rolling_count",
@@ -118,11 +120,13 @@ class NewsRolling(Block):
         return {"_slope": f"regr_slope(sentiment_score_mean, _scored) OVER ({recent})"}
 
     def rows(self) -> list[dict[str, str]]:
-        # Enough periods but a single point is a flat line, not a missing one.
+        # Enough periods but a single point is a flat line, not a missing one; so is
+        # a slope that is only the rounding of equal scores.
         enough = f"_points >= {self.cfg.trend_min_periods}"
+        sloped = f"_points >= 2 AND abs(_slope) >= {FLAT_SLOPE!r}D"
         return [
             {
-                "sentiment_trend": f"CASE WHEN {enough} AND _points >= 2 THEN _slope "
+                "sentiment_trend": f"CASE WHEN {enough} AND {sloped} THEN _slope "
                 f"WHEN {enough} THEN 0D ELSE {float(self.cfg.fill_numeric)!r}D END"
             }
         ]

@@ -226,6 +226,18 @@ class Panel:
         fit = f"regr_slope(CAST({value} AS DOUBLE), CAST({INDEX} AS DOUBLE)) OVER ({self.frame(n)})"
         return self.full(n, fit, value)
 
+    def whole_number_slope(self, value: str, n: int) -> str:
+        """The same for a column of whole numbers, from exact sums, so that a flat
+        series has slope 0 and not a rounding error."""
+        if n < 2:
+            return self.full(n, "0D", value)
+        place = f"({INDEX} - {SLICE} * {self.rows})"
+        products = f"sum(CAST({value} AS DOUBLE) * {place}) OVER ({self.frame(n)})"
+        total = f"sum(CAST({value} AS DOUBLE)) OVER ({self.frame(n)})"
+        # Sum of y * (x - mean x) with x counted from the middle of the frame, doubled.
+        doubled = f"(2 * {products} - (2 * {place} - {n - 1}) * {total})"
+        return self.full(n, f"{doubled} / {n * (n * n - 1) / 6!r}D", value)
+
     def running(self, value: str) -> dict[str, str]:
         """Running sum and count that :meth:`long_mean` takes differences of."""
         return {

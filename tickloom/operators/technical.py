@@ -249,11 +249,9 @@ class LinearAverages(Block):
 
     def first(self, panel: Panel) -> dict[str, str]:
         n = self.wma
-        # Weighting by position gives the linear weights up to a shift.
-        weighted = f"sum(close * {INDEX}) OVER ({panel.frame(n)})"
-        plain = f"sum(close) OVER ({panel.frame(n)})"
-        value = f"({weighted} - {plain} * ({INDEX} - {n})) / {n * (n + 1) / 2!r}D"
-        return {f"sma_{self.sma}": panel.mean("close", self.sma), f"wma_{n}": panel.full(n, value, "close")}
+        # The linear weights are the mean plus (n - 1) / 6 of the fitted slope.
+        value = f"{panel.mean('close', n)} + {panel.slope('close', n)} * {(n - 1) / 6!r}D"
+        return {f"sma_{self.sma}": panel.mean("close", self.sma), f"wma_{n}": value}
 
     def columns(self) -> list[str]:
         return [f"sma_{self.sma}", f"wma_{self.wma}"]

@@ -45,7 +45,7 @@ class VolumeTrend(Block):
         self.lookback = max(self.windows)
 
     def first(self, panel: Panel) -> dict[str, str]:
-        return {f"volume_trend_{n}d": panel.slope("volume", n) for n in self.windows}
+        return {f"volume_trend_{n}d": panel.whole_number_slope("volume", n) for n in self.windows}
 
     def columns(self) -> list[str]:
         return [f"volume_trend_{n}d" for n in self.windows]

@@ -28,6 +28,19 @@ def _ohlc(value: str, order: str) -> list[Column]:
     ]
 
 
+# Prices are decimals at rest; their sums are exact whatever the order.
+PRICE = "decimal(12,4)"
+
+
+def _exact_sum(value: Column) -> Column:
+    return F.sum(value).cast("double")
+
+
+def _weighted_mean(value: str, weight: Column) -> Column:
+    total = _exact_sum(F.col(value).cast(PRICE) * weight)
+    return (total / F.sum(weight)).alias("volume_weighted_avg_price")
+
+
 def bars_daily(spark: SparkSession, folder: str) -> DataFrame:
     """One bar per order priority and order date."""
     weight = F.col("o_custkey") + 1
@@ -38,7 +51,7 @@ def bars_daily(spark: SparkSession, folder: str) -> DataFrame:
             *_ohlc("o_totalprice", "o_orderkey"),
             F.sum(weight).alias("volume"),
             F.count(F.lit(1)).alias("transactions"),
-            (F.sum(F.col("o_totalprice") * weight) / F.sum(weight)).alias("volume_weighted_avg_price"),
+            _weighted_mean("o_totalprice", weight),
         )
     )
 
@@ -48,7 +61,7 @@ def index_daily(spark: SparkSession, folder: str) -> DataFrame:
     return (
         table(spark, folder, "orders")
         .groupBy(F.to_date("o_orderdate").alias("date"))
-        .agg(F.avg("o_totalprice").alias("close"))
+        .agg((_exact_sum(F.col("o_totalprice").cast(PRICE)) / F.count(F.lit(1))).alias("close"))
     )
 
 
@@ -64,7 +77,22 @@ def bars_intraday(spark: SparkSession, folder: str) -> DataFrame:
             *_ohlc("value", "ts"),
             F.sum(weight).alias("volume"),
             F.count(F.lit(1)).alias("transactions"),
-            (F.sum(F.col("value") * weight) / F.sum(weight)).alias("volume_weighted_avg_price"),
+            _weighted_mean("value", weight),
+        )
+    )
+
+
+def bars_event_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily bars of the same instruments as the 30-minute bars."""
+    weight = F.col("user_id") + 1
+    return (
+        table(spark, folder, "events")
+        .groupBy(F.col("event_type").alias("ticker"), F.to_date("ts").alias("date"))
+        .agg(
+            *_ohlc("value", "ts"),
+            F.sum(weight).alias("volume"),
+            F.count(F.lit(1)).alias("transactions"),
+            _weighted_mean("value", weight),
         )
     )
 
