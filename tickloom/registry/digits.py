@@ -9,8 +9,8 @@ from __future__ import annotations
 import re
 
 _RULES = (
-    # From exact sums, so equal to the last bit; digits beyond any tie.
-    (r"volume_weighted|market_close", 9),
+    # From exact sums, so equal to the last bit; digits past most ties.
+    (r"volume_weighted|market_close", 7),
     (r"liquidity_", -3),
     (r"avg_dollar_volume_|price_volume", 4),
     (r"sma_14$", 4),
