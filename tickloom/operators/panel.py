@@ -200,6 +200,11 @@ class Panel:
             raise ValueError(f"frame of {n} rows needs a panel with lookback >= {n - 1}")
         return f"{self.window} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW"
 
+    @property
+    def _counter(self) -> str:
+        """Row counter that stays small inside the panel's group."""
+        return f"({INDEX} - {SLICE} * {self.rows})"
+
     @property
     def so_far(self) -> str:
         """The rows of the panel's group up to this one."""
@@ -231,7 +236,7 @@ class Panel:
         series has slope 0 and not a rounding error."""
         if n < 2:
             return self.full(n, "0D", value)
-        place = f"({INDEX} - {SLICE} * {self.rows})"
+        place = self._counter
         products = f"sum(CAST({value} AS DOUBLE) * {place}) OVER ({self.frame(n)})"
         total = f"sum(CAST({value} AS DOUBLE)) OVER ({self.frame(n)})"
         # Sum of y * (x - mean x) with x counted from the middle of the frame, doubled.
@@ -314,6 +319,10 @@ class WholeKeyPanel(Panel):
     def window(self) -> str:
         return f"PARTITION BY {', '.join(self.key)} ORDER BY {SLICE}, {INDEX}"
 
+    @property
+    def _counter(self) -> str:
+        return INDEX
+
     def scan(self, *steps: Step) -> Panel:
         if not steps:
             return self

@@ -9,8 +9,8 @@ from __future__ import annotations
 import re
 
 _RULES = (
-    # From exact sums, so equal to the last bit; digits past most ties.
-    (r"volume_weighted|market_close", 7),
+    # From exact sums, so equal to the last bit.
+    (r"volume_weighted|market_close", None),
     (r"liquidity_", -3),
     (r"avg_dollar_volume_|price_volume", 4),
     (r"sma_14$", 4),
@@ -22,5 +22,6 @@ _RULES = (
 )
 
 
-def digits_of(name: str) -> int:
+def digits_of(name: str) -> int | None:
+    """Digits of a column; None leaves it as it is."""
     return next((digits for pattern, digits in _RULES if re.match(pattern, name)), 8)

@@ -328,7 +328,8 @@ BAR_TYPES = {"open", "high", "low", "close", "volume_weighted_avg_price"}
 
 
 def _out(name: str, double: bool = True) -> str:
-    return f'round("{name}", {digits_of(name)}) AS "{name}"' if double else f'"{name}"'
+    digits = digits_of(name) if double else None
+    return f'"{name}"' if digits is None else f'round("{name}", {digits}) AS "{name}"'
 
 
 _INTEGERS = {
@@ -589,7 +590,8 @@ ORACLE: dict[str, str] = {
         f"SELECT id, round(x, 6) AS sentiment_rule_score, round(CAST(v AS DOUBLE), 6) AS sentiment_vendor_score, round(y, 6) AS sentiment_score, {_label('y')} AS sentiment_label FROM m",
     ),
     "landing_bars": "SELECT event_type AS ticker, date_trunc('millisecond', ts) AS timestamp, "
-    + ", ".join(f"round(value, {digits_of(n)}) AS {n}" for n in (*PRICES, "volume_weighted_avg_price"))
+    + ", ".join(f"round(value, {digits_of(n)}) AS {n}" for n in PRICES)
+    + ", value AS volume_weighted_avg_price"
     + ", user_id AS volume, CAST(json_extract(props, '$.k') AS BIGINT) AS transactions, CAST(ts AS DATE) AS date FROM events",
     "landing_news": sql(
         [NEWS],

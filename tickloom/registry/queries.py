@@ -44,7 +44,8 @@ def shown(df: DataFrame) -> DataFrame:
     for field in df.schema.fields:
         name = field.name
         if isinstance(field.dataType, (T.DoubleType, T.DecimalType)):
-            out.append(F.round(q(name).cast("double"), digits_of(name)).alias(name))
+            value, digits = q(name).cast("double"), digits_of(name)
+            out.append((value if digits is None else F.round(value, digits)).alias(name))
         elif isinstance(field.dataType, T.TimestampType):
             out.append(q(name).cast("timestamp_ntz").alias(name))
         else:
