@@ -33,13 +33,16 @@ from pyspark.sql import types as T
 BUCKET, OFFSET, INDEX, TOTAL, SLICE = "_bucket", "_offset", "_index", "_total", "_slice"
 _INTERNAL = (INDEX, TOTAL, SLICE)
 
+# Columns of Panel.with_running, and which of them guards a frame over an input.
+BAR_HOLE, VOLUME_HOLE, SUM_SO_FAR, MEAN_SO_FAR = "_bar_hole", "_volume_hole", "_close_sum", "_close_mean"
+HOLE_OF = dict.fromkeys(("high", "low", "close", "true_range"), BAR_HOLE) | {"volume": VOLUME_HOLE}
+
 DEFAULT_SLICE_ROWS = 2048
 # Largest total input for which a key stays whole; 0 cuts every table.
 WHOLE_KEY_SETTING = "spark.tickloom.wholeKeyBytes"
 WHOLE_KEY_BYTES = 64 * 1024 * 1024
 # Rows at the start of a slice whose own inputs may miss a lag of one row.
 _LEAD = 1
-_LONG_WINDOW = 32
 # exp(650) is representable with room for the data; exp(-745) is zero.
 _EXPONENT_LIMIT = 650.0
 _UNDERFLOW = 745.0
@@ -213,9 +216,19 @@ class Panel:
     def lag(self, value: str, n: int = 1) -> str:
         return f"lag({value}, {n}) OVER ({self.window})"
 
-    def full(self, n: int, result: str, counted: str) -> str:
-        """The result only once the frame holds n non-null inputs."""
-        return f"CASE WHEN count({counted}) OVER ({self.frame(n)}) >= {n} THEN {result} END"
+    def full(self, n: int, result: str, *inputs: str) -> str:
+        """The result only once the frame holds n rows with all inputs known.
+
+        For prices and volume that is read from the distance to the last missing
+        value, for anything else it is counted in the frame.
+        """
+        tests = []
+        for name in inputs:
+            hole = HOLE_OF.get(name)
+            tests.append(
+                f"{INDEX} - {hole} >= {n}" if hole else f"count({name}) OVER ({self.frame(n)}) >= {n}"
+            )
+        return f"CASE WHEN {' AND '.join(dict.fromkeys(tests))} THEN {result} END"
 
     def rolling(self, function: str, value: str, n: int) -> str:
         """Aggregate over a full frame."""
@@ -224,16 +237,10 @@ class Panel:
     def mean(self, value: str, n: int) -> str:
         return self.rolling("avg", value, n)
 
-    def slope(self, value: str, n: int) -> str:
-        """Least-squares slope per row; a frame of one row has slope 0."""
-        if n < 2:
-            return self.full(n, "0D", value)
-        fit = f"regr_slope(CAST({value} AS DOUBLE), CAST({INDEX} AS DOUBLE)) OVER ({self.frame(n)})"
-        return self.full(n, fit, value)
-
     def whole_number_slope(self, value: str, n: int) -> str:
-        """The same for a column of whole numbers, from exact sums, so that a flat
-        series has slope 0 and not a rounding error."""
+        """Least-squares slope per row of a column of whole numbers, from exact
+        sums, so that a flat series has slope 0 and not a rounding error. A frame
+        of one row has slope 0."""
         if n < 2:
             return self.full(n, "0D", value)
         place = self._counter
@@ -243,22 +250,30 @@ class Panel:
         doubled = f"(2 * {products} - (2 * {place} - {n - 1}) * {total})"
         return self.full(n, f"{doubled} / {n * (n * n - 1) / 6!r}D", value)
 
-    def running(self, value: str) -> dict[str, str]:
-        """Running sum and count that :meth:`long_mean` takes differences of."""
-        return {
-            f"_sum_{value}": f"sum(CAST({value} AS DOUBLE)) OVER ({self.so_far})",
-            f"_known_{value}": f"count({value}) OVER ({self.so_far})",
-        }
-
-    def long_mean(self, value: str, n: int) -> str:
-        """Mean over a full frame of any length at the cost of one row.
+    def long_mean(self, n: int) -> str:
+        """Mean close over a full frame of any length at the cost of one row.
 
         A sliding frame is evaluated anew for every row, which is wasteful for
-        long ones. Needs the columns of :meth:`running`.
+        long ones; this takes the difference of two running sums.
         """
-        total = f"_sum_{value} - coalesce({self.lag(f'_sum_{value}', n)}, 0D)"
-        known = f"_known_{value} - coalesce({self.lag(f'_known_{value}', n)}, 0)"
-        return f"CASE WHEN {known} >= {n} THEN ({total}) / {n} END"
+        total = f"{SUM_SO_FAR} - coalesce({self.lag(SUM_SO_FAR, n)}, 0D)"
+        return self.full(n, f"({total}) / {n}", "close")
+
+    def with_running(self) -> Panel:
+        """Add what the helpers above read: the position of the last missing price
+        and volume, and the running sum and mean of the close."""
+        have = set(self.df.columns)
+        columns = {}
+        if {"high", "low", "close"} <= have:
+            missing = f"CASE WHEN high + low + close IS NULL THEN {INDEX} END"
+            columns[BAR_HOLE] = f"coalesce(last({missing}, true) OVER ({self.so_far}), -1)"
+        if "close" in have:
+            columns[SUM_SO_FAR] = f"sum(CAST(close AS DOUBLE)) OVER ({self.so_far})"
+            columns[MEAN_SO_FAR] = f"avg(close) OVER ({self.so_far})"
+        if "volume" in have:
+            missing = f"CASE WHEN volume IS NULL THEN {INDEX} END"
+            columns[VOLUME_HOLE] = f"coalesce(last({missing}, true) OVER ({self.so_far}), -1)"
+        return self.add(columns)
 
     # -- row positions ---------------------------------------------------------
     position = INDEX
@@ -267,10 +282,18 @@ class Panel:
 
     # -- building --------------------------------------------------------------
     def add(self, columns: dict[str, str]) -> Panel:
-        """Add columns; names already present stay as they are."""
+        """Add columns; names already present stay as they are. An expression that
+        several columns share is computed once."""
         have = set(self.df.columns)
-        fresh = [f"{sql} AS `{name}`" for name, sql in columns.items() if name not in have]
-        return replace(self, df=self.df.selectExpr("*", *fresh)) if fresh else self
+        fresh = {name: sql for name, sql in columns.items() if name not in have}
+        if not fresh:
+            return self
+        owner: dict[str, str] = {}
+        for name, sql in fresh.items():
+            owner.setdefault(sql, name)
+        df = self.df.selectExpr("*", *[f"{sql} AS `{name}`" for sql, name in owner.items()])
+        shared = [f"`{owner[sql]}` AS `{name}`" for name, sql in fresh.items() if owner[sql] != name]
+        return replace(self, df=df.selectExpr("*", *shared) if shared else df)
 
     def scan(self, *steps: Step) -> Panel:
         """Add one column per step, each a value that depends on all earlier rows."""
@@ -454,6 +477,7 @@ def run_blocks(
             out = part | out
         return {name: out[name] for part in parts for name in part}
 
+    panel = panel.with_running()
     panel = panel.add(merged([b.first(panel) for b in blocks]))
     panel = panel.scan(*[s for b in blocks for s in b.scans(panel)])
     panel = panel.add(merged([b.second(panel) for b in blocks]))

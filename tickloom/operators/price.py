@@ -103,11 +103,9 @@ class SimpleAverages(Block):
         self.lookback = max(self.windows)
 
     def first(self, panel: Panel) -> dict[str, str]:
-        short = {f"sma_{n}": panel.mean("close", n) for n in self.windows if n < LONG_WINDOW}
-        return short | (panel.running("close") if len(short) < len(self.windows) else {})
-
-    def second(self, panel: Panel) -> dict[str, str]:
-        return {f"sma_{n}": panel.long_mean("close", n) for n in self.windows if n >= LONG_WINDOW}
+        return {
+            f"sma_{n}": panel.mean("close", n) if n < LONG_WINDOW else panel.long_mean(n) for n in self.windows
+        }
 
     def rows(self) -> list[dict[str, str]]:
         return [{f"close_vs_sma{n}": f"(close - sma_{n}) / {guarded(f'sma_{n}')}" for n in self.windows}]

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 
 from ..config import TechnicalIndicatorConfig
 from ..functions.expressions import guarded, ratio, require_columns
-from .panel import INDEX, Affine, Block, Panel, Step, ema_decay, run_blocks, wilder_decay
+from .panel import INDEX, MEAN_SO_FAR, Affine, Block, Panel, Step, ema_decay, run_blocks, wilder_decay
 from .price import TRUE_RANGE
 
 REQUIRED = ("open", "high", "low", "close", "volume")
@@ -28,8 +28,8 @@ def _from(position: int, value: str) -> str:
 
 
 def _seeded(name: str, value: str, mean: str, n: int, first: int = 0) -> Affine:
-    """EMA whose input starts at position ``first``; ``mean`` is the frame mean
-    of n values, which is the seed where n values are known."""
+    """EMA whose input starts at position ``first``; ``mean`` is the mean of the
+    values so far, which is the seed where n values are known."""
     seed_at, decay = first + n - 1, ema_decay(n)
     term = f"CASE WHEN {INDEX} = {seed_at} THEN {mean} WHEN {INDEX} > {seed_at} THEN {value} * {1 - decay!r}D END"
     return Affine(name, decay, term)
@@ -78,18 +78,15 @@ class Macd(Block):
         self.lookback = max(fast, slow, signal)
         self.decays = tuple(ema_decay(n) for n in (fast, slow, signal))
 
-    def first(self, panel: Panel) -> dict[str, str]:
-        return {f"_mean_{n}": panel.mean("close", n) for n in (self.fast, self.slow)}
-
     def scans(self, panel: Panel) -> list[Step]:
         return [
-            _seeded("_ema_fast", "close", f"_mean_{self.fast}", self.fast),
-            _seeded("_ema_slow", "close", f"_mean_{self.slow}", self.slow),
+            _seeded("_ema_fast", "close", MEAN_SO_FAR, self.fast),
+            _seeded("_ema_slow", "close", MEAN_SO_FAR, self.slow),
         ]
 
     def second(self, panel: Panel) -> dict[str, str]:
         line = _from(self.start, "_ema_fast - _ema_slow")
-        return {f"macd_{self.base}": line, "_mean_line": panel.mean(line, self.signal)}
+        return {f"macd_{self.base}": line, "_mean_line": f"avg({line}) OVER ({panel.so_far})"}
 
     def late_scans(self, panel: Panel) -> list[Step]:
         return [_seeded("_ema_line", f"macd_{self.base}", "_mean_line", self.signal, self.start)]
@@ -227,11 +224,8 @@ class SeededEma(Block):
         self.lookback = length
         self.decays = (ema_decay(length),)
 
-    def first(self, panel: Panel) -> dict[str, str]:
-        return {f"_mean_{self.length}": panel.mean("close", self.length)}
-
     def scans(self, panel: Panel) -> list[Step]:
-        return [_seeded("_ema_tail", "close", f"_mean_{self.length}", self.length)]
+        return [_seeded("_ema_tail", "close", MEAN_SO_FAR, self.length)]
 
     def rows(self) -> list[dict[str, str]]:
         return [{f"ema_{self.length}": _from(self.length - 1, "_ema_tail")}]
@@ -249,8 +243,8 @@ class LinearAverages(Block):
 
     def first(self, panel: Panel) -> dict[str, str]:
         n = self.wma
-        # The linear weights are the mean plus (n - 1) / 6 of the fitted slope.
-        value = f"{panel.mean('close', n)} + {panel.slope('close', n)} * {(n - 1) / 6!r}D"
+        parts = [f"close * {n}", *[f"{panel.lag('close', k)} * {n - k}" for k in range(1, n)]]
+        value = panel.full(n, f"({' + '.join(parts)}) / {n * (n + 1) / 2!r}D", "close")
         return {f"sma_{self.sma}": panel.mean("close", self.sma), f"wma_{n}": value}
 
     def columns(self) -> list[str]:

@@ -60,16 +60,21 @@ class TradedValue(Block):
         self.lookback = max(TRADED_VALUE_WINDOW, *self.windows, 1)
 
     def first(self, panel: Panel) -> dict[str, str]:
-        value = "close * volume"
+        def mean_value(n: int) -> str:
+            return panel.full(n, f"avg(close * volume) OVER ({panel.frame(n)})", "close", "volume")
+
         out = {
-            "price_volume": value,
-            f"price_volume_sma_{TRADED_VALUE_WINDOW}": panel.mean(value, TRADED_VALUE_WINDOW),
+            "price_volume": "close * volume",
+            f"price_volume_sma_{TRADED_VALUE_WINDOW}": mean_value(TRADED_VALUE_WINDOW),
         }
         for n in self.windows:
-            out[f"liquidity_{n}d"] = f"{panel.mean('close', n)} * {panel.mean('volume', n)}"
-            out[f"avg_dollar_volume_{n}d"] = panel.mean(value, n)
+            out |= {f"_close_mean_{n}": panel.mean("close", n), f"_volume_mean_{n}": panel.mean("volume", n)}
+            out[f"avg_dollar_volume_{n}d"] = mean_value(n)
         return out
 
+    def rows(self) -> list[dict[str, str]]:
+        return [{f"liquidity_{n}d": f"_close_mean_{n} * _volume_mean_{n}" for n in self.windows}]
+
     def columns(self) -> list[str]:
         averages = [name for n in self.windows for name in (f"liquidity_{n}d", f"avg_dollar_volume_{n}d")]
         return ["price_volume", f"price_volume_sma_{TRADED_VALUE_WINDOW}", *averages]
