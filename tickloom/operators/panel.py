@@ -264,8 +264,9 @@ class Panel:
         and volume, and the running sum and mean of the close."""
         have = set(self.df.columns)
         columns = {}
-        if {"high", "low", "close"} <= have:
-            missing = f"CASE WHEN high + low + close IS NULL THEN {INDEX} END"
+        prices = [name for name in ("high", "low", "close") if name in have]
+        if prices:
+            missing = f"CASE WHEN {' + '.join(prices)} IS NULL THEN {INDEX} END"
             columns[BAR_HOLE] = f"coalesce(last({missing}, true) OVER ({self.so_far}), -1)"
         if "close" in have:
             columns[SUM_SO_FAR] = f"sum(CAST(close AS DOUBLE)) OVER ({self.so_far})"

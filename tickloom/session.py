@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -30,9 +31,11 @@ def prepare_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "tickloom") -> SparkSession:
+def local_session(
+    cores: int | str = 8, shuffle_partitions: int = 8, app: str = "tickloom", options: dict[str, str] | None = None
+) -> SparkSession:
     """Session for tests and single-machine benchmarks."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -40,8 +43,10 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
     )
+    for name, value in (options or {}).items():
+        builder = builder.config(name, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return prepare_session(spark)
 
@@ -49,11 +54,12 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, as the cluster names it.
 
-    Only where the cluster sets none (tests on one machine) a local one is made.
+    Only where the cluster names none (tests on one machine) a local one is made.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    made = tempfile.mkdtemp(prefix="run-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    return configured or _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="run-")
