@@ -39,26 +39,30 @@ NEGATIVE_WORDS = (
 LABEL_THRESHOLD = 0.1
 
 
-def tokens(text: Column) -> Column:
-    """Lower-case words between whitespace; punctuation stays attached."""
-    return F.filter(F.split(F.lower(text), r"\s+"), lambda t: t != "")
+# White space as Python's str.split sees it.
+_SPACE = r"(?U)[\s\x1c-\x1f]+"
+
+
+def words_of(text: Column) -> Column:
+    """Lower-case words between white space; punctuation stays attached."""
+    return F.filter(F.split(F.lower(text), _SPACE), lambda t: t != "")
 
 
 def lexicon_score(
-    text: Column,
+    words: Column,
     positive: Iterable[str] = POSITIVE_WORDS,
     negative: Iterable[str] = NEGATIVE_WORDS,
 ) -> Column:
-    """(positive words - negative words) / sqrt(words); 0 for empty or null text.
+    """(positive words - negative words) / sqrt(words); 0 without words.
     A word in both lists counts as positive."""
     good = sorted({w.lower() for w in positive})
     bad = sorted({w.lower() for w in negative} - set(good))
-    words = tokens(text)
 
-    def hits(vocabulary: list[str]) -> Column:
-        return F.size(F.filter(words, lambda t: t.isin(vocabulary))) if vocabulary else F.lit(0)
+    def counted(total: Column, word: Column) -> Column:
+        step = F.when(word.isin(good), 1) if good else F.when(F.lit(False), 1)
+        return total + (step.when(word.isin(bad), -1) if bad else step).otherwise(0)
 
-    balance = (hits(good) - hits(bad)).cast("double")
+    balance = F.aggregate(words, F.lit(0), counted).cast("double")
     return F.coalesce(F.try_divide(balance, F.sqrt(F.size(words).cast("double"))), F.lit(0.0))
 
 

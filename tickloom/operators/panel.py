@@ -77,14 +77,16 @@ def with_positions(df: DataFrame, key: tuple[str, ...], order: str) -> DataFrame
     )
 
 
-def _fitting_slice_rows(wanted: int, halo: int, decays: tuple[float, ...]) -> int:
+def _fitting_slice_rows(wanted: int, halo: int, decays: tuple[float, ...], seed_rows: int = 0) -> int:
+    # The copies lent to the second slice must not hold the rows that seed a scan.
+    least = max(halo + seed_rows, 2)
     rows = wanted
-    while rows < halo:
+    while rows < least:
         rows *= 2
     steepest = max((-math.log(d) for d in decays if d > 0), default=0.0)
     while steepest * (rows + halo) > _EXPONENT_LIMIT:
         rows //= 2
-        if rows < max(halo, 2):
+        if rows < least:
             raise ValueError(
                 f"decay {min(d for d in decays if d > 0)} is too strong for a lookback of {halo} rows; "
                 "compute the short average and the long window in separate panels"
@@ -383,15 +385,17 @@ def open_panel(
     lookback: int = 1,
     decays: tuple[float, ...] = (),
     slice_rows: int = DEFAULT_SLICE_ROWS,
+    seed_rows: int = 0,
 ) -> Panel:
     """Group a table for ordered work per key.
 
     ``lookback`` is the number of preceding rows the deepest chain of lags and
-    frames reaches; ``decays`` are the factors of the recurrences to be scanned.
+    frames reaches; ``decays`` are the factors of the recurrences to be scanned;
+    ``seed_rows`` is how many first rows of a key seed them.
     """
     key, decays = tuple(key), tuple(decays)
     if keeps_keys_whole(df):
-        rows = _fitting_slice_rows(slice_rows, 0, decays)
+        rows = _fitting_slice_rows(slice_rows, 0, decays, seed_rows)
         keys = ", ".join(key)
         numbered = df.selectExpr(
             "*",
@@ -401,7 +405,7 @@ def open_panel(
         cut = f"CAST(floor({INDEX} / {rows}) AS INT)" if decays else "0"
         return WholeKeyPanel(numbered.selectExpr("*", f"{cut} AS {SLICE}"), key, rows, lookback + _LEAD)
     halo = lookback + _LEAD
-    rows = _fitting_slice_rows(slice_rows, halo, decays)
+    rows = _fitting_slice_rows(slice_rows, halo, decays, seed_rows)
     home = f"floor({INDEX} / {rows})"
     lent = f"{INDEX} >= ({home} + 1) * {rows} - {halo} AND ({home} + 1) * {rows} < {TOTAL}"
     sliced = with_positions(df, key, order).selectExpr(
@@ -429,6 +433,7 @@ class Block:
 
     lookback: int = 1
     decays: tuple[float, ...] = ()
+    seed_rows: int = 0
 
     def first(self, panel: Panel) -> dict[str, str]:
         """Window expressions over the bars."""
@@ -469,6 +474,7 @@ def run_blocks(
         lookback=max(b.lookback for b in blocks),
         decays=tuple(d for b in blocks for d in b.decays),
         slice_rows=slice_rows,
+        seed_rows=max(b.seed_rows for b in blocks),
     )
 
     def merged(parts: list[dict[str, str]]) -> dict[str, str]:

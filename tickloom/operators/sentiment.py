@@ -4,11 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import require_columns
-from ..functions.lexicon import NEGATIVE_WORDS, POSITIVE_WORDS, lexicon_score, sentiment_label
+from ..functions.lexicon import NEGATIVE_WORDS, POSITIVE_WORDS, lexicon_score, sentiment_label, words_of
+
+
+def _with_rule(
+    df: DataFrame, text: Column, positive_words: Iterable[str], negative_words: Iterable[str]
+) -> DataFrame:
+    # The words are a column of their own, so a text is split once.
+    scored = df.withColumn("_words", words_of(text)).withColumn(
+        "sentiment_rule_score", lexicon_score(F.col("_words"), positive_words, negative_words)
+    )
+    return scored.drop("_words").withColumn("sentiment_rule_label", sentiment_label(F.col("sentiment_rule_score")))
 
 
 def rule_sentiment(
@@ -19,10 +29,7 @@ def rule_sentiment(
 ) -> DataFrame:
     """Add ``sentiment_rule_score`` and ``sentiment_rule_label``."""
     require_columns(df, (text_column,), "rule_sentiment")
-    scored = df.withColumn(
-        "sentiment_rule_score", lexicon_score(F.col(text_column), positive_words, negative_words)
-    )
-    return scored.withColumn("sentiment_rule_label", sentiment_label(F.col("sentiment_rule_score")))
+    return _with_rule(df, F.col(text_column), positive_words, negative_words)
 
 
 def combine_sentiment_scores(
@@ -53,8 +60,7 @@ def combine_sentiment_scores(
 
     parts = []
     if text is not None:
-        df = df.withColumn("sentiment_rule_score", lexicon_score(text, positive_words, negative_words))
-        df = df.withColumn("sentiment_rule_label", sentiment_label(F.col("sentiment_rule_score")))
+        df = _with_rule(df, text, positive_words, negative_words)
         parts.append(F.col("sentiment_rule_score"))
     if "sentiment_score" in df.columns:
         df = df.withColumn("sentiment_vendor_score", F.col("sentiment_score"))

@@ -75,7 +75,7 @@ class Macd(Block):
         self.fast, self.slow, self.signal = fast, slow, signal
         self.base = f"{fast}_{slow}_{signal}"
         self.start = max(fast, slow) - 1
-        self.lookback = max(fast, slow, signal)
+        self.seed_rows = self.start + signal
         self.decays = tuple(ema_decay(n) for n in (fast, slow, signal))
 
     def scans(self, panel: Panel) -> list[Step]:
@@ -220,8 +220,7 @@ class SeededEma(Block):
     """EMA seeded with the mean of its first values."""
 
     def __init__(self, length: int):
-        self.length = length
-        self.lookback = length
+        self.length = self.seed_rows = length
         self.decays = (ema_decay(length),)
 
     def scans(self, panel: Panel) -> list[Step]:
