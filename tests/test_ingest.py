@@ -303,6 +303,18 @@ def test_daily_plan(tables, tmp_path):
     assert stored.count() == done.features.count() > 0
     assert stored.filter("ticker = '2-HIGH' and abs(stock_vs_market_return) > 1e-12").count() == 0
     assert len(prepare_daily_features(tables, "1-URGENT").features.columns) == 101
+    without_index = MarketTables(tables.daily.filter("ticker <> 'SPY'"))
+    alone = prepare_daily_features(without_index, "1-URGENT").features
+    assert len(alone.columns) == 97 and alone.count() > 0
+
+
+def test_every_ticker_meets_its_own_index(tables, rows):
+    symbols = rows([("1-URGENT", "3-MEDIUM"), ("2-HIGH", "2-HIGH")], "ticker string, market_index string")
+    own = MarketTables(tables.daily, symbols=symbols)
+    out = prepare_daily_features(own, ["1-URGENT", "2-HIGH"]).features
+    assert {r["ticker"] for r in out.select("ticker").distinct().collect()} <= {"1-URGENT", "2-HIGH"}
+    assert out.filter("ticker = '2-HIGH' and abs(stock_vs_market_return) > 1e-12").count() == 0
+    assert out.filter("ticker = '1-URGENT' and abs(stock_vs_market_return) > 1e-12").count() > 0
 
 
 def test_intraday_plan(tables):

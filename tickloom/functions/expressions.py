@@ -56,12 +56,6 @@ def first_with_prefix(df: DataFrame, prefix: str) -> str | None:
     return next((name for name in df.columns if name.startswith(prefix)), None)
 
 
-def add_missing(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """Add the columns whose names are still free; earlier blocks win."""
-    fresh = {name: expr for name, expr in columns.items() if name not in df.columns}
-    return df.withColumns(fresh) if fresh else df
-
-
 def complete_rows(df: DataFrame) -> DataFrame:
     """Rows without a missing value; also right for names that hold a dot."""
     return df.filter(" and ".join(f"`{name}` is not null" for name in df.columns))

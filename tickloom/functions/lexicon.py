@@ -39,7 +39,7 @@ NEGATIVE_WORDS = (
 LABEL_THRESHOLD = 0.1
 
 
-# White space as Python's str.split sees it.
+# Fixed value: white space as Python's str.split sees it.
 _SPACE = r"(?U)[\s\x1c-\x1f]+"
 
 

@@ -97,6 +97,8 @@ def _fitting_slice_rows(wanted: int, halo: int, decays: tuple[float, ...], seed_
 def keeps_keys_whole(df: DataFrame) -> bool:
     """Whether the files and local tables behind the frame are small in total."""
     limit = int(df.sparkSession.conf.get(WHOLE_KEY_SETTING, str(WHOLE_KEY_BYTES)))
+    if limit <= 0 or not hasattr(df, "_jdf"):
+        return False
     leaves = df._jdf.queryExecution().analyzed().collectLeaves()
     total = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     return total <= limit

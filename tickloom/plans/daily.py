@@ -22,8 +22,8 @@ from ..operators.clock import time_features
 from ..operators.panel import DEFAULT_SLICE_ROWS, run_blocks
 from ..operators.quality import DayDistance, calendar_columns, daily_gaps
 from ..sources.sinks import persist_if_requested
-from ..sources.symbols import with_market_index
-from ..sources.tables import MarketTables, Tickers, filter_tickers, scan_daily_bars, scan_intraday_bars
+from ..sources.symbols import DEFAULT_INDEX, with_market_index
+from ..sources.tables import MarketTables, Tickers, filter_tickers, load_index, scan_daily_bars
 
 CARRIED = ("transactions", "volume_weighted_avg_price", "is_monday", "is_friday", "days_since_prev_close")
 BASE = ("ticker", "date", "open", "high", "low", "close", "volume")
@@ -109,6 +109,18 @@ def daily_from_intraday(intraday: DataFrame, time_config: TimeFeatureConfig | No
     )
 
 
+def index_bars(tables: MarketTables) -> DataFrame:
+    """Bars of the indices that the symbols refer to, and of the default one."""
+    if tables.symbols is None:
+        bars = load_index(tables.daily, DEFAULT_INDEX)
+        return bars.withColumn("market_index", F.lit(DEFAULT_INDEX))
+    names = tables.symbols.select(F.col("market_index").alias("ticker"))
+    names = names.unionByName(names.sparkSession.range(1).select(F.lit(DEFAULT_INDEX).alias("ticker"))).distinct()
+    return tables.daily.join(names, "ticker", "left_semi").select(
+        F.col("ticker").alias("market_index"), "date", F.col("close").cast("double").alias("close")
+    )
+
+
 def prepare_daily_features(
     tables: MarketTables,
     ticker: Tickers = None,
@@ -125,18 +137,14 @@ def prepare_daily_features(
 
     Every ticker is compared with its own index, whose bars are in the same table.
     """
-    bars = scan_daily_bars(tables.daily, ticker)
-    bars = with_market_index(bars, tables.symbols)
-    indices = tables.daily.select(
-        F.col("ticker").alias("market_index"), "date", F.col("close").cast("double").alias("close")
-    )
-    wanted = with_market_index(filter_tickers(tables.daily, ticker).select("ticker").distinct(), tables.symbols)
-    indices = indices.join(wanted.select("market_index").distinct(), "market_index", "left_semi")
+    bars = with_market_index(scan_daily_bars(tables.daily, ticker), tables.symbols)
+    indices = index_bars(tables)
     table = confluence_table(
         bars,
         None,
         filter_tickers(tables.news, ticker) if include_news_features and tables.news is not None else None,
-        index=market.index_returns(indices, ("market_index",)),
+        # Without any index bars there are no market columns, rather than empty ones.
+        index=None if indices.isEmpty() else market.index_returns(indices, ("market_index",)),
         index_key=("market_index",),
         with_news=include_news_features,
         price_config=price_config,

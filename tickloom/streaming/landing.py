@@ -10,7 +10,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.upsert import INTRADAY_POLICY, MergePolicy, last_per_key, month_of, upsert_table
