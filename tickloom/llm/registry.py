@@ -7,9 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.llm.fingerprints import compared_with_edits
+from tickloom.llm.golomb_dedup import exact_groups
+from tickloom.llm.packing import packed_sequences
 from tickloom.llm.quality_gam import fit_quality, quality_scores
+from tickloom.llm.setsketch_dedup import near_components
 from tickloom.llm.storage import crc_fold
 from tickloom.llm.toxicity import fit_toxicity, toxicity_scores
+from tickloom.llm.warc import capture_history, write_archives
 
 QUALITY_KEPT_FROM = 0.3
 TOXIC_FROM = 0.7
@@ -28,6 +33,29 @@ def quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_groups(table(spark, folder, "documents"))
+
+
+def near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_components(table(spark, folder, "documents"), threshold=0.85)
+
+
+def edits(spark: SparkSession, folder: str) -> DataFrame:
+    return compared_with_edits(table(spark, folder, "documents"))
+
+
+def packing(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return packed_sequences(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = write_archives(table(spark, folder, "pages"))
+    return capture_history(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     fold = crc_fold("doc_id", 3)
@@ -39,7 +67,35 @@ def toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_gam": quality,
+    "op2_exact_dedup": exact_dedup,
+    "op3_setsketch_dedup": near_dedup,
+    "op4_fingerprints": edits,
     "op5_toxicity": toxicity,
+    "op8_packing": packing,
+    "op10_warc": warc,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_exact_dedup": r"""
+        WITH t AS (
+            SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS packed
+            FROM documents
+        )
+        SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY packed) AS group_size,
+               first_value(doc_id) OVER best = doc_id AS kept, sha256(packed) AS text_sha256
+        FROM t WINDOW best AS (PARTITION BY packed ORDER BY chars DESC, doc_id)
+    """,
+    "op10_warc": """
+        WITH t AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, upper(sha1(coalesce(html, ''))) AS h FROM pages),
+        g AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS newest FROM t)
+        SELECT page_id, payload_bytes,
+               translate(
+                   to_base(('0x' || h[1:10])::BIGINT, 32, 8) || to_base(('0x' || h[11:20])::BIGINT, 32, 8)
+                   || to_base(('0x' || h[21:30])::BIGINT, 32, 8) || to_base(('0x' || h[31:40])::BIGINT, 32, 8),
+                   '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'
+               ) AS payload_digest,
+               CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> newest THEN newest END AS refers_to
+        FROM g
+    """,
+}
