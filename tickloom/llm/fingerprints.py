@@ -23,21 +23,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.rolling import SliceHashes
+
 LEAST, NORMAL, MOST = 8, 32, 128
 STRICT, LOOSE = np.uint32(63 << 26), np.uint32(15 << 28)
 _GEAR = np.array([xxhash.xxh64_intdigest(bytes([b]), 7) & 0xFFFFFFFF for b in range(256)], np.uint32)
-_LETTER = np.array([xxhash.xxh64_intdigest(bytes([b]), 11) for b in range(256)], np.uint64)
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_POWERS = {_BASE: np.ones(1, np.uint64), _INVERSE: np.ones(1, np.uint64)}
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    """First n powers modulo 2**64, kept for the next text."""
-    if len(_POWERS[base]) < n:
-        size = 1 << (n - 1).bit_length()
-        _POWERS[base] = np.concatenate([np.ones(1, np.uint64), np.multiply.accumulate(np.full(size - 1, base, np.uint64))])
-    return _POWERS[base][:n]
 
 
 def chunk_ends(raw: np.ndarray) -> list[int]:
@@ -75,10 +65,7 @@ def fingerprint(raw: bytes) -> dict[int, int]:
         return {}
     ends = np.array(chunk_ends(a))
     starts = np.concatenate([[0], ends[:-1]])
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_LETTER[a] * _powers(_BASE, len(a)), dtype=np.uint64)])
-    h = (sums[ends] - sums[starts]) * _powers(_INVERSE, len(a))[starts]
-    h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h = SliceHashes(a).of(starts, ends)
     return dict(zip((h >> np.uint64(32)).tolist(), (ends - starts).tolist()))
 
 

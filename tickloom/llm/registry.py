@@ -13,6 +13,7 @@ from tickloom.llm.packing import packed_sequences
 from tickloom.llm.quality_gam import fit_quality, quality_scores
 from tickloom.llm.setsketch_dedup import near_components
 from tickloom.llm.storage import crc_fold
+from tickloom.llm.suffix_dedup import without_repeats
 from tickloom.llm.toxicity import fit_toxicity, toxicity_scores
 from tickloom.llm.warc import capture_history, write_archives
 
@@ -45,6 +46,11 @@ def edits(spark: SparkSession, folder: str) -> DataFrame:
     return compared_with_edits(table(spark, folder, "documents"))
 
 
+def repeats(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return without_repeats(documents, with_text=False).select("others.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def packing(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -71,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_setsketch_dedup": near_dedup,
     "op4_fingerprints": edits,
     "op5_toxicity": toxicity,
+    "op6_suffix_dedup": repeats,
     "op8_packing": packing,
     "op10_warc": warc,
 }
