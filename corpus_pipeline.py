@@ -1,4 +1,8 @@
-"""A text pipeline: each stage works on all that its predecessor kept."""
+"""A text pipeline: quality, exact copies, near copies, repeated passages, packing.
+
+Each stage works on all that its predecessor kept. The result is one row per packed piece. No SQL can
+express the whole (a fitted model and a tokenizer are in it); the tests hold every stage against a brute-force version.
+"""
 
 from __future__ import annotations
 
@@ -7,9 +11,13 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.llm.golomb_dedup import drop_exact_copies
+from tickloom.llm.packing import packed_sequences
 from tickloom.llm.quality_gam import fit_quality, quality_scores
 from tickloom.llm.registry import QUALITY_KEPT_FROM
-from tickloom.llm.storage import shared_folder
+from tickloom.llm.setsketch_dedup import near_components
+from tickloom.llm.storage import saved, shared_folder
+from tickloom.llm.suffix_dedup import without_repeats
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -20,7 +28,31 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_scores(docs, model, score="quality_score").where(F.col("quality_score") >= QUALITY_KEPT_FROM).select(*COLUMNS)
 
 
-STAGES = [("quality classifier", quality)]
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
+    return drop_exact_copies(docs).select(*COLUMNS)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group of near copies (similarity 0.8 or more)."""
+    kept = saved(near_components(docs).where("kept").select(F.col("doc_id").alias("kept_id")), "near-kept")
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(*COLUMNS)
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the bytes of strings of 400 bytes that occur more than once; n_chars follows the text."""
+    cut = without_repeats(docs.select(*COLUMNS))
+    return cut.select("others.doc_id", F.col("left").alias("text"), "others.lang", "others.source", F.char_length("left").cast(docs.schema["n_chars"].dataType).alias("n_chars"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences of at most 1024 ids: one row per piece of a document."""
+    import public_tokenizers
+
+    return packed_sequences(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+STAGES = [("quality classifier", quality), ("exact dedup", exact), ("near dedup", near), ("suffix-array dedup", passages), ("best-fit packing", packing)]
 
 ORACLE_SQL = None
 

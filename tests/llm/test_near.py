@@ -62,8 +62,8 @@ def test_components_of_chains_and_stars(spark):
 
 def test_near_components_against_all_pairs(spark):
     rows = made() + TEXTS
-    for block in (2_048, 3):
-        got = near_components(documents(spark, rows), 0.85, block=block).collect()
+    for options in ({}, {"block": 3, "small_bucket": 2}):
+        got = near_components(documents(spark, rows), 0.85, **options).collect()
         assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows)
         assert all(r.kept == (r.doc_id == r.component_id) for r in got if r.doc_id is not None)
 

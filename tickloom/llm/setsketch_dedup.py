@@ -10,9 +10,10 @@ bits. Registers of a union are the larger ones of its parts, and equal registers
 3. A pair's similarity is estimated from all 128 registers by maximum likelihood. Pairs that are more than
    five standard deviations below the threshold are dropped; the others are verified on the full sets.
 4. Verified links give components. A bucket whose members are all in one component needs nothing more. In the others,
-   members of different components are compared by their sketches, in blocks of bounded size,
-   and what passes the same estimate is verified too. So no link between two components is lost, and no group is ever
-   expanded into all its pairs.
+   members of different components are compared by their sketches. Those of small buckets that pass the same estimate are
+   verified like the first pairs. A large bucket is cut into blocks, and each task compares one or two blocks with the
+   full sets at hand, likeliest pairs first; it reports only links that join components, at most one per member.
+   So no link between two components is lost, and no group is ever expanded into all its pairs.
 
 Defined results: a null or blank text has the empty set, links with nothing and is its own component. Rows that
 repeat another are members of its class. A row with a null id belongs to its component but never names it, unless
@@ -35,6 +36,7 @@ WORDS = 5
 REGISTERS, BAND = 128, 4
 BASE, RATE, TOP = 1.001, 20.0, 65_535
 BLOCK = 2_048
+SMALL_BUCKET = 32
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -167,42 +169,93 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["node", "shingles"])
 
 
+def _cross_pairs(table: pa.Table, key: tuple, cut: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(i, js, estimates): promising pairs of different components, within one block or between two of a bucket.
+
+    A pair that meets in several buckets is handled in that of its first common band.
+    """
+    x, n = _registers(table["sketch"].combine_chunks()), table["n"].to_numpy().astype(float)
+    node, root, block = (table[c].to_numpy() for c in ("node", "root", "block"))
+    keys = band_keys(x)
+    band = int((keys[0] == key[0].as_py()).argmax())
+    own, other = key[1].as_py(), key[2].as_py()
+    left, right = np.flatnonzero(block == own), np.flatnonzero(block == other)
+    alike = (cut - 0.1) * REGISTERS  # an estimate of cut needs more equal registers than this
+    for i in left:
+        js = right[(root[right] != root[i]) & ((own != other) | (node[right] > node[i]))]
+        js = js[(x[js] == x[i]).sum(1) >= alike]
+        js = js[(keys[js] == keys[i]).argmax(1) == band]
+        if len(js):
+            j = likely_similarity((x[js] < x[i]).sum(1), (x[js] > x[i]).sum(1), np.full(len(js), n[i]), n[js])
+            if (j >= cut).any():
+                yield int(i), js[j >= cut], j[j >= cut]
+
+
+def _pair_table(pairs: list[np.ndarray]) -> pa.Table:
+    both = np.concatenate([np.zeros((0, 2), np.int64), *pairs])
+    return pa.table({"a": pa.array(both.min(1, initial=1 << 62)), "b": pa.array(both.max(1, initial=-1))})
+
+
 def _across(cut: float):
-    """Promising pairs of different components within one block, or between two blocks, of a bucket."""
+    """Promising pairs of a small bucket."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        node = table["node"].to_numpy()
+        return _pair_table([np.column_stack([np.full(len(js), node[i]), node[js]]) for i, js, _ in _cross_pairs(table, key, cut)])
+
+    return run
+
+
+def _links_across(cut: float, whole: int):
+    """Links of a large bucket that join components: promising pairs, likeliest first, verified on their full sets."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        x, n = _registers(table["sketch"].combine_chunks()), table["n"].to_numpy().astype(float)
-        node, root, block = (table[c].to_numpy() for c in ("node", "root", "block"))
-        own, other = key[1].as_py(), key[2].as_py()
-        left, right = np.flatnonzero(block == own), np.flatnonzero(block == other)
-        out = [np.zeros((0, 2), np.int64)]
-        for i in left:
-            js = right[(root[right] != root[i]) & ((own != other) | (node[right] > node[i]))]
-            if len(js):
-                j = likely_similarity((x[js] < x[i]).sum(1), (x[js] > x[i]).sum(1), np.full(len(js), n[i]), n[js])
-                js = js[j >= cut]
-                out.append(np.column_stack([np.full(len(js), node[i]), node[js]]))
-        pairs = np.concatenate(out)
-        return pa.table({"a": pairs.min(1, initial=1 << 62), "b": pairs.max(1, initial=-1)} if len(pairs) else {"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        node, sets = table["node"].to_numpy(), [s.values.to_numpy(zero_copy_only=False).view(np.uint64) for s in table["shingles"]]
+        above = {int(r): int(r) for r in table["root"].to_numpy()}
+        root = table["root"].to_pylist()
+
+        def top(r: int) -> int:
+            while above[r] != r:
+                above[r] = above[above[r]]
+                r = above[r]
+            return r
+
+        links = []
+        pairs = [(-e, i, int(j)) for i, js, es in _cross_pairs(table, key, cut) for j, e in zip(js, es)]
+        for _, i, j in sorted(pairs):
+            r, q = top(root[i]), top(root[j])
+            if r != q:
+                shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * shared >= whole * (len(sets[i]) + len(sets[j]) - shared):
+                    above[r] = q
+                    links.append(np.array([[node[i], node[j]]]))
+        return _pair_table(links)
 
     return run
 
 
-def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold."""
-    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = saved(classes.join(ends, "node", "left_semi").select("node", "d1", "least_id"), "wanted")
-    fetched = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("least_id"))).select("node", "d1", "text")
-    sets = saved(fetched.mapInArrow(_sets, "node long, shingles array<bigint>"), "sets")
+def full_sets(nodes: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, shingles) of the given nodes, from the text of one document of each class."""
+    wanted = saved(classes.join(nodes, "node", "left_semi").select("node", "d1", "least_id"), "wanted")
+    # Shuffled whatever the sizes are: the wanted rows grow with the input, so they are never broadcast.
+    fetched = texts.join(wanted.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("least_id"))).select("node", "d1", "text")
+    return saved(fetched.mapInArrow(_sets, "node long, shingles array<bigint>"), "sets")
+
+
+def ends_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+
+
+def verified(pairs: DataFrame, sets: DataFrame, whole: int) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the threshold, in hundredths."""
     first = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
     second = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
     shared = F.size(F.array_intersect("x", "y"))
     union = F.size("x") + F.size("y") - shared
-    whole = int(round(threshold * 100))
     return pairs.join(second, "b").join(first, "a").where(shared * 100 >= union * whole).select("a", "b").distinct()
 
 
-def near_components(documents: DataFrame, threshold: float = 0.8, key: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
+def near_components(documents: DataFrame, threshold: float = 0.8, key: str = "doc_id", text: str = "text", block: int = BLOCK, small_bucket: int = SMALL_BUCKET) -> DataFrame:
     """One row per document: size of its set, the smallest id reachable over links, and whether that is its own."""
     texts = documents.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     base = saved(texts.mapInArrow(_sketched, "doc_id long, n long, d1 long, d2 long, sketch binary"), "sketches")
@@ -217,20 +270,24 @@ def near_components(documents: DataFrame, threshold: float = 0.8, key: str = "do
     small = classes.select("node", "n", "sketch")
     sides = tested.join(small.toDF("a", "n", "x"), "a").join(small.toDF("b", "m", "y"), "b").select("a", "b", "n", "m", "x", "y")
     near = saved(sides.mapInArrow(_promising(cut), "a long, b long"), "near-pairs")
-    links = saved(verified(near, classes, texts, threshold), "links")
+    whole = int(round(threshold * 100))
+    links = saved(verified(near, full_sets(ends_of(near), classes, texts), whole), "links")
     roots = saved(components(links), "roots")
 
     # Buckets of three or more whose members are not all in one component; those of two have been tested.
     placed = members.where("members > 2").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count(F.lit(1)).alias("size")).where("r1 <> r2")
-    blocks = F.ceil(F.col("size") / block).cast("int")
-    dealt = placed.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("blocks", blocks)
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "node", "root")
-    rest = dealt.join(small, "node").groupBy("key", "one", "two").applyInArrow(_across(cut), "a long, b long").distinct()
+    mixed = placed.join(saved(mixed.select("key", "size"), "mixed"), "key")
+    own = ["key", "one", "two"]
+    few = mixed.where(F.col("size") <= small_bucket).select("key", F.lit(0).alias("one"), F.lit(0).alias("two"), F.lit(0).alias("block"), "node", "root")
+    rest = few.join(small, "node").groupBy(*own).applyInArrow(_across(cut), "a long, b long")
     rest = saved(rest.join(tested, ["a", "b"], "left_anti"), "cross-pairs")
-    more = verified(rest, classes, texts, threshold)
-    roots = saved(components(links.unionByName(more)), "all-roots")
+    blocks = F.ceil(F.col("size") / block).cast("int")
+    dealt = mixed.where(F.col("size") > small_bucket).withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = saved(dealt.select("key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "node", "root"), "blocks")
+    sets = full_sets(ends_of(rest).unionByName(dealt.select("node")).distinct(), classes, texts)
+    many = dealt.join(small, "node").join(sets.dropDuplicates(["node"]), "node").groupBy(*own).applyInArrow(_links_across(cut, whole), "a long, b long")
+    roots = saved(components(saved(links.unionByName(verified(rest, sets, whole)).unionByName(many), "all-links")), "all-roots")
 
     least = classes.join(roots, "node").groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = roots.join(least, "root").select("node", "component_id")

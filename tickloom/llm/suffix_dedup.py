@@ -298,7 +298,7 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, text: str = "text
     return whole.unionByName(single).groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
-def _cut(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], left: str | None) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for text, spans in zip(batch.column(0), batch.column(1).to_pylist()):
@@ -309,18 +309,22 @@ def _cut(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.Reco
                 kept.append(raw[at:a])
                 at = b + 1
             kept = b"".join([*kept, raw[at:]])
-            rows.append((len(raw), len(raw) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), kept if with_text else None))
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+            what = kept.decode("utf-8", "ignore") if left == "text" else kept if left == "bytes" else None
+            rows.append((len(raw), len(raw) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), what))
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string() if left == "text" else pa.binary()]
         cut = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, types)]
-        yield pa.RecordBatch.from_arrays([*batch.columns[2:], *cut], names=[*batch.schema.names[2:], "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[2:], *cut], names=[*batch.schema.names[2:], "n_bytes", "n_removed", "n_spans", "kept_sha256", "left"])
 
 
-def without_repeats(documents: DataFrame, length: int = LENGTH, text: str = "text", key: str = "doc_id", with_text: bool = True, **options) -> DataFrame:
-    """Each document's other columns, its sizes, the digest of what is left, and (``with_text``) the bytes left."""
+def without_repeats(documents: DataFrame, length: int = LENGTH, text: str = "text", key: str = "doc_id", left: str | None = "text", **options) -> DataFrame:
+    """Each document's other columns as ``others``, its sizes, the digest of the bytes left, and in ``left`` what is left.
+
+    ``left`` is "bytes", "text" (a character that a cut has split is dropped) or None.
+    """
     spans = saved(repeated_spans(documents, length, text, key, **options), "spans")
-    others = [c for c in documents.columns if c != text]
-    own = with_row_key(documents.select(F.struct(*others).alias("others") if others else F.lit(None).alias("others"), F.col(key).alias("own_id"), F.col(text).alias("own_text")), "own_id", "own_text")
+    others = F.struct(*[c for c in documents.columns if c != text])
+    own = with_row_key(documents.select(others.alias("others"), F.col(key).alias("own_id"), F.col(text).alias("own_text")), "own_id", "own_text")
     joined = own.join(spans, ["k1", "k2"], "left").select(F.coalesce("own_text", F.lit("")).cast("binary").alias("raw"), "spans", "others")
-    kind = joined.schema["others"].dataType.simpleString()
-    cut = joined.mapInArrow(lambda batches: _cut(batches, with_text), f"others {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_bytes binary")
-    return cut if with_text else cut.drop("kept_bytes")
+    schema = f"others {joined.schema['others'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, left {'string' if left == 'text' else 'binary'}"
+    cut = joined.mapInArrow(lambda batches: _cut(batches, left), schema)
+    return cut if left else cut.drop("left")
