@@ -8,7 +8,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tickloom.operators.panel import WHOLE_KEY_SETTING  # noqa: E402
 from tickloom.session import local_session  # noqa: E402
 
 SMALL = os.environ.get("SAMPLE_DIR", "/root/testdata/sf0.001")
@@ -21,12 +20,14 @@ def spark():
     session.stop()
 
 
-@pytest.fixture(params=["whole", "sliced"])
-def layout(request, spark):
-    """Both ways a panel groups its rows."""
-    spark.conf.set(WHOLE_KEY_SETTING, "0" if request.param == "sliced" else str(1 << 50))
+@pytest.fixture(params=[2048, 64])
+def layout(request, monkeypatch):
+    """Few and many slices per key; 64 grows where a lookback needs more."""
+    from tickloom.operators import panel
+
+    plain = panel._run_together
+    monkeypatch.setattr(panel, "_run_together", lambda df, blocks, order, rows: plain(df, blocks, order, min(rows, request.param)))
     yield request.param
-    spark.conf.unset(WHOLE_KEY_SETTING)
 
 
 @pytest.fixture

@@ -1,4 +1,4 @@
-"""Positions, slices and scans against plain pandas, in both layouts."""
+"""Positions, slices and scans against plain pandas, in few and many slices."""
 
 import numpy as np
 import pandas as pd
@@ -148,9 +148,7 @@ def test_a_long_flat_stretch_keeps_the_old_state(spark, layout):
 
 
 def test_slices_are_bounded(spark, history):
-    spark.conf.set("spark.tickloom.wholeKeyBytes", "0")
     panel = open_panel(spark.createDataFrame(history), lookback=20, slice_rows=64)
-    spark.conf.unset("spark.tickloom.wholeKeyBytes")
     largest = panel.df.groupBy("ticker", "_slice").count().agg({"count": "max"}).first()[0]
     assert largest <= 64 + 21
     assert panel.close().count() == len(history)
@@ -165,8 +163,45 @@ def test_positions_start_at_zero_and_know_the_total(spark, history):
 
 
 def test_decay_too_strong_for_the_lookback_is_refused(spark):
-    spark.conf.set("spark.tickloom.wholeKeyBytes", "0")
     frame = spark.createDataFrame([("A", 1.0)], "ticker string, close double").selectExpr("*", "current_date() date")
     with pytest.raises(ValueError, match="too strong"):
         open_panel(frame, lookback=2000, decays=(ema_decay(2),))
-    spark.conf.unset("spark.tickloom.wholeKeyBytes")
+
+
+def test_rows_without_key_or_time_are_kept(spark):
+    frame = spark.createDataFrame(
+        [("A", "2024-01-01", 1.0), ("A", None, 2.0), (None, "2024-01-01", 3.0), (None, "2024-01-02", 4.0)], "ticker string, date string, close double"
+    ).selectExpr("ticker", "CAST(date AS DATE) AS date", "close", "1L AS volume")
+    out = run_blocks(frame, Probe(), slice_rows=64).collect()
+    assert sorted((r["ticker"] or "", r["close"], r["at"]) for r in out) == [("", 3.0, 0), ("", 4.0, 1), ("A", 1.0, 1), ("A", 2.0, 0)]
+
+
+def test_long_window_and_short_average_together(spark, history):
+    from tickloom.config import PriceFeatureConfig
+    from tickloom.operators.price import price_features
+
+    cfg = PriceFeatureConfig(sma_windows=(600,), ema_windows=(3,))
+    frame = history.assign(open=history.close, high=history.close, low=history.close)
+    out = collected(price_features(spark.createDataFrame(frame), cfg))
+    by = history.sort_values(["ticker", "date"]).groupby("ticker")["close"]
+    np.testing.assert_allclose(out["ema_3"], by.transform(lambda s: s.ewm(span=3, adjust=False).mean()).to_numpy(), rtol=1e-9)
+    np.testing.assert_allclose(out["sma_600"].astype(float), by.transform(lambda s: s.rolling(600).mean()).to_numpy(), rtol=1e-9)
+
+
+@pytest.mark.parametrize("hole", [0, 3, 5])
+def test_missing_closes(spark, hole):
+    """A missing close leaves averages and the drawdown of the other rows alone."""
+    from tickloom.operators.price import Drawdown, ExponentialAverages
+    from tickloom.operators.technical import AverageTrueRange
+    from tickloom.config import PriceFeatureConfig
+
+    closes = [100.0] * 6
+    closes[hole] = None
+    days = [d.date() for d in pd.date_range("2024-01-01", periods=6)]
+    frame = spark.createDataFrame([("A", d, c, c, c, 1) for d, c in zip(days, closes)], "ticker string, date date, close double, high double, low double, volume long")
+    out = run_blocks(frame, ExponentialAverages((3,)), Drawdown(PriceFeatureConfig()), AverageTrueRange(3)).orderBy("date").collect()
+    want = pd.Series(closes).ewm(span=3, adjust=False).mean()
+    assert [r["ema_3"] for r in out] == [None if pd.isna(w) else w for w in want]
+    assert all(r["max_drawdown_5d"] in (None, 0.0) for r in out) and out[-1 if hole < 5 else -2]["max_drawdown_5d"] == 0.0
+    known = sum(1 for a, b in zip(closes, closes[1:]) if a is not None and b is not None)
+    assert (out[-1]["atr_3"] is not None) == (known >= 3)

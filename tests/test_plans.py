@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from tickloom.operators import market
-from tickloom.operators.panel import WHOLE_KEY_SETTING
 from tickloom.plans.daily import confluence_table
 from tickloom.plans.intraday import recent_bars
 from tickloom.registry import views
@@ -27,28 +26,16 @@ def stored(spark, tmp_path_factory):
     return path
 
 
-def test_daily_features_shuffle_the_bars_once(spark, stored):
-    """Small tables: one exchange by ticker carries all blocks; no Python runs."""
-    bars = spark.read.parquet(stored)
-    text = plan_of(confluence_table(bars))
-    assert text.count("Exchange hashpartitioning") == 1
-    assert "Python" not in text and "CartesianProduct" not in text
-
-
-def test_sliced_features_never_group_by_ticker_alone(spark, stored):
-    """Large tables: rows are grouped by bucket and slice; what is grouped by
-    ticker alone is one row per bucket or slice."""
-    spark.conf.set(WHOLE_KEY_SETTING, "0")
-    try:
-        text = plan_of(confluence_table(spark.read.parquet(stored)))
-    finally:
-        spark.conf.unset(WHOLE_KEY_SETTING)
+def test_features_never_group_by_ticker_alone(spark, stored):
+    """Rows are grouped by bucket and slice; what is grouped by ticker alone is one row per bucket or slice."""
+    text = plan_of(confluence_table(spark.read.parquet(stored)))
     by_ticker = re.findall(r"Exchange hashpartitioning\((ticker#\d+), \d+\)[^\n]*\n([^\n]*\n[^\n]*)", text)
     assert by_ticker
     for _, below in by_ticker:
         # Counts per bucket, or the single edge row of each slice.
         assert "HashAggregate" in below or "_own_" in below
-    assert "CartesianProduct" not in text and "BroadcastNestedLoop" not in text
+    for word in ("Python", "CartesianProduct", "BroadcastNestedLoop"):
+        assert word not in text
 
 
 def test_filters_and_columns_reach_the_scan(spark, stored):
@@ -66,15 +53,19 @@ def test_history_cutoff_reaches_the_scan(spark, tmp_path):
     assert "GreaterThanOrEqual(timestamp" in text
 
 
-def test_small_batch_does_not_shuffle_the_base(spark, stored):
-    from tickloom.operators.upsert import DAILY_POLICY, merge_batch
+def test_merge_reads_only_touched_partitions_once(spark, tmp_path, monkeypatch):
+    from tickloom.operators import upsert
 
-    base = spark.read.parquet(stored)
-    batch = base.filter("date < '1995-02-01'").withColumn("close", F.col("close") + 1)
-    merged = merge_batch(base, batch, DAILY_POLICY)
-    merged.collect()
-    text = plan_of(merged)
-    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text.split("== Initial Plan ==")[0]
+    path = str(tmp_path / "table")
+    bars = views.bars_daily(spark, SMALL).withColumn("month", upsert.month_of("date"))
+    bars.write.partitionBy("month").parquet(path)
+    batch = spark.read.parquet(path).filter("month = '1995-02'").withColumn("close", F.col("close") + 1)
+    batch = spark.createDataFrame(batch.collect(), batch.schema)
+    plans, merge = [], upsert.merge_batch
+    monkeypatch.setattr(upsert, "merge_batch", lambda base, *a: plans.append(plan_of(merged := merge(base, *a))) or merged)
+    upsert.upsert_table(spark, path, batch, upsert.DAILY_POLICY)
+    assert plans[0].count("FileScan parquet") == 1
+    assert re.search(r"PartitionFilters: \[[^\]]*1995-02", plans[0])
 
 
 @pytest.mark.parametrize("name", ["daily_features", "news_daily", "intraday_features", "gap_summary", "combined_sentiment"])

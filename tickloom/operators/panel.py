@@ -14,9 +14,9 @@ the same results with bounded tasks:
    maxima) are scanned inside the slice and joined to the state that the slice
    before hands over. Only one row per slice takes part in that second step.
 
-An input whose files are small in total (``WHOLE_KEY_BYTES``, checked against the
-sizes Spark knows when the plan is built) keeps each key in one task instead: one
-shuffle, no copies, no hand-over join. Anything larger, or of unknown size, is cut.
+Every table is laid out this way, whatever its size; only the number of slices
+follows the data. Rows with a null key form one group, and rows with a null
+order value come first in their key.
 
 The order column must be unique within a key, as it is in the bar tables.
 """
@@ -24,6 +24,7 @@ The order column must be unique within a key, as it is in the bar tables.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
@@ -38,9 +39,6 @@ BAR_HOLE, VOLUME_HOLE, SUM_SO_FAR, MEAN_SO_FAR = "_bar_hole", "_volume_hole", "_
 HOLE_OF = dict.fromkeys(("high", "low", "close", "true_range"), BAR_HOLE) | {"volume": VOLUME_HOLE}
 
 DEFAULT_SLICE_ROWS = 2048
-# Largest total input for which a key stays whole; 0 cuts every table.
-WHOLE_KEY_SETTING = "spark.tickloom.wholeKeyBytes"
-WHOLE_KEY_BYTES = 64 * 1024 * 1024
 # Rows at the start of a slice whose own inputs may miss a lag of one row.
 _LEAD = 1
 # exp(650) is representable with room for the data; exp(-745) is zero.
@@ -56,6 +54,13 @@ def _calendar_bucket(df: DataFrame, order: str) -> Column:
     return F.floor(F.unix_seconds(F.col(order).cast("timestamp")) / (7 * 86400))
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, columns: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys match; the result has the columns once."""
+    renamed = right.withColumnsRenamed({c: f"_r{k}" for k, c in enumerate(columns)})
+    matches = [left[c].eqNullSafe(renamed[f"_r{k}"]) for k, c in enumerate(columns)]
+    return left.join(renamed, matches, how).drop(*[f"_r{k}" for k in range(len(columns))])
+
+
 def with_positions(df: DataFrame, key: tuple[str, ...], order: str) -> DataFrame:
     """Add the 0-based position of each row in its key and the key's row count."""
     bucketed = df.withColumn(BUCKET, _calendar_bucket(df, order))
@@ -70,8 +75,7 @@ def with_positions(df: DataFrame, key: tuple[str, ...], order: str) -> DataFrame
     )
     inside = Window.partitionBy(*key, BUCKET).orderBy(order)
     return (
-        bucketed.withColumn("_rank", F.row_number().over(inside))
-        .join(offsets, [*key, BUCKET])
+        null_safe_join(bucketed.withColumn("_rank", F.row_number().over(inside)), offsets, [*key, BUCKET])
         .withColumn(INDEX, F.col(OFFSET) + F.col("_rank") - 1)
         .drop(BUCKET, OFFSET, "_rank")
     )
@@ -94,16 +98,6 @@ def _fitting_slice_rows(wanted: int, halo: int, decays: tuple[float, ...], seed_
     return rows
 
 
-def keeps_keys_whole(df: DataFrame) -> bool:
-    """Whether the files and local tables behind the frame are small in total."""
-    limit = int(df.sparkSession.conf.get(WHOLE_KEY_SETTING, str(WHOLE_KEY_BYTES)))
-    if limit <= 0 or not hasattr(df, "_jdf"):
-        return False
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    total = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    return total <= limit
-
-
 @dataclass(frozen=True)
 class Affine:
     """y[i] = decay * y[i-1] + term[i], y before the first row being 0.
@@ -181,7 +175,41 @@ class LastKnown:
         return f"coalesce({own}, {handed})"
 
 
-Step = Affine | RunningMax | LastKnown
+@dataclass(frozen=True)
+class FirstKnown:
+    """Earliest non-null value in the key, known from its row on."""
+
+    name: str
+    value: str
+
+    def local(self, live: str, place: str, seen: str) -> str:
+        return f"first(CASE WHEN {live} THEN {self.value} END, true) OVER ({seen})"
+
+    def handed_over(self, state: str, by_slice: str, rows: int) -> str:
+        return f"first({state}, true) OVER ({by_slice} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+
+    def combine(self, own: str, handed: str, place: str) -> str:
+        return f"coalesce({handed}, {own})"
+
+
+@dataclass(frozen=True)
+class RunningCount:
+    """Number of non-null values so far in the key."""
+
+    name: str
+    value: str
+
+    def local(self, live: str, place: str, seen: str) -> str:
+        return f"count(CASE WHEN {live} THEN {self.value} END) OVER ({seen})"
+
+    def handed_over(self, state: str, by_slice: str, rows: int) -> str:
+        return f"sum({state}) OVER ({by_slice} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+
+    def combine(self, own: str, handed: str, place: str) -> str:
+        return f"{own} + coalesce({handed}, 0)"
+
+
+Step = Affine | RunningMax | LastKnown | FirstKnown | RunningCount
 
 
 @dataclass(frozen=True)
@@ -283,6 +311,7 @@ class Panel:
     # -- row positions ---------------------------------------------------------
     position = INDEX
     is_first = f"{INDEX} = 0"
+    later_slice = f"{SLICE} > 0"
     is_last = f"{INDEX} = {TOTAL} - 1"
 
     # -- building --------------------------------------------------------------
@@ -319,7 +348,7 @@ class Panel:
             SLICE,
             *[f"{s.handed_over(f'_own_{s.name}', by_slice, self.rows)} AS _in_{s.name}" for s in steps],
         )
-        joined = own.join(handed, [*self.key, SLICE], "left")
+        joined = null_safe_join(own, handed, [*self.key, SLICE], "left")
         return self._combined(joined, steps, "_place >= 0")
 
     def _combined(self, df: DataFrame, steps: tuple[Step, ...], live: str) -> Panel:
@@ -339,47 +368,6 @@ class Panel:
         return self.df.filter(self._at_home).drop(*_INTERNAL)
 
 
-class WholeKeyPanel(Panel):
-    """Panel of a small table: a key stays in one task, its slices only keep the
-    powers of the recurrences in range."""
-
-    @property
-    def window(self) -> str:
-        return f"PARTITION BY {', '.join(self.key)} ORDER BY {SLICE}, {INDEX}"
-
-    @property
-    def _counter(self) -> str:
-        return INDEX
-
-    def scan(self, *steps: Step) -> Panel:
-        if not steps:
-            return self
-        affine = tuple(s for s in steps if isinstance(s, Affine))
-        others = [f"{s.local('true', '_place', self.so_far)} AS {s.name}" for s in steps if s not in affine]
-        by_slice = f"PARTITION BY {', '.join(self.key)}, {SLICE} ORDER BY {INDEX}"
-        seen = f"{by_slice} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
-        own = self.df.selectExpr("*", f"{INDEX} % {self.rows} AS _place").selectExpr(
-            "*", *[f"{s.local('true', '_place', seen)} AS _own_{s.name}" for s in affine], *others
-        )
-        end = f"({INDEX} + 1) % {self.rows} = 0"
-        slices = f"PARTITION BY {', '.join(self.key)} ORDER BY {SLICE}"
-
-        def handed(s: Affine) -> str:
-            state = f"CASE WHEN {end} THEN _own_{s.name} END"
-            parts = [
-                f"coalesce(sum({state}) OVER ({slices} RANGE BETWEEN {m} PRECEDING AND {m} PRECEDING), 0D)"
-                f" * {weight!r}D"
-                for m, weight in enumerate(s.weights(self.rows), start=1)
-            ]
-            return " + ".join(parts) or "0D"
-
-        df = own.selectExpr("*", *[f"{handed(s)} AS _in_{s.name}" for s in affine])
-        return self._combined(df, affine, "true")
-
-    def close(self) -> DataFrame:
-        return self.df.drop(*_INTERNAL)
-
-
 def open_panel(
     df: DataFrame,
     key: tuple[str, ...] = ("ticker",),
@@ -396,16 +384,6 @@ def open_panel(
     ``seed_rows`` is how many first rows of a key seed them.
     """
     key, decays = tuple(key), tuple(decays)
-    if keeps_keys_whole(df):
-        rows = _fitting_slice_rows(slice_rows, 0, decays, seed_rows)
-        keys = ", ".join(key)
-        numbered = df.selectExpr(
-            "*",
-            f"row_number() OVER (PARTITION BY {keys} ORDER BY {order}) - 1 AS {INDEX}",
-            f"count(1) OVER (PARTITION BY {keys}) AS {TOTAL}",
-        )
-        cut = f"CAST(floor({INDEX} / {rows}) AS INT)" if decays else "0"
-        return WholeKeyPanel(numbered.selectExpr("*", f"{cut} AS {SLICE}"), key, rows, lookback + _LEAD)
     halo = lookback + _LEAD
     rows = _fitting_slice_rows(slice_rows, halo, decays, seed_rows)
     home = f"floor({INDEX} / {rows})"
@@ -466,10 +444,37 @@ class Block:
         raise NotImplementedError
 
 
+def _fits(blocks: Sequence[Block], slice_rows: int) -> bool:
+    try:
+        _fitting_slice_rows(
+            slice_rows,
+            max(b.lookback for b in blocks) + _LEAD,
+            tuple(d for b in blocks for d in b.decays),
+            max(b.seed_rows for b in blocks),
+        )
+    except ValueError:
+        return False
+    return True
+
+
 def run_blocks(
     df: DataFrame, *blocks: Block, order: str = "date", slice_rows: int = DEFAULT_SLICE_ROWS
 ) -> DataFrame:
-    """Add the columns of all blocks in one pass over the ordered rows."""
+    """Add the columns of all blocks in one pass over the ordered rows.
+
+    A short exponential average and a window of many hundred rows don't fit into
+    the same slices; then the blocks with recurrences get a panel of their own.
+    """
+    names = dict.fromkeys([*df.columns, *[c for b in blocks for c in b.columns()]])
+    groups = [blocks]
+    if not _fits(blocks, slice_rows):
+        groups = [tuple(b for b in blocks if b.decays), tuple(b for b in blocks if not b.decays)]
+    for group in filter(None, groups):
+        df = _run_together(df, group, order, slice_rows)
+    return df.select(*[f"`{name}`" for name in names])
+
+
+def _run_together(df: DataFrame, blocks: Sequence[Block], order: str, slice_rows: int) -> DataFrame:
     panel = open_panel(
         df,
         order=order,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from ..config import PriceFeatureConfig
 from ..functions.expressions import EPSILON, guarded, ratio, require_columns
-from .panel import INDEX, Affine, Block, LastKnown, Panel, RunningMax, Step, ema_decay, run_blocks
+from .panel import Affine, Block, FirstKnown, Panel, RunningMax, Step, ema_decay, run_blocks
 
 REQUIRED = ("ticker", "date", "open", "high", "low", "close", "volume")
 TRADING_DAYS = 252
@@ -72,23 +72,28 @@ class Drawdown(Block):
     """Worst drawdown in the window.
 
     The product of (1 + return) telescopes to close / first close, so the growth
-    factor needs no product aggregate. Its peak starts at the key's second row,
-    where the first return is known.
+    factor needs no product aggregate. It starts at the first known close; the
+    peak starts at the close after that, where the first return is known.
     """
 
     def __init__(self, cfg: PriceFeatureConfig):
         self.windows = cfg.volatility_windows
         self.lookback = max(self.windows)
 
+    def first(self, panel: Panel) -> dict[str, str]:
+        # A slice after the first one follows rows of the key, so only the first can hold the first close.
+        earlier = f"count(close) OVER ({panel.window} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > 0"
+        return {"_later_close": f"CASE WHEN {panel.later_slice} OR {earlier} THEN close END"}
+
     def scans(self, panel: Panel) -> list[Step]:
         return [
-            RunningMax("_peak_close", f"CASE WHEN {INDEX} >= 1 THEN close END"),
-            LastKnown("_base_close", f"CASE WHEN {INDEX} = 0 THEN close END"),
+            RunningMax("_peak_close", "_later_close"),
+            FirstKnown("_base_close", "close"),
         ]
 
     def second(self, panel: Panel) -> dict[str, str]:
         growth, peak = ratio("close", "_base_close"), ratio("_peak_close", "_base_close")
-        fall = f"CASE WHEN {INDEX} >= 1 THEN ({growth} - {peak}) / {guarded(peak)} END"
+        fall = f"({growth} - {peak}) / {guarded(peak)}"
         return {f"max_drawdown_{n}d": f"min({fall}) OVER ({panel.frame(n)})" for n in self.windows}
 
     def columns(self) -> list[str]:
@@ -115,17 +120,32 @@ class SimpleAverages(Block):
 
 
 class ExponentialAverages(Block):
-    """Exponential averages that start at the first close, and the distance to them."""
+    """Exponential averages that start at the first known close, and the distance to them.
+
+    An average is a decayed sum of weighted closes over the decayed sum of their
+    weights: a missing close adds to neither, so the average carries on and the old values weigh less.
+    """
 
     def __init__(self, windows: tuple[int, ...]):
         self.windows = windows
         self.decays = tuple(ema_decay(n) for n in windows)
 
+    def first(self, panel: Panel) -> dict[str, str]:
+        earlier = f"count(close) OVER ({panel.window} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > 0"
+        return {"_close_starts": f"close IS NOT NULL AND NOT ({panel.later_slice} OR {earlier})"}
+
     def scans(self, panel: Panel) -> list[Step]:
-        def term(decay: float) -> str:
-            return f"CASE WHEN {INDEX} = 0 THEN close ELSE close * {1 - decay!r}D END"
+        def term(decay: float, value: str) -> str:
+            return f"CASE WHEN close IS NULL THEN NULL WHEN _close_starts THEN {value} ELSE {value} * {1 - decay!r}D END"
 
-        return [Affine(f"ema_{n}", d, term(d)) for n, d in zip(self.windows, self.decays)]
+        return [
+            Affine(f"_{part}_{n}", d, term(d, value))
+            for n, d in zip(self.windows, self.decays)
+            for part, value in (("total", "close"), ("weight", "1D"))
+        ]
+
+    def second(self, panel: Panel) -> dict[str, str]:
+        return {f"ema_{n}": ratio(f"_total_{n}", f"_weight_{n}") for n in self.windows}
 
     def rows(self) -> list[dict[str, str]]:
         return [{f"close_vs_ema{n}": f"(close - ema_{n}) / {guarded(f'ema_{n}')}" for n in self.windows}]

@@ -5,8 +5,10 @@ used here):
 
 * EMA of length n: null for the first n-1 rows, the mean of the first n values
   at row n, then ``y += (x - y) * 2 / (n + 1)``.
+  A missing value adds nothing: the average carries on, and older values weigh
+  less at the next known one. The seed is the mean of what is known of the first n rows.
 * Wilder's average of length n: weights ``(1 - 1/n)**age`` normalised over the
-  observed history, null before n observations.
+  known values, null before n of them are known.
 * True range inside ATR starts at the second row, where the previous close exists.
 * MACD signal: EMA over the MACD line, counted from its first value.
 """
@@ -17,7 +19,7 @@ from pyspark.sql import DataFrame
 
 from ..config import TechnicalIndicatorConfig
 from ..functions.expressions import guarded, ratio, require_columns
-from .panel import INDEX, MEAN_SO_FAR, Affine, Block, Panel, Step, ema_decay, run_blocks, wilder_decay
+from .panel import INDEX, MEAN_SO_FAR, Affine, Block, Panel, RunningCount, Step, ema_decay, run_blocks, wilder_decay
 from .price import TRUE_RANGE
 
 REQUIRED = ("open", "high", "low", "close", "volume")
@@ -27,20 +29,33 @@ def _from(position: int, value: str) -> str:
     return f"CASE WHEN {INDEX} >= {position} THEN {value} END"
 
 
-def _seeded(name: str, value: str, mean: str, n: int, first: int = 0) -> Affine:
-    """EMA whose input starts at position ``first``; ``mean`` is the mean of the
-    values so far, which is the seed where n values are known."""
+def _seeded(name: str, value: str, mean: str, n: int, first: int = 0) -> list[Affine]:
+    """EMA whose input starts at position ``first``, as a weighted sum and the sum
+    of its weights; ``mean`` is the mean of the values so far, the seed once n rows are seen."""
     seed_at, decay = first + n - 1, ema_decay(n)
-    term = f"CASE WHEN {INDEX} = {seed_at} THEN {mean} WHEN {INDEX} > {seed_at} THEN {value} * {1 - decay!r}D END"
-    return Affine(name, decay, term)
 
+    def term(seed: str, later: str) -> str:
+        return f"CASE WHEN {INDEX} = {seed_at} THEN {seed} WHEN {INDEX} > {seed_at} AND {value} IS NOT NULL THEN {later} * {1 - decay!r}D END"
 
-def _weighted_mean(total: str, n: int, first: int) -> str:
-    """Decayed sum -> mean with normalised weights over the values since ``first``."""
+    return [
+        Affine(name, decay, term(mean, value)),
+        Affine(f"{name}_weight", decay, term(f"CASE WHEN {mean} IS NOT NULL THEN 1D END", "1D")),
+    ]
+
+
+def _average(name: str) -> str:
+    return ratio(name, f"{name}_weight")
+
+
+def _wilder(name: str, value: str, n: int) -> list[Step]:
+    """Decayed sum of the known values, of their weights, and their count."""
     decay = wilder_decay(n)
-    observed = f"({INDEX} - {first - 1})"
-    weight = f"((1 - power({decay!r}D, {observed})) * {n})" if n > 1 else "1D"
-    return _from(first + n - 1, f"{total} / {weight}")
+    known = f"CASE WHEN {value} IS NOT NULL THEN 1D END"
+    return [Affine(name, decay, value), Affine(f"{name}_weight", decay, known), RunningCount(f"{name}_count", value)]
+
+
+def _wilder_mean(name: str, n: int) -> str:
+    return f"CASE WHEN {name}_count >= {n} THEN {_average(name)} END"
 
 
 class Rsi(Block):
@@ -80,19 +95,19 @@ class Macd(Block):
 
     def scans(self, panel: Panel) -> list[Step]:
         return [
-            _seeded("_ema_fast", "close", MEAN_SO_FAR, self.fast),
-            _seeded("_ema_slow", "close", MEAN_SO_FAR, self.slow),
+            *_seeded("_ema_fast", "close", MEAN_SO_FAR, self.fast),
+            *_seeded("_ema_slow", "close", MEAN_SO_FAR, self.slow),
         ]
 
     def second(self, panel: Panel) -> dict[str, str]:
-        line = _from(self.start, "_ema_fast - _ema_slow")
+        line = _from(self.start, f"{_average('_ema_fast')} - {_average('_ema_slow')}")
         return {f"macd_{self.base}": line, "_mean_line": f"avg({line}) OVER ({panel.so_far})"}
 
     def late_scans(self, panel: Panel) -> list[Step]:
-        return [_seeded("_ema_line", f"macd_{self.base}", "_mean_line", self.signal, self.start)]
+        return _seeded("_ema_line", f"macd_{self.base}", "_mean_line", self.signal, self.start)
 
     def rows(self) -> list[dict[str, str]]:
-        signal = _from(self.start + self.signal - 1, "_ema_line")
+        signal = _from(self.start + self.signal - 1, _average("_ema_line"))
         return [
             {
                 f"macd_signal_{self.base}": signal,
@@ -171,12 +186,12 @@ class AverageTrueRange(Block):
         return {"_bar_range": _from(1, TRUE_RANGE.format(previous=panel.lag("close")))}
 
     def scans(self, panel: Panel) -> list[Step]:
-        return [Affine("_range_sum", self.decays[0], "_bar_range")] if self.smoothing == "wilder" else []
+        return _wilder("_range_sum", "_bar_range", self.length) if self.smoothing == "wilder" else []
 
     def second(self, panel: Panel) -> dict[str, str]:
         if self.smoothing == "sma":
             return {f"atr_{self.length}": panel.mean("_bar_range", self.length)}
-        return {f"atr_{self.length}": _weighted_mean("_range_sum", self.length, 1)}
+        return {f"atr_{self.length}": _wilder_mean("_range_sum", self.length)}
 
     def rows(self) -> list[dict[str, str]]:
         share = ratio(f"atr_{self.length}", "close")
@@ -199,17 +214,21 @@ class Adx(Block):
     def scans(self, panel: Panel) -> list[Step]:
         decay = self.decays[0]
         return [
-            Affine("_rise", decay, "CASE WHEN _up > _down AND _up > 0 THEN _up ELSE 0D END"),
-            Affine("_fall", decay, "CASE WHEN _down > _up AND _down > 0 THEN _down ELSE 0D END"),
+            Affine("_rise", decay, "CASE WHEN _up > _down AND _up > 0 THEN _up WHEN _up + _down IS NOT NULL THEN 0D END"),
+            Affine("_fall", decay, "CASE WHEN _down > _up AND _down > 0 THEN _down WHEN _up + _down IS NOT NULL THEN 0D END"),
         ]
 
-    def late_scans(self, panel: Panel) -> list[Step]:
+    def second(self, panel: Panel) -> dict[str, str]:
         # The common divisor (average true range and weights) cancels in the ratio.
+        # A bar with unknown moves has no index of its own.
         index = f"{ratio('abs(_rise - _fall)', '_rise + _fall')} * 100"
-        return [Affine("_index_sum", self.decays[0], _from(self.length, index))]
+        return {"_dx": _from(self.length, f"CASE WHEN _up + _down IS NOT NULL THEN {index} END")}
+
+    def late_scans(self, panel: Panel) -> list[Step]:
+        return _wilder("_dx_sum", "_dx", self.length)
 
     def rows(self) -> list[dict[str, str]]:
-        value = _weighted_mean("_index_sum", self.length, self.length)
+        value = _wilder_mean("_dx_sum", self.length)
         return [{f"adx_{self.length}": value, "adx": value}]
 
     def columns(self) -> list[str]:
@@ -224,10 +243,10 @@ class SeededEma(Block):
         self.decays = (ema_decay(length),)
 
     def scans(self, panel: Panel) -> list[Step]:
-        return [_seeded("_ema_tail", "close", MEAN_SO_FAR, self.length)]
+        return _seeded("_ema_tail", "close", MEAN_SO_FAR, self.length)
 
     def rows(self) -> list[dict[str, str]]:
-        return [{f"ema_{self.length}": _from(self.length - 1, "_ema_tail")}]
+        return [{f"ema_{self.length}": _from(self.length - 1, _average("_ema_tail"))}]
 
     def columns(self) -> list[str]:
         return [f"ema_{self.length}"]
