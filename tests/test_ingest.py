@@ -12,7 +12,7 @@ from tickloom.operators.ledger import backfill_plan, get_last_fetch_date, last_f
 from tickloom.operators.upsert import DAILY_POLICY, INTRADAY_POLICY, NEWS_POLICY, merge_batch, month_of, news_defaults, upsert_table
 from tickloom.plans.backfill import apply_backfill
 from tickloom.plans.daily import prepare_daily_features
-from tickloom.plans.export import default_path, export_features_to_parquet
+from tickloom.plans.export import default_name, export_features_to_parquet
 from tickloom.plans.intraday import prepare_intraday_features
 from tickloom.sources.landing import bars_from_landing, news_from_landing, read_landing_bars, read_landing_news
 from tickloom.sources.symbols import backfill_tickers, symbol_dimension, with_market_index
@@ -57,7 +57,7 @@ def test_one_missing_bar(rows, layout):
     nine = dt.datetime(2024, 1, 2, 9)
     gaps = quality.intraday_gaps(stamps(rows, nine + dt.timedelta(minutes=5), nine + dt.timedelta(minutes=15)))
     row = gaps.first()
-    assert row["missing_timestamps"] == [nine + dt.timedelta(minutes=10)]
+    assert row["first_missing"] == row["last_missing"] == nine + dt.timedelta(minutes=10)
     assert (row["missing_count"], row["gap_minutes"]) == (1, 10.0)
 
 
@@ -84,12 +84,12 @@ def test_fetch_ranges_join_dates_a_week_apart(rows, layout):
     ]
 
 
-def test_gap_summary_lists_the_first_ten(rows):
+def test_gap_summary_has_the_bounds(rows):
     start = dt.datetime(2024, 1, 2, 9)
     times = [start + dt.timedelta(minutes=m) for m in (0, 20, 100, 105)]
     row = quality.gap_summary(quality.intraday_gaps(stamps(rows, *times))).first()
     assert (row["gaps"], row["missing_bars"]) == (2, 18)
-    assert row["first_missing"][0] == start + dt.timedelta(minutes=5) and len(row["first_missing"]) == 10
+    assert (row["first_missing"], row["last_missing"]) == (start + dt.timedelta(minutes=5), start + dt.timedelta(minutes=95))
 
 
 def test_gap_fill_counts(rows):
@@ -98,10 +98,10 @@ def test_gap_fill_counts(rows):
     seen = stamps(rows, *[t + dt.timedelta(minutes=m) for t in (old, start) for m in (0, 15)])
     gaps = quality.intraday_gaps(seen).filter("gap_minutes < 60")
     landed = stamps(rows, start + dt.timedelta(minutes=5), start + dt.timedelta(minutes=7))
-    filled = quality.fill_gaps(gaps, landed, TODAY)
+    filled = quality.fill_gaps(gaps, landed, TODAY, 2)
     assert [r["timestamp"] for r in filled.bars.collect()] == [start + dt.timedelta(minutes=5)]
     assert filled.summary.first().asDict() == {"dates_processed": 1, "bars_inserted": 1, "errors": 0, "skipped_old": 1}
-    nothing = quality.fill_gaps(gaps, landed.filter("false"), TODAY).summary.first()
+    nothing = quality.fill_gaps(gaps, landed.filter("false"), TODAY, 2).summary.first()
     assert (nothing["errors"], nothing["bars_inserted"]) == (1, 0)
 
 
@@ -196,7 +196,7 @@ def test_resume_ranges(rows):
 @pytest.mark.parametrize(
     "kind,mode,start,end,want",
     [
-        ("news", "resume", D(2025, 10, 1), D(2025, 10, 20), [(D(2025, 10, 1), D(2025, 10, 7))]),
+        ("news", "resume", D(2025, 10, 1), D(2025, 10, 10), [(D(2025, 10, 1), D(2025, 10, 7)), (D(2025, 10, 8), D(2025, 10, 10))]),
         (
             "news",
             "full",
@@ -204,8 +204,8 @@ def test_resume_ranges(rows):
             D(2025, 10, 20),
             [(D(2025, 10, 1), D(2025, 10, 7)), (D(2025, 10, 8), D(2025, 10, 14)), (D(2025, 10, 15), D(2025, 10, 20))],
         ),
-        ("daily", "resume", D(2024, 1, 1), D(2024, 12, 31), [(D(2024, 1, 1), D(2024, 1, 30))]),
-        ("intraday", "resume", D(2025, 8, 1), D(2025, 10, 15), [(D(2025, 8, 1), D(2025, 8, 30))]),
+        ("daily", "resume", D(2024, 1, 1), D(2024, 2, 15), [(D(2024, 1, 1), D(2024, 1, 30)), (D(2024, 1, 31), D(2024, 2, 15))]),
+        ("intraday", "resume", D(2025, 8, 1), D(2025, 8, 31), [(D(2025, 8, 1), D(2025, 8, 30)), (D(2025, 8, 31), D(2025, 8, 31))]),
     ],
 )
 def test_plan_chunks(rows, kind, mode, start, end, want):
@@ -305,7 +305,7 @@ def test_daily_plan(tables, tmp_path):
     assert len(prepare_daily_features(tables, "1-URGENT").features.columns) == 101
     without_index = MarketTables(tables.daily.filter("ticker <> 'SPY'"))
     alone = prepare_daily_features(without_index, "1-URGENT").features
-    assert len(alone.columns) == 97 and alone.count() > 0
+    assert len(alone.columns) == 101 and alone.count() > 0 and alone.filter("market_close IS NOT NULL").count() == 0
 
 
 def test_every_ticker_meets_its_own_index(tables, rows):
@@ -326,17 +326,21 @@ def test_intraday_plan(tables):
         return result.gaps.agg(F.sum("missing_count")).first()[0]
 
     assert missing(filled) < missing(done)
-    assert prepare_intraday_features(tables, as_of=D(2030, 1, 1)).features.count() == 0
+    assert prepare_intraday_features(tables).features.count() > 0
+    assert prepare_intraday_features(tables, as_of=D(2030, 1, 1), max_years_back=2).features.count() == 0
 
 
 def test_export(tables, spark, tmp_path):
-    path = export_features_to_parquet(tables, "news", "1-URGENT", str(tmp_path / "news"))
+    path = export_features_to_parquet(tables, "news", str(tmp_path / "news"), "1-URGENT")
     assert spark.read.parquet(path).count() == tables.news.filter("ticker = '1-URGENT'").count()
-    nothing = export_features_to_parquet(tables, "news", "NONE", str(tmp_path / "none"))
-    assert not os.path.exists(nothing)
-    assert default_path("daily", None, dt.datetime(2024, 1, 2, 3, 4, 5)).endswith("daily_features_all_20240102_030405.parquet")
+    nothing = export_features_to_parquet(tables, "news", str(tmp_path / "none"), "NONE")
+    assert spark.read.parquet(nothing).count() == 0
+    for kind, time in (("daily", "date"), ("intraday", "timestamp")):
+        written = spark.read.parquet(export_features_to_parquet(tables, kind, str(tmp_path / kind)))
+        assert time in written.columns and written.count() > 0
+    assert default_name("daily", None, dt.datetime(2024, 1, 2, 3, 4, 5)).endswith("daily_features_all_20240102_030405.parquet")
     with pytest.raises(ValueError):
-        export_features_to_parquet(tables, "weekly")
+        export_features_to_parquet(tables, "weekly", str(tmp_path / "weekly"))
 
 
 def test_stream_resumes_and_merges(spark, tmp_path):
@@ -356,3 +360,30 @@ def test_stream_resumes_and_merges(spark, tmp_path):
     assert run() == {30: 1.0, 35: 2.0}
     land("b.json", (1704206100000, 9.0), (1704206400000, 3.0))
     assert run() == {30: 1.0, 35: 9.0, 40: 3.0}
+
+
+def test_the_later_landing_file_wins(spark, tmp_path):
+    landing, table, progress = (str(tmp_path / n) for n in ("landing", "table", "progress"))
+    os.makedirs(landing)
+    for k, (close, filler) in enumerate([(1.0, 0), (2.0, 400)]):
+        name = os.path.join(landing, f"{k:04d}.json")
+        with open(name, "w") as f:
+            for ms in (1704205800000, *range(1704300000000, 1704300000000 + filler * 60000, 60000)):
+                f.write(json.dumps({"ticker": "A", "timestamp": ms, "open": 1, "high": 2, "low": 0.5, "close": close, "volume": 1}) + "\n")
+        os.utime(name, (1_700_000_000 + k, 1_700_000_000 + k))
+    ingest_bars(spark, landing, table, progress, INTRADAY_POLICY).awaitTermination()
+    spark.catalog.refreshByPath(table)
+    assert spark.read.parquet(table).filter("timestamp = '2024-01-02 14:30:00'").first()["close"] == 2.0
+
+
+def test_stored_news_keep_their_month(spark, rows, tmp_path):
+    path = str(tmp_path / "news")
+    at = dt.datetime(2024, 1, 5)
+    schema = "id string, ticker string, published_at timestamp, title string, text string"
+    base = news_defaults(rows([("a", "A", at, "old", "t"), ("b", "A", at, "old", "t")], schema)).withColumn("month", month_of("published_at"))
+    base.write.partitionBy("month").parquet(path)
+    batch = news_defaults(rows([("a", "A", dt.datetime(2024, 3, 1), "new", "t"), ("c", "A", dt.datetime(2024, 3, 1), "new", "t")], schema)).withColumn("month", month_of("published_at"))
+    upsert_table(spark, path, batch, NEWS_POLICY, key_fixes_partition=False)
+    spark.catalog.refreshByPath(path)
+    out = {(r["id"], r["title"], str(r["month"])) for r in spark.read.parquet(path).collect()}
+    assert out == {("a", "new", "2024-01"), ("b", "old", "2024-01"), ("c", "new", "2024-03")}

@@ -56,6 +56,6 @@ def first_with_prefix(df: DataFrame, prefix: str) -> str | None:
     return next((name for name in df.columns if name.startswith(prefix)), None)
 
 
-def complete_rows(df: DataFrame) -> DataFrame:
-    """Rows without a missing value; also right for names that hold a dot."""
-    return df.filter(" and ".join(f"`{name}` is not null" for name in df.columns))
+def complete_rows(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+    """Rows without a missing value in the columns, by default in all; also right for names that hold a dot."""
+    return df.filter(" and ".join(f"`{name}` is not null" for name in columns or df.columns))

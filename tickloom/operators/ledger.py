@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from ..schemas import DATA_TYPES, STATUSES
 
 MODES = ("resume", "full")
-# Longest first chunk when resuming, and chunk length per request.
+# Chunk length per request when resuming and in a full run; None is one chunk.
 RESUME_CHUNK_DAYS = {"daily": 30, "intraday": 30, "news": 7}
-REQUEST_CHUNK_DAYS = {"news": 7}
+REQUEST_CHUNK_DAYS = {"daily": None, "intraday": None, "news": 7}
 DEFAULT_LOOKBACK_DAYS = 730
 
 
@@ -86,15 +86,16 @@ def backfill_plan(
     start_date: str | date | None = None,
     end_date: str | date | None = None,
     lookback_days: int = DEFAULT_LOOKBACK_DAYS,
+    chunk_days: int | None = None,
 ) -> DataFrame:
-    """Date ranges cut into the chunks to fetch."""
+    """Date ranges cut, to their ends, into the chunks to fetch.
+
+    ``chunk_days`` is the length of a chunk; by default it is that of the mode and data type.
+    """
     ranges = resolve_date_ranges(
         tickers, ledger, data_type, mode, as_of, start_date, end_date, lookback_days
     )
-    if mode == "resume":
-        capped = F.date_add("start_date", RESUME_CHUNK_DAYS[data_type] - 1)
-        ranges = ranges.withColumn("end_date", F.least("end_date", capped))
-    days = REQUEST_CHUNK_DAYS.get(data_type)
+    days = chunk_days or (RESUME_CHUNK_DAYS if mode == "resume" else REQUEST_CHUNK_DAYS)[data_type]
     if days is None:
         return ranges
     starts = F.sequence("start_date", "end_date", F.expr(f"interval {days} days"))

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import flag, require_columns
@@ -35,7 +35,8 @@ WEEKEND_GAP_SECONDS = 201900
 OVERNIGHT_GAP_SECONDS = 29100
 
 RANGE_GAP_DAYS = 7
-SUMMARY_TIMESTAMPS = 10
+# Bars per row while a gap is being listed; no limit on its length.
+GAP_PIECE = 4096
 
 
 def calendar_columns(time: Column) -> dict[str, Column]:
@@ -146,7 +147,8 @@ def daily_gaps(bars: DataFrame, holidays: Sequence[date] | DataFrame = HOLIDAYS)
 
 def intraday_gaps(bars: DataFrame, expected_interval_minutes: int = 5) -> DataFrame:
     """Steps longer than 1.5 intervals, the two usual closed-market steps
-    excepted, with the timestamps that are missing inside."""
+    excepted, with the first, the last and the number of the bars missing inside;
+    :func:`missing_bars` lists them."""
     require_columns(bars, ("ticker", "timestamp"), "intraday_gaps")
     times = run_blocks(
         bars.select("ticker", "timestamp"), Previous("timestamp", "previous_timestamp"), order="timestamp"
@@ -164,14 +166,11 @@ def intraday_gaps(bars: DataFrame, expected_interval_minutes: int = 5) -> DataFr
         (F.col("gap_minutes") > expected_interval_minutes * 1.5)
         & ~F.col("gap_seconds").isin(float(WEEKEND_GAP_SECONDS), float(OVERNIGHT_GAP_SECONDS))
     )
-    missing = F.sequence(
-        F.col("previous_timestamp") + step,
-        F.col("current_timestamp") - F.expr("interval 1 microsecond"),
-        step,
-    )
-    return gaps.withColumn("missing_timestamps", missing).withColumn(
-        "missing_count", F.size("missing_timestamps")
-    )
+    micros = int(expected_interval_minutes) * 60_000_000
+    inside = F.unix_micros("current_timestamp") - F.unix_micros("previous_timestamp") - 1
+    counted = gaps.withColumn("missing_count", F.floor(inside / micros).cast("int"))
+    span = F.timestamp_micros(F.unix_micros("previous_timestamp") + F.col("missing_count").cast("long") * F.lit(micros).cast("long"))
+    return counted.withColumns({"first_missing": F.col("previous_timestamp") + step, "last_missing": span})
 
 
 def flag_missing_neighbors(bars: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -188,10 +187,21 @@ def neighbor_table(flagged: DataFrame) -> DataFrame:
 
 
 def missing_bars(gaps: DataFrame) -> DataFrame:
-    """One row per missing timestamp."""
-    return gaps.select("ticker", F.explode("missing_timestamps").alias("timestamp")).withColumn(
-        "date", F.to_date("timestamp")
+    """One row per missing timestamp, counted up from the bounds of its gap.
+
+    A long gap is first cut into pieces, so no row holds a list that grows with it.
+    """
+    micros = F.expr("(unix_micros(first_missing) - unix_micros(previous_timestamp))")
+    pieces = gaps.select(
+        "ticker",
+        F.unix_micros("previous_timestamp").alias("_from"),
+        micros.alias("_step"),
+        "missing_count",
+        F.explode(F.sequence(F.lit(0), F.floor((F.col("missing_count") - 1) / GAP_PIECE))).alias("_piece"),
     )
+    last = F.least(F.col("missing_count").cast("long"), (F.col("_piece") + 1) * GAP_PIECE)
+    numbered = pieces.select("ticker", "_from", "_step", F.explode(F.sequence(F.col("_piece") * GAP_PIECE + 1, last)).alias("_k"))
+    return numbered.select("ticker", F.timestamp_micros(F.col("_from") + F.col("_k") * F.col("_step")).alias("timestamp")).withColumn("date", F.to_date("timestamp"))
 
 
 def fetch_ranges(missing: DataFrame, max_gap_days: int = RANGE_GAP_DAYS) -> DataFrame:
@@ -205,23 +215,13 @@ def fetch_ranges(missing: DataFrame, max_gap_days: int = RANGE_GAP_DAYS) -> Data
 
 
 def gap_summary(gaps: DataFrame) -> DataFrame:
-    """Gaps and missing bars per ticker, with the first missing timestamps.
-
-    Only the first gaps of a ticker can hold them, so no more than
-    ``SUMMARY_TIMESTAMPS`` rows per ticker are ever collected.
-    """
-    totals = gaps.groupBy("ticker").agg(
-        F.count(F.lit(1)).alias("gaps"), F.sum("missing_count").alias("missing_bars")
-    )
-    earliest = Window.partitionBy("ticker").orderBy("previous_timestamp")
-    first = (
-        gaps.withColumn("_rank", F.row_number().over(earliest))
-        .filter(F.col("_rank") <= SUMMARY_TIMESTAMPS)
-        .select("ticker", F.explode(F.slice("missing_timestamps", 1, SUMMARY_TIMESTAMPS)).alias("_at"))
-        .groupBy("ticker")
-        .agg(F.slice(F.array_sort(F.collect_list("_at")), 1, SUMMARY_TIMESTAMPS).alias("first_missing"))
+    """Gaps and missing bars per ticker, with the first and the last missing bar."""
+    return gaps.groupBy("ticker").agg(
+        F.count(F.lit(1)).alias("gaps"),
+        F.sum("missing_count").alias("missing_bars"),
+        F.min("first_missing").alias("first_missing"),
+        F.max("last_missing").alias("last_missing"),
     )
-    return totals.join(first, "ticker", "left")
 
 
 def history_cutoff(as_of: date | Column, max_years_back: int) -> Column:
@@ -240,35 +240,44 @@ class GapFill:
 
 
 def fill_gaps(
-    gaps: DataFrame, landed: DataFrame, as_of: date | Column, max_years_back: int = 2
+    gaps: DataFrame, landed: DataFrame, as_of: date | Column | None = None, max_years_back: int | None = None
 ) -> GapFill:
     """Landed bars at missing timestamps, the ranges to fetch, and the counts.
 
-    A range for which nothing has landed counts as an error; dates before the
-    cutoff are skipped.
+    A range for which nothing has landed counts as an error. With
+    ``max_years_back`` dates before that many years from ``as_of`` are skipped and counted.
+
+    The counts come from one table of the missing and landed bars per ticker and day.
     """
     missing = missing_bars(gaps)
-    cutoff = history_cutoff(as_of, max_years_back)
-    recent = missing.filter(F.col("date") >= cutoff)
+    recent = missing
+    if max_years_back is not None:
+        recent = missing.filter(F.col("date") >= history_cutoff(as_of, max_years_back))
     bars = landed.join(recent.select("ticker", "timestamp"), ["ticker", "timestamp"], "left_semi")
     ranges = fetch_ranges(recent)
 
-    # Landed days matched to ranges through the days each range covers.
-    days = ranges.select("ticker", "range_start", F.explode(F.sequence("range_start", "range_end")).alias("date"))
-    landed_days = landed.select("ticker", F.to_date("timestamp").alias("date")).distinct()
-    served = days.join(landed_days, ["ticker", "date"], "left_semi").select("ticker", "range_start").distinct()
-    unserved = ranges.join(served, ["ticker", "range_start"], "left_anti")
-
-    all_dates = missing.select("date").distinct()
-    parts = [
-        recent.select("ticker", "date").distinct().agg(F.count(F.lit(1)).alias("n")).select(F.lit("dates_processed").alias("k"), "n"),
-        bars.agg(F.count(F.lit(1)).alias("n")).select(F.lit("bars_inserted").alias("k"), "n"),
-        unserved.agg(F.count(F.lit(1)).alias("n")).select(F.lit("errors").alias("k"), "n"),
-        all_dates.filter(F.col("date") < cutoff).agg(F.count(F.lit(1)).alias("n")).select(F.lit("skipped_old").alias("k"), "n"),
-    ]
-    counts = parts[0]
-    for part in parts[1:]:
-        counts = counts.unionByName(part)
-    names = ("dates_processed", "bars_inserted", "errors", "skipped_old")
-    summary = counts.agg(*[F.max(F.when(F.col("k") == n, F.col("n"))).alias(n) for n in names])
+    # Every missing and landed bar once, then days: what is missing, what has landed, what fits.
+    marked = missing.select("ticker", "timestamp", F.lit(1).alias("_missing"), F.lit(0).alias("_landed")).unionByName(
+        landed.select("ticker", "timestamp", F.lit(0).alias("_missing"), F.lit(1).alias("_landed"))
+    )
+    each = marked.groupBy("ticker", "timestamp").agg(F.sum("_missing").alias("m"), F.sum("_landed").alias("l"))
+    days = each.groupBy("ticker", F.to_date("timestamp").alias("date")).agg(
+        F.max(F.col("m") > 0).alias("lacks"),
+        F.max(F.col("l") > 0).alias("landed"),
+        F.sum(F.when(F.col("m") > 0, F.col("l")).otherwise(0)).alias("bars"),
+    )
+    keeps = F.lit(True) if max_years_back is None else F.col("date") >= history_cutoff(as_of, max_years_back)
+    lacking = days.filter(F.col("lacks") & keeps)
+    placed = run_blocks(lacking.select("ticker", "date", "bars"), RangeStart(RANGE_GAP_DAYS))
+    # A range is served by any landed day inside it, lacking or not.
+    bounds = placed.groupBy("ticker", "range_start").agg(F.max("date").alias("range_end"), F.count(F.lit(1)).alias("dates"), F.sum("bars").alias("bars"))
+    covered = bounds.select("ticker", "range_start", F.explode(F.sequence("range_start", "range_end")).alias("date"))
+    served = covered.join(days.filter("landed").select("ticker", "date"), ["ticker", "date"], "left_semi").select("ticker", "range_start").distinct()
+    report = bounds.join(served.withColumn("_served", F.lit(True)), ["ticker", "range_start"], "left").agg(
+        F.coalesce(F.sum("dates"), F.lit(0)).alias("dates_processed"),
+        F.coalesce(F.sum("bars"), F.lit(0)).alias("bars_inserted"),
+        F.count(F.when(F.col("_served").isNull(), 1)).alias("errors"),
+    )
+    old = days.filter(F.col("lacks") & ~keeps).agg(F.count_distinct("date").alias("skipped_old"))
+    summary = report.withColumn("_one", F.lit(1)).join(old.withColumn("_one", F.lit(1)), "_one").drop("_one")
     return GapFill(bars, ranges, summary)

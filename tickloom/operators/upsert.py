@@ -38,13 +38,25 @@ NEWS_POLICY = MergePolicy(
 
 
 def last_per_key(batch: DataFrame, key: Sequence[str], sequence: str | Column | None = None) -> DataFrame:
-    """One row per key: the one with the highest ``sequence``, by default the last
-    one in the batch's own row order. Reduced before the shuffle."""
-    rest = [c for c in batch.columns if c not in key]
-    order = F.monotonically_increasing_id() if sequence is None else sequence
-    ranked = batch.withColumn("_sequence", F.col(order) if isinstance(order, str) else order)
-    kept = ranked.groupBy(*key).agg(F.max_by(F.struct(*rest), F.col("_sequence")).alias("_row"))
-    return kept.select(*key, *[F.col("_row")[c].alias(c) for c in rest])
+    """One row per key: the one with the highest ``sequence``. Reduced before the shuffle.
+
+    Rows of one key and sequence, and all rows of a key when no sequence is given, go
+    by their values in column order, so the result never depends on how the batch is split into tasks.
+    """
+    order = F.col(sequence) if isinstance(sequence, str) else sequence
+    rest = [c for c in batch.columns if c not in key and c != sequence]
+    row = F.struct(*rest)
+    ranked = F.max(F.struct(*([] if order is None else [order.alias("_sequence")]), row.alias("_row")))
+    kept = batch.groupBy(*key).agg(ranked.alias("_last"))
+    return kept.select(*key, *[F.col("_last._row")[c].alias(c) for c in rest])
+
+
+def _aligned(frame: DataFrame, like: DataFrame) -> DataFrame:
+    """Columns and types of ``like``; columns the frame lacks are null."""
+    have = set(frame.columns)
+    return frame.select(
+        *[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in like.schema.fields]
+    )
 
 
 def merge_batch(
@@ -56,34 +68,30 @@ def merge_batch(
 ) -> DataFrame:
     """Rows of ``base`` updated by the batch, then the rows the batch adds.
 
-    Both joins have the batch on the side Spark can broadcast, so a large base is
-    neither shuffled nor sorted for a small batch. ``created_at``/``updated_at``
-    are maintained when the base has them.
+    One full join on the key, so either side is read once.
+    ``created_at``/``updated_at`` are maintained when the base has them.
     """
     key = list(policy.key)
     require_columns(batch, (*key, *policy.replaced), "merge_batch")
     now = F.current_timestamp() if as_of is None else as_of
-    fresh = last_per_key(batch, key, sequence)
-    stamps = [c for c in ("created_at", "updated_at") if c in base.columns]
-    incoming = fresh.select(*key, *[F.col(c).alias(f"_new_{c}") for c in policy.replaced], F.lit(True).alias("_hit"))
-    joined = base.join(incoming, key, "left")
-
-    def updated(name: str) -> Column:
-        if name in policy.replaced:
-            return F.when(F.col("_hit"), F.col(f"_new_{name}")).otherwise(F.col(name)).alias(name)
+    fresh = _aligned(last_per_key(batch, key, sequence), base)
+    names = [c for c in base.columns if c not in key]
+    incoming = fresh.select(*key, *[F.col(c).alias(f"_new_{c}") for c in names], F.lit(True).alias("_fresh"))
+    joined = base.withColumn("_stored", F.lit(True)).join(incoming, key, "full_outer")
+    both, only_new = F.col("_fresh") & F.col("_stored"), F.col("_stored").isNull()
+
+    def merged(name: str) -> Column:
+        if name in key:
+            return F.col(name)
+        old, new = F.col(name), F.col(f"_new_{name}")
+        if name == "created_at":
+            return F.when(only_new, now).otherwise(old)
         if name == "updated_at":
-            return F.when(F.col("_hit"), now).otherwise(F.col(name)).alias(name)
-        return F.col(name)
+            return F.when(F.col("_fresh"), now).otherwise(old)
+        return F.when(both if name in policy.replaced else F.lit(False), new).when(only_new, new).otherwise(old)
 
-    changed = joined.select(*[updated(c) for c in base.columns])
-    known = base.select(*key).join(fresh.select(*key), key, "left_semi")
-    added = fresh.join(known, key, "left_anti").withColumns({c: now for c in stamps})
     types = {f.name: f.dataType for f in base.schema.fields}
-    aligned = [
-        (F.col(c) if c in added.columns else F.lit(None)).cast(types[c]).alias(c) for c in base.columns
-    ]
-    cast_back = [F.col(c).cast(types[c]).alias(c) for c in base.columns]
-    return changed.select(*cast_back).unionByName(added.select(*aligned))
+    return joined.select(*[merged(c).cast(types[c]).alias(c) for c in base.columns])
 
 
 def news_defaults(articles: DataFrame) -> DataFrame:
@@ -128,17 +136,25 @@ def upsert_table(
     partition: str = "month",
     as_of: Column | None = None,
     sequence: str | None = None,
+    key_fixes_partition: bool = True,
 ) -> None:
     """Merge a batch into a Parquet table partitioned by ``partition``.
 
-    Only the partitions the batch touches are read and rewritten; the write is
-    committed as a whole, so the old files stay until the new ones are complete.
-    Needs a key that determines the partition, as time does for bars.
+    The touched partition values are listed first (a batch spans a few months), so
+    only those partitions are read, once, and rewritten. Time fixes the
+    partition of a bar. Where the key does not (news: an article keeps the month it was
+    stored in), the key and partition columns of the whole table are searched for the batch's keys first.
+
+    The write replaces partition by partition: a reader may see some of them new and others old while it runs.
     """
-    touched = batch.select(partition).distinct()
+    key = list(policy.key)
     base = spark.read.parquet(path)
     base = base.withColumn(partition, F.col(partition).cast("string"))
-    affected = base.join(touched, partition, "left_semi")
+    touched = batch.select(partition)
+    if not key_fixes_partition:
+        touched = touched.union(base.select(*key, partition).join(batch.select(*key).distinct(), key, "left_semi").select(partition))
+    values = [row[0] for row in touched.distinct().collect()]
+    affected = base.where(F.col(partition).isin(values)) if values else base.where(F.lit(False))
     merged = merge_batch(affected, batch, policy, as_of, sequence)
     (
         merged.write.mode("overwrite")

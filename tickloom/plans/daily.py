@@ -135,7 +135,8 @@ def prepare_daily_features(
 ) -> DailyFeatures:
     """Complete rows of the daily feature table, and the gaps of the bars.
 
-    Every ticker is compared with its own index, whose bars are in the same table.
+    Every ticker is compared with its own index, whose bars are in the same table;
+    the market columns are null where those bars are missing.
     """
     bars = with_market_index(scan_daily_bars(tables.daily, ticker), tables.symbols)
     indices = index_bars(tables)
@@ -143,8 +144,7 @@ def prepare_daily_features(
         bars,
         None,
         filter_tickers(tables.news, ticker) if include_news_features and tables.news is not None else None,
-        # Without any index bars there are no market columns, rather than empty ones.
-        index=None if indices.isEmpty() else market.index_returns(indices, ("market_index",)),
+        index=market.index_returns(indices, ("market_index",)),
         index_key=("market_index",),
         with_news=include_news_features,
         price_config=price_config,
@@ -153,5 +153,7 @@ def prepare_daily_features(
         news_config=news_config,
         confluence_config=confluence_config,
     )
-    features = persist_if_requested(complete_rows(table), save_path)
+    # Days on which the index is unknown are complete without its columns.
+    own = [c for c in table.columns if c not in market.MARKET_COLUMNS]
+    features = persist_if_requested(complete_rows(table, own), save_path)
     return DailyFeatures(features, daily_gaps(bars))

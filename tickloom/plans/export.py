@@ -12,34 +12,31 @@ from .intraday import prepare_intraday_features
 _KINDS = ("daily", "intraday", "news")
 
 
-def default_path(data_type: str, ticker: str | None, at: datetime) -> str:
-    return f"ml/data/{data_type}_features_{ticker or 'all'}_{at:%Y%m%d_%H%M%S}.parquet"
+def default_name(data_type: str, ticker: str | None, at: datetime) -> str:
+    return f"{data_type}_features_{ticker or 'all'}_{at:%Y%m%d_%H%M%S}.parquet"
 
 
 def export_features_to_parquet(
     tables: MarketTables,
     data_type: str,
+    output_path: str,
     ticker: Tickers = None,
-    output_path: str | None = None,
     *,
-    at: datetime | None = None,
     as_of: date | None = None,
     **options,
 ) -> str:
     """Write the daily or intraday feature table or the raw news; return the path.
 
-    Nothing is written when there is nothing to export. ``options`` go to the plan.
+    An empty result is written too, with its schema. ``options`` go to the plan;
+    :func:`default_name` names a file by its content.
     """
     if data_type not in _KINDS:
         raise ValueError(f"data_type must be 'daily', 'intraday' or 'news', got {data_type!r}")
-    at = at or datetime.now()
-    path = output_path or default_path(data_type, ticker if isinstance(ticker, str) else None, at)
     if data_type == "daily":
         frame = prepare_daily_features(tables, ticker, **options).features
     elif data_type == "intraday":
-        frame = prepare_intraday_features(tables, ticker, as_of=as_of or at.date(), **options).features
+        frame = prepare_intraday_features(tables, ticker, as_of=as_of, **options).features
     else:
         frame = load_news(tables.news, ticker)
-    if not frame.isEmpty():
-        persist_if_requested(frame, path)
-    return path
+    persist_if_requested(frame, output_path)
+    return output_path

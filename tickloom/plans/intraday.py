@@ -50,9 +50,11 @@ class IntradayFeatures:
     neighbors: DataFrame
 
 
-def recent_bars(bars: DataFrame, as_of: date | Column, max_years_back: int) -> DataFrame:
-    """Bars of the last years; a plain comparison of the stored timestamp, so it
-    reaches the scan."""
+def recent_bars(bars: DataFrame, as_of: date | Column | None, max_years_back: int | None) -> DataFrame:
+    """All bars, or those of the last years; a plain comparison of the stored
+    timestamp, so it reaches the scan."""
+    if max_years_back is None:
+        return bars
     return bars.filter(F.col("timestamp") >= history_cutoff(as_of, max_years_back).cast("timestamp"))
 
 
@@ -87,17 +89,18 @@ def prepare_intraday_features(
     ticker: Tickers = None,
     save_path: str | None = None,
     *,
-    as_of: date,
+    as_of: date | None = None,
     volume_config: VolumeFeatureConfig | None = None,
     time_config: TimeFeatureConfig | None = None,
     landed: DataFrame | None = None,
-    max_years_back: int = 2,
+    max_years_back: int | None = None,
     expected_interval_minutes: int = 5,
 ) -> IntradayFeatures:
     """Complete rows of the intraday feature table, the gaps, and the boundary rows.
 
     ``landed`` holds bars fetched for the gaps; when given, those at missing
-    timestamps are merged in before anything else is computed.
+    timestamps are merged in before anything else is computed. ``max_years_back``
+    (counted from ``as_of``) leaves older bars out on request.
     """
     bars = recent_bars(scan_intraday_bars(tables.intraday, ticker), as_of, max_years_back)
     if landed is not None:

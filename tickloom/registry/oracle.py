@@ -30,8 +30,8 @@ INDEX = """idx AS (SELECT date, close AS market_close, close / lag(close) OVER (
 NEWS = """news AS (SELECT CAST(d.doc_id AS VARCHAR) AS id,
     ['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW'][d.doc_id % 5 + 1] AS ticker,
     CAST(DATE '1995-01-02' + CAST(d.doc_id // 10 AS INTEGER) AS TIMESTAMP) + to_hours(d.doc_id % 24) AS published_at,
-    substr(text, 1, 40) AS title, text AS description, source AS author, lang AS type,
-    string_split(substr(text, 1, 60), ' ') AS keywords, [source] AS tickers,
+    string_split(text, chr(10))[1] AS title, text AS description, source AS author, lang AS type,
+    string_split(text, ' ') AS keywords, [source] AS tickers,
     CASE WHEN toxic = 1 THEN -0.8 WHEN quality = 1 THEN 0.5 WHEN toxic IS NOT NULL THEN 0.0 END AS sentiment_score,
     CASE WHEN toxic = 1 THEN 'negative' WHEN quality = 1 THEN 'positive' WHEN toxic IS NOT NULL THEN 'neutral' END AS sentiment_label
   FROM documents d LEFT JOIN labels l USING (doc_id))"""
@@ -312,7 +312,7 @@ GAPS = """steps AS (SELECT ticker, lag(timestamp) OVER (PARTITION BY ticker ORDE
     (SELECT ticker, unnest(generate_series(previous_timestamp + INTERVAL 30 MINUTE, current_timestamp - INTERVAL 1 MICROSECOND, INTERVAL 30 MINUTE)) AS timestamp FROM gaps))"""
 _TURNED = "CASE ticker WHEN 'click' THEN 'error' WHEN 'error' THEN 'purchase' WHEN 'purchase' THEN 'signup' WHEN 'signup' THEN 'view' WHEN 'view' THEN 'click' END"
 FILL = f"""landed AS (SELECT * REPLACE ({_TURNED} AS ticker) FROM ibars),
-  recent AS (SELECT * FROM missing WHERE date >= DATE '2026-01-10' - 730),
+  recent AS (SELECT * FROM missing),
   filled AS (SELECT * FROM landed SEMI JOIN recent USING (ticker, timestamp))"""
 
 # -- ingest ---------------------------------------------------------------------------------------------
@@ -444,7 +444,70 @@ _BAR_COLUMNS = [*PRICES, *BAR_TAIL]
 _APPLIED = f"""plan AS (SELECT ticker, DATE '2000-01-10' AS start_date, DATE '2000-03-31' AS end_date FROM who),
   batch AS (SELECT * REPLACE (close + 1 AS close) FROM bars WHERE date BETWEEN DATE '2000-01-10' AND DATE '2000-03-31' AND ticker <> '5-LOW')"""
 
+# Every calendar day from a ticker's first bar to its last; days without a bar have no prices.
+_SPARSE = [
+    _bars("bars"),
+    """days AS (SELECT ticker, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM bars GROUP BY 1)""",
+    "sparse AS MATERIALIZED (SELECT ticker, date, high, low, close, row_number() OVER (PARTITION BY ticker ORDER BY date) - 1 AS i FROM days LEFT JOIN bars USING (ticker, date))",
+]
+_SPARSE_MOVES = f"""moves AS MATERIALIZED (SELECT *, CASE WHEN high IS NOT NULL AND {_lag('high')} IS NOT NULL THEN high - {_lag('high')} END AS u,
+    CASE WHEN high IS NOT NULL AND {_lag('high')} IS NOT NULL THEN {_lag('low')} - low END AS d,
+    CASE WHEN i >= 1 THEN {TRUE_RANGE} END AS tr, close - {_lag('close')} AS move,
+    count(close) OVER (PARTITION BY ticker ORDER BY i ROWS UNBOUNDED PRECEDING) AS known,
+    avg(close) OVER (PARTITION BY ticker ORDER BY i ROWS UNBOUNDED PRECEDING) AS mean FROM sparse)"""
+
+
+def _sparse_walk(*more: str) -> list[str]:
+    """One step per row, a missing value adding neither to a sum nor to its weights."""
+
+    def decayed(name: str, decay: str, value: str) -> str:
+        return f"{name} * {decay} + coalesce({value}, 0)"
+
+    one = "CASE WHEN {} IS NOT NULL THEN 1 END".format
+    start = {"e": "coalesce(close, 0)", "ew": "CASE WHEN close IS NULL THEN 0 ELSE 1 END"}
+    zeros = ("f", "fw", "s", "sw", "g", "l", "t", "tw", "n", "p", "m")
+    first = ", ".join([f"CAST({v} AS DOUBLE) AS {k}" for k, v in start.items()] + [f"CAST(0 AS DOUBLE) AS {z}" for z in zeros])
+    weight = "CASE WHEN v.known = 1 AND v.close IS NOT NULL THEN 1 ELSE 2.0 / 13 END"
+
+    def seeded(name: str, n: int, value: str, mean: str) -> str:
+        return f"CASE WHEN v.i = {n - 1} THEN coalesce({mean}, 0) WHEN v.i >= {n} THEN {name} * ({n - 1}.0 / {n + 1}) + coalesce({value} * 2.0 / {n + 1}, 0) ELSE 0 END"
+
+    steps = [
+        f"e * 11.0 / 13 + coalesce(v.close * {weight}, 0)", f"ew * 11.0 / 13 + coalesce(CASE WHEN v.close IS NOT NULL THEN {weight} END, 0)",
+        seeded("f", 12, "v.close", "v.mean"), seeded("fw", 12, one("v.close"), one("v.mean")), seeded("s", 26, "v.close", "v.mean"), seeded("sw", 26, one("v.close"), one("v.mean")),
+        decayed("g", "13.0 / 14", "CASE WHEN v.move > 0 THEN v.move END"), decayed("l", "13.0 / 14", "CASE WHEN v.move < 0 THEN -v.move END"),
+        decayed("t", "13.0 / 14", "v.tr"), decayed("tw", "13.0 / 14", one("v.tr")), f"n + coalesce({one('v.tr')}, 0)",
+        decayed("p", "13.0 / 14", "CASE WHEN v.u > v.d AND v.u > 0 THEN v.u END"), decayed("m", "13.0 / 14", "CASE WHEN v.d > v.u AND v.d > 0 THEN v.d END"),
+    ]
+    return [
+        *_SPARSE, _SPARSE_MOVES,
+        f"walk AS (SELECT ticker, i, {first} FROM moves WHERE i = 0 UNION ALL SELECT v.ticker, v.i, {', '.join(steps)} FROM walk JOIN moves v ON v.ticker = walk.ticker AND v.i = walk.i + 1)",
+        """walked AS MATERIALIZED (SELECT v.*, walk.* EXCLUDE (ticker, i), e / nullif(ew, 0) AS ema_12, CASE WHEN walk.i >= 25 THEN f / nullif(fw, 0) - s / nullif(sw, 0) END AS macd,
+      CASE WHEN walk.i >= 14 THEN 100 * g / nullif(g + l, 0) END AS rsi, CASE WHEN n >= 14 THEN t / nullif(tw, 0) END AS atr,
+      CASE WHEN walk.i >= 14 AND u IS NOT NULL THEN 100 * abs(p - m) / nullif(p + m, 0) END AS dx FROM walk JOIN moves v USING (ticker, i))""",
+        *more,
+    ]
+
+
+_SPARSE_ADX = [
+    "adx_walk AS (SELECT ticker, i, CAST(0 AS DOUBLE) AS a, CAST(0 AS DOUBLE) AS aw, 0 AS an FROM walked WHERE i = 0 UNION ALL"
+    " SELECT w.ticker, w.i, a * 13.0 / 14 + coalesce(w.dx, 0), aw * 13.0 / 14 + CASE WHEN w.dx IS NULL THEN 0 ELSE 1 END, an + CASE WHEN w.dx IS NULL THEN 0 ELSE 1 END"
+    " FROM adx_walk JOIN walked w ON w.ticker = adx_walk.ticker AND w.i = adx_walk.i + 1)",
+]
+_SPARSE_FALL = f"""first_close AS (SELECT ticker, arg_min(close, i) FILTER (WHERE close IS NOT NULL) AS base, min(i) FILTER (WHERE close IS NOT NULL) AS began FROM sparse GROUP BY 1),
+  high_so_far AS (SELECT sparse.*, base, max(CASE WHEN i > began THEN close END) OVER (PARTITION BY ticker ORDER BY i ROWS UNBOUNDED PRECEDING) AS top FROM sparse JOIN first_close USING (ticker)),
+  fell AS (SELECT *, (close / base - top / base) / (top / base + 1e-10) AS dd FROM high_so_far),
+  drawn_sparse AS (SELECT ticker, date, min(dd) {_frame(5)} AS max_drawdown_5d, min(dd) {_frame(20)} AS max_drawdown_20d FROM fell)"""
+
 ORACLE: dict[str, str] = {
+    "sparse_ema": sql(_sparse_walk(), select([*KEY, "ema_12"], "walked"), recursive=True),
+    "sparse_macd": sql(_sparse_walk(), f"SELECT ticker, date, round(macd, {digits_of('macd_12_26_9')}) AS macd_12_26_9 FROM walked", recursive=True),
+    "sparse_rsi": sql(_sparse_walk(), f"SELECT ticker, date, round(rsi, {digits_of('rsi_14')}) AS rsi_14 FROM walked", recursive=True),
+    "sparse_atr": sql(_sparse_walk(), f"SELECT ticker, date, round(atr, {digits_of('atr_14')}) AS atr_14 FROM walked", recursive=True),
+    "sparse_adx": sql(
+        _sparse_walk(*_SPARSE_ADX), f"SELECT ticker, date, round(CASE WHEN an >= 14 THEN a / nullif(aw, 0) END, {digits_of('adx_14')}) AS adx_14 FROM adx_walk JOIN walked USING (ticker, i)", recursive=True
+    ),
+    "sparse_drawdown": sql([*_SPARSE, _SPARSE_FALL], select([*KEY, "max_drawdown_5d", "max_drawdown_20d"], "drawn_sparse")),
     "bars_daily": sql(DAILY, select([*KEY, *_BAR_COLUMNS], "bars")),
     "bars_intraday": sql([INTRA], select([*TKEY, *_BAR_COLUMNS], "ibars")),
     "loaded_daily": sql(
@@ -553,9 +616,8 @@ ORACLE: dict[str, str] = {
     ),
     "gap_summary": sql(
         [INTRA, GAPS],
-        "SELECT g.ticker, gaps, missing_bars, first_missing FROM (SELECT ticker, count(*) AS gaps, CAST(sum(missing_count) AS BIGINT) AS missing_bars FROM gaps GROUP BY 1) g"
-        " LEFT JOIN (SELECT ticker, string_agg(strftime(timestamp, '%Y-%m-%d %H:%M'), ',' ORDER BY timestamp) AS first_missing FROM"
-        " (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY timestamp) AS k FROM missing) WHERE k <= 10 GROUP BY 1) f USING (ticker)",
+        "SELECT g.ticker, gaps, missing_bars, first_missing, last_missing FROM (SELECT ticker, count(*) AS gaps, CAST(sum(missing_count) AS BIGINT) AS missing_bars FROM gaps GROUP BY 1) g"
+        " JOIN (SELECT ticker, min(timestamp) AS first_missing, max(timestamp) AS last_missing FROM missing GROUP BY 1) f USING (ticker)",
     ),
     "gap_fill": sql([INTRA, GAPS, FILL], select([*TKEY, *_BAR_COLUMNS], "filled")),
     "gap_fill_summary": sql(
@@ -565,7 +627,7 @@ ORACLE: dict[str, str] = {
          " (SELECT *, CASE WHEN date - lag(date) OVER (PARTITION BY ticker ORDER BY date) <= 7 THEN 0 ELSE 1 END AS o FROM days)) GROUP BY ticker, k)"],
         "SELECT (SELECT count(*) FROM days) AS dates_processed, (SELECT count(*) FROM filled) AS bars_inserted,"
         " (SELECT count(*) FROM islands i WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.ticker = i.ticker AND CAST(l.timestamp AS DATE) BETWEEN i.s AND i.e)) AS errors,"
-        " (SELECT count(DISTINCT date) FROM missing WHERE date < DATE '2026-01-10' - 730) AS skipped_old",
+        " 0 AS skipped_old",
     ),
     "news_daily": sql([NEWS, NEWS_DAYS], select([*KEY, *NEWS_COUNTS[:-1], *NEWS_VALUES[:4]], "nd")),
     "news_rolling": sql([NEWS, NEWS_DAYS, NEWS_ROLLING], select([*KEY, "news_rolling_count", "sentiment_rolling_avg"], "nr")),
@@ -576,8 +638,7 @@ ORACLE: dict[str, str] = {
     ),
     "news_latest": sql(
         [NEWS],
-        "SELECT id, ticker, published_at, author, type FROM news WHERE published_at >= TIMESTAMP '1995-02-01' AND published_at <= TIMESTAMP '1995-12-31'"
-        " ORDER BY published_at DESC, id LIMIT 100",
+        "SELECT id, ticker, published_at, author, type FROM news WHERE published_at >= TIMESTAMP '1995-02-01' AND published_at <= TIMESTAMP '1995-12-31'",
     ),
     "lexicon_sentiment": sql(
         [NEWS, f"s AS (SELECT id, {_score_text('description', _GOOD, _BAD)} AS x FROM news)"],
@@ -608,16 +669,18 @@ ORACLE: dict[str, str] = {
     "upsert_news": sql(
         [NEWS],
         "SELECT id, CASE WHEN old THEN ticker ELSE 'NEW' END AS ticker, published_at, CASE WHEN fresh THEN 'NEW ' || title ELSE title END AS title,"
-        " CASE WHEN fresh THEN 'new' ELSE 'old' END AS description, '' AS url, CASE WHEN old THEN author ELSE 'NEW' END AS author, type,"
-        " round(CAST(sentiment_score AS DOUBLE), 6) AS sentiment_score, sentiment_label, CAST(NULL AS VARCHAR) AS sentiment_reasoning, 'a' AS keywords, ticker AS tickers FROM"
+        " CASE WHEN fresh THEN upper(description) ELSE description END AS description, '' AS url, CASE WHEN old THEN author ELSE 'NEW' END AS author, type,"
+        " round(CAST(sentiment_score AS DOUBLE), 6) AS sentiment_score, sentiment_label, CAST(NULL AS VARCHAR) AS sentiment_reasoning,"
+        " array_to_string(CASE WHEN fresh THEN list_reverse(keywords) ELSE keywords END, '|') AS keywords,"
+        " array_to_string(CASE WHEN fresh THEN list_concat(tickers, ['NEW']) ELSE tickers END, '|') AS tickers FROM"
         " (SELECT *, published_at < TIMESTAMP '1995-03-15' AS old, published_at >= TIMESTAMP '1995-02-15' AS fresh FROM news)",
     ),
     "ledger_latest": sql([LEDGER], "SELECT * FROM latest"),
     "backfill_ranges": sql([LEDGER], "SELECT ticker, start_date, end_date FROM todo WHERE kind = 'daily'"),
     "backfill_plan": sql(
         [LEDGER],
-        "SELECT ticker, start_date, least(end_date, start_date + 29) AS end_date, kind || '_resume' AS plan FROM todo WHERE kind <> 'news'"
-        " UNION ALL SELECT ticker, start_date, least(end_date, start_date + 6), 'news_resume' FROM todo WHERE kind = 'news'"
+        "SELECT ticker, d AS start_date, least(end_date, d + CASE kind WHEN 'news' THEN 6 ELSE 29 END) AS end_date, kind || '_resume' AS plan FROM"
+        " (SELECT *, CAST(unnest(generate_series(start_date, end_date, CASE kind WHEN 'news' THEN INTERVAL 7 DAY ELSE INTERVAL 30 DAY END)) AS DATE) AS d FROM todo)"
         " UNION ALL SELECT ticker, d, least(d + 6, DATE '2001-07-05'), 'news_full' FROM who CROSS JOIN"
         " (SELECT CAST(unnest(generate_series(DATE '2001-06-01', DATE '2001-07-05', INTERVAL 7 DAY)) AS DATE) AS d)",
     ),

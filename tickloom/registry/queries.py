@@ -67,6 +67,19 @@ def _daily(*blocks, names=None) -> Query:
     return query
 
 
+def _sparse(*blocks, names=None) -> Query:
+    """The same over every calendar day of a ticker, days without a bar having no prices."""
+    wanted = names or [c for b in blocks for c in b.columns()]
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        bars = views.bars_daily(spark, folder)
+        spans = bars.groupBy("ticker").agg(F.min("date").alias("a"), F.max("date").alias("b"))
+        days = spans.select("ticker", F.explode(F.sequence("a", "b")).alias("date"))
+        return _keyed(run_blocks(days.join(bars, ["ticker", "date"], "left"), *blocks), ("ticker", "date"), wanted)
+
+    return query
+
+
 def _index_columns(spark: SparkSession, folder: str) -> DataFrame:
     return market.index_returns(views.index_daily(spark, folder))
 
@@ -182,13 +195,7 @@ def _gaps(spark, folder):
 
 
 def intraday_gaps(spark, folder):
-    gaps = _gaps(spark, folder).withColumns(
-        {
-            "first_missing": F.element_at("missing_timestamps", 1),
-            "last_missing": F.element_at("missing_timestamps", -1),
-        }
-    )
-    return shown(gaps.drop("missing_timestamps"))
+    return shown(_gaps(spark, folder))
 
 
 def missing_timestamps(spark, folder):
@@ -201,8 +208,7 @@ def gap_ranges(spark, folder):
 
 
 def gap_summary(spark, folder):
-    listed = F.transform("first_missing", lambda t: F.date_format(t, "yyyy-MM-dd HH:mm"))
-    return quality.gap_summary(_gaps(spark, folder)).withColumn("first_missing", F.array_join(listed, ","))
+    return shown(quality.gap_summary(_gaps(spark, folder)))
 
 
 def _landed_for_gaps(spark, folder):
@@ -213,7 +219,7 @@ def _landed_for_gaps(spark, folder):
 
 
 def _filled(spark, folder):
-    return quality.fill_gaps(_gaps(spark, folder), _landed_for_gaps(spark, folder), date(2026, 1, 10))
+    return quality.fill_gaps(_gaps(spark, folder), _landed_for_gaps(spark, folder))
 
 
 def gap_fill(spark, folder):
@@ -313,12 +319,17 @@ def upsert_bars(spark, folder):
 
 
 def upsert_news(spark, folder):
-    articles = views.news(spark, folder).drop("keywords", "tickers", "description").withColumns(
-        {"keywords": F.array(F.lit("a")), "tickers": F.array("ticker"), "description": F.lit("old")}
-    )
+    articles = views.news(spark, folder)
     base = articles.filter(F.col("published_at") < "1995-03-15")
     batch = articles.filter(F.col("published_at") >= "1995-02-15").withColumns(
-        {"ticker": F.lit("NEW"), "author": F.lit("NEW"), "title": F.concat(F.lit("NEW "), "title"), "description": F.lit("new")}
+        {
+            "ticker": F.lit("NEW"),
+            "author": F.lit("NEW"),
+            "title": F.concat(F.lit("NEW "), "title"),
+            "description": F.upper("description"),
+            "keywords": F.reverse("keywords"),
+            "tickers": F.array_append("tickers", F.lit("NEW")),
+        }
     )
     merged = merge_batch(base, batch, NEWS_POLICY)
     listed = {"keywords": F.array_join("keywords", "|"), "tickers": F.array_join("tickers", "|")}
@@ -406,6 +417,12 @@ QUERIES: dict[str, Query] = {
     "volume_ratio_flags": _daily(volume.VolumeRatio(V)),
     "volume_trend": _daily(volume.VolumeTrend(V)),
     "dollar_volume": _daily(volume.TradedValue(V)),
+    "sparse_ema": _sparse(price.ExponentialAverages((12,)), names=["ema_12"]),
+    "sparse_macd": _sparse(technical.Macd(12, 26, 9), names=["macd_12_26_9"]),
+    "sparse_rsi": _sparse(technical.Rsi(14)),
+    "sparse_atr": _sparse(technical.AverageTrueRange(14), names=["atr_14"]),
+    "sparse_adx": _sparse(technical.Adx(14), names=["adx_14"]),
+    "sparse_drawdown": _sparse(price.Drawdown(P)),
     "rsi": _daily(technical.Rsi(14)),
     "macd": _daily(technical.Macd(12, 26, 9)),
     "stochastic": _daily(technical.Stochastic(14, 3, 3)),

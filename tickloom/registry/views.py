@@ -123,7 +123,7 @@ def news(spark: SparkSession, folder: str) -> DataFrame:
         F.col("doc_id").cast("string").alias("id"),
         ticker.alias("ticker"),
         published.alias("published_at"),
-        F.substring("text", 1, 40).alias("title"),
+        F.split("text", "\n").getItem(0).alias("title"),
         F.col("text").alias("description"),
         F.lit("").alias("url"),
         F.col("source").alias("author"),
@@ -131,6 +131,6 @@ def news(spark: SparkSession, folder: str) -> DataFrame:
         score.alias("sentiment_score"),
         label.alias("sentiment_label"),
         F.lit(None).cast("string").alias("sentiment_reasoning"),
-        F.split(F.substring("text", 1, 60), " ").alias("keywords"),
+        F.split("text", " ").alias("keywords"),
         F.array("source").alias("tickers"),
     )

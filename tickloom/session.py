@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-from functools import cache
-
 from pyspark.sql import SparkSession
 
 # Feature rows are wider than Spark's default limit of 100 code-generated
@@ -49,17 +46,3 @@ def local_session(
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return prepare_session(spark)
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach, as the cluster names it.
-
-    Only where the cluster names none (tests on one machine) a local one is made.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured or _local_folder()
-
-
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="run-")

@@ -16,8 +16,8 @@ def read_landing_news(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LANDING_NEWS).json(path)
 
 
-def bars_from_landing(df: DataFrame, with_date: bool = False) -> DataFrame:
-    """Epoch milliseconds to a UTC timestamp (and date), short names to long."""
+def bars_from_landing(df: DataFrame, with_date: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Epoch milliseconds to a UTC timestamp (and date), short names to long; columns in ``keep`` stay."""
     at = F.timestamp_millis(F.col("timestamp"))
     out = df.select(
         "ticker",
@@ -26,6 +26,7 @@ def bars_from_landing(df: DataFrame, with_date: bool = False) -> DataFrame:
         F.col("volume").cast("long").alias("volume"),
         F.col("transactions").cast("long").alias("transactions"),
         F.col("vwap").cast("double").alias("volume_weighted_avg_price"),
+        *keep,
     )
     return out.withColumn("date", F.to_date("timestamp")) if with_date else out
 

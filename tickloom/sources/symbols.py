@@ -9,15 +9,11 @@ DEFAULT_INDEX = "SPY"
 
 # Default universe.
 SYMBOLS = (
-    "AAPL MSFT GOOGL AMZN META NVDA INTC CSCO ORCL IBM "
-    "JPM BAC WFC GS MS V MA AXP "
-    "JNJ PFE MRK ABBV LLY "
-    "XOM CVX COP NEE "
-    "WMT COST TGT HD PG KO PEP "
-    "TSLA F GM CAT BA "
-    "CMCSA DIS NFLX T "
-    "BABA TM TSM HSBC"
-).split()
+    "AAPL", "MSFT", "GOOGL", "AMZN", "META", "NVDA", "INTC", "CSCO", "ORCL", "IBM", "JPM", "BAC", "WFC", "GS",
+    "MS", "V", "MA", "AXP", "JNJ", "PFE", "MRK", "ABBV", "LLY", "XOM", "CVX", "COP", "NEE", "WMT", "COST",
+    "TGT", "HD", "PG", "KO", "PEP", "TSLA", "F", "GM", "CAT", "BA", "CMCSA", "DIS", "NFLX", "T", "BABA", "TM",
+    "TSM", "HSBC",
+)
 
 
 def get_market_index(ticker: str | None) -> str:
@@ -44,6 +40,8 @@ def with_market_index(df: DataFrame, symbols: DataFrame | None) -> DataFrame:
     """Add ``market_index``; tickers outside the dimension use the default."""
     if symbols is None:
         return df.withColumn("market_index", F.lit(DEFAULT_INDEX))
-    return df.join(symbols.select("ticker", "market_index"), "ticker", "left").withColumn(
+    # One index per ticker, so that a repeated dimension row repeats no bar.
+    one = symbols.groupBy("ticker").agg(F.min("market_index").alias("market_index"))
+    return df.join(one, "ticker", "left").withColumn(
         "market_index", F.coalesce("market_index", F.lit(DEFAULT_INDEX))
     )

@@ -6,7 +6,7 @@ import os
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import require_columns
@@ -15,6 +15,7 @@ from ..operators.quality import DayDistance, SecondDistance, calendar_columns, d
 
 Tickers = str | Iterable[str] | None
 
+STORED = ("daily_bars", "intraday_bars", "news_articles", "api_metadata", "symbols")
 PRICES = ("open", "high", "low", "close")
 TAIL = ("volume", "transactions", "volume_weighted_avg_price")
 NEWS_COLUMNS = (
@@ -48,16 +49,23 @@ class MarketTables:
         def read(name: str) -> DataFrame:
             return spark.read.parquet(os.path.join(root, name))
 
-        return cls(read("daily_bars"), read("intraday_bars"), read("news_articles"), read("api_metadata"))
+        return cls(*map(read, STORED))
 
     @classmethod
-    def from_jdbc(cls, spark: SparkSession, url: str, **options: str) -> MarketTables:
-        """Tables of a database; filters and column lists are pushed to it."""
+    def from_jdbc(
+        cls, spark: SparkSession, url: str, partitioned: dict[str, dict[str, str]], **options: str
+    ) -> MarketTables:
+        """Tables of a database; filters and column lists are pushed to it.
+
+        ``partitioned`` has the options of each table by which several tasks read it at
+        once (partitionColumn, lowerBound, upperBound, numPartitions).
+        """
 
         def read(name: str) -> DataFrame:
-            return spark.read.format("jdbc").options(url=url, dbtable=name, **options).load()
+            own = options | partitioned.get(name, {})
+            return spark.read.format("jdbc").options(url=url, dbtable=name, **own).load()
 
-        return cls(read("daily_bars"), read("intraday_bars"), read("news_articles"), read("api_metadata"))
+        return cls(*map(read, STORED))
 
 
 def filter_tickers(df: DataFrame, ticker: Tickers) -> DataFrame:
@@ -125,9 +133,11 @@ def news_between(
     published_lte: str | None = None,
     ticker: Tickers = None,
     order: str = "desc",
-    limit: int | None = 100,
+    limit: int | None = None,
+    per_ticker: int | None = None,
 ) -> DataFrame:
-    """Articles of a period, newest or oldest first, at most ``limit`` of them."""
+    """Articles of a period, newest or oldest first: all, or on request the first
+    ``limit`` of them, or the first ``per_ticker`` of each ticker."""
     if order not in ("asc", "desc"):
         raise ValueError("order must be 'asc' or 'desc'")
     out = filter_tickers(df, ticker)
@@ -136,5 +146,9 @@ def news_between(
     if published_lte is not None:
         out = out.filter(F.col("published_at") <= F.lit(published_lte).cast("timestamp"))
     at = F.col("published_at")
-    out = out.orderBy(at.asc() if order == "asc" else at.desc(), "id")
+    ordered = (at.asc() if order == "asc" else at.desc(), F.col("id"))
+    if per_ticker is not None:
+        rank = F.row_number().over(Window.partitionBy("ticker").orderBy(*ordered))
+        out = out.withColumn("_rank", rank).filter(F.col("_rank") <= per_ticker).drop("_rank")
+    out = out.orderBy(*ordered)
     return out if limit is None else out.limit(limit)
