@@ -6,6 +6,9 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 
+# The names and defaults of all settings below are part of the interface.
+
+
 @dataclass(frozen=True)
 class PriceFeatureConfig:
     return_windows: tuple[int, ...] = (5, 10, 20)

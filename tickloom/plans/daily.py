@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -19,7 +20,7 @@ from ..functions.expressions import complete_rows, q
 from ..functions.session_clock import local_time
 from ..operators import candles, confluence, market, news, price, technical, volume
 from ..operators.clock import time_features
-from ..operators.panel import DEFAULT_SLICE_ROWS, run_blocks
+from ..operators.panel import DEFAULT_SLICE_ROWS, Block, run_blocks
 from ..operators.quality import DayDistance, calendar_columns, daily_gaps
 from ..sources.sinks import persist_if_requested
 from ..sources.symbols import DEFAULT_INDEX, with_market_index
@@ -27,6 +28,7 @@ from ..sources.tables import MarketTables, Tickers, filter_tickers, load_index,
 
 CARRIED = ("transactions", "volume_weighted_avg_price", "is_monday", "is_friday", "days_since_prev_close")
 BASE = ("ticker", "date", "open", "high", "low", "close", "volume")
+# Names of the intraday columns in the output.
 INTRADAY_COLUMNS = (
     "hammer_count",
     "bullish_engulf_count",
@@ -58,13 +60,15 @@ def confluence_table(
     time_config: TimeFeatureConfig | None = None,
     news_config: NewsFeatureConfig | None = None,
     confluence_config: ConfluenceConfig | None = None,
+    extra_blocks: Sequence[Block] = (),
     slice_rows: int = DEFAULT_SLICE_ROWS,
 ) -> DataFrame:
     """All daily blocks with the confirmation flags and scores.
 
     Index, news and intraday columns are joined while the rows are narrow. The
     price, technical and volume blocks then share one panel, and the rest is
-    row-wise, so no join or shuffle ever carries the wide rows.
+    row-wise, so no join or shuffle ever carries the wide rows. ``extra_blocks``
+    run in the same panel and add their columns.
     """
     p_cfg = price_config or PriceFeatureConfig()
     v_cfg = volume_config or VolumeFeatureConfig()
@@ -84,6 +88,7 @@ def confluence_table(
         *price.price_blocks(p_cfg),
         *technical.technical_blocks(t_cfg),
         *volume.volume_blocks(v_cfg),
+        *extra_blocks,
     ]
     wide = run_blocks(rows, DayDistance(), *blocks, slice_rows=slice_rows)
     wide = wide.withColumns(calendar_columns(F.col("date")))
@@ -109,6 +114,11 @@ def daily_from_intraday(intraday: DataFrame, time_config: TimeFeatureConfig | No
     )
 
 
+def row_counts(features: DataFrame) -> DataFrame:
+    """Rows per ticker of a feature table."""
+    return features.groupBy("ticker").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def index_bars(tables: MarketTables) -> DataFrame:
     """Bars of the indices that the symbols refer to, and of the default one."""
     if tables.symbols is None:

@@ -18,7 +18,7 @@ from ..operators.panel import run_blocks
 from ..operators.sentiment import combine_sentiment_scores, rule_sentiment
 from ..operators.upsert import DAILY_POLICY, NEWS_POLICY, merge_batch
 from ..plans.backfill import apply_backfill
-from ..plans.daily import INTRADAY_COLUMNS, confluence_table, daily_from_intraday
+from ..plans.daily import INTRADAY_COLUMNS, confluence_table, daily_from_intraday, row_counts
 from ..plans.intraday import intraday_table
 from ..schemas import LANDING_BARS, LANDING_NEWS
 from ..sources.landing import bars_from_landing, news_from_landing
@@ -140,8 +140,7 @@ def daily_features_with_news(spark, folder):
 
 
 def feature_row_counts(spark, folder):
-    rows = complete_rows(_confluence(spark, folder))
-    return rows.groupBy("ticker").agg(F.count(F.lit(1)).alias("rows"))
+    return row_counts(complete_rows(_confluence(spark, folder)))
 
 
 def candle_shape(spark, folder):
