@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.ledger import ledger_rows
-from ..operators.upsert import DAILY_POLICY, INTRADAY_POLICY, NEWS_POLICY, merge_batch, news_defaults
+from ..operators.ledger import append_ledger, ledger_rows
+from ..operators.upsert import DAILY_POLICY, INTRADAY_POLICY, NEWS_POLICY, merge_batch, month_of, news_defaults, upsert_table
 
 _POLICIES = {"daily": DAILY_POLICY, "intraday": INTRADAY_POLICY, "news": NEWS_POLICY}
 _DAY = {
@@ -24,6 +24,31 @@ class BackfillResult:
     ledger: DataFrame
 
 
+def _placed(landed: DataFrame, plan: DataFrame, data_type: str, failures: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """The chunks with the message of their failure, and the landed rows of those that did not fail."""
+    chunk = ["ticker", "start_date", "end_date"]
+    if failures is None:
+        chunks = plan.select(*chunk).withColumn("error_message", F.lit(None).cast("string"))
+    else:
+        chunks = plan.select(*chunk).join(failures.select(*chunk, "error_message"), chunk, "left")
+    # One row per chunk and day turns the range test into an equality.
+    days = chunks.filter(F.col("error_message").isNull() & (F.col("start_date") <= F.col("end_date"))).select(
+        *chunk, F.explode(F.sequence("start_date", "end_date")).alias("_day")
+    )
+    return chunks, landed.withColumn("_day", _DAY[data_type]()).join(days, ["ticker", "_day"]).drop("_day")
+
+
+def _report(chunks: DataFrame, placed: DataFrame, data_type: str, as_of: Column | None) -> DataFrame:
+    chunk = ["ticker", "start_date", "end_date"]
+    counts = placed.groupBy(*chunk).agg(F.count(F.lit(1)).alias("rows_inserted"))
+    return ledger_rows(chunks.join(counts, chunk, "left").fillna(0, subset=["rows_inserted"]), data_type, as_of)
+
+
+def _batch(placed: DataFrame, data_type: str) -> DataFrame:
+    batch = placed.drop("start_date", "end_date")
+    return news_defaults(batch) if data_type == "news" else batch
+
+
 def apply_backfill(
     base: DataFrame,
     landed: DataFrame,
@@ -39,20 +64,28 @@ def apply_backfill(
     error_message``); nothing of them is merged. A chunk without rows counts as
     completed with 0 rows.
     """
-    chunk = ["ticker", "start_date", "end_date"]
-    if failures is None:
-        chunks = plan.select(*chunk).withColumn("error_message", F.lit(None).cast("string"))
-    else:
-        chunks = plan.select(*chunk).join(failures.select(*chunk, "error_message"), chunk, "left")
-    # One row per chunk and day turns the range test into an equality.
-    days = chunks.filter(F.col("error_message").isNull() & (F.col("start_date") <= F.col("end_date"))).select(
-        *chunk, F.explode(F.sequence("start_date", "end_date")).alias("_day")
-    )
-    placed = landed.withColumn("_day", _DAY[data_type]()).join(days, ["ticker", "_day"])
-    counts = placed.groupBy(*chunk).agg(F.count(F.lit(1)).alias("rows_inserted"))
-    report = chunks.join(counts, chunk, "left").fillna(0, subset=["rows_inserted"])
-    batch = placed.drop("_day", "start_date", "end_date")
-    if data_type == "news":
-        batch = news_defaults(batch)
-    merged = merge_batch(base, batch, _POLICIES[data_type], as_of, sequence)
-    return BackfillResult(merged, ledger_rows(report, data_type, as_of))
+    chunks, placed = _placed(landed, plan, data_type, failures)
+    merged = merge_batch(base, _batch(placed, data_type), _POLICIES[data_type], as_of, sequence)
+    return BackfillResult(merged, _report(chunks, placed, data_type, as_of))
+
+
+def store_backfill(
+    spark: SparkSession,
+    table: str,
+    ledger: str,
+    landed: DataFrame,
+    plan: DataFrame,
+    data_type: str,
+    failures: DataFrame | None = None,
+    as_of: Column | None = None,
+    sequence: str | None = None,
+) -> None:
+    """The same, into a stored table (partitioned by month) and a stored ledger.
+
+    The ledger is written last, so a run that breaks off is repeated and not taken for complete.
+    """
+    time = {"daily": "date", "intraday": "timestamp", "news": "published_at"}[data_type]
+    chunks, placed = _placed(landed, plan, data_type, failures)
+    batch = _batch(placed, data_type).withColumn("month", month_of(time))
+    upsert_table(spark, table, batch, _POLICIES[data_type], as_of=as_of, sequence=sequence, key_fixes_partition=data_type != "news")
+    append_ledger(_report(chunks, placed, data_type, as_of), ledger)

@@ -697,3 +697,46 @@ ORACLE: dict[str, str] = {
         " TIMESTAMP '2001-08-15 00:00:00' AS updated_at FROM plan LEFT JOIN n USING (ticker)",
     ),
 }
+
+_OWN_NAMES = [n for n in DAILY_NAMES if n not in MARKET_NAMES]
+ORACLE |= {
+    "backfill_stored_table": ORACLE["backfill_table"],
+    "backfill_stored_ledger": ORACLE["backfill_ledger"],
+    "upsert_intraday": sql(
+        [INTRA, "batch AS (SELECT * REPLACE (close + 1 AS close) FROM ibars WHERE day(timestamp) >= 10)",
+         "merged AS (SELECT * FROM batch UNION ALL SELECT b.* FROM ibars b ANTI JOIN batch USING (ticker, timestamp) WHERE day(b.timestamp) <= 20)"],
+        select([*TKEY, *_BAR_COLUMNS], "merged"),
+    ),
+    "upsert_stored": sql(
+        [*DAILY, "batch AS (SELECT * REPLACE (close * 1.01 AS close) FROM bars WHERE date BETWEEN DATE '1999-11-15' AND DATE '2000-02-15')",
+         "merged AS (SELECT * FROM batch UNION ALL SELECT b.* FROM bars b ANTI JOIN batch USING (ticker, date) WHERE b.date < DATE '2000-01-01')"],
+        select([*KEY, *_BAR_COLUMNS], "merged"),
+    ),
+    "news_loaded": sql(
+        [NEWS],
+        "SELECT ticker, published_at, title, description, '' AS url, author, type, array_to_string(keywords, '|') AS keywords, array_to_string(tickers, '|') AS tickers,"
+        " round(CAST(sentiment_score AS DOUBLE), 6) AS sentiment_score, sentiment_label, CAST(NULL AS VARCHAR) AS sentiment_reasoning FROM news",
+    ),
+    "index_loaded": sql(DAILY, select(["date", "close"], "bars WHERE ticker = '1-URGENT'")),
+    "news_blank": sql(
+        DAILY, "SELECT ticker, date, " + ", ".join([f"CAST(0 AS BIGINT) AS {c}" for c in NEWS_COUNTS] + [f"CAST(0 AS DOUBLE) AS {c}" for c in NEWS_VALUES]) + " FROM bars"
+    ),
+    "news_per_ticker": sql(
+        [NEWS],
+        "SELECT id, ticker, published_at FROM news WHERE published_at >= TIMESTAMP '1995-02-01' AND published_at <= TIMESTAMP '1995-12-31'"
+        " QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY published_at, id) <= 3",
+    ),
+    "daily_own_index": daily(
+        select(
+            [*KEY, *MARKET_NAMES],
+            "(SELECT c.ticker, c.date, o.market_close, o.market_return, c.daily_return - o.market_return AS stock_vs_market_return,"
+            f" {_div('c.daily_return', 'o.market_return')} AS relative_return FROM"
+            " (SELECT * FROM feat WHERE ticker IN ('1-URGENT', '2-HIGH') AND " + " AND ".join(f'"{n}" IS NOT NULL' for n in _OWN_NAMES) + ") c"
+            " LEFT JOIN (SELECT date, close AS market_close, close / lag(close) OVER (ORDER BY date) - 1 AS market_return FROM bars WHERE ticker = '3-MEDIUM') o USING (date))",
+        )
+    ),
+    "intraday_with_landed": sql(
+        [_bars("ibars"), GAPS, FILL, "mbars AS (SELECT * FROM ibars UNION ALL SELECT f.* FROM filled f ANTI JOIN ibars USING (ticker, timestamp))", numbered("mbars", "timestamp"), *_SESSION[1:]],
+        select(INTRADAY_NAMES, "v3 WHERE " + " AND ".join(f'"{n}" IS NOT NULL' for n in INTRADAY_NAMES)),
+    ),
+}

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 from datetime import date
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,14 +18,14 @@ from ..operators.clock import market_hours_only, time_features
 from ..operators.ledger import backfill_plan, last_fetch, resolve_date_ranges
 from ..operators.panel import run_blocks
 from ..operators.sentiment import combine_sentiment_scores, rule_sentiment
-from ..operators.upsert import DAILY_POLICY, NEWS_POLICY, merge_batch
-from ..plans.backfill import apply_backfill
-from ..plans.daily import INTRADAY_COLUMNS, confluence_table, daily_from_intraday, row_counts
-from ..plans.intraday import intraday_table
+from ..operators.upsert import DAILY_POLICY, INTRADAY_POLICY, NEWS_POLICY, merge_batch, month_of, upsert_table
+from ..plans.backfill import apply_backfill, store_backfill
+from ..plans.daily import INTRADAY_COLUMNS, confluence_table, daily_from_intraday, prepare_daily_features, row_counts
+from ..plans.intraday import intraday_table, prepare_intraday_features
 from ..schemas import LANDING_BARS, LANDING_NEWS
 from ..sources.landing import bars_from_landing, news_from_landing
 from ..sources.symbols import backfill_tickers
-from ..sources.tables import load_daily_bars, load_intraday_bars, news_between
+from ..sources.tables import MarketTables, load_daily_bars, load_index, load_intraday_bars, load_news, news_between
 from . import views
 from .digits import digits_of
 
@@ -335,6 +337,63 @@ def upsert_news(spark, folder):
     return shown(merged.withColumns(listed))
 
 
+def upsert_intraday(spark, folder):
+    bars = views.bars_intraday(spark, folder)
+    base = bars.filter(F.dayofmonth("timestamp") <= 20)
+    batch = bars.filter(F.dayofmonth("timestamp") >= 10).withColumn("close", F.col("close") + 1)
+    return shown(merge_batch(base, batch, INTRADAY_POLICY))
+
+
+def _new_folder(spark):
+    """A new folder that all executors reach; a local one only where the cluster names none."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-")
+    return f"{shared.rstrip('/')}/{uuid4().hex}"
+
+
+def _stored(bars, path):
+    bars.withColumn("month", month_of("date")).repartition("month").write.partitionBy("month").parquet(path)
+
+
+def upsert_stored(spark, folder):
+    bars, path = views.bars_daily(spark, folder), _new_folder(spark)
+    _stored(bars.filter(F.col("date") < "2000-01-01"), path)
+    batch = bars.filter(F.col("date").between("1999-11-15", "2000-02-15")).withColumns({"close": F.col("close") * 1.01, "month": month_of("date")})
+    upsert_table(spark, path, batch, DAILY_POLICY)
+    return shown(spark.read.parquet(path).drop("month"))
+
+
+def news_loaded(spark, folder):
+    listed = {"keywords": F.array_join("keywords", "|"), "tickers": F.array_join("tickers", "|")}
+    return shown(load_news(views.news(spark, folder)).withColumns(listed))
+
+
+def index_loaded(spark, folder):
+    return shown(load_index(views.bars_daily(spark, folder), "1-URGENT"))
+
+
+def news_blank(spark, folder):
+    return shown(news.attach_news(views.bars_daily(spark, folder).select("ticker", "date"), None))
+
+
+def news_per_ticker(spark, folder):
+    rows = news_between(views.news(spark, folder), "1995-02-01", "1995-12-31", order="asc", per_ticker=3)
+    return shown(rows.select("id", "ticker", "published_at"))
+
+
+def daily_own_index(spark, folder):
+    """Entry point of the daily plan, two tickers compared with a third."""
+    symbols = spark.createDataFrame([(t, "3-MEDIUM") for t in ("1-URGENT", "2-HIGH")], "ticker string, market_index string")
+    tables = MarketTables(views.bars_daily(spark, folder), symbols=symbols)
+    return _keyed(prepare_daily_features(tables, ["1-URGENT", "2-HIGH"]).features, ("ticker", "date"), market.MARKET_COLUMNS)
+
+
+def intraday_with_landed(spark, folder):
+    """Entry point of the intraday plan, with bars fetched for the gaps."""
+    tables = MarketTables(intraday=views.bars_intraday(spark, folder))
+    done = prepare_intraday_features(tables, landed=_landed_for_gaps(spark, folder), expected_interval_minutes=30)
+    return shown(done.features)
+
+
 def _ledger(spark, folder):
     """One ledger row per order."""
     orders = views.table(spark, folder, "orders")
@@ -393,6 +452,25 @@ def _applied(spark, folder):
     return apply_backfill(base, landed, plan, "daily", failures, at)
 
 
+def _applied_stored(spark, folder):
+    bars, root = views.bars_daily(spark, folder), _new_folder(spark)
+    _stored(bars.filter(F.col("date") < "2000-02-01"), f"{root}/table")
+    landed = bars.filter(F.col("date") >= "2000-01-01").withColumn("close", F.col("close") + 1)
+    plan = backfill_plan(_tickers(spark, folder), None, "daily", "full", AS_OF, "2000-01-10", "2000-03-31")
+    failures = plan.filter(F.col("ticker") == "5-LOW").withColumn("error_message", F.lit("timeout"))
+    at = F.lit("2001-08-15 00:00:00").cast("timestamp")
+    store_backfill(spark, f"{root}/table", f"{root}/ledger", landed, plan, "daily", failures, at)
+    return root
+
+
+def backfill_stored_table(spark, folder):
+    return shown(spark.read.parquet(f"{_applied_stored(spark, folder)}/table").drop("month"))
+
+
+def backfill_stored_ledger(spark, folder):
+    return shown(spark.read.parquet(f"{_applied_stored(spark, folder)}/ledger"))
+
+
 def backfill_table(spark, folder):
     return shown(_applied(spark, folder).table)
 
@@ -470,4 +548,14 @@ QUERIES: dict[str, Query] = {
     "backfill_plan": backfill_plan_query,
     "backfill_table": backfill_table,
     "backfill_ledger": backfill_ledger,
+    "backfill_stored_table": backfill_stored_table,
+    "backfill_stored_ledger": backfill_stored_ledger,
+    "upsert_intraday": upsert_intraday,
+    "upsert_stored": upsert_stored,
+    "news_loaded": news_loaded,
+    "index_loaded": index_loaded,
+    "news_blank": news_blank,
+    "news_per_ticker": news_per_ticker,
+    "daily_own_index": daily_own_index,
+    "intraday_with_landed": intraday_with_landed,
 }
