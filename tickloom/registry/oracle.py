@@ -669,7 +669,7 @@ ORACLE: dict[str, str] = {
     "upsert_news": sql(
         [NEWS],
         "SELECT id, CASE WHEN old THEN ticker ELSE 'NEW' END AS ticker, published_at, CASE WHEN fresh THEN 'NEW ' || title ELSE title END AS title,"
-        " CASE WHEN fresh THEN upper(description) ELSE description END AS description, '' AS url, CASE WHEN old THEN author ELSE 'NEW' END AS author, type,"
+        " CASE WHEN fresh THEN description || ' (new)' ELSE description END AS description, '' AS url, CASE WHEN old THEN author ELSE 'NEW' END AS author, type,"
         " round(CAST(sentiment_score AS DOUBLE), 6) AS sentiment_score, sentiment_label, CAST(NULL AS VARCHAR) AS sentiment_reasoning,"
         " array_to_string(CASE WHEN fresh THEN list_reverse(keywords) ELSE keywords END, '|') AS keywords,"
         " array_to_string(CASE WHEN fresh THEN list_concat(tickers, ['NEW']) ELSE tickers END, '|') AS tickers FROM"

@@ -327,7 +327,7 @@ def upsert_news(spark, folder):
             "ticker": F.lit("NEW"),
             "author": F.lit("NEW"),
             "title": F.concat(F.lit("NEW "), "title"),
-            "description": F.upper("description"),
+            "description": F.concat("description", F.lit(" (new)")),
             "keywords": F.reverse("keywords"),
             "tickers": F.array_append("tickers", F.lit("NEW")),
         }
