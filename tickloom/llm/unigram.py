@@ -17,6 +17,7 @@ to the longer last piece. Very long texts are encoded whole; so are very long wo
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 _UNITS = re.compile(f"{MARK}| +[^ \n{MARK}]*|[^ \n{MARK}]+|\n")
-KEPT_UNITS = 300_000
+KEPT_UNITS = 500_000
 BYTE_PENALTY = 10.0
 
 
@@ -94,6 +95,7 @@ class Vocabulary:
     byte_ids: np.ndarray
     longest: int
     worst: float
+    texts: list[bytes]
 
 
 def vocabulary(model_file: str) -> Vocabulary:
@@ -127,7 +129,10 @@ def make_vocabulary(n: int, normal: list[tuple[bytes, int, float]], byte_ids: np
         pieces[i] = piece
     ordered = sorted((piece, i) for piece, i, _ in normal)
     trie = double_array([p for p, _ in ordered], [i for _, i in ordered])
-    return Vocabulary(pieces, scores, trie, byte_ids, max(map(len, pieces), default=0), float(given.min()) if len(given) else 0.0)
+    texts = [p.replace(MARK.encode(), b" ") for p in pieces]
+    for byte, i in enumerate(byte_ids.tolist()):
+        texts[i] = bytes([byte])
+    return Vocabulary(pieces, scores, trie, byte_ids, max(map(len, pieces), default=0), float(given.min()) if len(given) else 0.0, texts)
 
 
 def _matches(raw: np.ndarray, ends: np.ndarray, words: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -213,7 +218,7 @@ class Encoder:
 
     def __init__(self, words: Vocabulary):
         self.words = words
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}  # ids of a unit as 32-bit numbers in a row
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [_UNITS.findall(" " + t) if t else [] for t in texts]
@@ -223,28 +228,27 @@ class Encoder:
             new = list({u for units in split for u in units})
         for a in range(0, len(new), 50_000):
             part = new[a : a + 50_000]
-            self.known.update(zip(part, encode_units(part, self.words)))
-        known = self.known
-        return [np.array([i for u in units for i in known[u]], np.int32) for units in split]
+            self.known.update((u, array("i", ids).tobytes()) for u, ids in zip(part, encode_units(part, self.words)))
+        ids_of = self.known.__getitem__
+        return [np.frombuffer(b"".join(map(ids_of, units)), np.int32) for units in split]
 
 
-def decode(ids: np.ndarray, words: Vocabulary, byte_of: dict[int, int]) -> str:
+def decode(ids: np.ndarray, words: Vocabulary) -> str:
     """Text of the ids: pieces with their marks as spaces, bytes as they are, without the extra first space."""
-    parts = [bytes([byte_of[i]]) if i in byte_of else words.pieces[i].replace(MARK.encode(), b" ") for i in ids.tolist()]
-    return b"".join(parts)[1:].decode("utf-8")
+    return b"".join(map(words.texts.__getitem__, ids.tolist()))[1:].decode("utf-8")
 
 
 @cache
-def _loaded(model_file: str) -> tuple[Vocabulary, dict[int, int], Encoder]:
+def _loaded(model_file: str) -> tuple[Vocabulary, Encoder]:
     words = vocabulary(model_file)
-    return words, {int(i): b for b, i in enumerate(words.byte_ids)}, Encoder(words)
+    return words, Encoder(words)
 
 
 def encoded(documents: DataFrame, model_file: str, text: str = "text", column: str = "ids") -> DataFrame:
     """Add the ids of every text; a column of that name is replaced. The file is read by each worker once."""
 
     def ids_of(texts: pa.Array) -> pa.Array:
-        return pa.array(_loaded(model_file)[2].encode(texts.to_pylist()), pa.list_(pa.int32()))
+        return pa.array(_loaded(model_file)[1].encode(texts.to_pylist()), pa.list_(pa.int32()))
 
     return documents.withColumn(column, F.arrow_udf(ids_of, "array<int>")(F.coalesce(F.col(text), F.lit(""))))
 
@@ -253,8 +257,8 @@ def decoded(documents: DataFrame, model_file: str, ids: str = "ids", column: str
     """Add the text of every row's ids; null ids are an empty text."""
 
     def text_of(values: pa.Array) -> pa.Array:
-        words, byte_of, _ = _loaded(model_file)
-        return pa.array([decode(np.array(v or [], np.int32), words, byte_of) for v in values.to_pylist()], pa.string())
+        words = _loaded(model_file)[0]
+        return pa.array([decode(np.array(v or [], np.int32), words) for v in values.to_pylist()], pa.string())
 
     return documents.withColumn(column, F.arrow_udf(text_of, "string")(F.col(ids)))
 
@@ -263,7 +267,7 @@ def round_trip(documents: DataFrame, model_file: str, text: str = "text", key: s
     """For every text: number of ids, how many of them spell bytes, their checksum, and whether they decode to the text."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, byte_of, encoder = _loaded(model_file)
+        words, encoder = _loaded(model_file)
         spelled = np.zeros(len(words.pieces), bool)
         spelled[words.byte_ids] = True
         for batch in batches:
@@ -272,7 +276,7 @@ def round_trip(documents: DataFrame, model_file: str, text: str = "text", key: s
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), pa.array([len(i) for i in ids], pa.int64()), pa.array([int(spelled[i].sum()) for i in ids], pa.int64()),
-                    pa.array([crc32(i.astype("<u4").tobytes()) for i in ids], pa.int64()), pa.array([decode(i, words, byte_of) == t for i, t in zip(ids, texts)]),
+                    pa.array([crc32(i.astype("<u4").tobytes()) for i in ids], pa.int64()), pa.array([decode(i, words) == t for i, t in zip(ids, texts)]),
                 ],
                 names=["doc_id", "n_tokens", "n_byte_tokens", "ids_crc32", "round_trip"],
             )
