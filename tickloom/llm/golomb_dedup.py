@@ -155,7 +155,7 @@ def exact_groups(documents: DataFrame, key: str = "doc_id", text: str = "text",
     # Texts of suspects only, compared as bytes by grouping on them.
     suspects = told.where("suspect")
     ids = suspects.select(F.col("doc_id").alias("suspect_id")).distinct()
-    texts = source.join(ids, F.col("doc_id").eqNullSafe(F.col("suspect_id")), "left_semi")
+    texts = source.join(ids.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("suspect_id")), "left_semi")
     packed = F.translate(F.col("text"), SPACE.decode(), "")
     by_bytes = texts.groupBy(packed.alias("packed")).agg(F.count(F.lit(1)).alias("copies"))
     proven = by_bytes.groupBy(F.unhex(F.sha2(F.col("packed").cast("binary"), 256)).alias("sha")).agg(F.count(F.lit(1)).alias("texts"))
@@ -190,7 +190,8 @@ def drop_exact_copies(documents: DataFrame, key: str = "doc_id", text: str = "te
     groups = saved(exact_groups(documents, key, text).select(F.col("doc_id").alias("group_id"), "kept", "text_sha256"), "exact-groups")
     repeated = groups.groupBy("group_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("group_id")
     same_id = F.col(key).cast("long").eqNullSafe(F.col("group_id"))
-    single = documents.join(groups.where("not kept"), same_id, "left_anti").join(repeated, same_id, "left_anti")
+    # Shuffled whatever the size is: the copies grow with the input, so they are never broadcast.
+    single = documents.join(groups.where("not kept").hint("shuffle_hash"), same_id, "left_anti").join(repeated, same_id, "left_anti")
     digest = F.sha2(F.translate(F.coalesce(F.col(text), F.lit("")), SPACE.decode(), "").cast("binary"), 256)
     kept = groups.where("kept").join(repeated.withColumnRenamed("group_id", "repeated_id"), F.col("group_id").eqNullSafe(F.col("repeated_id")), "left_semi")
     many = documents.join(kept, same_id & (digest == F.col("text_sha256")), "left_semi").withColumn("own_digest", digest).dropDuplicates([key, "own_digest"])
