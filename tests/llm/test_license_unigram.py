@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 from zlib import crc32
 
 import numpy as np
@@ -6,7 +7,7 @@ import public_tokenizers
 import pytest
 from helpers import TEXTS, documents, empty
 
-from tickloom.llm import unigram
+from tickloom.llm import license_texts, unigram
 from tickloom.llm.license_scan import TEMPLATES, license_scan, needed_words
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -106,3 +107,38 @@ def test_plan_is_native(spark):
     files = spark.createDataFrame(FILES, "path string, text string")
     plan = license_scan(files)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+BSD_CLAUSE = (
+    "Redistribution and use in source and binary forms, with or without", "modification, are permitted provided that the following conditions", "are met:"
+)
+GPL_HEADER = (
+    "Copyright (C) 2011 A. Person", "", "This program is free software: you can redistribute it and/or modify", "it under the terms of the GNU General Public License as published by", "the Free Software Foundation, either version 3 of the License, or",
+    "(at your option) any later version.", "", "This program is distributed in the hope that it will be useful,", "but WITHOUT ANY WARRANTY; without even the implied warranty of", "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the",
+    "GNU General Public License for more details.", "", "You should have received a copy of the GNU General Public License", "along with this program.  If not, see <http://www.gnu.org/licenses/>.",
+)
+
+
+def test_wrapped_headers_and_licence_files(spark):
+    """Headers in comments of several languages and whole files, none of which has a notice on one line."""
+    whole = {f.stem: f.read_text() for f in Path(license_texts.__file__).parent.glob("*.txt")}
+    code = "\nimport os\n\n\ndef run(a, b):\n    return os.path.join(a, b)\n" * 30
+    texts = {
+        "/1/clause.py": ("BSD-3-Clause", "#!/usr/bin/env python\n# " + "\n# ".join(BSD_CLAUSE) + "\n" + code),
+        "/2/two.c": ("BSD-2-Clause", "/*\n * Copyright (c) 2009, A. Person\n *\n * " + whole["BSD-2-Clause"].replace("\n", "\n * ") + "\n */\n" + code),
+        "/3/gpl.py": ("GPL-3.0", "# " + "\n# ".join(GPL_HEADER) + "\n" + code),
+        "/4/gpl.js": ("GPL-3.0", "/*\n" + "\n".join(GPL_HEADER) + "\n*/\n" + code),
+        "/5/gpl2.cc": ("GPL-2.0", "#ifndef A_H\n#define A_H\n// " + "\n// ".join(GPL_HEADER).replace("version 3", "version 2") + "\n#include <a>\n" + code),
+        "/6/LICENSE": ("MIT", "Copyright (c) 2015 A. Person and others\n\n" + whole["MIT"].split("\n\n", 1)[1]),
+        "/7/plain.py": (None, "# tools for paths\n" + code),
+    }
+    texts |= {f"/whole/{name}/COPYING": (name, f"Copyright 2012 A. Person\n\n{text}") for name, text in whole.items()}
+    files = spark.createDataFrame([(p, t) for p, (_, t) in texts.items()] + [("/6/x.py", code)], "path string, text string").repartition(4)
+    got = {r.path: (r.license, r.source) for r in license_scan(files).collect()}
+    assert got == {p: (name, "own" if name else "none") for p, (name, _) in texts.items()} | {"/6/x.py": ("MIT", "inherited")}
+
+
+def test_header_pattern_takes_long_texts(spark):
+    rows = [("/c", "# line of a comment\n" * 100_000), ("/o", "/* never closed " * 20_000), ("/p", "word\n" * 200_000), ("/b", "\n" * 300_000)]
+    got = license_scan(spark.createDataFrame(rows, "path string, text string")).collect()
+    assert {r.path: r.license for r in got} == dict.fromkeys(["/c", "/o", "/p", "/b"])

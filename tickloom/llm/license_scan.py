@@ -1,10 +1,17 @@
 """Licence scan: sparse TF-IDF cosine of text units to templates, then inheritance from the nearest folder.
 
-Built on DataFrame functions alone. A unit is a line or sentence of a file's whole text. Its words are weighted by
-tf * idf, idf coming from all units of all files; words of no template get the idf of an unseen word, so they only
-lengthen the vector. A file's own licence is that of its best unit, if the cosine reaches ``least``.
+Built on DataFrame functions alone. Three kinds of units are compared:
 
-Prefix filtering keeps this cheap without losing a match: for each template, the words of least weight that together are
+* a line or sentence of a file's whole text with one-sentence notices (``TEMPLATES``);
+* a sentence of the leading header block, its wrapped lines joined, with the same notices;
+* the whole header block and the whole file with the standard headers and whole licence texts (``license_texts``).
+
+The header block is the comments a file begins with, or its first paragraph if it begins with none. Whole files are compared
+whatever their name is. Words are weighted by tf * idf, idf coming from all lines and sentences of all files; words of
+no template of the unit's kind get the idf of an unseen word, so they only lengthen the vector. A file's own licence is that of
+its best unit, if the cosine reaches ``least``; a match of a header or whole text tells more than one of a notice and goes before it.
+
+Prefix filtering keeps this cheap without losing a match: for each template, words that together are
 too light for ``least`` can't make a match alone, so a matching unit holds one of the other words. Only
 units with such a word are taken apart.
 
@@ -20,10 +27,13 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.license_texts import long_templates
+
 #: Notices of well-known licences.
 TEMPLATES = (
     ("AGPL-3.0", "This program is licensed under the GNU Affero General Public License, version 3"),
@@ -43,6 +53,12 @@ TEMPLATES = (
 )
 LEAST = 0.7
 UNIT_END = r"\n|[.!?]\s+"
+#: The comments at the start of a text. All repetitions are possessive or lazy ones of a single place, so none recurses.
+HEADER = (
+    r"(?s)\A\ufeff?(?:\s*+(?:\#!|\#\s*(?:ifndef|ifdef|if|define|pragma)\b|<\?|<!DOCTYPE)[^\n]*+)*+"
+    r"(?:\s*+(?:/\*.*?\*/|<!--.*?-->|[ru]?\"{3}.*?\"{3}|[ru]?'{3}.*?'{3}|\(\*.*?\*\)|\{-.*?-\}|=begin\b.*?=end\b"
+    r"|(?:\#(?!\s*(?:include|if|ifdef|ifndef|define|import|pragma|undef)\b)|//|--|;|%|\*|!|'|\.\.|\.\\\"|@?(?i:rem|dnl)\b)[^\n]*+))*+"
+)
 LICENSE_NAME = r"(?i)^(licen[cs]e|copying|notice)"
 
 
@@ -74,40 +90,83 @@ def word_weights(files: DataFrame, templates) -> tuple[dict[str, float], float]:
     return {w: idf(counted.get(w, 0)) for w in vocabulary}, idf(0)
 
 
-def needed_words(weights: dict[str, float], least: float) -> set[str]:
-    """Words of a template of which any unit of cosine ``least`` holds one: all but the lightest that can't do it alone."""
+def needed_words(weights: dict[str, float], least: float, common: frozenset[str] = frozenset()) -> set[str]:
+    """Words of a template of which any unit of cosine ``least`` holds one: all but the lightest that can't do it alone.
+
+    ``common`` words are left out before lighter ones, as far as they can't do it alone either.
+    """
     light, bound = 0.0, least * least * sum(w * w for w in weights.values())
     out = set()
-    for word, w in sorted(weights.items(), key=lambda x: (x[1], x[0])):
+    for word, w in sorted(weights.items(), key=lambda x: (x[0] not in common, x[1], x[0])):
         light += w * w
         if light >= bound * (1 - 1e-9):
             out.add(word)
     return out
 
 
-def own_licenses(files: DataFrame, templates=TEMPLATES, least: float = LEAST) -> DataFrame:
-    """(path, license, score) of the files with a licence in their text; ``files`` has path and text."""
+def _header_blocks(files: DataFrame) -> DataFrame:
+    """(path, unit) of the block each file begins with, paragraphs parted by a blank line."""
+    comments = F.regexp_extract("text", HEADER, 0)
+    first = F.split(F.regexp_replace("text", r"\A\s++", ""), r"\n[^\S\n]*+\n", 2)[0]
+    block = F.when(comments.rlike(r"[A-Za-z0-9]"), comments).otherwise(first)
+    return files.select("path", F.regexp_replace(block, r"\n(?:[^A-Za-z0-9\n]*+\n)++", "\n\n").alias("unit"))
+
+
+def _unwrapped(blocks: DataFrame) -> DataFrame:
+    """(path, unit) of the sentences of blocks of several lines, each as one line."""
+    joined = F.regexp_replace("unit", r"(?<!\n)\n(?!\n)[^A-Za-z0-9\n]*+(?:(?i:rem|dnl)\b)?", " ")
+    return blocks.where(F.instr("unit", "\n") > 0).select("path", F.explode(F.split(joined, UNIT_END)).alias("unit")).where(F.col("unit") != "")
+
+
+def _one_of(words: set[str]) -> str:
+    """Pattern of any of the words, parted by their first letters, so that most places fail at once."""
+    starts = {w[0] for w in words}
+    ends = {c: "|".join(sorted(w[1:] for w in words if w[0] == c)) for c in starts}
+    return rf"(?<![a-z0-9])(?:{'|'.join(f'{c}(?:{ends[c]})' for c in sorted(starts))})(?![a-z0-9])"
+
+
+def _matches(files: DataFrame, units_of: Callable[[DataFrame], DataFrame], templates, idf: dict[str, float], unseen: float, least: float) -> DataFrame:
+    """(path, license, score) of the units that reach ``least``; ``units_of`` gives path and unit of files."""
     spark = files.sparkSession
-    idf, unseen = word_weights(files, templates)
-    vectors = {}
-    for name, text in templates:
+    vectors = []
+    for _, text in templates:
         words = _words(text)
-        vectors[name] = {w: words.count(w) * idf[w] for w in set(words)}
-    needed = sorted(set().union(*(needed_words(v, least) for v in vectors.values())))
-    norms = {name: math.sqrt(sum(w * w for w in v.values())) for name, v in vectors.items()}
-    weights = spark.createDataFrame([(w, name, v[w] / norms[name]) for name, v in vectors.items() for w in sorted(v)], "word string, license string, weight double")
-    known = spark.createDataFrame(sorted(idf.items()), "word string, idf double")
-
-    telling = _units(files).where(F.lower("unit").rlike(rf"(?<![a-z0-9])({'|'.join(needed)})(?![a-z0-9])"))
+        vectors.append({w: words.count(w) * idf[w] for w in set(words)})
+    idf = {w: idf[w] for w in sorted(set().union(*vectors))}
+    common = frozenset(w for w, v in idf.items() if v < 0.7 * unseen)
+    needed = _one_of(set().union(*(needed_words(v, least, common) for v in vectors)))
+    norms = [math.sqrt(sum(w * w for w in v.values())) for v in vectors]
+    rows = [(w, number, name, v[w] / norms[number]) for number, ((name, _), v) in enumerate(zip(templates, vectors)) for w in sorted(v)]
+    weights = spark.createDataFrame(rows, "word string, template int, license string, weight double")
+    known = spark.createDataFrame(list(idf.items()), "word string, idf double")
+
+    # A file without any needed word has no unit with one.
+    telling = units_of(files.where(F.lower("text").rlike(needed))).where(F.lower("unit").rlike(needed))
     numbered = telling.select("path", F.monotonically_increasing_id().alias("number"), _tokens(F.col("unit")).alias("words"))
     counted = numbered.select("path", "number", F.explode("words").alias("word")).groupBy("path", "number", "word").agg(F.count(F.lit(1)).alias("tf"))
     weighed = counted.join(F.broadcast(known), "word", "left")
     # A word of no template is a dimension of its own at each of its places.
     part = F.when(F.col("idf").isNull(), F.col("tf") * F.lit(unseen * unseen)).otherwise(F.pow(F.col("tf") * F.col("idf"), 2))
     length = weighed.groupBy("path", "number").agg(F.sqrt(F.sum(part)).alias("length"))
-    dots = weighed.where("idf is not null").join(F.broadcast(weights), "word").groupBy("path", "number", "license").agg(F.sum(F.col("tf") * F.col("idf") * F.col("weight")).alias("dot"))
-    scored = dots.join(length, ["path", "number"]).select("path", "license", F.round(F.col("dot") / F.col("length"), 6).alias("score")).where(F.col("score") >= least)
-    best = scored.groupBy("path").agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("b"))
+    dots = weighed.where("idf is not null").join(F.broadcast(weights), "word").groupBy("path", "number", "template", "license").agg(F.sum(F.col("tf") * F.col("idf") * F.col("weight")).alias("dot"))
+    return dots.join(length, ["path", "number"]).select("path", "license", F.round(F.col("dot") / F.col("length"), 6).alias("score")).where(F.col("score") >= least)
+
+
+def own_licenses(files: DataFrame, templates=TEMPLATES, least: float = LEAST, longer=None) -> DataFrame:
+    """(path, license, score) of the files with a licence in their text; ``files`` has path and text."""
+    longer = long_templates() if longer is None else longer
+    idf, unseen = word_weights(files, [*templates, *longer])
+
+    def sentences(some: DataFrame) -> DataFrame:
+        return _units(some).unionByName(_unwrapped(_header_blocks(some)))
+
+    def wholes(some: DataFrame) -> DataFrame:
+        return _header_blocks(some).unionByName(some.select("path", F.col("text").alias("unit")))
+
+    scored = _matches(files, sentences, templates, idf, unseen, least).withColumn("rank", F.lit(1))
+    if longer:
+        scored = scored.unionByName(_matches(files, wholes, longer, idf, unseen, least).withColumn("rank", F.lit(0)))
+    best = scored.groupBy("path").agg(F.min(F.struct("rank", (-F.col("score")).alias("minus"), "license")).alias("b"))
     return best.select("path", "b.license", (-F.col("b.minus")).alias("score"))
 
 
@@ -116,10 +175,13 @@ def folder_of(path: Column) -> Column:
     return F.regexp_replace(path, "/?[^/]*$", "")
 
 
-def license_scan(files: DataFrame, templates=TEMPLATES, least: float = LEAST, path: str = "path", text: str = "text") -> DataFrame:
-    """(path, license, score, source) for every path; ``source`` is own, inherited or none."""
+def license_scan(files: DataFrame, templates=TEMPLATES, least: float = LEAST, path: str = "path", text: str = "text", longer=None) -> DataFrame:
+    """(path, license, score, source) for every path; ``source`` is own, inherited or none.
+
+    ``templates`` are notices of one sentence, ``longer`` headers and whole texts (those of ``license_texts`` unless given).
+    """
     clean = files.select(F.coalesce(F.col(path), F.lit("")).alias("path"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    own = own_licenses(clean, templates, least)
+    own = own_licenses(clean, templates, least, longer)
     name = F.regexp_extract("path", "[^/]*$", 0)
     speaking = own.where(name.rlike(LICENSE_NAME)).groupBy(folder_of(F.col("path")).alias("ancestor")).agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("b"))
     # Ancestors of each distinct folder, itself included: every prefix that ends before a slash.
