@@ -91,3 +91,16 @@ def test_learning_ignores_the_held_out_fold(spark):
     flipped = marks.withColumn("quality", F.when(crc_fold("doc_id", 5) == 0, 1 - F.col("quality")).otherwise(F.col("quality")))
     a, b = (fit_quality(df, m, crc_fold("doc_id", 5) != 0) for m in (marks, flipped))
     assert all((x == y).all() for x, y in zip(a.tables, b.tables))
+
+
+def test_fitting_sees_every_window_of_long_texts(spark, monkeypatch):
+    from tickloom.llm import toxicity
+
+    texts = {i: " ".join(f"w{i}x{k}" for k in range(3_000)) for i in range(4)}
+    seen, trained = {}, []
+    monkeypatch.setattr(toxicity, "fit_compression", lambda rows: seen.update({i: blob for i, _, blob in rows}) or toxicity.CompressionModel())
+    monkeypatch.setattr(toxicity.zstandard, "train_dictionary", lambda size, samples, **_: trained.extend(samples) or toxicity.zstandard.ZstdCompressionDict(b"x" * 64))
+    fit_toxicity(documents(spark, list(texts.items())), labels(spark, [(i, i % 2) for i in texts]), crc_fold("doc_id", 5) >= 0, "toxic")
+    assert {i: sorted(blob.split(b"\n")) for i, blob in seen.items()} == {i: sorted(text_windows(t)) for i, t in texts.items()}
+    toxicity._ordinary_dictionary([b"\n".join(b"window %08d" % k for k in range(70_000))], 1024)
+    assert len(trained) == 70_000

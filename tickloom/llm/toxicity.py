@@ -11,8 +11,8 @@ turned into a probability by a logistic curve calibrated on labelled texts that
 Both compressors share the ordinary dictionary because two unrelated dictionaries of a few
 kilobytes differ by chance by more than one offensive word saves.
 
-Everything is fitted on at most ``toxic_rows`` + ``ordinary_rows`` labelled texts. Of each of those, at most
-``fit_windows`` windows (chosen by hash) come to the driver; scoring uses every window of every text.
+Everything is fitted on at most ``toxic_rows`` + ``ordinary_rows`` labelled texts, with all windows of
+each, as scoring uses every window of every text. The number of texts bounds what comes to the driver.
 
 Defined results: a null text counts as empty; an empty text has no window and gains of 0. Without labels
 of both classes every score is the smoothed share of label 1. Equal texts score alike.
@@ -98,7 +98,7 @@ def _cached(content: bytes, level: int) -> zstandard.ZstdCompressor:
 
 def _ordinary_dictionary(docs: list[bytes], size: int) -> bytes:
     """Content of a dictionary trained on windows of ordinary texts; too few samples are their own dictionary."""
-    samples = [w for d in docs for w in d.split(b"\n") if len(w) >= 8][:60_000]
+    samples = [w for d in docs for w in d.split(b"\n") if len(w) >= 8]
     try:
         return zstandard.train_dictionary(size, samples, k=64, d=6).as_bytes()
     except zstandard.ZstdError:
@@ -235,7 +235,7 @@ def fit_compression(texts: list[tuple[int, int, bytes]], ordinary_size: int = 16
 
 def fit_toxicity(
     documents: DataFrame, labels: DataFrame, learn_from: Column, label: str = "toxic", key: str = "doc_id", text: str = "text",
-    toxic_rows: int = 1_500, ordinary_rows: int = 3_000, fit_windows: int = 120, **options,
+    toxic_rows: int = 1_500, ordinary_rows: int = 3_000, **options,
 ) -> CompressionModel:
     """Fit on a bounded sample of each class among the labelled rows that fulfil ``learn_from``."""
     sample = label_sample(labels, label, learn_from & (F.col(label) == 1), toxic_rows, key).unionByName(label_sample(labels, label, learn_from & (F.col(label) == 0), ordinary_rows, key))
@@ -243,8 +243,8 @@ def fit_toxicity(
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            chosen = [b"\n".join(sorted(text_windows(t), key=crc32)[:fit_windows]) for t in pdf["text"]]
-            yield pd.DataFrame({"sample_id": pdf["sample_id"], "label": pdf["label"], "windows": chosen})
+            windows = [b"\n".join(text_windows(t)) for t in pdf["text"]]
+            yield pd.DataFrame({"sample_id": pdf["sample_id"], "label": pdf["label"], "windows": windows})
 
     got = sampled_texts(documents, sample, key, text).mapInPandas(rows, "sample_id long, label int, windows binary").toPandas()
     model = fit_compression([(int(i), int(y), bytes(w)) for i, y, w in zip(got["sample_id"], got["label"], got["windows"])], **options)
