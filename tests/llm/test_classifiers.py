@@ -104,3 +104,30 @@ def test_fitting_sees_every_window_of_long_texts(spark, monkeypatch):
     assert {i: sorted(blob.split(b"\n")) for i, blob in seen.items()} == {i: sorted(text_windows(t)) for i, t in texts.items()}
     toxicity._ordinary_dictionary([b"\n".join(b"window %08d" % k for k in range(70_000))], 1024)
     assert len(trained) == 70_000
+
+
+def test_every_window_gets_the_exact_parse():
+    from tickloom.llm import toxicity
+
+    rng = random.Random(3)
+    plain = [" ".join("".join(rng.choice("aeioustnr") for _ in range(5)) for _ in range(80)) for _ in range(200)]
+    marked = [t + " grumblefix" * (k % 3 == 0) + " zoddlewump" * (k % 3 == 0) for k, t in enumerate(plain)]
+    model = fit_compression([(k, int(k % 3 == 0), b"\n".join(text_windows(t))) for k, t in enumerate(marked)])
+    windows = [w for t in plain for w in text_windows(t)] + text_windows("grum zoddle fix lewump grumble blefix zodd wump")
+    calls = []
+    compressors = {c: toxicity._cached(c) for c in (model.ordinary, model.ordinary + model.toxic)}
+
+    class Counted:
+        def __init__(self, content):
+            self.content = content
+
+        def compress(self, window):
+            calls.append((self.content, window))
+            return compressors[self.content].compress(window)
+
+    was, toxicity._cached = toxicity._cached, Counted
+    try:
+        model.gains(windows)
+    finally:
+        toxicity._cached = was
+    assert toxicity.LEVEL == 16 and sorted(calls) == sorted((c, w) for c in compressors for w in windows)

@@ -3,8 +3,8 @@
 Two zstandard dictionaries are trained: one on windows of ordinary text, one on the phrases that set toxic text
 apart. A window of a few words is compressed twice, once primed with the ordinary dictionary and once
 with the ordinary one continued by the toxic one; the bytes that the toxic continuation saves are the window's gain.
-Every window is measured by a fast parse; those that gain anything are measured again by the exact parse, with the
-entropy tables of the trained dictionary, which tells an offensive stem of five bytes from chance.
+Every window is measured by zstandard's exact parse with the entropy tables of the trained dictionary, which tells
+an offensive stem of five bytes from chance.
 A text's gains (largest, mean of the two largest, the sum above a noise level, and the number of windows) are
 turned into a probability by a logistic curve calibrated on labelled texts that the dictionaries were not trained on.
 
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.labelled import label_sample, sampled_texts
 
-WINDOW, STRIDE, GRAM, LEVEL, EXACT_LEVEL, CORE = 6, 4, 5, 9, 16, 0.8
+WINDOW, STRIDE, GRAM, LEVEL, CORE = 6, 4, 5, 16, 0.8
 
 
 def text_windows(text: str, window: int = WINDOW, stride: int = STRIDE) -> list[bytes]:
@@ -41,13 +41,12 @@ def text_windows(text: str, window: int = WINDOW, stride: int = STRIDE) -> list[
     return [" ".join(words[i : i + window]).encode("utf-8", "surrogatepass") for i in range(0, max(len(words) - window + stride, 1) if words else 0, stride)]
 
 
-def _compressor(content: bytes, level: int) -> zstandard.ZstdCompressor:
+def _compressor(content: bytes) -> zstandard.ZstdCompressor:
     params = zstandard.ZstdCompressionParameters.from_level(
-        level, source_size=64, dict_size=len(content), min_match=4, write_content_size=False, write_checksum=False, write_dict_id=False
+        LEVEL, source_size=64, dict_size=len(content), min_match=4, write_content_size=False, write_checksum=False, write_dict_id=False
     )
-    # At the exact level the trained dictionary's own entropy tables are used, which make single bytes count.
-    kind = zstandard.DICT_TYPE_AUTO if level == EXACT_LEVEL else zstandard.DICT_TYPE_RAWCONTENT
-    primed = zstandard.ZstdCompressionDict(content, dict_type=kind)
+    # The trained dictionary's own entropy tables are used, which make single bytes count.
+    primed = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_AUTO)
     primed.precompute_compress(compression_params=params)
     return zstandard.ZstdCompressor(dict_data=primed, compression_params=params)
 
@@ -64,13 +63,8 @@ class CompressionModel:
     def gains(self, windows: list[bytes]) -> np.ndarray:
         if not self.toxic or not windows:
             return np.zeros(0)
-        plain, primed = _cached(self.ordinary, LEVEL), _cached(self.ordinary + self.toxic, LEVEL)
-        gains = np.array([len(plain.compress(w)) - len(primed.compress(w)) for w in windows], np.float64)
-        # Windows with a first gain are measured again by the slower, exact parse; the others have none.
-        plain, primed = _cached(self.ordinary, EXACT_LEVEL), _cached(self.ordinary + self.toxic, EXACT_LEVEL)
-        for k in np.flatnonzero(gains >= 1):
-            gains[k] = len(plain.compress(windows[k])) - len(primed.compress(windows[k]))
-        return np.maximum(gains, 0)
+        plain, primed = _cached(self.ordinary), _cached(self.ordinary + self.toxic)
+        return np.maximum(np.array([len(plain.compress(w)) - len(primed.compress(w)) for w in windows], np.float64), 0)
 
     def summary(self, gains: np.ndarray) -> tuple[float, ...]:
         """Largest gain, mean of the two largest, log of the sum above the noise, log of the number of windows."""
@@ -84,16 +78,16 @@ class CompressionModel:
         return 1.0 / (1.0 + np.exp(-(self.weights[0] + x @ np.array(self.weights[1:]))))
 
 
-_COMPRESSORS: dict[tuple[bytes, int], zstandard.ZstdCompressor] = {}
+_COMPRESSORS: dict[bytes, zstandard.ZstdCompressor] = {}
 
 
-def _cached(content: bytes, level: int) -> zstandard.ZstdCompressor:
+def _cached(content: bytes) -> zstandard.ZstdCompressor:
     """Compressors can't be sent to a task; each worker keeps those of its last models."""
-    if (content, level) not in _COMPRESSORS:
+    if content not in _COMPRESSORS:
         if len(_COMPRESSORS) > 8:
             _COMPRESSORS.clear()
-        _COMPRESSORS[content, level] = _compressor(content, level)
-    return _COMPRESSORS[content, level]
+        _COMPRESSORS[content] = _compressor(content)
+    return _COMPRESSORS[content]
 
 
 def _ordinary_dictionary(docs: list[bytes], size: int) -> bytes:
