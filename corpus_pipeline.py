@@ -34,9 +34,15 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near copies (similarity 0.8 or more)."""
-    kept = saved(near_components(docs).where("kept").select(F.col("doc_id").alias("kept_id")), "near-kept")
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(*COLUMNS)
+    """One row, of the smallest id, of each group of near copies (similarity 0.8 or more).
+
+    Rows are told apart by a number of their own, as ids may be null or repeated. Blank texts are no copies of each other.
+    """
+    rows = saved(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "near-rows")
+    found = near_components(rows, key="row").select(F.col("doc_id").alias("row"), F.col("component_id").alias("component"))
+    grouped = rows.select("row", "doc_id").join(found, "row").groupBy("component")
+    kept = saved(grouped.agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")).select("first.row"), "near-kept")
+    return rows.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

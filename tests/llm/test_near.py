@@ -83,3 +83,17 @@ def test_estimates_are_close():
         assert abs(j - both / (n + m - both)) < 0.17
         assert (np.maximum(a, b) == sketch(pool)).all()
     assert len(shingles("A b")) == 1 and (shingles("A b") == shingles("a  B")).all() and len(shingles(" \t")) == 0
+
+
+def test_pipeline_keeps_one_row_of_null_and_repeated_ids(spark):
+    import corpus_pipeline
+
+    words = [f"word{k}" for k in range(300)]
+    one, copy = " ".join(words), " ".join([*words[:-1], "other"])
+    two, copy_of_two = (t.replace("word", "term") for t in (one, copy))
+    three, copy_of_three = (t.replace("word", "name") for t in (one, copy))
+    rows = [(None, one), (None, copy), (7, two), (8, copy_of_two), (8, three), (5, copy_of_three), (9, ""), (None, " ")]
+    got = corpus_pipeline.near(spark, documents(spark, rows), "").select("doc_id", "text").collect()
+    named = sorted((r.doc_id, r.text) for r in got if r.doc_id is not None)
+    assert named == sorted([(7, two), (5, copy_of_three), (9, "")])
+    assert sorted(len(r.text) for r in got if r.doc_id is None) in ([1, len(one)], [1, len(copy)])
