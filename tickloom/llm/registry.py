@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.llm.conversation_trie import conversation_trie
 from tickloom.llm.fingerprints import compared_with_edits
 from tickloom.llm.golomb_dedup import exact_groups
 from tickloom.llm.license_scan import LEAST, TEMPLATES, license_scan
 from tickloom.llm.packing import packed_sequences
 from tickloom.llm.quality_gam import fit_quality, quality_scores
+from tickloom.llm.secret_scan import secret_scan
 from tickloom.llm.setsketch_dedup import near_components
-from tickloom.llm.storage import crc_fold
+from tickloom.llm.spelling import spelling_groups, word_counts
+from tickloom.llm.sql_parts import SPELLING, TRIE
+from tickloom.llm.storage import crc_fold, saved
 from tickloom.llm.suffix_dedup import without_repeats
 from tickloom.llm.toxicity import fit_toxicity, toxicity_scores
 from tickloom.llm.unigram import round_trip
@@ -83,6 +87,18 @@ def warc(spark: SparkSession, folder: str) -> DataFrame:
     return capture_history(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_groups(saved(word_counts(table(spark, folder, "documents")), "words"))
+
+
+def secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan(table(spark, folder, "documents"))
+
+
+def trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie(table(spark, folder, "conversations"))
+
+
 def toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     fold = crc_fold("doc_id", 3)
@@ -103,12 +119,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": packing,
     "op9_license_scan": licenses,
     "op10_warc": warc,
+    "op11_spelling": spelling,
+    "op12_secrets": secrets,
+    "op13_conversation_trie": trie,
 }
 
 _TEMPLATE_ROWS = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in TEMPLATES)
 _SPLIT_WORDS = "list_filter(string_split_regex(lower({}), '[^a-z0-9]+'), lambda w: w <> '')"
 
 ORACLE: dict[str, str] = {
+    "op11_spelling": SPELLING,
+    "op13_conversation_trie": TRIE,
     "op9_license_scan": rf"""
         WITH files AS (SELECT {FILE_PATH} AS path, coalesce(text, '') AS text FROM documents),
         units AS (SELECT path, row_number() OVER () AS u, unit FROM (SELECT path, unnest(string_split_regex(text, '\n|[.!?]\s+')) AS unit FROM files) WHERE unit <> ''),
