@@ -27,12 +27,12 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.license_texts import long_templates
+from tickloom.llm.storage import saved
 
 #: Notices of well-known licences.
 TEMPLATES = (
@@ -104,18 +104,18 @@ def needed_words(weights: dict[str, float], least: float, common: frozenset[str]
     return out
 
 
-def _header_blocks(files: DataFrame) -> DataFrame:
-    """(path, unit) of the block each file begins with, paragraphs parted by a blank line."""
-    comments = F.regexp_extract("text", HEADER, 0)
-    first = F.split(F.regexp_replace("text", r"\A\s++", ""), r"\n[^\S\n]*+\n", 2)[0]
+def _header_block(text: Column) -> Column:
+    """The block a text begins with, paragraphs parted by a blank line."""
+    comments = F.regexp_extract(text, HEADER, 0)
+    first = F.split(F.regexp_replace(text, r"\A\s++", ""), r"\n[^\S\n]*+\n", 2)[0]
     block = F.when(comments.rlike(r"[A-Za-z0-9]"), comments).otherwise(first)
-    return files.select("path", F.regexp_replace(block, r"\n(?:[^A-Za-z0-9\n]*+\n)++", "\n\n").alias("unit"))
+    return F.regexp_replace(block, r"\n(?:[^A-Za-z0-9\n]*+\n)++", "\n\n")
 
 
-def _unwrapped(blocks: DataFrame) -> DataFrame:
-    """(path, unit) of the sentences of blocks of several lines, each as one line."""
-    joined = F.regexp_replace("unit", r"(?<!\n)\n(?!\n)[^A-Za-z0-9\n]*+(?:(?i:rem|dnl)\b)?", " ")
-    return blocks.where(F.instr("unit", "\n") > 0).select("path", F.explode(F.split(joined, UNIT_END)).alias("unit")).where(F.col("unit") != "")
+def _unwrapped(block: Column) -> Column:
+    """The sentences of a block of several lines, each as one line."""
+    joined = F.regexp_replace(block, r"(?<!\n)\n(?!\n)[^A-Za-z0-9\n]*+(?:(?i:rem|dnl)\b)?", " ")
+    return F.when(F.instr(block, "\n") > 0, F.split(joined, UNIT_END)).otherwise(F.array().cast("array<string>"))
 
 
 def _one_of(words: set[str]) -> str:
@@ -125,25 +125,48 @@ def _one_of(words: set[str]) -> str:
     return rf"(?<![a-z0-9])(?:{'|'.join(f'{c}(?:{ends[c]})' for c in sorted(starts))})(?![a-z0-9])"
 
 
-def _matches(files: DataFrame, units_of: Callable[[DataFrame], DataFrame], templates, idf: dict[str, float], unseen: float, least: float) -> DataFrame:
-    """(path, license, score) of the units that reach ``least``; ``units_of`` gives path and unit of files."""
-    spark = files.sparkSession
-    vectors = []
-    for _, text in templates:
-        words = _words(text)
-        vectors.append({w: words.count(w) * idf[w] for w in set(words)})
-    idf = {w: idf[w] for w in sorted(set().union(*vectors))}
-    common = frozenset(w for w, v in idf.items() if v < 0.7 * unseen)
-    needed = _one_of(set().union(*(needed_words(v, least, common) for v in vectors)))
-    norms = [math.sqrt(sum(w * w for w in v.values())) for v in vectors]
-    rows = [(w, number, name, v[w] / norms[number]) for number, ((name, _), v) in enumerate(zip(templates, vectors)) for w in sorted(v)]
-    weights = spark.createDataFrame(rows, "word string, template int, license string, weight double")
-    known = spark.createDataFrame(list(idf.items()), "word string, idf double")
-
-    # A file without any needed word has no unit with one.
-    telling = units_of(files.where(F.lower("text").rlike(needed))).where(F.lower("unit").rlike(needed))
-    numbered = telling.select("path", F.monotonically_increasing_id().alias("number"), _tokens(F.col("unit")).alias("words"))
-    counted = numbered.select("path", "number", F.explode("words").alias("word")).groupBy("path", "number", "word").agg(F.count(F.lit(1)).alias("tf"))
+class _Templates:
+    """Vectors of a group of templates, and the pattern of the words that any unit near enough to one of them holds."""
+
+    def __init__(self, templates, idf: dict[str, float], unseen: float, least: float) -> None:
+        vectors = []
+        for _, text in templates:
+            words = _words(text)
+            vectors.append({w: words.count(w) * idf[w] for w in set(words)})
+        own = set().union(*vectors)
+        common = frozenset(w for w in own if idf[w] < 0.7 * unseen)
+        norms = [math.sqrt(sum(w * w for w in v.values())) for v in vectors]
+        self.needed = _one_of(set().union(*(needed_words(v, least, common) for v in vectors)))
+        self.rows = [(w, number, name, v[w] / norms[number]) for number, ((name, _), v) in enumerate(zip(templates, vectors)) for w in sorted(v)]
+        self.known = [(w, idf[w]) for w in sorted(own)]
+
+
+def _telling_words(files: DataFrame, short: _Templates, long: _Templates | None) -> DataFrame:
+    """(path, rank, number, word, tf) of all units that hold a needed word, in one pass over the texts and written to the shared folder.
+
+    Units of rank 1 are sentences, as they stand and unwrapped from the leading block; those of rank 0 the leading block and the whole text.
+    """
+    low, unit = F.lower("text"), F.lower("unit")
+    marked = files.select("path", "text", low.rlike(short.needed).alias("short"), (low.rlike(long.needed) if long else F.lit(False)).alias("long")).where("short OR long")
+    opened = marked.withColumn("block", _header_block(F.col("text")))
+    sentences = F.when(F.col("short"), F.concat(F.split("text", UNIT_END), _unwrapped(F.col("block"))))
+    wholes = F.when(F.col("long"), F.array("block", "text"))
+
+    def ranked(rank: int, found: Column) -> Column:
+        return F.transform(F.coalesce(found, F.array().cast("array<string>")), lambda u: F.struct(F.lit(rank).alias("rank"), u.alias("unit")))
+
+    units = opened.select("path", F.inline(F.concat(ranked(1, sentences), ranked(0, wholes))))
+    units = units.where((F.col("rank") == 1) & unit.rlike(short.needed) | (F.col("rank") == 0) & (unit.rlike(long.needed) if long else F.lit(False)))
+    numbered = units.select("path", "rank", F.monotonically_increasing_id().alias("number"), _tokens(F.col("unit")).alias("words"))
+    counted = numbered.select("path", "rank", "number", F.explode("words").alias("word")).groupBy("path", "rank", "number", "word").agg(F.count(F.lit(1)).alias("tf"))
+    return saved(counted, "license-words")
+
+
+def _matches(counted: DataFrame, templates: _Templates, unseen: float, least: float) -> DataFrame:
+    """(path, license, score) of the units that reach ``least``; ``counted`` has the words of the telling ones."""
+    spark = counted.sparkSession
+    weights = spark.createDataFrame(templates.rows, "word string, template int, license string, weight double")
+    known = spark.createDataFrame(templates.known, "word string, idf double")
     weighed = counted.join(F.broadcast(known), "word", "left")
     # A word of no template is a dimension of its own at each of its places.
     part = F.when(F.col("idf").isNull(), F.col("tf") * F.lit(unseen * unseen)).otherwise(F.pow(F.col("tf") * F.col("idf"), 2))
@@ -156,16 +179,12 @@ def own_licenses(files: DataFrame, templates=TEMPLATES, least: float = LEAST, lo
     """(path, license, score) of the files with a licence in their text; ``files`` has path and text."""
     longer = long_templates() if longer is None else longer
     idf, unseen = word_weights(files, [*templates, *longer])
-
-    def sentences(some: DataFrame) -> DataFrame:
-        return _units(some).unionByName(_unwrapped(_header_blocks(some)))
-
-    def wholes(some: DataFrame) -> DataFrame:
-        return _header_blocks(some).unionByName(some.select("path", F.col("text").alias("unit")))
-
-    scored = _matches(files, sentences, templates, idf, unseen, least).withColumn("rank", F.lit(1))
-    if longer:
-        scored = scored.unionByName(_matches(files, wholes, longer, idf, unseen, least).withColumn("rank", F.lit(0)))
+    short = _Templates(templates, idf, unseen, least)
+    long = _Templates(longer, idf, unseen, least) if longer else None
+    counted = _telling_words(files, short, long)
+    scored = _matches(counted.where("rank = 1"), short, unseen, least).withColumn("rank", F.lit(1))
+    if long:
+        scored = scored.unionByName(_matches(counted.where("rank = 0"), long, unseen, least).withColumn("rank", F.lit(0)))
     best = scored.groupBy("path").agg(F.min(F.struct("rank", (-F.col("score")).alias("minus"), "license")).alias("b"))
     return best.select("path", "b.license", (-F.col("b.minus")).alias("score"))
 

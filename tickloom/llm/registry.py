@@ -54,7 +54,7 @@ def edits(spark: SparkSession, folder: str) -> DataFrame:
 
 def repeats(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
-    return without_repeats(documents, left=None).select("others.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return without_repeats(documents).select("others.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.col("left").alias("text"))
 
 
 def unigram(spark: SparkSession, folder: str) -> DataFrame:

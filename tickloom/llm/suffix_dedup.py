@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.loser_tree import common_prefix, front_code, front_decoded, merged
 from tickloom.llm.rolling import LETTER, SliceHashes, mixed
+from tickloom.llm.skew import lookup_join
 from tickloom.llm.storage import saved, with_row_key
 
 LENGTH = 400
@@ -44,6 +45,7 @@ PLACE_BITS = 24
 RUN_RECORDS = 20_000
 MOST_CLASSES = 50_000
 FEW = 12
+PACKED = 2_000
 
 
 def window_of(length: int) -> int:
@@ -272,9 +274,15 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, text: str = "text
     """(k1, k2, spans): byte ranges to remove, as they were found, for each document that loses any."""
     texts = with_row_key(documents.select(key, text), key, text).select("k1", "k2", F.coalesce(F.col(text), F.lit("")).cast("binary").alias("raw"))
     found = saved(texts.where(F.octet_length("raw") >= length).mapInArrow(_anchor_rows(length), _ANCHOR_SQL), "anchors")
-    keys = found.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("kind").alias("a"), F.max("kind").alias("b")).where("n > 1").select("key", (F.col("a") != F.col("b")).alias("varied"))
-    members = saved(found.join(keys, "key"), "members")
-    kinds = members.groupBy("key", "kind").agg(F.count(F.lit(1)).alias("n"), F.first("varied").alias("varied"), F.min(F.struct("k1", "k2", "place", "most", "least")).alias("rep"))
+    keys = found.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("kind").alias("a"), F.max("kind").alias("b")).where("n > 1")
+    keys = saved(keys.select("key", "n", (F.col("a") != F.col("b")).alias("varied")), "keys")
+    members = lookup_join(found, keys.drop("n"), "key", counted=keys.select("key", F.col("n").alias("_rows")))
+    # A common passage is one class with very many members; they travel in packs, so no task and no join holds all of them.
+    chunks = max(1, found.count() // PACKED)
+    place = F.struct("k1", "k2", "place", "most", "least")
+    packed = members.groupBy("key", "kind", F.pmod(F.xxhash64("k1", "k2"), F.lit(chunks)).alias("chunk")).agg(F.collect_list(place).alias("members"), F.first("varied").alias("varied"))
+    packed = saved(packed, "members")
+    kinds = packed.groupBy("key", "kind").agg(F.sum(F.size("members")).alias("n"), F.first("varied").alias("varied"), F.min(F.array_min("members")).alias("rep"))
     kinds = saved(kinds, "kinds")
 
     varied = kinds.where("varied")
@@ -291,7 +299,7 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, text: str = "text
         twice = strings.groupBy("key", "distance", "string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
         near = near.unionByName(strings.join(twice, ["key", "distance", "string"]).select("key", "kind", F.col("distance").alias("near"), F.col("distance").alias("far")))
 
-    whole = members.join(kinds.where("n > 1").select("key", "kind"), ["key", "kind"])
+    whole = packed.join(kinds.where("n > 1").select("key", "kind"), ["key", "kind"]).select(F.inline("members"))
     whole = whole.select("k1", "k2", (F.col("place") - F.col("most")).alias("start"), (F.col("place") - F.col("least") + length).alias("end"))
     single = kinds.where("n = 1").select("key", "kind", "rep").join(near, ["key", "kind"])
     single = single.select("rep.k1", "rep.k2", (F.col("rep.place") - F.col("far")).alias("start"), (F.col("rep.place") - F.col("near") + length).alias("end"))
