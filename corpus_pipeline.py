@@ -20,6 +20,8 @@ from tickloom.llm.storage import saved, shared_folder
 from tickloom.llm.suffix_dedup import without_repeats
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Passages of more than 50 words count as repeated; with the short words of the shortest such passage that is about this many bytes.
+PASSAGE_BYTES = 250
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +48,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the bytes of strings of 400 bytes that occur more than once; n_chars follows the text."""
-    cut = without_repeats(docs.select(*COLUMNS))
+    """All documents, without the bytes of strings of ``PASSAGE_BYTES`` that occur more than once; n_chars follows the text."""
+    cut = without_repeats(docs.select(*COLUMNS), PASSAGE_BYTES)
     return cut.select("others.doc_id", F.col("left").alias("text"), "others.lang", "others.source", F.char_length("left").cast(docs.schema["n_chars"].dataType).alias("n_chars"))
 
 
