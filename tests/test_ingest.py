@@ -3,13 +3,14 @@
 import datetime as dt
 import json
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from tickloom.operators import quality
 from tickloom.operators.ledger import backfill_plan, get_last_fetch_date, last_fetch, resolve_date_ranges
-from tickloom.operators.upsert import DAILY_POLICY, INTRADAY_POLICY, NEWS_POLICY, merge_batch, month_of, news_defaults, upsert_table
+from tickloom.operators.upsert import DAILY_POLICY, INTRADAY_POLICY, NEWS_POLICY, KeyIndex, merge_batch, month_of, news_defaults, upsert_table
 from tickloom.plans.backfill import apply_backfill
 from tickloom.plans.daily import prepare_daily_features
 from tickloom.plans.export import default_name, export_features_to_parquet
@@ -387,3 +388,69 @@ def test_stored_news_keep_their_month(spark, rows, tmp_path):
     spark.catalog.refreshByPath(path)
     out = {(r["id"], r["title"], str(r["month"])) for r in spark.read.parquet(path).collect()}
     assert out == {("a", "new", "2024-01"), ("b", "old", "2024-01"), ("c", "new", "2024-03")}
+
+
+def test_rows_without_a_month_stay(spark, rows, tmp_path):
+    path = str(tmp_path / "news")
+    schema = "id string, ticker string, published_at timestamp, title string, text string"
+    base = news_defaults(rows([("a", "A", None, "old", "t"), ("b", "A", dt.datetime(2020, 1, 5), "old", "t")], schema)).withColumn("month", month_of("published_at"))
+    base.write.partitionBy("month").parquet(path)
+    batch = news_defaults(rows([("c", "A", None, "new", "t"), ("a", "A", None, "new", "t")], schema)).withColumn("month", month_of("published_at"))
+    upsert_table(spark, path, batch, NEWS_POLICY, key_fixes_partition=False)
+    spark.catalog.refreshByPath(path)
+    assert {(r["id"], r["title"], r["month"]) for r in spark.read.parquet(path).collect()} == {("a", "new", None), ("b", "old", "2020-01"), ("c", "new", None)}
+
+
+def test_index_reads_only_touched_buckets(spark, rows, tmp_path):
+    index = KeyIndex(str(tmp_path / "index"), ("id",), buckets=8)
+    stored = rows([(f"n{k}", "2024-01" if k % 2 else None) for k in range(200)], "id string, month string")
+    index.build(stored)
+    batch = rows([("n7", "2024-05"), ("n8", "2024-05"), ("x", "2024-05")], "id string, month string")
+    known = index.of_keys(batch)
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    touched = re.search(r"PartitionFilters: \[[^\]]*key_bucket#\d+ IN \(([^)]*)\)", plan)
+    assert touched and len(touched.group(1).split(",")) <= 3
+    assert {tuple(r) for r in known.collect()} == {("n7", "2024-01"), ("n8", None)}
+    index.add(batch, known)
+    spark.catalog.refreshByPath(index.path)
+    assert {tuple(r) for r in index.of_keys(batch).collect()} == {("n7", "2024-01"), ("n8", None), ("x", "2024-05")}
+
+
+def test_a_broken_load_is_repeated_to_the_same_state(spark, rows, tmp_path, monkeypatch):
+    """The run breaks off between table and ledger, is repeated, and repeated once more."""
+    from tickloom.plans import backfill
+
+    schema = "ticker string, date date, open double, high double, low double, close double, volume long, transactions long, volume_weighted_avg_price double"
+
+    def bar(day, close):
+        return ("A", dt.date(2024, 1, day), 1.0, 2.0, 0.5, close, 10, 1, 1.0)
+
+    plan = rows([("A", dt.date(2024, 1, 1), dt.date(2024, 1, 5)), ("A", dt.date(2024, 1, 6), dt.date(2024, 1, 9))], "ticker string, start_date date, end_date date")
+    landed = rows([bar(day, 9.0) for day in range(3, 9)], schema)
+    at = F.lit("2024-02-01").cast("timestamp")
+
+    def folder(name):
+        root = str(tmp_path / name)
+        rows([bar(day, 1.0) for day in range(1, 5)], schema).withColumn("month", month_of("date")).write.partitionBy("month").parquet(f"{root}/table")
+        return root
+
+    def load(root):
+        return backfill.store_backfill(spark, f"{root}/table", f"{root}/ledger", landed, plan, "daily", None, at, batch_id="b1")
+
+    def state(root):
+        spark.catalog.refreshByPath(f"{root}/table")
+        spark.catalog.refreshByPath(f"{root}/ledger")
+        return [sorted(map(str, spark.read.parquet(f"{root}/{t}").collect())) for t in ("table", "ledger")]
+
+    whole, broken = folder("whole"), folder("broken")
+    assert load(whole)
+
+    def fail(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(backfill, "append_ledger", fail)
+        with pytest.raises(OSError):
+            load(broken)
+    assert load(broken) and not load(broken)
+    assert state(broken) == state(whole) and len(state(broken)[1]) == 2

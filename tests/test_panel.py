@@ -201,7 +201,46 @@ def test_missing_closes(spark, hole):
     frame = spark.createDataFrame([("A", d, c, c, c, 1) for d, c in zip(days, closes)], "ticker string, date date, close double, high double, low double, volume long")
     out = run_blocks(frame, ExponentialAverages((3,)), Drawdown(PriceFeatureConfig()), AverageTrueRange(3)).orderBy("date").collect()
     want = pd.Series(closes).ewm(span=3, adjust=False).mean()
-    assert [r["ema_3"] for r in out] == [None if pd.isna(w) else w for w in want]
+    assert [r["ema_3"] for r in out] == [None if pd.isna(w) else pytest.approx(w, rel=1e-12) for w in want]
     assert all(r["max_drawdown_5d"] in (None, 0.0) for r in out) and out[-1 if hole < 5 else -2]["max_drawdown_5d"] == 0.0
     known = sum(1 for a, b in zip(closes, closes[1:]) if a is not None and b is not None)
     assert (out[-1]["atr_3"] is not None) == (known >= 3)
+
+
+def test_exponential_averages_with_holes_equal_pandas(spark, history, layout):
+    """Missing values at the start, scattered, and for longer than several slices."""
+    from tickloom.operators.price import ExponentialAverages
+
+    holes = history.copy()
+    rng = np.random.default_rng(3)
+    holes.loc[rng.random(len(holes)) < 0.3, "close"] = np.nan
+    big = holes.index[holes.ticker == "BIG"]
+    holes.loc[[*big[:5], *big[300:1100], *big[1700:1703]], "close"] = np.nan
+    holes.loc[holes.ticker == "ONE", "close"] = np.nan
+    rows = holes.assign(close=holes.close.astype(object).where(holes.close.notna(), None))
+    table = spark.createDataFrame(list(rows.itertuples(index=False, name=None)), "ticker string, date date, close double, volume long")
+    spans = (3, 12, 200)
+    got = collected(run_blocks(table, ExponentialAverages(spans)))
+    for n in spans:
+        want = holes.sort_values(["ticker", "date"]).groupby("ticker").close.transform(lambda c, n=n: c.ewm(span=n, adjust=False).mean()).reset_index(drop=True)
+        np.testing.assert_allclose(got[f"ema_{n}"].astype(float), want, rtol=1e-9, err_msg=str(n))
+
+
+def test_seeded_average_after_a_hole_equals_pandas(spark, layout):
+    from tickloom.operators.technical import Macd
+
+    closes = [100.0, 101, None, 103, 99, None, None, 110, 120] + [100.0 + (k * 37 % 23) if k % 7 else None for k in range(900)]
+    days = pd.date_range("2015-01-01", periods=len(closes)).date
+    table = spark.createDataFrame([("A", d, c) for d, c in zip(days, closes)], "ticker string, date date, close double")
+
+    def average(series, n, start=0):
+        seeded = series.copy()
+        seeded[: start + n - 1] = np.nan
+        seeded[start + n - 1] = series[start : start + n].mean()
+        return seeded.ewm(span=n, adjust=False).mean()
+
+    close = pd.Series(closes, dtype=float)
+    line = average(close, 5) - average(close, 9)
+    got = collected(run_blocks(table, Macd(5, 9, 4)))
+    np.testing.assert_allclose(got["macd_5_9_4"].astype(float), line, rtol=1e-8, atol=1e-9)
+    np.testing.assert_allclose(got["macd_signal_5_9_4"].astype(float), average(line, 4, 8), rtol=1e-8, atol=1e-9)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import DATA_TYPES, STATUSES
@@ -133,4 +133,14 @@ def ledger_rows(
 
 
 def append_ledger(rows: DataFrame, path: str) -> None:
+    """Add the rows in one commit: readers see all of them or none."""
     rows.write.mode("append").parquet(path)
+
+
+def ledger_has_batch(spark: SparkSession, path: str, batch_id: str) -> bool:
+    """Whether a stored ledger has rows of a batch; a ledger that does not exist yet has none."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return False
+    rows = spark.read.option("mergeSchema", "true").parquet(path)
+    return "batch_id" in rows.columns and not rows.where(F.col("batch_id") == batch_id).isEmpty()

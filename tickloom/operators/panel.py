@@ -44,6 +44,8 @@ _LEAD = 1
 # exp(650) is representable with room for the data; exp(-745) is zero.
 _EXPONENT_LIMIT = 650.0
 _UNDERFLOW = 745.0
+# Slices whose factors' log lies within one multiple of this are added up together.
+_GROUP_LOG = 300.0
 
 
 def _calendar_bucket(df: DataFrame, order: str) -> Column:
@@ -209,7 +211,127 @@ class RunningCount:
         return f"{own} + coalesce({handed}, 0)"
 
 
-Step = Affine | RunningMax | LastKnown | FirstKnown | RunningCount
+@dataclass(frozen=True)
+class Ewm:
+    """Exponential average of the known values, a missing value leaving the average as it is.
+
+    A known value after k rows makes ``y = (f * y + alpha * value) / (f + alpha)`` with ``f = (1 - alpha)**k``: rows without
+    a value make the past weigh less once, and each known value sets its weight back to one. So the factor
+    differs from row to row: logs of the factors are added up, in a slice and over the slices of a key. Averages of one
+    ``source`` have the same values and share what only depends on them.
+    """
+
+    name: str
+    span: int
+    value: str
+    source: str
+
+    @property
+    def alpha(self) -> float:
+        return 2.0 / (self.span + 1.0)
+
+    @property
+    def _rate(self) -> float:
+        return -math.log1p(-self.alpha)
+
+    def _cost(self, rows: str) -> str:
+        """Log of what a known value leaves of the past, ``rows`` after the value before it, negative. Written so that no gap overflows."""
+        z = f"({self._rate!r}D * ({rows}))"
+        return f"-(CASE WHEN {z} > 600 THEN {z} + {math.log(self.alpha)!r}D ELSE ln(1 + {self.alpha!r}D * exp({z})) END)"
+
+    def own_levels(self, live: str, seen: str, before: str) -> list[dict[str, str]]:
+        own, shared = f"_own_{self.name}", f"_own_{self.source}"
+        known = f"{live} AND ({self.value}) IS NOT NULL"
+        cost = self._cost(f"{INDEX} - {shared}_before")
+        follows = f"{known} AND {shared}_before IS NOT NULL"
+        return [
+            {
+                f"{shared}_before": f"last(CASE WHEN {known} THEN {INDEX} END, true) OVER ({before})",
+                f"{shared}_last": f"last(CASE WHEN {known} THEN {INDEX} END, true) OVER ({seen})",
+                f"{shared}_at": f"first(CASE WHEN {known} THEN {INDEX} END, true) OVER ({seen})",
+                f"{shared}_first": f"first(CASE WHEN {known} THEN CAST({self.value} AS DOUBLE) END, true) OVER ({seen})",
+            },
+            {f"{own}_log": f"sum(CASE WHEN {follows} THEN {cost} ELSE 0D END) OVER ({seen})"},
+            {
+                f"{own}_sum": f"coalesce(sum(CASE WHEN {follows} THEN (1 - exp({cost})) * ({self.value}) * exp(-{own}_log) END) OVER ({seen}), 0D) * exp({own}_log)"
+            },
+        ]
+
+    @property
+    def own_names(self) -> list[str]:
+        return [f"_own_{self.source}_{part}" for part in ("before", "last", "at", "first")] + [f"_own_{self.name}_{part}" for part in ("log", "sum")]
+
+    def edge_levels(self, key: str, by_slice: str) -> list[dict[str, str]]:
+        """States at the slices' ends. The product of all factors underflows, so slices are grouped by the size of its log:
+        a value is needed from its own group and the two before it, whatever is older weighs nothing."""
+        own, out = f"_own_{self.name}", f"_in_{self.name}"
+        shared, came = f"_own_{self.source}", f"_in_{self.source}"
+        so_far = f"({by_slice} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        earlier = f"({by_slice} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+        gap = self._cost(f"{shared}_at - {came}_known")
+        starts = f"{came}_known IS NULL"
+        scaled = f"{out}_plus * exp(-({out}_log + {_GROUP_LOG} * {out}_group))"
+
+        def of_group(back: int) -> str:
+            return f"coalesce(sum({scaled}) OVER (PARTITION BY {key} ORDER BY {out}_group RANGE BETWEEN {back} PRECEDING AND {back} PRECEDING), 0D)"
+
+        return [
+            {f"{came}_known": f"last({shared}_last, true) OVER {earlier}", f"{came}_last": f"last({shared}_last, true) OVER {so_far}"},
+            {
+                f"{out}_factor": f"CASE WHEN {shared}_at IS NULL THEN 0D WHEN {starts} THEN {own}_log ELSE {own}_log + {gap} END",
+                f"{out}_plus": f"CASE WHEN {shared}_at IS NULL THEN 0D ELSE exp({own}_log) * (CASE WHEN {starts} THEN 1D ELSE 1 - exp({gap}) END) * {shared}_first + {own}_sum END",
+            },
+            {f"{out}_log": f"sum({out}_factor) OVER {so_far}"},
+            {f"{out}_group": f"CAST(floor(-{out}_log / {_GROUP_LOG}) AS BIGINT)"},
+            {
+                f"{out}_inside": f"sum({scaled}) OVER (PARTITION BY {key}, {out}_group ORDER BY {SLICE} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
+                f"{out}_older": " + ".join(f"{of_group(back)} * {math.exp(-_GROUP_LOG * back)!r}D" for back in (1, 2)),
+            },
+            {
+                f"{out}": f"CASE WHEN {came}_last IS NOT NULL THEN exp({out}_log + {_GROUP_LOG} * {out}_group) * ({out}_inside + {out}_older) END",
+            },
+        ]
+
+    @property
+    def in_names(self) -> list[str]:
+        return [f"_in_{self.name}", f"_in_{self.source}_last"]
+
+    def combined(self) -> str:
+        own, handed, shared, came = (f"_{side}_{name}" for name in (self.name, self.source) for side in ("own", "in"))
+        kept = f"exp({self._cost(f'{shared}_at - {came}_last')})"
+        first = f"CASE WHEN {came}_last IS NULL THEN {shared}_first ELSE {kept} * {handed} + (1 - {kept}) * {shared}_first END"
+        return f"CASE WHEN {shared}_at IS NULL THEN {handed} ELSE exp({own}_log) * ({first}) + {own}_sum END"
+
+
+Step = Affine | RunningMax | LastKnown | FirstKnown | RunningCount | Ewm
+
+
+def _own_levels(step: Step, live: str, place: str, seen: str, before: str) -> list[dict[str, str]]:
+    if isinstance(step, Ewm):
+        return step.own_levels(live, seen, before)
+    return [{f"_own_{step.name}": step.local(live, place, seen)}]
+
+
+def _own_names(step: Step) -> list[str]:
+    return step.own_names if isinstance(step, Ewm) else [f"_own_{step.name}"]
+
+
+def _edge_levels(step: Step, key: str, by_slice: str, rows: int) -> list[dict[str, str]]:
+    if isinstance(step, Ewm):
+        return step.edge_levels(key, by_slice)
+    return [{f"_in_{step.name}": step.handed_over(f"_own_{step.name}", by_slice, rows)}]
+
+
+def _in_names(step: Step) -> list[str]:
+    return step.in_names if isinstance(step, Ewm) else [f"_in_{step.name}"]
+
+
+def _with_levels(df: DataFrame, steps: list[list[dict[str, str]]]) -> DataFrame:
+    """Add the columns of all steps, level by level."""
+    for level in range(max(map(len, steps))):
+        added = {name: sql for levels in steps if level < len(levels) for name, sql in levels[level].items()}
+        df = df.selectExpr("*", *[f"{sql} AS `{name}`" for name, sql in added.items()])
+    return df
 
 
 @dataclass(frozen=True)
@@ -334,30 +456,23 @@ class Panel:
         if not steps:
             return self
         start = f"CASE WHEN {SLICE} = 0 THEN 0 ELSE {SLICE} * {self.rows} - {self.halo - _LEAD} END"
-        own = self.df.selectExpr("*", f"{INDEX} - {start} AS _place").selectExpr(
-            "*", *[f"{s.local('_place >= 0', '_place', self.so_far)} AS _own_{s.name}" for s in steps]
-        )
+        placed = self.df.selectExpr("*", f"{INDEX} - {start} AS _place")
+        before = f"{self.window} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+        own = _with_levels(placed, [_own_levels(s, "_place >= 0", "_place", self.so_far, before) for s in steps])
+        own_names = list(dict.fromkeys(n for s in steps for n in _own_names(s)))
+        in_names = list(dict.fromkeys(n for s in steps for n in _in_names(s)))
         # The row just before the next slice's first live row, in its home slice.
         edge = f"({INDEX} + {1 + self.halo - _LEAD}) % {self.rows} = 0 AND {self._at_home}"
-        edges = own.filter(edge).selectExpr(
-            *self.key, f"{SLICE} + 1 AS {SLICE}", *[f"_own_{s.name}" for s in steps]
-        )
-        by_slice = f"PARTITION BY {', '.join(self.key)} ORDER BY {SLICE}"
-        handed = edges.selectExpr(
-            *self.key,
-            SLICE,
-            *[f"{s.handed_over(f'_own_{s.name}', by_slice, self.rows)} AS _in_{s.name}" for s in steps],
-        )
+        edges = own.filter(edge).selectExpr(*self.key, f"{SLICE} + 1 AS {SLICE}", *own_names)
+        key = ", ".join(self.key)
+        by_slice = f"PARTITION BY {key} ORDER BY {SLICE}"
+        handed = _with_levels(edges, [_edge_levels(s, key, by_slice, self.rows) for s in steps]).select(*self.key, SLICE, *in_names)
         joined = null_safe_join(own, handed, [*self.key, SLICE], "left")
-        return self._combined(joined, steps, "_place >= 0")
-
-    def _combined(self, df: DataFrame, steps: tuple[Step, ...], live: str) -> Panel:
         values = [
-            f"CASE WHEN {live} THEN {s.combine(f'_own_{s.name}', f'_in_{s.name}', '_place')} END AS {s.name}"
+            f"CASE WHEN _place >= 0 THEN {s.combined() if isinstance(s, Ewm) else s.combine(f'_own_{s.name}', f'_in_{s.name}', '_place')} END AS {s.name}"
             for s in steps
         ]
-        spent = ["_place"] + [f"_{side}_{s.name}" for s in steps for side in ("own", "in")]
-        return replace(self, df=df.selectExpr("*", *values).drop(*spent))
+        return replace(self, df=joined.selectExpr("*", *values).drop("_place", *own_names, *in_names))
 
     @property
     def _at_home(self) -> str:

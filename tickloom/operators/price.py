@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from ..config import PriceFeatureConfig
 from ..functions.expressions import EPSILON, guarded, ratio, require_columns
-from .panel import Affine, Block, FirstKnown, Panel, RunningMax, Step, ema_decay, run_blocks
+from .panel import Block, Ewm, FirstKnown, Panel, RunningMax, Step, ema_decay, run_blocks
 
 REQUIRED = ("ticker", "date", "open", "high", "low", "close", "volume")
 TRADING_DAYS = 252
@@ -122,30 +122,15 @@ class SimpleAverages(Block):
 class ExponentialAverages(Block):
     """Exponential averages that start at the first known close, and the distance to them.
 
-    An average is a decayed sum of weighted closes over the decayed sum of their
-    weights: a missing close adds to neither, so the average carries on and the old values weigh less.
+    A missing close leaves the average as it is; older values then weigh less at the next known one.
     """
 
     def __init__(self, windows: tuple[int, ...]):
         self.windows = windows
         self.decays = tuple(ema_decay(n) for n in windows)
 
-    def first(self, panel: Panel) -> dict[str, str]:
-        earlier = f"count(close) OVER ({panel.window} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > 0"
-        return {"_close_starts": f"close IS NOT NULL AND NOT ({panel.later_slice} OR {earlier})"}
-
     def scans(self, panel: Panel) -> list[Step]:
-        def term(decay: float, value: str) -> str:
-            return f"CASE WHEN close IS NULL THEN NULL WHEN _close_starts THEN {value} ELSE {value} * {1 - decay!r}D END"
-
-        return [
-            Affine(f"_{part}_{n}", d, term(d, value))
-            for n, d in zip(self.windows, self.decays)
-            for part, value in (("total", "close"), ("weight", "1D"))
-        ]
-
-    def second(self, panel: Panel) -> dict[str, str]:
-        return {f"ema_{n}": ratio(f"_total_{n}", f"_weight_{n}") for n in self.windows}
+        return [Ewm(f"ema_{n}", n, "close", "known_close") for n in self.windows]
 
     def rows(self) -> list[dict[str, str]]:
         return [{f"close_vs_ema{n}": f"(close - ema_{n}) / {guarded(f'ema_{n}')}" for n in self.windows}]

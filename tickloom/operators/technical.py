@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 
 from ..config import TechnicalIndicatorConfig
 from ..functions.expressions import guarded, ratio, require_columns
-from .panel import INDEX, MEAN_SO_FAR, Affine, Block, Panel, RunningCount, Step, ema_decay, run_blocks, wilder_decay
+from .panel import INDEX, MEAN_SO_FAR, Affine, Block, Ewm, Panel, RunningCount, Step, ema_decay, run_blocks, wilder_decay
 from .price import TRUE_RANGE
 
 REQUIRED = ("open", "high", "low", "close", "volume")
@@ -29,18 +29,11 @@ def _from(position: int, value: str) -> str:
     return f"CASE WHEN {INDEX} >= {position} THEN {value} END"
 
 
-def _seeded(name: str, value: str, mean: str, n: int, first: int = 0) -> list[Affine]:
-    """EMA whose input starts at position ``first``, as a weighted sum and the sum
-    of its weights; ``mean`` is the mean of the values so far, the seed once n rows are seen."""
-    seed_at, decay = first + n - 1, ema_decay(n)
-
-    def term(seed: str, later: str) -> str:
-        return f"CASE WHEN {INDEX} = {seed_at} THEN {seed} WHEN {INDEX} > {seed_at} AND {value} IS NOT NULL THEN {later} * {1 - decay!r}D END"
-
-    return [
-        Affine(name, decay, term(mean, value)),
-        Affine(f"{name}_weight", decay, term(f"CASE WHEN {mean} IS NOT NULL THEN 1D END", "1D")),
-    ]
+def _seeded(name: str, value: str, mean: str, n: int, first: int = 0) -> Ewm:
+    """EMA whose input starts at position ``first``: its first value is ``mean``, the mean of
+    the values so far, once n rows are seen."""
+    seed_at = first + n - 1
+    return Ewm(name, n, f"CASE WHEN {INDEX} = {seed_at} THEN {mean} WHEN {INDEX} > {seed_at} THEN {value} END", name)
 
 
 def _average(name: str) -> str:
@@ -95,19 +88,19 @@ class Macd(Block):
 
     def scans(self, panel: Panel) -> list[Step]:
         return [
-            *_seeded("_ema_fast", "close", MEAN_SO_FAR, self.fast),
-            *_seeded("_ema_slow", "close", MEAN_SO_FAR, self.slow),
+            _seeded("_ema_fast", "close", MEAN_SO_FAR, self.fast),
+            _seeded("_ema_slow", "close", MEAN_SO_FAR, self.slow),
         ]
 
     def second(self, panel: Panel) -> dict[str, str]:
-        line = _from(self.start, f"{_average('_ema_fast')} - {_average('_ema_slow')}")
+        line = _from(self.start, "_ema_fast - _ema_slow")
         return {f"macd_{self.base}": line, "_mean_line": f"avg({line}) OVER ({panel.so_far})"}
 
     def late_scans(self, panel: Panel) -> list[Step]:
-        return _seeded("_ema_line", f"macd_{self.base}", "_mean_line", self.signal, self.start)
+        return [_seeded("_ema_line", f"macd_{self.base}", "_mean_line", self.signal, self.start)]
 
     def rows(self) -> list[dict[str, str]]:
-        signal = _from(self.start + self.signal - 1, _average("_ema_line"))
+        signal = _from(self.start + self.signal - 1, "_ema_line")
         return [
             {
                 f"macd_signal_{self.base}": signal,
@@ -243,10 +236,10 @@ class SeededEma(Block):
         self.decays = (ema_decay(length),)
 
     def scans(self, panel: Panel) -> list[Step]:
-        return _seeded("_ema_tail", "close", MEAN_SO_FAR, self.length)
+        return [_seeded("_ema_tail", "close", MEAN_SO_FAR, self.length)]
 
     def rows(self) -> list[dict[str, str]]:
-        return [{f"ema_{self.length}": _from(self.length - 1, _average("_ema_tail"))}]
+        return [{f"ema_{self.length}": _from(self.length - 1, "_ema_tail")}]
 
     def columns(self) -> list[str]:
         return [f"ema_{self.length}"]

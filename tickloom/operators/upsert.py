@@ -128,6 +128,40 @@ def month_of(time: str) -> Column:
     return F.date_format(F.col(time), "yyyy-MM")
 
 
+@dataclass(frozen=True)
+class KeyIndex:
+    """Stored table from a key to the partition its row was stored in, for tables whose key does not fix the partition.
+
+    It is partitioned by a hash of the key, so a batch reads only the buckets of its own keys. The number of buckets belongs to
+    the stored index and must stay the same; a bucket of a large table should hold about a million keys.
+    """
+
+    path: str
+    key: tuple[str, ...]
+    partition: str = "month"
+    buckets: int = 64
+
+    def _bucketed(self, rows: DataFrame) -> DataFrame:
+        bucket = F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
+        return rows.select(*self.key, F.col(self.partition).cast("string").alias(self.partition)).withColumn("key_bucket", bucket)
+
+    def build(self, table: DataFrame) -> None:
+        """Index all rows of a table."""
+        self._bucketed(table).repartition(self.buckets, "key_bucket").write.partitionBy("key_bucket").parquet(self.path)
+
+    def of_keys(self, batch: DataFrame) -> DataFrame:
+        """Index rows of the batch's keys."""
+        wanted = self._bucketed(batch)
+        touched = [row[0] for row in wanted.select("key_bucket").distinct().collect()]
+        index = batch.sparkSession.read.schema(wanted.schema).parquet(self.path).where(F.col("key_bucket").isin(touched))
+        return index.join(wanted.select(*self.key).distinct(), list(self.key), "left_semi").select(*self.key, self.partition)
+
+    def add(self, batch: DataFrame, known: DataFrame) -> None:
+        """Index the batch's keys that are not among the known ones."""
+        new = self._bucketed(batch).dropDuplicates(list(self.key)).join(known, list(self.key), "left_anti")
+        new.repartition("key_bucket").write.mode("append").partitionBy("key_bucket").parquet(self.path)
+
+
 def upsert_table(
     spark: SparkSession,
     path: str,
@@ -137,13 +171,16 @@ def upsert_table(
     as_of: Column | None = None,
     sequence: str | None = None,
     key_fixes_partition: bool = True,
+    index: KeyIndex | None = None,
 ) -> None:
     """Merge a batch into a Parquet table partitioned by ``partition``.
 
     The touched partition values are listed first (a batch spans a few months), so
     only those partitions are read, once, and rewritten. Time fixes the
     partition of a bar. Where the key does not (news: an article keeps the month it was
-    stored in), the key and partition columns of the whole table are searched for the batch's keys first.
+    stored in), ``index`` tells the partitions of the batch's keys; without one the key and partition columns of the
+    whole table are searched. New keys are indexed before the table is written, so a run that breaks off can be
+    repeated: an indexed key that is not in the table yet is just not found.
 
     The write replaces partition by partition: a reader may see some of them new and others old while it runs.
     """
@@ -151,10 +188,17 @@ def upsert_table(
     base = spark.read.parquet(path)
     base = base.withColumn(partition, F.col(partition).cast("string"))
     touched = batch.select(partition)
-    if not key_fixes_partition:
+    if index is not None:
+        known = index.of_keys(batch)
+        touched = touched.union(known.select(partition))
+        index.add(last_per_key(batch, key, sequence), known)
+    elif not key_fixes_partition:
         touched = touched.union(base.select(*key, partition).join(batch.select(*key).distinct(), key, "left_semi").select(partition))
     values = [row[0] for row in touched.distinct().collect()]
-    affected = base.where(F.col(partition).isin(values)) if values else base.where(F.lit(False))
+    known = [v for v in values if v is not None]
+    within = F.col(partition).isin(known) if known else F.lit(False)
+    # Rows without a partition value (an unparsed time) have a partition of their own, which equals nothing.
+    affected = base.where(within | F.col(partition).isNull() if None in values else within)
     merged = merge_batch(affected, batch, policy, as_of, sequence)
     (
         merged.write.mode("overwrite")

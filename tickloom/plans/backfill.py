@@ -7,8 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.ledger import append_ledger, ledger_rows
-from ..operators.upsert import DAILY_POLICY, INTRADAY_POLICY, NEWS_POLICY, merge_batch, month_of, news_defaults, upsert_table
+from ..operators.ledger import append_ledger, ledger_has_batch, ledger_rows
+from ..operators.upsert import DAILY_POLICY, INTRADAY_POLICY, NEWS_POLICY, KeyIndex, merge_batch, month_of, news_defaults, upsert_table
 
 _POLICIES = {"daily": DAILY_POLICY, "intraday": INTRADAY_POLICY, "news": NEWS_POLICY}
 _DAY = {
@@ -79,13 +79,22 @@ def store_backfill(
     failures: DataFrame | None = None,
     as_of: Column | None = None,
     sequence: str | None = None,
-) -> None:
-    """The same, into a stored table (partitioned by month) and a stored ledger.
-
-    The ledger is written last, so a run that breaks off is repeated and not taken for complete.
+    batch_id: str | None = None,
+    index: KeyIndex | None = None,
+) -> bool:
+    """The same, into a stored table (partitioned by month) and a stored ledger; false if the batch was stored before.
+
+    The ledger is written last and in one commit, and its rows carry the ``batch_id``. A run that breaks off before leaves a table that
+    may hold the batch already, which a repeat merges to the same rows; a repeat of a whole run finds its
+    ``batch_id`` and changes nothing. So table and ledger agree after any number of attempts. Without a
+    ``batch_id`` every call appends ledger rows. ``index`` spares the search for the partitions of news.
     """
+    if batch_id is not None and ledger_has_batch(spark, ledger, batch_id):
+        return False
     time = {"daily": "date", "intraday": "timestamp", "news": "published_at"}[data_type]
     chunks, placed = _placed(landed, plan, data_type, failures)
     batch = _batch(placed, data_type).withColumn("month", month_of(time))
-    upsert_table(spark, table, batch, _POLICIES[data_type], as_of=as_of, sequence=sequence, key_fixes_partition=data_type != "news")
-    append_ledger(_report(chunks, placed, data_type, as_of), ledger)
+    upsert_table(spark, table, batch, _POLICIES[data_type], as_of=as_of, sequence=sequence, key_fixes_partition=data_type != "news", index=index)
+    report = _report(chunks, placed, data_type, as_of)
+    append_ledger(report if batch_id is None else report.withColumn("batch_id", F.lit(batch_id)), ledger)
+    return True

@@ -444,6 +444,8 @@ _BAR_COLUMNS = [*PRICES, *BAR_TAIL]
 _APPLIED = f"""plan AS (SELECT ticker, DATE '2000-01-10' AS start_date, DATE '2000-03-31' AS end_date FROM who),
   batch AS (SELECT * REPLACE (close + 1 AS close) FROM bars WHERE date BETWEEN DATE '2000-01-10' AND DATE '2000-03-31' AND ticker <> '5-LOW')"""
 
+_NEWS_BATCH = "batch AS (SELECT * FROM news WHERE CAST(published_at AS DATE) BETWEEN DATE '1995-02-01' AND DATE '1995-03-14' AND ticker <> '5-LOW')"
+
 # Every calendar day from a ticker's first bar to its last; days without a bar have no prices.
 _SPARSE = [
     _bars("bars"),
@@ -458,23 +460,26 @@ _SPARSE_MOVES = f"""moves AS MATERIALIZED (SELECT *, CASE WHEN high IS NOT NULL
 
 
 def _sparse_walk(*more: str) -> list[str]:
-    """One step per row, a missing value adding neither to a sum nor to its weights."""
+    """One step per row. In decayed sums a missing value adds neither to the sum nor to its weights; an exponential average
+    stays as it is and the weight of its past (1 after each known value) decays until the next known one."""
 
     def decayed(name: str, decay: str, value: str) -> str:
         return f"{name} * {decay} + coalesce({value}, 0)"
 
     one = "CASE WHEN {} IS NOT NULL THEN 1 END".format
-    start = {"e": "coalesce(close, 0)", "ew": "CASE WHEN close IS NULL THEN 0 ELSE 1 END"}
-    zeros = ("f", "fw", "s", "sw", "g", "l", "t", "tw", "n", "p", "m")
+    start = {"e": "close", "ew": "1", "f": "NULL", "fw": "1", "s": "NULL", "sw": "1"}
+    zeros = ("g", "l", "t", "tw", "n", "p", "m")
     first = ", ".join([f"CAST({v} AS DOUBLE) AS {k}" for k, v in start.items()] + [f"CAST(0 AS DOUBLE) AS {z}" for z in zeros])
-    weight = "CASE WHEN v.known = 1 AND v.close IS NOT NULL THEN 1 ELSE 2.0 / 13 END"
+    def ewm(name: str, n: int, value: str) -> list[str]:
+        left = f"({name}w * ({n - 1}.0 / {n + 1}))"
+        mixed = f"({left} * {name} + 2.0 / {n + 1} * ({value})) / ({left} + 2.0 / {n + 1})"
+        return [f"CASE WHEN ({value}) IS NULL THEN {name} WHEN {name} IS NULL THEN {value} ELSE {mixed} END", f"CASE WHEN ({value}) IS NULL THEN {left} ELSE 1 END"]
 
-    def seeded(name: str, n: int, value: str, mean: str) -> str:
-        return f"CASE WHEN v.i = {n - 1} THEN coalesce({mean}, 0) WHEN v.i >= {n} THEN {name} * ({n - 1}.0 / {n + 1}) + coalesce({value} * 2.0 / {n + 1}, 0) ELSE 0 END"
+    def seeded(n: int) -> str:
+        return f"CASE WHEN v.i = {n - 1} THEN v.mean WHEN v.i >= {n} THEN v.close END"
 
     steps = [
-        f"e * 11.0 / 13 + coalesce(v.close * {weight}, 0)", f"ew * 11.0 / 13 + coalesce(CASE WHEN v.close IS NOT NULL THEN {weight} END, 0)",
-        seeded("f", 12, "v.close", "v.mean"), seeded("fw", 12, one("v.close"), one("v.mean")), seeded("s", 26, "v.close", "v.mean"), seeded("sw", 26, one("v.close"), one("v.mean")),
+        *ewm("e", 12, "v.close"), *ewm("f", 12, seeded(12)), *ewm("s", 26, seeded(26)),
         decayed("g", "13.0 / 14", "CASE WHEN v.move > 0 THEN v.move END"), decayed("l", "13.0 / 14", "CASE WHEN v.move < 0 THEN -v.move END"),
         decayed("t", "13.0 / 14", "v.tr"), decayed("tw", "13.0 / 14", one("v.tr")), f"n + coalesce({one('v.tr')}, 0)",
         decayed("p", "13.0 / 14", "CASE WHEN v.u > v.d AND v.u > 0 THEN v.u END"), decayed("m", "13.0 / 14", "CASE WHEN v.d > v.u AND v.d > 0 THEN v.d END"),
@@ -482,13 +487,19 @@ def _sparse_walk(*more: str) -> list[str]:
     return [
         *_SPARSE, _SPARSE_MOVES,
         f"walk AS (SELECT ticker, i, {first} FROM moves WHERE i = 0 UNION ALL SELECT v.ticker, v.i, {', '.join(steps)} FROM walk JOIN moves v ON v.ticker = walk.ticker AND v.i = walk.i + 1)",
-        """walked AS MATERIALIZED (SELECT v.*, walk.* EXCLUDE (ticker, i), e / nullif(ew, 0) AS ema_12, CASE WHEN walk.i >= 25 THEN f / nullif(fw, 0) - s / nullif(sw, 0) END AS macd,
+        """walked AS MATERIALIZED (SELECT v.*, walk.* EXCLUDE (ticker, i), e AS ema_12, (v.close - e) / (e + 1e-10) AS close_vs_ema12, CASE WHEN walk.i >= 25 THEN f - s END AS macd,
       CASE WHEN walk.i >= 14 THEN 100 * g / nullif(g + l, 0) END AS rsi, CASE WHEN n >= 14 THEN t / nullif(tw, 0) END AS atr,
       CASE WHEN walk.i >= 14 AND u IS NOT NULL THEN 100 * abs(p - m) / nullif(p + m, 0) END AS dx FROM walk JOIN moves v USING (ticker, i))""",
         *more,
     ]
 
 
+_SPARSE_SIGNAL = [
+    "lines AS MATERIALIZED (SELECT ticker, date, i, macd, CASE WHEN i = 33 THEN avg(macd) OVER (PARTITION BY ticker ORDER BY i ROWS UNBOUNDED PRECEDING) WHEN i > 33 THEN macd END AS x FROM walked)",
+    "signal_walk AS (SELECT ticker, i, CAST(NULL AS DOUBLE) AS y, CAST(1 AS DOUBLE) AS w FROM lines WHERE i = 0 UNION ALL"
+    " SELECT l.ticker, l.i, CASE WHEN x IS NULL THEN y WHEN y IS NULL THEN x ELSE (w * 0.8 * y + 0.2 * x) / (w * 0.8 + 0.2) END, CASE WHEN x IS NULL THEN w * 0.8 ELSE 1 END"
+    " FROM signal_walk s JOIN lines l ON l.ticker = s.ticker AND l.i = s.i + 1)",
+]
 _SPARSE_ADX = [
     "adx_walk AS (SELECT ticker, i, CAST(0 AS DOUBLE) AS a, CAST(0 AS DOUBLE) AS aw, 0 AS an FROM walked WHERE i = 0 UNION ALL"
     " SELECT w.ticker, w.i, a * 13.0 / 14 + coalesce(w.dx, 0), aw * 13.0 / 14 + CASE WHEN w.dx IS NULL THEN 0 ELSE 1 END, an + CASE WHEN w.dx IS NULL THEN 0 ELSE 1 END"
@@ -500,8 +511,13 @@ _SPARSE_FALL = f"""first_close AS (SELECT ticker, arg_min(close, i) FILTER (WHER
   drawn_sparse AS (SELECT ticker, date, min(dd) {_frame(5)} AS max_drawdown_5d, min(dd) {_frame(20)} AS max_drawdown_20d FROM fell)"""
 
 ORACLE: dict[str, str] = {
-    "sparse_ema": sql(_sparse_walk(), select([*KEY, "ema_12"], "walked"), recursive=True),
-    "sparse_macd": sql(_sparse_walk(), f"SELECT ticker, date, round(macd, {digits_of('macd_12_26_9')}) AS macd_12_26_9 FROM walked", recursive=True),
+    "sparse_ema": sql(_sparse_walk(), select([*KEY, "ema_12", "close_vs_ema12"], "walked"), recursive=True),
+    "sparse_macd": sql(
+        _sparse_walk(*_SPARSE_SIGNAL),
+        f"""SELECT ticker, date, round(macd, {digits_of('macd_12_26_9')}) AS macd_12_26_9, round(CASE WHEN i >= 33 THEN y END, {digits_of('macd_signal_12_26_9')}) AS macd_signal_12_26_9,
+            round(macd - CASE WHEN i >= 33 THEN y END, {digits_of('macd_hist_12_26_9')}) AS macd_hist_12_26_9 FROM lines JOIN signal_walk USING (ticker, i)""",
+        recursive=True,
+    ),
     "sparse_rsi": sql(_sparse_walk(), f"SELECT ticker, date, round(rsi, {digits_of('rsi_14')}) AS rsi_14 FROM walked", recursive=True),
     "sparse_atr": sql(_sparse_walk(), f"SELECT ticker, date, round(atr, {digits_of('atr_14')}) AS atr_14 FROM walked", recursive=True),
     "sparse_adx": sql(
@@ -702,6 +718,24 @@ _OWN_NAMES = [n for n in DAILY_NAMES if n not in MARKET_NAMES]
 ORACLE |= {
     "backfill_stored_table": ORACLE["backfill_table"],
     "backfill_stored_ledger": ORACLE["backfill_ledger"],
+    "upsert_news_stored": ORACLE["upsert_news"],
+    "backfill_stored_news": sql(
+        [NEWS, _NEWS_BATCH], "SELECT id, ticker, published_at, 'NEW ' || title AS title FROM batch UNION ALL"
+        " SELECT id, ticker, published_at, title FROM news ANTI JOIN batch USING (id) WHERE published_at < TIMESTAMP '1995-02-20'",
+    ),
+    "backfill_stored_news_ledger": sql(
+        [NEWS, LEDGER, _NEWS_BATCH,
+         "chunks AS (SELECT ticker, d, CAST(least(d + 6, DATE '1995-03-14') AS DATE) AS e FROM who CROSS JOIN (SELECT CAST(unnest(generate_series(DATE '1995-02-01', DATE '1995-03-14', INTERVAL 7 DAY)) AS DATE) AS d))"],
+        "SELECT ticker, 'news' AS data_type, d AS date_range_start, e AS date_range_end, e AS last_fetch_date, CASE WHEN ticker <> '5-LOW' THEN e END AS last_success_date,"
+        " CASE WHEN ticker = '5-LOW' THEN 'failed' ELSE 'completed' END AS status, CASE WHEN ticker = '5-LOW' THEN 'timeout' END AS error_message,"
+        " CAST((SELECT count(*) FROM batch b WHERE b.ticker = chunks.ticker AND CAST(b.published_at AS DATE) BETWEEN d AND e) AS INT) AS rows_inserted,"
+        " TIMESTAMP '2001-08-15 00:00:00' AS updated_at, 'load-1' AS batch_id FROM chunks",
+    ),
+    "backfill_stored_intraday": sql(
+        [INTRA, "batch AS (SELECT * REPLACE (close + 1 AS close) FROM ibars WHERE CAST(timestamp AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-20' AND ticker <> 'click')",
+         "merged AS (SELECT * FROM batch UNION ALL SELECT b.* FROM ibars b ANTI JOIN batch USING (ticker, timestamp) WHERE b.timestamp < TIMESTAMP '2024-01-15')"],
+        select([*TKEY, *_BAR_COLUMNS], "merged"),
+    ),
     "upsert_intraday": sql(
         [INTRA, "batch AS (SELECT * REPLACE (close + 1 AS close) FROM ibars WHERE day(timestamp) >= 10)",
          "merged AS (SELECT * FROM batch UNION ALL SELECT b.* FROM ibars b ANTI JOIN batch USING (ticker, timestamp) WHERE day(b.timestamp) <= 20)"],

@@ -18,7 +18,7 @@ from ..operators.clock import market_hours_only, time_features
 from ..operators.ledger import backfill_plan, last_fetch, resolve_date_ranges
 from ..operators.panel import run_blocks
 from ..operators.sentiment import combine_sentiment_scores, rule_sentiment
-from ..operators.upsert import DAILY_POLICY, INTRADAY_POLICY, NEWS_POLICY, merge_batch, month_of, upsert_table
+from ..operators.upsert import DAILY_POLICY, INTRADAY_POLICY, NEWS_POLICY, KeyIndex, merge_batch, month_of, upsert_table
 from ..plans.backfill import apply_backfill, store_backfill
 from ..plans.daily import INTRADAY_COLUMNS, confluence_table, daily_from_intraday, prepare_daily_features, row_counts
 from ..plans.intraday import intraday_table, prepare_intraday_features
@@ -319,10 +319,8 @@ def upsert_bars(spark, folder):
     return shown(merge_batch(base, batch, DAILY_POLICY))
 
 
-def upsert_news(spark, folder):
-    articles = views.news(spark, folder)
-    base = articles.filter(F.col("published_at") < "1995-03-15")
-    batch = articles.filter(F.col("published_at") >= "1995-02-15").withColumns(
+def _changed_news(articles):
+    return articles.withColumns(
         {
             "ticker": F.lit("NEW"),
             "author": F.lit("NEW"),
@@ -332,6 +330,12 @@ def upsert_news(spark, folder):
             "tickers": F.array_append("tickers", F.lit("NEW")),
         }
     )
+
+
+def upsert_news(spark, folder):
+    articles = views.news(spark, folder)
+    base = articles.filter(F.col("published_at") < "1995-03-15")
+    batch = _changed_news(articles.filter(F.col("published_at") >= "1995-02-15"))
     merged = merge_batch(base, batch, NEWS_POLICY)
     listed = {"keywords": F.array_join("keywords", "|"), "tickers": F.array_join("tickers", "|")}
     return shown(merged.withColumns(listed))
@@ -471,6 +475,61 @@ def backfill_stored_ledger(spark, folder):
     return shown(spark.read.parquet(f"{_applied_stored(spark, folder)}/ledger"))
 
 
+def upsert_news_stored(spark, folder):
+    """The news merge into a stored table; the batch dates known articles to other months, which must not move them."""
+    articles, path = views.news(spark, folder), _new_folder(spark)
+    cut = F.lit("1995-03-15").cast("timestamp")
+    base = articles.filter(F.col("published_at") < cut).withColumn("month", month_of("published_at"))
+    base.repartition("month").write.partitionBy("month").parquet(f"{path}/table")
+    index = KeyIndex(f"{path}/index", NEWS_POLICY.key, buckets=16)
+    index.build(base)
+    batch = _changed_news(articles.filter(F.col("published_at") >= "1995-02-15"))
+    moved = F.when(F.col("published_at") < cut, F.col("published_at") + F.expr("INTERVAL 40 DAYS")).otherwise(F.col("published_at"))
+    batch = batch.withColumn("published_at", moved).withColumn("month", month_of("published_at"))
+    upsert_table(spark, f"{path}/table", batch, NEWS_POLICY, index=index)
+    listed = {"keywords": F.array_join("keywords", "|"), "tickers": F.array_join("tickers", "|")}
+    return shown(spark.read.parquet(f"{path}/table").drop("month").withColumns(listed))
+
+
+def _stored_run(spark, base, landed, plan, kind, failing, index=None):
+    """Folder of a stored backfill that is attempted twice."""
+    root = _new_folder(spark)
+    time = {"intraday": "timestamp", "news": "published_at"}[kind]
+    base = base.withColumn("month", month_of(time))
+    base.repartition("month").write.partitionBy("month").parquet(f"{root}/table")
+    if index:
+        index = KeyIndex(f"{root}/index", NEWS_POLICY.key, buckets=16)
+        index.build(base)
+    failures = plan.filter(F.col("ticker") == failing).withColumn("error_message", F.lit("timeout"))
+    at = F.lit("2001-08-15 00:00:00").cast("timestamp")
+    for _ in range(2):
+        store_backfill(spark, f"{root}/table", f"{root}/ledger", landed, plan, kind, failures, at, batch_id="load-1", index=index)
+    return root
+
+
+def _news_run(spark, folder):
+    articles = views.news(spark, folder)
+    landed = articles.filter(F.col("published_at") >= "1995-01-15").withColumn("title", F.concat(F.lit("NEW "), "title"))
+    plan = backfill_plan(_tickers(spark, folder), None, "news", "full", AS_OF, "1995-02-01", "1995-03-14")
+    return _stored_run(spark, articles.filter(F.col("published_at") < "1995-02-20"), landed, plan, "news", "5-LOW", index=True)
+
+
+def backfill_stored_news(spark, folder):
+    return shown(spark.read.parquet(f"{_news_run(spark, folder)}/table").select("id", "ticker", "published_at", "title"))
+
+
+def backfill_stored_news_ledger(spark, folder):
+    return shown(spark.read.parquet(f"{_news_run(spark, folder)}/ledger"))
+
+
+def backfill_stored_intraday(spark, folder):
+    bars = views.bars_intraday(spark, folder)
+    landed = bars.filter(F.col("timestamp") >= "2024-01-05").withColumn("close", F.col("close") + 1)
+    plan = backfill_plan(bars.select("ticker").distinct(), None, "intraday", "full", AS_OF.replace(year=2024), "2024-01-10", "2024-01-20")
+    root = _stored_run(spark, bars.filter(F.col("timestamp") < "2024-01-15"), landed, plan, "intraday", "click")
+    return shown(spark.read.parquet(f"{root}/table").drop("month"))
+
+
 def backfill_table(spark, folder):
     return shown(_applied(spark, folder).table)
 
@@ -494,8 +553,8 @@ QUERIES: dict[str, Query] = {
     "volume_ratio_flags": _daily(volume.VolumeRatio(V)),
     "volume_trend": _daily(volume.VolumeTrend(V)),
     "dollar_volume": _daily(volume.TradedValue(V)),
-    "sparse_ema": _sparse(price.ExponentialAverages((12,)), names=["ema_12"]),
-    "sparse_macd": _sparse(technical.Macd(12, 26, 9), names=["macd_12_26_9"]),
+    "sparse_ema": _sparse(price.ExponentialAverages((12,))),
+    "sparse_macd": _sparse(technical.Macd(12, 26, 9)),
     "sparse_rsi": _sparse(technical.Rsi(14)),
     "sparse_atr": _sparse(technical.AverageTrueRange(14), names=["atr_14"]),
     "sparse_adx": _sparse(technical.Adx(14), names=["adx_14"]),
@@ -550,6 +609,10 @@ QUERIES: dict[str, Query] = {
     "backfill_ledger": backfill_ledger,
     "backfill_stored_table": backfill_stored_table,
     "backfill_stored_ledger": backfill_stored_ledger,
+    "upsert_news_stored": upsert_news_stored,
+    "backfill_stored_news": backfill_stored_news,
+    "backfill_stored_news_ledger": backfill_stored_news_ledger,
+    "backfill_stored_intraday": backfill_stored_intraday,
     "upsert_intraday": upsert_intraday,
     "upsert_stored": upsert_stored,
     "news_loaded": news_loaded,
