@@ -176,7 +176,6 @@ def exact_groups(documents: DataFrame, key: str = "doc_id", text: str = "text",
     )
 
 
-
 def _spark_schema() -> str:
     return "chunk long, owner int, slot int, rid long, doc_id long, chars long, sha binary, run binary, local binary"
 
@@ -185,14 +184,15 @@ def drop_exact_copies(documents: DataFrame, key: str = "doc_id", text: str = "te
     """The documents that stay, with all their columns.
 
     A row stays if its id and normalised text are those of a kept row. Where several rows have one id, those
-    that also share the text are reduced to one.
+    that also share the text are reduced to one. A null id is an id like any other; further columns may have any name.
     """
     groups = saved(exact_groups(documents, key, text).select(F.col("doc_id").alias("group_id"), "kept", "text_sha256"), "exact-groups")
     repeated = groups.groupBy("group_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("group_id")
-    same_id = F.col(key).cast("long").eqNullSafe(F.col("group_id"))
-    # Shuffled whatever the size is: the copies grow with the input, so they are never broadcast.
-    single = documents.join(groups.where("not kept").hint("shuffle_hash"), same_id, "left_anti").join(repeated, same_id, "left_anti")
     digest = F.sha2(F.translate(F.coalesce(F.col(text), F.lit("")), SPACE.decode(), "").cast("binary"), 256)
+    rows = documents.select(F.col(key).cast("long").alias("own_id"), digest.alias("own_digest"), F.struct(*documents.columns).alias("row"))
+    same_id = F.col("own_id").eqNullSafe(F.col("group_id"))
+    # Shuffled whatever the size is: the copies grow with the input, so they are never broadcast.
+    single = rows.join(groups.where("not kept").hint("shuffle_hash"), same_id, "left_anti").join(repeated, same_id, "left_anti")
     kept = groups.where("kept").join(repeated.withColumnRenamed("group_id", "repeated_id"), F.col("group_id").eqNullSafe(F.col("repeated_id")), "left_semi")
-    many = documents.join(kept, same_id & (digest == F.col("text_sha256")), "left_semi").withColumn("own_digest", digest).dropDuplicates([key, "own_digest"])
-    return single.unionByName(many.select(*documents.columns))
+    many = rows.join(kept, same_id & (F.col("own_digest") == F.col("text_sha256")), "left_semi").dropDuplicates(["own_id", "own_digest"])
+    return single.unionByName(many).select("row.*")

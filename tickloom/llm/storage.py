@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from functools import cache
 from uuid import uuid4
@@ -11,8 +12,11 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a folder of this machine only where it is unset, as in tests."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    """``spark.checkpoint.dir`` of the session. Where it is unset, as in tests, a folder of this machine, which only a local session can use."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return named or _own_folder()
 
 
 @cache
