@@ -229,7 +229,7 @@ def test_exponential_averages_with_holes_equal_pandas(spark, history, layout):
 def test_seeded_average_after_a_hole_equals_pandas(spark, layout):
     from tickloom.operators.technical import Macd
 
-    closes = [100.0, 101, None, 103, 99, None, None, 110, 120] + [100.0 + (k * 37 % 23) if k % 7 else None for k in range(900)]
+    closes = [100.0, 101.0, None, 103.0, 99.0, None, None, 110.0, 120.0] + [100.0 + (k * 37 % 23) if k % 7 else None for k in range(900)]
     days = pd.date_range("2015-01-01", periods=len(closes)).date
     table = spark.createDataFrame([("A", d, c) for d, c in zip(days, closes)], "ticker string, date date, close double")
 
