@@ -19,6 +19,10 @@ _SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32k",
 }
 
+# A wide feature table compiles several hundred classes; Spark keeps 100 by default and would compile them all again in the
+# next run. A static setting: it must be given when the session is started.
+_CODE_CACHE = 4000
+
 
 def prepare_session(spark: SparkSession) -> SparkSession:
     """Apply the settings above to a running session and return it."""
@@ -40,6 +44,7 @@ def local_session(
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.codegen.cache.maxEntries", str(_CODE_CACHE))
     )
     for name, value in (options or {}).items():
         builder = builder.config(name, value)
