@@ -29,7 +29,7 @@ def stored(spark, tmp_path_factory):
 def test_features_never_group_by_ticker_alone(spark, stored):
     """Rows are grouped by bucket and slice; what is grouped by ticker alone is one row per bucket or slice."""
     text = plan_of(confluence_table(spark.read.parquet(stored)))
-    by_ticker = re.findall(r"Exchange hashpartitioning\((ticker#\d+), \d+\)[^\n]*\n([^\n]*\n[^\n]*)", text)
+    by_ticker = re.findall(r"Exchange hashpartitioning\((_key_0#\d+), \d+\)[^\n]*\n([^\n]*\n[^\n]*)", text)
     assert by_ticker
     for _, below in by_ticker:
         # Counts per bucket, or the single edge row of each slice.

@@ -41,6 +41,8 @@ HOLE_OF = dict.fromkeys(("high", "low", "close", "true_range"), BAR_HOLE) | {"vo
 DEFAULT_SLICE_ROWS = 2048
 # Rows at the start of a slice whose own inputs may miss a lag of one row.
 _LEAD = 1
+# Bucket of the rows without a time: before all others.
+_NO_BUCKET = -(2**62)
 # exp(650) is representable with room for the data; exp(-745) is zero.
 _EXPONENT_LIMIT = 650.0
 _UNDERFLOW = 745.0
@@ -56,31 +58,34 @@ def _calendar_bucket(df: DataFrame, order: str) -> Column:
     return F.floor(F.unix_seconds(F.col(order).cast("timestamp")) / (7 * 86400))
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, columns: list[str], how: str = "inner") -> DataFrame:
-    """Equi-join in which null keys match; the result has the columns once."""
-    renamed = right.withColumnsRenamed({c: f"_r{k}" for k, c in enumerate(columns)})
-    matches = [left[c].eqNullSafe(renamed[f"_r{k}"]) for k, c in enumerate(columns)]
-    return left.join(renamed, matches, how).drop(*[f"_r{k}" for k in range(len(columns))])
+def group_columns(key: tuple[str, ...]) -> tuple[str, ...]:
+    """Columns that stand for the key inside a panel."""
+    return tuple(f"_key_{k}" for k in range(len(key)))
+
+
+def with_groups(df: DataFrame, key: tuple[str, ...]) -> DataFrame:
+    """Add the key as text that is never null, the null key being a value of its own. Windows and joins can then use plain
+    equality on the same columns, so a join keeps the partitioning and the order that the window before it needed."""
+    return df.selectExpr("*", *[f"coalesce(concat('=', CAST(`{c}` AS STRING)), '') AS {g}" for c, g in zip(key, group_columns(key))])
+
+
+def _positions(grouped: DataFrame, group: tuple[str, ...], order: str) -> DataFrame:
+    bucketed = grouped.withColumn(BUCKET, F.coalesce(_calendar_bucket(grouped, order), F.lit(_NO_BUCKET)))
+    counts = bucketed.groupBy(*group, BUCKET).agg(F.count(F.lit(1)).alias("_rows"))
+    whole = f"PARTITION BY {', '.join(group)}"
+    before = f"{whole} ORDER BY {BUCKET} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    offsets = counts.selectExpr(
+        *group, BUCKET, f"coalesce(sum(_rows) OVER ({before}), 0) AS {OFFSET}", f"sum(_rows) OVER ({whole}) AS {TOTAL}"
+    )
+    inside = f"PARTITION BY {', '.join(group)}, {BUCKET} ORDER BY `{order}`"
+    ranked = bucketed.selectExpr("*", f"row_number() OVER ({inside}) AS _rank")
+    return ranked.join(offsets, [*group, BUCKET]).selectExpr(f"* EXCEPT ({BUCKET}, {OFFSET}, _rank)", f"{OFFSET} + _rank - 1 AS {INDEX}")
 
 
 def with_positions(df: DataFrame, key: tuple[str, ...], order: str) -> DataFrame:
     """Add the 0-based position of each row in its key and the key's row count."""
-    bucketed = df.withColumn(BUCKET, _calendar_bucket(df, order))
-    counts = bucketed.groupBy(*key, BUCKET).agg(F.count(F.lit(1)).alias("_rows"))
-    whole = Window.partitionBy(*key)
-    before = whole.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        *key,
-        BUCKET,
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias(OFFSET),
-        F.sum("_rows").over(whole).alias(TOTAL),
-    )
-    inside = Window.partitionBy(*key, BUCKET).orderBy(order)
-    return (
-        null_safe_join(bucketed.withColumn("_rank", F.row_number().over(inside)), offsets, [*key, BUCKET])
-        .withColumn(INDEX, F.col(OFFSET) + F.col("_rank") - 1)
-        .drop(BUCKET, OFFSET, "_rank")
-    )
+    group = group_columns(key)
+    return _positions(with_groups(df, key), group, order).drop(*group)
 
 
 def _fitting_slice_rows(wanted: int, halo: int, decays: tuple[float, ...], seed_rows: int = 0) -> int:
@@ -338,7 +343,7 @@ def _with_levels(df: DataFrame, steps: list[list[dict[str, str]]]) -> DataFrame:
 class Panel:
     """Rows grouped so that the window expressions below are right on every row
     that ``close`` returns. Expressions are SQL text; columns and the results of
-    earlier ``add`` calls may be used in them."""
+    earlier ``add`` calls may be used in them. ``key`` are the :func:`group_columns`."""
 
     df: DataFrame
     key: tuple[str, ...]
@@ -467,7 +472,7 @@ class Panel:
         key = ", ".join(self.key)
         by_slice = f"PARTITION BY {key} ORDER BY {SLICE}"
         handed = _with_levels(edges, [_edge_levels(s, key, by_slice, self.rows) for s in steps]).select(*self.key, SLICE, *in_names)
-        joined = null_safe_join(own, handed, [*self.key, SLICE], "left")
+        joined = own.join(handed, [*self.key, SLICE], "left")
         values = [
             f"CASE WHEN _place >= 0 THEN {s.combined() if isinstance(s, Ewm) else s.combine(f'_own_{s.name}', f'_in_{s.name}', '_place')} END AS {s.name}"
             for s in steps
@@ -480,7 +485,7 @@ class Panel:
 
     def close(self) -> DataFrame:
         """The rows themselves, without the copies lent to neighbouring slices."""
-        return self.df.filter(self._at_home).drop(*_INTERNAL)
+        return self.df.filter(self._at_home).drop(*_INTERNAL, *self.key)
 
 
 def open_panel(
@@ -503,10 +508,10 @@ def open_panel(
     rows = _fitting_slice_rows(slice_rows, halo, decays, seed_rows)
     home = f"floor({INDEX} / {rows})"
     lent = f"{INDEX} >= ({home} + 1) * {rows} - {halo} AND ({home} + 1) * {rows} < {TOTAL}"
-    sliced = with_positions(df, key, order).selectExpr(
+    sliced = _positions(with_groups(df, key), group_columns(key), order).selectExpr(
         "*", f"explode(CASE WHEN {lent} THEN array({home}, {home} + 1) ELSE array({home}) END) AS {SLICE}"
     )
-    return Panel(sliced, key, rows, halo)
+    return Panel(sliced, group_columns(key), rows, halo)
 
 
 def ema_decay(span: int) -> float:

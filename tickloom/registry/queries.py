@@ -46,13 +46,13 @@ def shown(df: DataFrame) -> DataFrame:
     for field in df.schema.fields:
         name = field.name
         if isinstance(field.dataType, (T.DoubleType, T.DecimalType)):
-            value, digits = q(name).cast("double"), digits_of(name)
-            out.append((value if digits is None else F.round(value, digits)).alias(name))
+            value, digits = f"CAST(`{name}` AS DOUBLE)", digits_of(name)
+            out.append(f"{value if digits is None else f'round({value}, {digits})'} AS `{name}`")
         elif isinstance(field.dataType, T.TimestampType):
-            out.append(q(name).cast("timestamp_ntz").alias(name))
+            out.append(f"CAST(`{name}` AS TIMESTAMP_NTZ) AS `{name}`")
         else:
-            out.append(q(name))
-    return df.select(*out)
+            out.append(f"`{name}`")
+    return df.selectExpr(*out)
 
 
 def _keyed(df: DataFrame, key: tuple[str, ...], names) -> DataFrame:
