@@ -510,6 +510,14 @@ _SPARSE_FALL = f"""first_close AS (SELECT ticker, arg_min(close, i) FILTER (WHER
   fell AS (SELECT *, (close / base - top / base) / (top / base + 1e-10) AS dd FROM high_so_far),
   drawn_sparse AS (SELECT ticker, date, min(dd) {_frame(5)} AS max_drawdown_5d, min(dd) {_frame(20)} AS max_drawdown_20d FROM fell)"""
 
+CHECKED_RECORDS = (
+    "records AS (SELECT event_id, value,"
+    " CASE event_id % 10 WHEN 1 THEN 'missing ticker' WHEN 2 THEN 'corrupt record' WHEN 4 THEN 'missing close'"
+    " WHEN 3 THEN CASE WHEN round(value * 1e7, 4) >= 1e8 THEN 'out of range open' END END AS reason,"
+    " CASE WHEN event_id % 10 NOT IN (1, 2) THEN event_type END AS ticker,"
+    " CASE WHEN event_id % 10 <> 2 THEN CAST(ts AS DATE) END AS day FROM events)"
+)
+
 ORACLE: dict[str, str] = {
     "sparse_ema": sql(_sparse_walk(), select([*KEY, "ema_12", "close_vs_ema12"], "walked"), recursive=True),
     "sparse_macd": sql(
@@ -670,6 +678,17 @@ ORACLE: dict[str, str] = {
     + ", ".join(f"round(value, {digits_of(n)}) AS {n}" for n in PRICES)
     + ", value AS volume_weighted_avg_price"
     + ", user_id AS volume, CAST(json_extract(props, '$.k') AS BIGINT) AS transactions, CAST(ts AS DATE) AS date FROM events",
+    "landing_quarantine": sql(
+        [CHECKED_RECORDS],
+        "SELECT event_id, reason, ticker, day, CASE WHEN reason IS NULL THEN round(value, " + str(digits_of("close")) + ") END AS close FROM records",
+    ),
+    "landing_failed_chunks": sql(
+        [CHECKED_RECORDS],
+        "SELECT ticker, start_date, start_date + 6 AS end_date, count(*) || ' bad records, among them: ' || min(reason) AS error_message FROM"
+        " (SELECT *, DATE '2024-01-01' + CAST(7 * ((day - DATE '2024-01-01') // 7) AS INTEGER) AS start_date FROM records"
+        " WHERE reason IS NOT NULL AND ticker IS NOT NULL AND day BETWEEN DATE '2024-01-01' AND DATE '2024-02-11')"
+        " GROUP BY ticker, start_date",
+    ),
     "landing_news": sql(
         [NEWS],
         "SELECT id, ticker, published_at, CASE WHEN type <> 'en' THEN title ELSE '' END AS title, length(description) AS description, '' AS url, author, 'article' AS type,"

@@ -24,6 +24,7 @@ from ..plans.daily import INTRADAY_COLUMNS, confluence_table, daily_from_intrada
 from ..plans.intraday import intraday_table, prepare_intraday_features
 from ..schemas import LANDING_BARS, LANDING_NEWS
 from ..sources.landing import bars_from_landing, news_from_landing
+from ..sources.quarantine import check_landed_bars, failed_chunks
 from ..sources.symbols import backfill_tickers
 from ..sources.tables import MarketTables, load_daily_bars, load_index, load_intraday_bars, load_news, news_between
 from . import views
@@ -288,6 +289,36 @@ def landing_bars(spark, folder):
     return shown(bars_from_landing(_landing_json(records, LANDING_BARS), with_date=True))
 
 
+def _checked_bars(spark, folder):
+    """Bar records of all events, four in ten of them broken in one of four ways."""
+    events, way = views.table(spark, folder, "events"), F.col("event_id") % 10
+    records = events.select(
+        "event_id",
+        F.when(way != 1, F.col("event_type")).alias("ticker"),
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp"),
+        F.when(way == 3, F.col("value") * 1e7).otherwise(F.col("value")).alias("open"),
+        F.col("value").alias("high"),
+        F.col("value").alias("low"),
+        F.when(way != 4, F.col("value")).alias("close"),
+    )
+    text = F.to_json(F.struct(*records.columns[1:]))
+    lines = records.select("event_id", F.when(way == 2, F.substring(text, 1, 20)).otherwise(text).alias("value"))
+    return check_landed_bars(lines, with_date=True, keep=("event_id",))
+
+
+def landing_quarantine(spark, folder):
+    checked = _checked_bars(spark, folder)
+    good = checked.good.select("event_id", F.lit(None).cast("string").alias("reason"), "ticker", F.col("date").alias("day"), "close")
+    bad = checked.bad.select("event_id", "reason", "ticker", "day", F.lit(None).cast("double").alias("close"))
+    return shown(good.unionByName(bad))
+
+
+def landing_failed_chunks(spark, folder):
+    tickers = views.table(spark, folder, "events").select(F.col("event_type").alias("ticker")).distinct()
+    plan = backfill_plan(tickers, None, "news", "full", AS_OF.replace(year=2024), "2024-01-01", "2024-02-11")
+    return failed_chunks(_checked_bars(spark, folder).bad, plan)
+
+
 def landing_news(spark, folder):
     articles = views.news(spark, folder)
     insight = F.struct(
@@ -600,6 +631,8 @@ QUERIES: dict[str, Query] = {
     "combined_sentiment": combined_sentiment,
     "landing_bars": landing_bars,
     "landing_news": landing_news,
+    "landing_quarantine": landing_quarantine,
+    "landing_failed_chunks": landing_failed_chunks,
     "upsert_bars": upsert_bars,
     "upsert_news": upsert_news,
     "ledger_latest": ledger_latest,
