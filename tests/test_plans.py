@@ -80,3 +80,18 @@ def test_index_is_joined_before_the_rows_are_wide(spark, stored):
     index = market.index_returns(views.index_daily(spark, SMALL))
     text = plan_of(confluence_table(bars, index=index))
     assert text.index("Window") < text.index("Join")  # the join lies below all windows
+
+
+def test_export_lets_a_reader_skip_files(spark, tmp_path):
+    from tickloom.sources.sinks import write_clustered
+
+    bars, path = views.bars_daily(spark, SMALL), str(tmp_path / "out")
+    write_clustered(bars, path, ("ticker", "date"), rows_per_file=200)
+    files = spark.read.parquet(path).groupBy(F.input_file_name().alias("f")).agg(
+        F.min("ticker").alias("a"), F.max("ticker").alias("b"), F.count("*").alias("n")
+    ).collect()
+    assert sum(f.n for f in files) == bars.count() and max(f.n for f in files) <= 200
+    # Only files whose range holds the ticker can have its rows; ranges meet at their ends only.
+    with_it = [f for f in files if f.a <= "2-HIGH" <= f.b]
+    assert 0 < len(with_it) < len(files)
+    assert sum(f.a != f.b for f in files) < bars.select("ticker").distinct().count()

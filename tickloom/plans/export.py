@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from ..sources.sinks import persist_if_requested
+from ..sources.sinks import ROWS_PER_FILE, write_clustered
 from ..sources.tables import MarketTables, Tickers, load_news
 from .daily import prepare_daily_features
 from .intraday import prepare_intraday_features
 
 _KINDS = ("daily", "intraday", "news")
+_ORDER = {"daily": ("ticker", "date"), "intraday": ("ticker", "timestamp"), "news": ("ticker", "published_at")}
 
 
 def default_name(data_type: str, ticker: str | None, at: datetime) -> str:
@@ -23,11 +24,13 @@ def export_features_to_parquet(
     ticker: Tickers = None,
     *,
     as_of: date | None = None,
+    rows_per_file: int = ROWS_PER_FILE,
     **options,
 ) -> str:
     """Write the daily or intraday feature table or the raw news; return the path.
 
-    An empty result is written too, with its schema. ``options`` go to the plan;
+    Files hold ranges of ticker and time, so a reader of one ticker skips the others. An empty result is written too,
+    with its schema. ``options`` go to the plan;
     :func:`default_name` names a file by its content.
     """
     if data_type not in _KINDS:
@@ -38,5 +41,5 @@ def export_features_to_parquet(
         frame = prepare_intraday_features(tables, ticker, as_of=as_of, **options).features
     else:
         frame = load_news(tables.news, ticker)
-    persist_if_requested(frame, output_path)
+    write_clustered(frame, output_path, _ORDER[data_type], rows_per_file)
     return output_path

@@ -793,3 +793,7 @@ ORACLE |= {
         select(INTRADAY_NAMES, "v3 WHERE " + " AND ".join(f'"{n}" IS NOT NULL' for n in INTRADAY_NAMES)),
     ),
 }
+
+# Read back, an export is what was written.
+for _kind, _same in (("daily", "daily_own_index"), ("intraday", "intraday_with_landed"), ("news", "news_loaded")):
+    ORACLE[f"export_{_kind}"] = ORACLE[_same]

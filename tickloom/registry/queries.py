@@ -21,6 +21,7 @@ from ..operators.sentiment import combine_sentiment_scores, rule_sentiment
 from ..operators.upsert import DAILY_POLICY, INTRADAY_POLICY, NEWS_POLICY, KeyIndex, merge_batch, month_of, upsert_table
 from ..plans.backfill import apply_backfill, store_backfill
 from ..plans.daily import INTRADAY_COLUMNS, confluence_table, daily_from_intraday, prepare_daily_features, row_counts
+from ..plans.export import export_features_to_parquet
 from ..plans.intraday import intraday_table, prepare_intraday_features
 from ..schemas import LANDING_BARS, LANDING_NEWS
 from ..sources.landing import bars_from_landing, news_from_landing
@@ -429,6 +430,28 @@ def intraday_with_landed(spark, folder):
     return shown(done.features)
 
 
+def export_daily(spark, folder):
+    """Exported daily features read back."""
+    symbols = spark.createDataFrame([(t, "3-MEDIUM") for t in ("1-URGENT", "2-HIGH")], "ticker string, market_index string")
+    tables = MarketTables(views.bars_daily(spark, folder), symbols=symbols)
+    path = export_features_to_parquet(tables, "daily", _new_folder(spark), ["1-URGENT", "2-HIGH"])
+    return _keyed(spark.read.parquet(path), ("ticker", "date"), market.MARKET_COLUMNS)
+
+
+def export_intraday(spark, folder):
+    """Exported intraday features read back."""
+    tables = MarketTables(intraday=views.bars_intraday(spark, folder))
+    options = {"landed": _landed_for_gaps(spark, folder), "expected_interval_minutes": 30}
+    return shown(spark.read.parquet(export_features_to_parquet(tables, "intraday", _new_folder(spark), **options)))
+
+
+def export_news(spark, folder):
+    """Exported news read back."""
+    path = export_features_to_parquet(MarketTables(news=views.news(spark, folder)), "news", _new_folder(spark))
+    listed = {"keywords": F.array_join("keywords", "|"), "tickers": F.array_join("tickers", "|")}
+    return shown(spark.read.parquet(path).withColumns(listed))
+
+
 def _ledger(spark, folder):
     """One ledger row per order."""
     orders = views.table(spark, folder, "orders")
@@ -654,4 +677,7 @@ QUERIES: dict[str, Query] = {
     "news_per_ticker": news_per_ticker,
     "daily_own_index": daily_own_index,
     "intraday_with_landed": intraday_with_landed,
+    "export_daily": export_daily,
+    "export_intraday": export_intraday,
+    "export_news": export_news,
 }
