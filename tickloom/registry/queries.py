@@ -381,8 +381,12 @@ def upsert_intraday(spark, folder):
 
 
 def _new_folder(spark):
-    """A new folder that all executors reach; a local one only where the cluster names none."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-")
+    """A new folder that all executors reach; a local one only in a local session."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors reach")
+        shared = tempfile.mkdtemp(prefix="run-")
     return f"{shared.rstrip('/')}/{uuid4().hex}"
 
 
