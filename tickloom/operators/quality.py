@@ -153,6 +153,11 @@ def intraday_gaps(bars: DataFrame, expected_interval_minutes: int = 5) -> DataFr
     times = run_blocks(
         bars.select("ticker", "timestamp"), Previous("timestamp", "previous_timestamp"), order="timestamp"
     )
+    return _long_steps(times, expected_interval_minutes)
+
+
+def _long_steps(times: DataFrame, expected_interval_minutes: int) -> DataFrame:
+    """Gaps among the steps (ticker, previous_timestamp, timestamp)."""
     seconds = (F.unix_micros("timestamp") - F.unix_micros("previous_timestamp")) / 1e6
     step = F.expr(f"interval {int(expected_interval_minutes)} minutes")
     steps = times.select(
@@ -173,6 +178,24 @@ def intraday_gaps(bars: DataFrame, expected_interval_minutes: int = 5) -> DataFr
     return counted.withColumns({"first_missing": F.col("previous_timestamp") + step, "last_missing": span})
 
 
+def remaining_gaps(gaps: DataFrame, filled: DataFrame, expected_interval_minutes: int = 5) -> DataFrame:
+    """The gaps left once the ``filled`` bars, all inside gaps, are in the table.
+
+    Only the bounds of the gaps and the filled bars are ordered, never the table: a step
+    that starts at the first bound of a gap or at a filled bar lies inside a gap, any other leads from one gap to the next.
+    """
+    one, none = F.lit(1), F.lit(0)
+    times = (
+        gaps.select("ticker", F.col("previous_timestamp").alias("timestamp"), one.alias("_inside"))
+        .unionByName(gaps.select("ticker", F.col("current_timestamp").alias("timestamp"), none.alias("_inside")))
+        .unionByName(filled.select("ticker", "timestamp", one.alias("_inside")))
+        .groupBy("ticker", "timestamp")
+        .agg(F.max("_inside").alias("_inside"))
+    )
+    steps = run_blocks(times, Previous("timestamp", "previous_timestamp"), Previous("_inside", "_starts_inside"), order="timestamp")
+    return _long_steps(steps.filter(F.col("_starts_inside") == 1), expected_interval_minutes)
+
+
 def flag_missing_neighbors(bars: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Bars with boundary flags, and the table of the flagged ones."""
     flagged = run_blocks(bars, Boundary(), order="timestamp")

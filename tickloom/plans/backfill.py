@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ledger import append_ledger, ledger_has_batch, ledger_rows
-from ..operators.upsert import DAILY_POLICY, INTRADAY_POLICY, NEWS_POLICY, KeyIndex, merge_batch, month_of, news_defaults, upsert_table
+from ..operators.upsert import DAILY_POLICY, INTRADAY_POLICY, NEWS_POLICY, KeyIndex, last_per_key, merge_batch, month_of, news_defaults, upsert_table
+from ..operators.quality import fetch_ranges, intraday_gaps, missing_bars, remaining_gaps
 
 _POLICIES = {"daily": DAILY_POLICY, "intraday": INTRADAY_POLICY, "news": NEWS_POLICY}
 _DAY = {
@@ -98,3 +100,46 @@ def store_backfill(
     report = _report(chunks, placed, data_type, as_of)
     append_ledger(report if batch_id is None else report.withColumn("batch_id", F.lit(batch_id)), ledger)
     return True
+
+
+@dataclass(frozen=True)
+class StoredFill:
+    """Result of filling a stored table: the gaps that stay, the rounds that brought bars, and how many."""
+
+    gaps: DataFrame
+    rounds: int
+    bars: int
+
+
+def fill_stored_gaps(
+    spark: SparkSession,
+    table: str,
+    landing: Callable[[DataFrame], DataFrame],
+    work: str,
+    expected_interval_minutes: int = 5,
+    as_of: Column | None = None,
+) -> StoredFill:
+    """Fill the gaps of a stored intraday table (partitioned by month) until nothing more lands.
+
+    ``landing`` gets the ranges to fetch (``ticker, range_start, range_end, dates``) and returns the bars it has for them so far, extra ones
+    included; bars at missing timestamps are merged. The table is searched for gaps once. Every further round knows its
+    gaps from the last round's gaps and bars, and rewrites only the months in which bars have landed. Bars with a null ticker or time fill nothing.
+
+    ``work`` is a new folder that all executors reach; each round's gaps and bars are written there. A run that breaks
+    off can be repeated with another folder: bars merged before are no longer missing. Every round but the last
+    fills at least one missing bar, so the loop ends.
+    """
+    intraday_gaps(spark.read.parquet(table), expected_interval_minutes).write.parquet(f"{work}/gaps-0")
+    rounds = bars = 0
+    while True:
+        gaps = spark.read.parquet(f"{work}/gaps-{rounds}")
+        missing = missing_bars(gaps)
+        landed = landing(fetch_ranges(missing)).join(missing.select("ticker", "timestamp"), ["ticker", "timestamp"], "left_semi")
+        last_per_key(landed, INTRADAY_POLICY.key).write.parquet(f"{work}/bars-{rounds}")
+        found = spark.read.parquet(f"{work}/bars-{rounds}")
+        count = found.count()
+        if not count:
+            return StoredFill(gaps, rounds, bars)
+        upsert_table(spark, table, found.withColumn("month", month_of("timestamp")), INTRADAY_POLICY, as_of=as_of)
+        rounds, bars = rounds + 1, bars + count
+        remaining_gaps(gaps, found, expected_interval_minutes).write.parquet(f"{work}/gaps-{rounds}")

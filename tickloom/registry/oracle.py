@@ -644,6 +644,13 @@ ORACLE: dict[str, str] = {
         " JOIN (SELECT ticker, min(timestamp) AS first_missing, max(timestamp) AS last_missing FROM missing GROUP BY 1) f USING (ticker)",
     ),
     "gap_fill": sql([INTRA, GAPS, FILL], select([*TKEY, *_BAR_COLUMNS], "filled")),
+    "gap_fill_stored": sql([INTRA, GAPS, FILL], select([*TKEY, *_BAR_COLUMNS], "(SELECT * FROM ibars UNION ALL BY NAME SELECT * FROM filled)")),
+    "gap_fill_remaining": sql(
+        [INTRA, GAPS, FILL],
+        "SELECT ticker, previous_timestamp, current_timestamp, CAST(ceil(seconds / 1800) AS INT) - 1 AS missing_count FROM (SELECT *, date_diff('microsecond', previous_timestamp, current_timestamp) / 1e6 AS seconds FROM"
+        " (SELECT ticker, lag(timestamp) OVER (PARTITION BY ticker ORDER BY timestamp) AS previous_timestamp, timestamp AS current_timestamp FROM"
+        " (SELECT ticker, timestamp FROM ibars UNION ALL SELECT ticker, timestamp FROM filled))) WHERE seconds > 2700 AND seconds <> 201900 AND seconds <> 29100",
+    ),
     "gap_fill_summary": sql(
         [INTRA, GAPS, FILL,
          "days AS (SELECT DISTINCT ticker, date FROM recent)",

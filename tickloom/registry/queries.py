@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable
 from datetime import date
+from itertools import count
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from ..operators.ledger import backfill_plan, last_fetch, resolve_date_ranges
 from ..operators.panel import run_blocks
 from ..operators.sentiment import combine_sentiment_scores, rule_sentiment
 from ..operators.upsert import DAILY_POLICY, INTRADAY_POLICY, NEWS_POLICY, KeyIndex, merge_batch, month_of, upsert_table
-from ..plans.backfill import apply_backfill, store_backfill
+from ..plans.backfill import apply_backfill, fill_stored_gaps, store_backfill
 from ..plans.daily import INTRADAY_COLUMNS, confluence_table, daily_from_intraday, prepare_daily_features, row_counts
 from ..plans.export import export_features_to_parquet
 from ..plans.intraday import intraday_table, prepare_intraday_features
@@ -233,6 +234,30 @@ def gap_fill_summary(spark, folder):
     return _filled(spark, folder).summary
 
 
+def _gaps_filled(spark, folder):
+    """Folder and result of a stored fill whose source has bars of other hours at each of its first three calls."""
+    root, landed, calls = _new_folder(spark), _landed_for_gaps(spark, folder), count()
+    bars = views.bars_intraday(spark, folder)
+    bars.withColumn("month", month_of("timestamp")).repartition("month").write.partitionBy("month").parquet(f"{root}/table")
+
+    def landing(ranges):
+        days = ranges.select("ticker", F.explode(F.sequence("range_start", "range_end")).alias("_day"))
+        asked = landed.withColumn("_day", F.to_date("timestamp")).join(days, ["ticker", "_day"], "left_semi").drop("_day")
+        return asked.filter(F.hour("timestamp") % 3 <= next(calls))
+
+    return root, fill_stored_gaps(spark, f"{root}/table", landing, f"{root}/work", 30)
+
+
+def gap_fill_stored(spark, folder):
+    root, _ = _gaps_filled(spark, folder)
+    return shown(spark.read.parquet(f"{root}/table").drop("month"))
+
+
+def gap_fill_remaining(spark, folder):
+    _, done = _gaps_filled(spark, folder)
+    return shown(done.gaps.select("ticker", "previous_timestamp", "current_timestamp", "missing_count"))
+
+
 def news_daily(spark, folder):
     return shown(news.news_daily(views.news(spark, folder)))
 
@@ -649,6 +674,8 @@ QUERIES: dict[str, Query] = {
     "gap_summary": gap_summary,
     "gap_fill": gap_fill,
     "gap_fill_summary": gap_fill_summary,
+    "gap_fill_stored": gap_fill_stored,
+    "gap_fill_remaining": gap_fill_remaining,
     "news_daily": news_daily,
     "news_rolling": news_rolling,
     "news_trend": news_trend,
