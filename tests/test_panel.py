@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tickloom.operators.panel import (
     Affine,
@@ -244,3 +245,16 @@ def test_seeded_average_after_a_hole_equals_pandas(spark, layout):
     got = collected(run_blocks(table, Macd(5, 9, 4)))
     np.testing.assert_allclose(got["macd_5_9_4"].astype(float), line, rtol=1e-8, atol=1e-9)
     np.testing.assert_allclose(got["macd_signal_5_9_4"].astype(float), average(line, 4, 8), rtol=1e-8, atol=1e-9)
+
+
+@pytest.mark.parametrize("n", [1, 7, 64, 100])
+@pytest.mark.parametrize("rows", [2048, 64])
+def test_long_extremes_equal_frames(spark, rows, n):
+    """Running extremes of blocks against the frame evaluated per row: holes, negative values, equal values, keys shorter than the frame."""
+    value = F.when(F.hash("k", "id") % 5 != 0, (F.hash("id", "k") % 50).cast("double"))
+    table = spark.range(700).select(F.when(F.col("id") < 600, "a").when(F.col("id") < 640, "b").alias("k"), F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("date"), value.alias("v"), "id")
+    panel = open_panel(table, key=("k",), lookback=max(n, 2), slice_rows=rows)
+    parts = panel.add(panel.extreme_parts("up", "v", n) | panel.extreme_parts("down", "-v", n))
+    done = parts.add({"high": parts.long_extreme("up", n), "low": f"-({parts.long_extreme('down', n)})", "max": f"max(v) OVER ({panel.frame(n)})", "min": f"min(v) OVER ({panel.frame(n)})"}).close()
+    assert done.count() == 700
+    assert done.where("NOT (high <=> max AND low <=> min)").count() == 0

@@ -9,7 +9,7 @@ from tickloom.registry.oracle import ORACLE
 from tickloom.registry.queries import QUERIES
 
 # Queries whose panels hold scans or long frames.
-SLICED = ("ema", "macd", "adx", "max_drawdown", "sma_ratios", "volume_trend", "gap_ranges", "intraday_features", "daily_features", "sparse_ema", "sparse_macd", "sparse_atr", "sparse_adx", "sparse_drawdown")
+SLICED = ("ema", "macd", "adx", "max_drawdown", "sma_ratios", "volume_trend", "gap_ranges", "intraday_features", "daily_features", "sparse_ema", "sparse_macd", "sparse_atr", "sparse_adx", "sparse_drawdown", "long_range_position", "long_drawdown", "sparse_long_drawdown")
 
 
 @pytest.fixture(scope="module")

@@ -34,6 +34,9 @@ from pyspark.sql import types as T
 BUCKET, OFFSET, INDEX, TOTAL, SLICE = "_bucket", "_offset", "_index", "_total", "_slice"
 _INTERNAL = (INDEX, TOTAL, SLICE)
 
+# From this many rows on, an extreme over a frame is taken from two running ones.
+LONG_EXTREME = 64
+
 # Columns of Panel.with_running, and which of them guards a frame over an input.
 BAR_HOLE, VOLUME_HOLE, SUM_SO_FAR, MEAN_SO_FAR = "_bar_hole", "_volume_hole", "_close_sum", "_close_mean"
 HOLE_OF = dict.fromkeys(("high", "low", "close", "true_range"), BAR_HOLE) | {"volume": VOLUME_HOLE}
@@ -418,6 +421,26 @@ class Panel:
         total = f"{SUM_SO_FAR} - coalesce({self.lag(SUM_SO_FAR, n)}, 0D)"
         return self.full(n, f"({total}) / {n}", "close")
 
+    def extreme_parts(self, name: str, value: str, n: int) -> dict[str, str]:
+        """Columns from which :meth:`long_extreme` takes the largest value of any n rows, whatever n.
+
+        Rows are cut into blocks of n, so a frame of n rows is the end of one block and the start of the next. The largest value
+        since the start of the block and the one up to its end are running maxima of (block, value): later blocks
+        exceed earlier ones, and in descending order the other way round. For the smallest value take that of the negated one.
+        """
+        block = f"floor({INDEX} / {n})"
+        backwards = f"{self.window} DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+        return {
+            f"{name}_to_end": f"(max(struct(-{block} AS block, {value} AS value)) OVER ({backwards})).value",
+            f"{name}_from_start": f"(max(struct({block} AS block, {value} AS value)) OVER ({self.so_far})).value",
+        }
+
+    def long_extreme(self, name: str, n: int) -> str:
+        """Largest known value of the row and the n-1 rows before it, of those there are; a stage after :meth:`extreme_parts`."""
+        if n > self.halo + 1:
+            raise ValueError(f"frame of {n} rows needs a panel with lookback >= {n - 1}")
+        return f"greatest({self.lag(f'{name}_to_end', n - 1)}, {name}_from_start)"
+
     def with_running(self) -> Panel:
         """Add what the helpers above read: the position of the last missing price
         and volume, and the running sum and mean of the close."""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from ..config import PriceFeatureConfig
 from ..functions.expressions import EPSILON, guarded, ratio, require_columns
-from .panel import Block, Ewm, FirstKnown, Panel, RunningMax, Step, ema_decay, run_blocks
+from .panel import LONG_EXTREME, Block, Ewm, FirstKnown, Panel, RunningMax, Step, ema_decay, run_blocks
 
 REQUIRED = ("ticker", "date", "open", "high", "low", "close", "volume")
 TRADING_DAYS = 252
@@ -94,7 +94,16 @@ class Drawdown(Block):
     def second(self, panel: Panel) -> dict[str, str]:
         growth, peak = ratio("close", "_base_close"), ratio("_peak_close", "_base_close")
         fall = f"({growth} - {peak}) / {guarded(peak)}"
-        return {f"max_drawdown_{n}d": f"min({fall}) OVER ({panel.frame(n)})" for n in self.windows}
+        out = {}
+        for n in self.windows:
+            if n < LONG_EXTREME:
+                out[f"max_drawdown_{n}d"] = f"min({fall}) OVER ({panel.frame(n)})"
+            else:
+                out |= panel.extreme_parts(f"_fall_{n}", f"-({fall})", n)
+        return out
+
+    def third(self, panel: Panel) -> dict[str, str]:
+        return {f"max_drawdown_{n}d": f"-({panel.long_extreme(f'_fall_{n}', n)})" for n in self.windows if n >= LONG_EXTREME}
 
     def columns(self) -> list[str]:
         return [f"max_drawdown_{n}d" for n in self.windows]
@@ -149,7 +158,18 @@ class RangePosition(Block):
     def first(self, panel: Panel) -> dict[str, str]:
         out = {}
         for n in self.windows:
-            out |= {f"_low_{n}": panel.rolling("min", "low", n), f"_high_{n}": panel.rolling("max", "high", n)}
+            if n < LONG_EXTREME:
+                out |= {f"_low_{n}": panel.rolling("min", "low", n), f"_high_{n}": panel.rolling("max", "high", n)}
+            else:
+                out |= panel.extreme_parts(f"_fallen_{n}", "-low", n) | panel.extreme_parts(f"_risen_{n}", "high", n)
+        return out
+
+    def second(self, panel: Panel) -> dict[str, str]:
+        out = {}
+        for n in self.windows:
+            if n >= LONG_EXTREME:
+                out[f"_low_{n}"] = panel.full(n, f"-({panel.long_extreme(f'_fallen_{n}', n)})", "low")
+                out[f"_high_{n}"] = panel.full(n, panel.long_extreme(f"_risen_{n}", n), "high")
         return out
 
     def rows(self) -> list[dict[str, str]]:

@@ -88,6 +88,10 @@ RANGE = {
     f"price_vs_{n}d_range": f"(close - {_full('min', 'low', n)}) / ({_full('max', 'high', n)} - {_full('min', 'low', n)} + 1e-10)"
     for n in (5, 20)
 }
+LONG_RANGE = {
+    f"price_vs_{n}d_range": f"(close - {_full('min', 'low', n)}) / ({_full('max', 'high', n)} - {_full('min', 'low', n)} + 1e-10)"
+    for n in (100, 1000)
+}
 TRUE_RANGE = f"greatest(high - low, abs(high - {_lag('close')}), abs(low - {_lag('close')}))"
 
 # Growth by multiplying the returns, its peak so far, and the fall from it.
@@ -532,6 +536,7 @@ ORACLE: dict[str, str] = {
         _sparse_walk(*_SPARSE_ADX), f"SELECT ticker, date, round(CASE WHEN an >= 14 THEN a / nullif(aw, 0) END, {digits_of('adx_14')}) AS adx_14 FROM adx_walk JOIN walked USING (ticker, i)", recursive=True
     ),
     "sparse_drawdown": sql([*_SPARSE, _SPARSE_FALL], select([*KEY, "max_drawdown_5d", "max_drawdown_20d"], "drawn_sparse")),
+    "sparse_long_drawdown": sql([*_SPARSE, _SPARSE_FALL], select([*KEY, "max_drawdown_250d"], f"(SELECT ticker, date, min(dd) {_frame(250)} AS max_drawdown_250d FROM fell)")),
     "bars_daily": sql(DAILY, select([*KEY, *_BAR_COLUMNS], "bars")),
     "bars_intraday": sql([INTRA], select([*TKEY, *_BAR_COLUMNS], "ibars")),
     "loaded_daily": sql(
@@ -549,6 +554,8 @@ ORACLE: dict[str, str] = {
     "sma_ratios": windows(SMA, SMA_GAP),
     "ema": recurrences(["ema_12", "ema_26", *EMA_GAP]),
     "price_range_position": windows(RANGE),
+    "long_range_position": windows(LONG_RANGE),
+    "long_drawdown": sql([*DAILY, DRAWDOWN], select([*KEY, "max_drawdown_250d"], f"(SELECT ticker, date, min(dd) {_frame(250)} AS max_drawdown_250d FROM fallen)")),
     "true_range": windows(
         {"true_range": TRUE_RANGE},
         {"avg_true_range_14": _full("avg", "true_range", 14), "tr_percent": "true_range / (close + 1e-10)"},

@@ -632,6 +632,9 @@ QUERIES: dict[str, Query] = {
     "sma_ratios": _daily(price.SimpleAverages(P.sma_windows)),
     "ema": _daily(price.ExponentialAverages(P.ema_windows)),
     "price_range_position": _daily(price.RangePosition(P.price_position_windows)),
+    "long_range_position": _daily(price.RangePosition((100, 1000))),
+    "long_drawdown": _daily(price.Drawdown(PriceFeatureConfig(volatility_windows=(250,)))),
+    "sparse_long_drawdown": _sparse(price.Drawdown(PriceFeatureConfig(volatility_windows=(250,)))),
     "true_range": _daily(price.TrueRange(P.true_range_window)),
     "volume_ratio_flags": _daily(volume.VolumeRatio(V)),
     "volume_trend": _daily(volume.VolumeTrend(V)),
