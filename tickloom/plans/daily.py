@@ -22,7 +22,7 @@ from ..operators import candles, confluence, market, news, price, technical, vol
 from ..operators.clock import time_features
 from ..operators.panel import DEFAULT_SLICE_ROWS, Block, run_blocks
 from ..operators.quality import DayDistance, calendar_columns, daily_gaps
-from ..sources.sinks import persist_if_requested
+from ..sources.sinks import persist_counted
 from ..sources.symbols import DEFAULT_INDEX, with_market_index
 from ..sources.tables import MarketTables, Tickers, filter_tickers, load_index, scan_daily_bars
 
@@ -42,8 +42,11 @@ INTRADAY_COLUMNS = (
 
 @dataclass(frozen=True)
 class DailyFeatures:
+    """``rows`` is the number of saved rows, None where nothing was saved."""
+
     features: DataFrame
     gaps: DataFrame
+    rows: int | None = None
 
 
 def confluence_table(
@@ -165,5 +168,5 @@ def prepare_daily_features(
     )
     # Days on which the index is unknown are complete without its columns.
     own = [c for c in table.columns if c not in market.MARKET_COLUMNS]
-    features = persist_if_requested(complete_rows(table, own), save_path)
-    return DailyFeatures(features, daily_gaps(bars))
+    features, rows = persist_counted(complete_rows(table, own), save_path)
+    return DailyFeatures(features, daily_gaps(bars), rows)

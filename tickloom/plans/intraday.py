@@ -23,7 +23,7 @@ from ..operators.quality import (
     neighbor_table,
 )
 from ..operators.upsert import INTRADAY_POLICY, merge_batch
-from ..sources.sinks import persist_if_requested
+from ..sources.sinks import persist_counted
 from ..sources.tables import MarketTables, Tickers, scan_intraday_bars
 
 LOADED = (
@@ -45,9 +45,12 @@ LOADED = (
 
 @dataclass(frozen=True)
 class IntradayFeatures:
+    """``rows`` is the number of saved rows, None where nothing was saved."""
+
     features: DataFrame
     gaps: DataFrame
     neighbors: DataFrame
+    rows: int | None = None
 
 
 def recent_bars(bars: DataFrame, as_of: date | Column | None, max_years_back: int | None) -> DataFrame:
@@ -108,5 +111,5 @@ def prepare_intraday_features(
         found = fill_gaps(gaps, scan_intraday_bars(landed, ticker), as_of, max_years_back).bars
         bars = merge_batch(bars, found.select(*bars.columns), INTRADAY_POLICY)
     table = intraday_table(bars, volume_config, time_config)
-    features = persist_if_requested(complete_rows(table), save_path)
-    return IntradayFeatures(features, intraday_gaps(bars, expected_interval_minutes), neighbor_table(table))
+    features, rows = persist_counted(complete_rows(table), save_path)
+    return IntradayFeatures(features, intraday_gaps(bars, expected_interval_minutes), neighbor_table(table), rows)

@@ -811,3 +811,6 @@ ORACLE |= {
 # Read back, an export is what was written.
 for _kind, _same in (("daily", "daily_own_index"), ("intraday", "intraday_with_landed"), ("news", "news_loaded")):
     ORACLE[f"export_{_kind}"] = ORACLE[_same]
+ORACLE["saved_rows"] = " UNION ALL ".join(
+    f"SELECT '{kind}' AS kind, count(*) AS saved_rows FROM ({ORACLE[query]})" for kind, query in (("daily", "export_daily"), ("intraday", "intraday_features"))
+)

@@ -459,6 +459,14 @@ def intraday_with_landed(spark, folder):
     return shown(done.features)
 
 
+def saved_rows(spark, folder):
+    """Rows of the saved feature tables, as counted while they were written."""
+    symbols = spark.createDataFrame([(t, "3-MEDIUM") for t in ("1-URGENT", "2-HIGH")], "ticker string, market_index string")
+    daily = prepare_daily_features(MarketTables(views.bars_daily(spark, folder), symbols=symbols), ["1-URGENT", "2-HIGH"], _new_folder(spark))
+    intraday = prepare_intraday_features(MarketTables(intraday=views.bars_intraday(spark, folder)), None, _new_folder(spark))
+    return spark.createDataFrame([("daily", daily.rows), ("intraday", intraday.rows)], "kind string, saved_rows long")
+
+
 def export_daily(spark, folder):
     """Exported daily features read back."""
     symbols = spark.createDataFrame([(t, "3-MEDIUM") for t in ("1-URGENT", "2-HIGH")], "ticker string, market_index string")
@@ -711,6 +719,7 @@ QUERIES: dict[str, Query] = {
     "news_per_ticker": news_per_ticker,
     "daily_own_index": daily_own_index,
     "intraday_with_landed": intraday_with_landed,
+    "saved_rows": saved_rows,
     "export_daily": export_daily,
     "export_intraday": export_intraday,
     "export_news": export_news,
