@@ -66,7 +66,8 @@ def word_counts(docs: DataFrame, every: int = 97, least_chars: int = 5, least_n:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 head = zlib.crc32(f"{key}:".encode())
                 for run, n in Counter(RUNS.findall(text.as_py().lower())).items():
-                    counts[distorted(run, head, every)] += n
+                    if len(run) >= least_chars:  # no run of fewer bytes has that many code points, and none grows
+                        counts[distorted(run, head, every)] += n
                 if len(counts) >= _FLUSH_AT:
                     yield from _flushed(counts, "word")
         yield from _flushed(counts, "word")
