@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +53,20 @@ def last_per_key(batch: DataFrame, key: Sequence[str], sequence: str | Column |
     return kept.select(*key, *[F.col("_last._row")[c].alias(c) for c in rest])
 
 
+def partition_of_last(batch: DataFrame, key: Sequence[str], partition: str, sequence: str | None = None) -> DataFrame:
+    """Key and ``partition`` of the rows of ``last_per_key``; whole rows are compared only for keys whose rows differ in the partition."""
+    known, rows = F.count(partition), F.count(F.lit(1))
+    ends = batch.groupBy(*key).agg(
+        F.min(partition).alias("_least"), ((known == 0) | (known == rows) & (F.min(partition) == F.max(partition))).alias("_settled")
+    )
+    one = ends.where("_settled").select(*key, F.col("_least").alias(partition))
+    mixed = ends.where("NOT _settled").select(*[F.col(k).alias(f"_mixed_{k}") for k in key])
+    if mixed.isEmpty():
+        return one
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_mixed_{k}")) for k in key])
+    return one.unionByName(last_per_key(batch.join(mixed, same, "left_semi"), key, sequence).select(*key, partition))
+
+
 def _aligned(frame: DataFrame, like: DataFrame) -> DataFrame:
     """Columns and types of ``like``; columns the frame lacks are null."""
     have = set(frame.columns)
@@ -191,7 +207,7 @@ def upsert_table(
     if index is not None:
         known = index.of_keys(batch)
         touched = touched.union(known.select(partition))
-        index.add(last_per_key(batch, key, sequence), known)
+        index.add(partition_of_last(batch, key, partition, sequence), known)
     elif not key_fixes_partition:
         touched = touched.union(base.select(*key, partition).join(batch.select(*key).distinct(), key, "left_semi").select(partition))
     values = [row[0] for row in touched.distinct().collect()]
@@ -200,8 +216,10 @@ def upsert_table(
     # Rows without a partition value (an unparsed time) have a partition of their own, which equals nothing.
     affected = base.where(within | F.col(partition).isNull() if None in values else within)
     merged = merge_batch(affected, batch, policy, as_of, sequence)
+    # The join deals rows by their key, so without this every task would write a file into every partition.
     (
-        merged.write.mode("overwrite")
+        merged.hint("rebalance", partition)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
