@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import TEXTS, documents, empty
 from hypothesis import given, settings
@@ -94,3 +95,31 @@ def test_few_and_many_suffixes_agree(seed):
         assert equal_strings(*args) == few
     finally:
         suffix_dedup.FEW = kept
+
+
+def test_repeated_classes_are_not_expanded_into_rows(spark):
+    shared = "".join(random.Random(4).choice("abcdefgh ") for _ in range(500))
+    rows = [(i, f"{i} " * 5 + shared + f" {i}" * (i % 7)) for i in range(80)]
+    spans = suffix_dedup.repeated_spans(documents(spark, rows), 40)
+    # each member of a class was a row of its own before
+    assert "Generate" not in spans._jdf.queryExecution().toString()
+    assert spans.count() == 80
+    assert got(without_repeats(documents(spark, rows), length=40)) == brute(rows, 40)
+
+
+@pytest.mark.parametrize("n", [1, 2, 60, 400])
+def test_spans_of_packs_are_joined_by_document(n):
+    rng = random.Random(n)
+    members = []
+    for _ in range(n):
+        place = rng.randint(0, 400)
+        most = rng.randint(0, min(place, 20))
+        members.append({"k1": rng.choice([-(2**63), 2**63 - 1, 5, -7]), "k2": rng.choice([-(2**63), 3]), "place": place, "most": most, "least": rng.randint(0, most)})
+    kind = pa.list_(pa.struct([("k1", pa.int64()), ("k2", pa.int64()), ("place", pa.int64()), ("most", pa.int32()), ("least", pa.int32())]))
+    batch = pa.RecordBatch.from_arrays([pa.array([members[: n // 2], [], members[n // 2 :]], kind)], ["members"])
+    found = [r for out in suffix_dedup._spans_of_packs(10)([batch]) for r in out.to_pylist()]
+    wanted = {}
+    for m in members:
+        wanted.setdefault((m["k1"], m["k2"]), []).append((m["place"] - m["most"], m["place"] - m["least"] + 9))
+    assert len(found) == len(wanted)
+    assert {(r["k1"], r["k2"]): [(s["start"], s["end"] - 1) for s in r["spans"]] for r in found} == {k: suffix_dedup._joined(v) for k, v in wanted.items()}

@@ -270,8 +270,40 @@ def _string_rows(length: int):
     return run
 
 
+_SPANS_SQL = "k1 long, k2 long, spans array<struct<start: long, end: long>>"
+
+
+def _spans_of_packs(length: int):
+    """Joined byte ranges of the members of repeated classes, one row for each document of a batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            k1, k2, place, most, least = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.column(0).flatten().flatten())
+            if not len(k1):
+                continue
+            start, end = place - most, place - least + length
+            order = np.lexsort((start, k2, k1))
+            k1, k2, start, end = k1[order], k2[order], start[order], end[order]
+            first = np.flatnonzero((np.diff(k1, prepend=k1[0]) != 0) | (np.diff(k2, prepend=k2[0]) != 0))
+            document = np.zeros(len(k1), np.int64)
+            document[first] = 1
+            document = np.cumsum(document)
+            # Ends reached so far within the document; a range that starts behind them begins a new one.
+            far = int(end.max()) + 1
+            reached = np.maximum.accumulate(end + document * far) - document * far
+            new = np.append(True, (np.diff(document) != 0) | (start[1:] > reached[:-1]))
+            begins = np.flatnonzero(new)
+            last = np.append(begins[1:], len(k1)) - 1
+            of = np.flatnonzero(np.append(True, np.diff(document[begins]) != 0))
+            spans = pa.StructArray.from_arrays([pa.array(start[begins]), pa.array(reached[last])], ["start", "end"])
+            offsets = pa.array(np.append(of, len(begins)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(k1[begins[of]]), pa.array(k2[begins[of]]), pa.ListArray.from_arrays(offsets, spans)], names=["k1", "k2", "spans"])
+
+    return run
+
+
 def repeated_spans(documents: DataFrame, length: int = LENGTH, text: str = "text", key: str = "doc_id", owner_bits: int = 8, most_classes: int = MOST_CLASSES) -> DataFrame:
-    """(k1, k2, spans): byte ranges to remove, as they were found, for each document that loses any."""
+    """(k1, k2, spans): byte ranges to remove, which may overlap, for each document that loses any."""
     texts = with_row_key(documents.select(key, text), key, text).select("k1", "k2", F.coalesce(F.col(text), F.lit("")).cast("binary").alias("raw"))
     found = saved(texts.where(F.octet_length("raw") >= length).mapInArrow(_anchor_rows(length), _ANCHOR_SQL), "anchors")
     keys = found.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("kind").alias("a"), F.max("kind").alias("b")).where("n > 1")
@@ -299,11 +331,13 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, text: str = "text
         twice = strings.groupBy("key", "distance", "string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
         near = near.unionByName(strings.join(twice, ["key", "distance", "string"]).select("key", "kind", F.col("distance").alias("near"), F.col("distance").alias("far")))
 
-    whole = packed.join(kinds.where("n > 1").select("key", "kind"), ["key", "kind"]).select(F.inline("members"))
-    whole = whole.select("k1", "k2", (F.col("place") - F.col("most")).alias("start"), (F.col("place") - F.col("least") + length).alias("end"))
+    # Packs of one chunk hold the same documents, so each task brings them together without a row per member.
+    whole = packed.join(kinds.where("n > 1").select("key", "kind"), ["key", "kind"]).select("chunk", "members")
+    whole = whole.repartition("chunk").sortWithinPartitions("chunk").select("members").mapInArrow(_spans_of_packs(length), _SPANS_SQL)
     single = kinds.where("n = 1").select("key", "kind", "rep").join(near, ["key", "kind"])
     single = single.select("rep.k1", "rep.k2", (F.col("rep.place") - F.col("far")).alias("start"), (F.col("rep.place") - F.col("near") + length).alias("end"))
-    return whole.unionByName(single).groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    single = single.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    return whole.unionByName(single).groupBy("k1", "k2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def _cut(batches: Iterator[pa.RecordBatch], left: str | None) -> Iterator[pa.RecordBatch]:
