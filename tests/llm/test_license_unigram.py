@@ -142,3 +142,15 @@ def test_header_pattern_takes_long_texts(spark):
     rows = [("/c", "# line of a comment\n" * 100_000), ("/o", "/* never closed " * 20_000), ("/p", "word\n" * 200_000), ("/b", "\n" * 300_000)]
     got = license_scan(spark.createDataFrame(rows, "path string, text string")).collect()
     assert {r.path: r.license for r in got} == dict.fromkeys(["/c", "/o", "/p", "/b"])
+
+
+def test_pieces_are_ordered_alike_by_one_number_and_by_several(monkeypatch):
+    rng = np.random.default_rng(5)
+    start = rng.integers(0, 3_000, 5_000)
+    end = start + rng.integers(1, 12, 5_000)
+    start, end = np.unique(np.stack([start, end]), axis=1)
+    far = end % 40
+    wanted = np.lexsort((start, end, far))
+    assert (unigram._piece_order(start, end, far) == wanted).all()
+    assert (unigram._piece_order(start, end, far + (1 << 50)) == np.lexsort((start, end, far + (1 << 50)))).all()
+    assert len(unigram._piece_order(*[np.zeros(0, np.int64)] * 3)) == 0

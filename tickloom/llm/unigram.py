@@ -17,7 +17,6 @@ to the longer last piece. Very long texts are encoded whole; so are very long wo
 from __future__ import annotations
 
 import re
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -163,10 +162,18 @@ def _matches(raw: np.ndarray, ends: np.ndarray, words: Vocabulary) -> tuple[np.n
     return np.append(start, starts[spelled]), np.append(end, char_end[spelled]), np.append(ids, np.full(spelled.sum(), -1)).astype(np.int64)
 
 
-def encode_units(units: list[str], words: Vocabulary) -> list[list[int]]:
-    """Ids of each unit by its best segmentation."""
+def _piece_order(start: np.ndarray, end: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """Order by ``far``, then end, then start; one number for each piece where it fits, as sorting by several keys takes far longer."""
+    long = int((end - start).max(initial=0)) + 1
+    if (int(far.max(initial=0)) + 1) * (int(end.max(initial=0)) + 1) * long >= 1 << 62:
+        return np.lexsort((start, end, far))
+    return np.argsort((far * (int(end.max(initial=0)) + 1) + end) * long + (long - 1 - (end - start)))
+
+
+def _coded_units(units: list[str], words: Vocabulary) -> list[bytes]:
+    """Ids of each unit by its best segmentation, as 32-bit numbers in a row."""
     coded = [(u.replace(" ", MARK) if u != MARK else u).encode() for u in units]
-    spelled = [u == MARK for u in units]
+    spelled = np.array([u == MARK for u in units], bool)
     sizes = np.array([len(c) for c in coded])
     raw = np.frombuffer(b"".join(coded), np.uint8)
     unit_end = np.cumsum(sizes)
@@ -175,7 +182,7 @@ def encode_units(units: list[str], words: Vocabulary) -> list[list[int]]:
     unit = np.searchsorted(unit_end, start, "right")
     score = np.where(ids >= 0, words.scores[ids], words.worst - BYTE_PENALTY)
     # All pieces that end as far into their unit as each other are weighed together.
-    order = np.lexsort((start, end, end - unit_start[unit]))
+    order = _piece_order(start, end, end - unit_start[unit])
     start, end, ids, score, unit = start[order], end[order], ids[order], score[order], unit[order]
     far = end - unit_start[unit]
     best = np.full(len(raw) + len(units) + 1, -np.inf)
@@ -193,26 +200,41 @@ def encode_units(units: list[str], words: Vocabulary) -> list[list[int]]:
         winners = winners[np.diff(group[winners], prepend=-1) != 0]  # the earliest start, so the longest piece
         best[to[first]] = most
         back[to[first]] = a + winners
-    out: list[list[int]] = [[] for _ in units]
-    starts, ends_, ids_ = start.tolist(), end.tolist(), ids.tolist()
-    byte_ids = words.byte_ids.tolist()
-    back_ = back.tolist()
-    for u, (lo, hi) in enumerate(zip(unit_start.tolist(), unit_end.tolist())):
-        tokens: list[int] = []
-        if spelled[u]:
-            tokens = [byte_ids[c] for c in coded[u]][::-1]
-        else:
-            while hi > lo:
-                k = back_[hi + u]
-                if ids_[k] < 0:
-                    tokens += [byte_ids[c] for c in coded[u][starts[k] - lo : ends_[k] - lo]][::-1]
-                else:
-                    tokens.append(ids_[k])
-                hi = starts[k]
-        out[u] = tokens[::-1]
+    # All units go back from their ends together, a piece at a time.
+    at, open_units = unit_end.copy(), np.flatnonzero(~spelled & (sizes > 0))
+    picked, owners, steps = [], [], []
+    while len(open_units):
+        k = back[at[open_units] + open_units]
+        picked.append(k)
+        owners.append(open_units)
+        steps.append(len(k))
+        at[open_units] = start[k]
+        open_units = open_units[start[k] > unit_start[open_units]]
+    if picked:
+        owner = np.concatenate(owners)
+        piece = np.concatenate(picked)[np.lexsort((np.repeat(-np.arange(len(steps)), steps), owner))]
+    else:
+        owner, piece = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    # A piece is one id, or those of its bytes; a mark is always spelled.
+    lengths = np.where(ids[piece] >= 0, 1, end[piece] - start[piece])
+    flat = np.repeat(ids[piece], lengths)
+    inside = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    as_bytes = np.flatnonzero(flat < 0)
+    flat[as_bytes] = words.byte_ids[raw[np.repeat(start[piece], lengths)[as_bytes] + inside[as_bytes]]]
+    counts = np.bincount(np.sort(owner), lengths, len(units)).astype(np.int64)
+    ends = np.cumsum(counts) * 4
+    coded_ids = flat.astype(np.int32).tobytes()
+    out = [coded_ids[a:b] for a, b in zip((ends - counts * 4).tolist(), ends.tolist())]
+    for u in np.flatnonzero(spelled).tolist():
+        out[u] = words.byte_ids[np.frombuffer(coded[u], np.uint8)].astype(np.int32).tobytes()
     return out
 
 
+def encode_units(units: list[str], words: Vocabulary) -> list[list[int]]:
+    """Ids of each unit by its best segmentation."""
+    return [np.frombuffer(ids, np.int32).tolist() for ids in _coded_units(units, words)]
+
+
 class Encoder:
     """Encodes texts; keeps the last units it met."""
 
@@ -228,7 +250,7 @@ class Encoder:
             new = list({u for units in split for u in units})
         for a in range(0, len(new), 50_000):
             part = new[a : a + 50_000]
-            self.known.update((u, array("i", ids).tobytes()) for u, ids in zip(part, encode_units(part, self.words)))
+            self.known.update(zip(part, _coded_units(part, self.words)))
         ids_of = self.known.__getitem__
         return [np.frombuffer(b"".join(map(ids_of, units)), np.int32) for units in split]
 
