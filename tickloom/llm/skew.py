@@ -20,7 +20,8 @@ def lookup_join(many: DataFrame, one: DataFrame, key: str, how: str = "inner", r
     if counted is None:
         counted = many.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     each = max(HOT_ROWS if rows is None else rows, int(many.count() * share))
-    hot = [(row[key], -(-row["_rows"] // each)) for row in counted.where(F.col("_rows") > each).toLocalIterator()]
+    # fewer than 1 / share rows, in one job: an iterator runs a job for each partition, however empty
+    hot = [(row[key], -(-row["_rows"] // each)) for row in counted.where(F.col("_rows") > each).collect()]
     kind = many.schema[key].dataType.simpleString()
     spread = F.broadcast(many.sparkSession.createDataFrame(hot, f"`{key}` {kind}, _salts int"))
     others = [F.col(c) for c in many.columns if c != key]
