@@ -17,11 +17,9 @@ from tickloom.llm.quality_gam import fit_quality, quality_scores
 from tickloom.llm.registry import QUALITY_KEPT_FROM
 from tickloom.llm.setsketch_dedup import near_components
 from tickloom.llm.storage import saved, shared_folder
-from tickloom.llm.suffix_dedup import without_repeats
+from tickloom.llm.suffix_dedup import PASSAGE_BYTES, without_repeats
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: Passages of more than 50 words count as repeated; with the short words of the shortest such passage that is about this many bytes.
-PASSAGE_BYTES = 250
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tickloom.llm import suffix_dedup
+from tickloom.llm.registry import QUERIES
 from tickloom.llm.suffix_dedup import equal_strings, without_repeats
 
 
@@ -123,3 +124,40 @@ def test_spans_of_packs_are_joined_by_document(n):
         wanted.setdefault((m["k1"], m["k2"]), []).append((m["place"] - m["most"], m["place"] - m["least"] + 9))
     assert len(found) == len(wanted)
     assert {(r["k1"], r["k2"]): [(s["start"], s["end"] - 1) for s in r["spans"]] for r in found} == {k: suffix_dedup._joined(v) for k, v in wanted.items()}
+
+
+@pytest.mark.parametrize("seed,alphabet,options", [(5, "abcdefghij é", {}), (6, "ab", {"owner_bits": 2}), (7, "abc", {"most_classes": 1})])
+def test_shorter_passages_are_reported_and_not_removed(spark, seed, alphabet, options):
+    rows = pieces(seed, 60, alphabet, 150)
+    rows += [*rows[:3], (None, rows[4][1]), (None, None), (70, "")]
+    cut = without_repeats(documents(spark, rows), length=40, passages=25, **options)
+    assert got(cut) == brute(rows, 40)
+    reported = sorted(((r.others.doc_id, r.n_bytes, r.n_passage_bytes, r.n_passages) for r in cut.collect()), key=str)
+    assert reported == [b[:4] for b in brute(rows, 25)]
+    with pytest.raises(ValueError, match="longer"):
+        without_repeats(documents(spark, rows), length=40, passages=41)
+
+
+def test_query_reports_repeated_passages_of_more_than_fifty_words(spark, tmp_path):
+    """Passages that two documents share and that are too short for the contract's removal."""
+    rng = random.Random(8)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 7))) for _ in range(n))
+    shared = [words(51) for _ in range(6)]
+    assert all(250 <= len(s) < 390 for s in shared)
+    rows = [(i, f"{words(80)} {shared[i % 6]} {words(70)}" if i < 12 else words(200)) for i in range(24)]
+    documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r.doc_id: r for r in QUERIES["op6_suffix_dedup"](spark, str(tmp_path)).collect()}
+    assert sorted((tuple(r)[:5] for r in found.values()), key=str) == brute(rows, 400)
+    assert all(found[i].n_passages == 1 and found[i].n_passage_bytes >= len(shared[i % 6]) for i in range(12))
+    assert all(found[i].n_passages == 0 and found[i].n_passage_bytes == 0 for i in range(12, 24))
+
+
+def test_anchors_within_spans_are_those_of_the_parts():
+    raw = np.random.default_rng(2).integers(97, 100, 900).astype(np.uint8)
+    spans = [{"start": 300, "end": 420}, {"start": 10, "end": 80}, {"start": 60, "end": 130}, {"start": 500, "end": 530}]
+    place, first, last, *_ = suffix_dedup.anchors_within(raw, spans, 40)
+    starts = sorted(s for a, b in zip(first, last) for s in range(a, b + 1))
+    assert starts == [*range(10, 91), *range(300, 381)]
+    whole = suffix_dedup.anchors(raw, 40)
+    at = {s: p for p, a, b in zip(*whole[:3]) for s in range(a, b + 1)}
+    assert all(at[s] == p for p, a, b in zip(place, first, last) for s in range(a, b + 1))

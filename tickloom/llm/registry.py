@@ -18,7 +18,7 @@ from tickloom.llm.setsketch_dedup import near_components
 from tickloom.llm.spelling import spelling_groups, word_counts
 from tickloom.llm.sql_parts import SPELLING, TRIE
 from tickloom.llm.storage import crc_fold, saved
-from tickloom.llm.suffix_dedup import without_repeats
+from tickloom.llm.suffix_dedup import PASSAGE_BYTES, without_repeats
 from tickloom.llm.toxicity import fit_toxicity, toxicity_scores
 from tickloom.llm.unigram import round_trip
 from tickloom.llm.warc import capture_history, write_archives
@@ -54,7 +54,8 @@ def edits(spark: SparkSession, folder: str) -> DataFrame:
 
 def repeats(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
-    return without_repeats(documents).select("others.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.col("left").alias("text"))
+    cut = without_repeats(documents, passages=PASSAGE_BYTES)
+    return cut.select("others.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.col("left").alias("text"), "n_passages", "n_passage_bytes")
 
 
 def unigram(spark: SparkSession, folder: str) -> DataFrame:

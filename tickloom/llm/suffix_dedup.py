@@ -39,6 +39,8 @@ from tickloom.llm.skew import lookup_join
 from tickloom.llm.storage import saved, with_row_key
 
 LENGTH = 400
+#: Passages of more than 50 words count as repeated; with the short words of the shortest such passage that is about this many bytes.
+PASSAGE_BYTES = 250
 GRAM = 32
 PIECE = 1 << 23
 PLACE_BITS = 24
@@ -94,10 +96,20 @@ def anchors(raw: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(p) for p in zip(*parts))
 
 
+def anchors_within(raw: np.ndarray, spans: list[dict], length: int = LENGTH) -> tuple[np.ndarray, ...]:
+    """The same for the strings inside the joined ``spans``; a string that crosses the end of one is left out."""
+    parts = [anchors(raw[:0], length)]
+    for a, b in _joined([(s["start"], s["end"] - 1) for s in spans]):
+        place, first, last, key, kind = anchors(raw[a : b + 1], length)
+        parts.append((place + a, first + a, last + a, key, kind))
+    return tuple(np.concatenate(p) for p in zip(*parts))
+
+
 def _anchor_rows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [anchors(np.frombuffer(t.as_buffer(), np.uint8), length) for t in batch.column(2)]
+            raws = [np.frombuffer(t.as_buffer(), np.uint8) for t in batch.column(2)]
+            found = [anchors_within(r, s, length) for r, s in zip(raws, batch.column(3).to_pylist())] if batch.num_columns > 3 else [anchors(r, length) for r in raws]
             counts = [len(f[0]) for f in found]
             if sum(counts):
                 place, first, last, key, kind = (np.concatenate(c) for c in zip(*found))
@@ -302,9 +314,17 @@ def _spans_of_packs(length: int):
     return run
 
 
-def repeated_spans(documents: DataFrame, length: int = LENGTH, text: str = "text", key: str = "doc_id", owner_bits: int = 8, most_classes: int = MOST_CLASSES) -> DataFrame:
-    """(k1, k2, spans): byte ranges to remove, which may overlap, for each document that loses any."""
+def repeated_spans(
+    documents: DataFrame, length: int = LENGTH, text: str = "text", key: str = "doc_id", owner_bits: int = 8, most_classes: int = MOST_CLASSES, shorter: DataFrame | None = None
+) -> DataFrame:
+    """(k1, k2, spans): byte ranges to remove, which may overlap, for each document that loses any.
+
+    ``shorter`` is the result for a smaller length. All parts of a repeated string are repeated, so it lies within the
+    joined ranges found there, and only these are looked at.
+    """
     texts = with_row_key(documents.select(key, text), key, text).select("k1", "k2", F.coalesce(F.col(text), F.lit("")).cast("binary").alias("raw"))
+    if shorter is not None:
+        texts = saved(texts.where(F.octet_length("raw") >= length).join(shorter, ["k1", "k2"]), "repeated-texts")
     found = saved(texts.where(F.octet_length("raw") >= length).mapInArrow(_anchor_rows(length), _ANCHOR_SQL), "anchors")
     keys = found.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("kind").alias("a"), F.max("kind").alias("b")).where("n > 1")
     keys = saved(keys.select("key", "n", (F.col("a") != F.col("b")).alias("varied")), "keys")
@@ -343,6 +363,11 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, text: str = "text
 def _cut(batches: Iterator[pa.RecordBatch], left: str | None) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
+        more = {}
+        if "passages" in batch.schema.names:
+            found = [_joined([(s["start"], s["end"] - 1) for s in spans or []]) for spans in batch.column("passages").to_pylist()]
+            more = {"n_passages": pa.array([len(f) for f in found], pa.int64()), "n_passage_bytes": pa.array([sum(b - a + 1 for a, b in f) for f in found], pa.int64())}
+            batch = batch.drop_columns(["passages"])
         for text, spans in zip(batch.column(0), batch.column(1).to_pylist()):
             raw = text.as_buffer().to_pybytes()
             gone = _joined([(s["start"], s["end"] - 1) for s in spans or []])
@@ -355,18 +380,28 @@ def _cut(batches: Iterator[pa.RecordBatch], left: str | None) -> Iterator[pa.Rec
             rows.append((len(raw), len(raw) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), what))
         types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string() if left == "text" else pa.binary()]
         cut = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, types)]
-        yield pa.RecordBatch.from_arrays([*batch.columns[2:], *cut], names=[*batch.schema.names[2:], "n_bytes", "n_removed", "n_spans", "kept_sha256", "left"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[2:], *cut, *more.values()], names=[*batch.schema.names[2:], "n_bytes", "n_removed", "n_spans", "kept_sha256", "left", *more])
 
 
-def without_repeats(documents: DataFrame, length: int = LENGTH, text: str = "text", key: str = "doc_id", left: str | None = "text", **options) -> DataFrame:
+def without_repeats(documents: DataFrame, length: int = LENGTH, text: str = "text", key: str = "doc_id", left: str | None = "text", passages: int | None = None, **options) -> DataFrame:
     """Each document's other columns as ``others``, its sizes, the digest of the bytes left, and in ``left`` what is left.
 
-    ``left`` is "bytes", "text" (a character that a cut has split is dropped) or None.
+    ``left`` is "bytes", "text" (a character that a cut has split is dropped) or None. With ``passages``, at most ``length``,
+    the repeated strings of that many bytes are reported as well, and not removed: ``n_passages`` maximal runs of ``n_passage_bytes`` in all.
     """
-    spans = saved(repeated_spans(documents, length, text, key, **options), "spans")
+    if not passages:
+        spans = saved(repeated_spans(documents, length, text, key, **options), "spans")
+    else:
+        if passages > length:
+            raise ValueError(f"passages of {passages} bytes are longer than the {length} bytes to remove")
+        reported = saved(repeated_spans(documents, passages, text, key, **options), "passages")
+        spans = saved(repeated_spans(documents, length, text, key, **options, shorter=reported), "spans")
+        spans = reported.withColumnRenamed("spans", "passages").join(spans, ["k1", "k2"], "left")
     others = F.struct(*[c for c in documents.columns if c != text])
     own = with_row_key(documents.select(others.alias("others"), F.col(key).alias("own_id"), F.col(text).alias("own_text")), "own_id", "own_text")
-    joined = own.join(spans, ["k1", "k2"], "left").select(F.coalesce("own_text", F.lit("")).cast("binary").alias("raw"), "spans", "others")
+    joined = own.join(spans, ["k1", "k2"], "left").select(F.coalesce("own_text", F.lit("")).cast("binary").alias("raw"), "spans", "others", *(["passages"] if passages else []))
     schema = f"others {joined.schema['others'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, left {'string' if left == 'text' else 'binary'}"
+    if passages:
+        schema += ", n_passages long, n_passage_bytes long"
     cut = joined.mapInArrow(lambda batches: _cut(batches, left), schema)
     return cut if left else cut.drop("left")
