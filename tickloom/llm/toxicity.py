@@ -12,7 +12,9 @@ Both compressors share the ordinary dictionary because two unrelated dictionarie
 kilobytes differ by chance by more than one offensive word saves.
 
 Everything is fitted on at most ``toxic_rows`` + ``ordinary_rows`` labelled texts, with all windows of
-each, as scoring uses every window of every text. The number of texts bounds what comes to the driver.
+each, as scoring uses every window of every text. The sample stays in a table: tasks count its byte grams, find the
+phrases and measure the windows, and one task trains the ordinary dictionary. The driver gets the few grams and phrases that
+may tell toxic texts apart, two dictionaries, and the gains of the calibrating texts.
 
 Defined results: a null text counts as empty; an empty text has no window and gains of 0. Without labels
 of both classes every score is the smoothed share of label 1. Equal texts score alike.
@@ -20,8 +22,10 @@ of both classes every score is the smoothed share of label 1. Equal texts score
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import partial
 from zlib import crc32
 
 import numpy as np
@@ -31,8 +35,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.labelled import label_sample, sampled_texts
+from tickloom.llm.storage import saved
 
 WINDOW, STRIDE, GRAM, LEVEL, CORE = 6, 4, 5, 16, 0.8
+SLICES, COUNTED_BYTES = 32, 2 << 20  # slices of the grams that are counted apart, and text that a task counts at once
+
+#: Family, label and windows (joined by line feeds) of a sampled text.
+Row = tuple[int, int, bytes]
 
 
 def text_windows(text: str, window: int = WINDOW, stride: int = STRIDE) -> list[bytes]:
@@ -110,53 +119,121 @@ def _grams(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     return h, whole
 
 
-def _settings(docs: list[bytes], among: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Byte grams and in how many settings each stands.
+def _with_context(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Grams that have as many bytes before them in their window, and these bytes as a gram."""
+    h, whole = _grams(blob)
+    use = whole[GRAM:] & whole[:-GRAM]
+    return h[GRAM:][use], h[: max(len(h) - GRAM, 0)][use]
 
-    A setting is a text, or the bytes before the gram, whichever are fewer. So neither a word that one
-    text repeats nor a passage that many copies share counts more than once.
+
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order, and how often each occurs; sorting is several times faster here than numpy's hashing."""
+    values = np.sort(values)
+    starts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])[: len(values)])
+    return values[starts], np.diff(starts, append=len(values))
+
+
+def _slices(grams: np.ndarray) -> np.ndarray:
+    return (grams * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(SLICES)
+
+
+def _together(rows: Iterable[Row]) -> Iterator[tuple[int, list[bytes]]]:
+    """Texts of one label, as many as are counted at once."""
+    held: dict[int, list[bytes]] = {0: [], 1: []}
+    for _, label, blob in rows:
+        held[label].append(blob)
+        if sum(map(len, held[label])) >= COUNTED_BYTES:
+            yield label, held[label]
+            held[label] = []
+    yield from ((label, blobs) for label, blobs in held.items() if blobs)
+
+
+def _bounds_found(rows: Iterable[Row]) -> Iterator[tuple[int, bytes]]:
+    """For every gram of a few texts: how many of them hold it, and at least how many contexts it has there.
+
+    Contexts are told apart by 24 bits, so their number may come out too low, never too high.
     """
-    grams, keys = [np.zeros(0, np.uint64)], [np.zeros((0, 2), np.uint64)]
-    for blob in docs:
-        h, whole = _grams(blob)
-        if len(h) <= GRAM:
-            continue
-        g, before = h[GRAM:], h[:-GRAM]
-        use = whole[GRAM:] & whole[:-GRAM]
-        if among is not None and len(among):
-            use &= among[np.minimum(np.searchsorted(among, g), len(among) - 1)] == g
-        g = g[use]
-        grams.append(np.unique(g))
-        keys.append(np.column_stack([g, g * np.uint64(0x9E3779B97F4A7C15) ^ before[use] * np.uint64(0xC2B2AE3D27D4EB4F)]))
-    by_text, texts = np.unique(np.concatenate(grams), return_counts=True)
-    mixed = np.concatenate(keys)
-    distinct = np.unique(mixed[:, 1], return_index=True)[1]
-    contexts = np.bincount(np.searchsorted(by_text, mixed[distinct, 0]), minlength=len(by_text))
-    return by_text, np.minimum(texts, contexts)
-
-
-def _toxic_dictionary(toxic: list[bytes], ordinary: list[bytes], size: int, least_z: float, least_docs: int) -> bytes:
-    """Phrases that stand in far more settings of toxic than of ordinary texts, the most telling ones last.
+    for label, blobs in _together(rows):
+        grams, contexts = [], []
+        for blob in blobs:
+            g, before = _with_context(blob)
+            contexts.append(_distinct(g << np.uint64(24) | before * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(40))[0])
+            grams.append(_distinct(contexts[-1] >> np.uint64(24))[0])
+        by_text, texts = _distinct(np.concatenate(grams))
+        least = _distinct(_distinct(np.concatenate(contexts))[0] >> np.uint64(24))[1]
+        slices = _slices(by_text)
+        for k in range(SLICES):
+            of = slices == k
+            if of.any():
+                yield k, pickle.dumps((label, by_text[of], texts[of].astype(np.uint32), least[of].astype(np.uint32)))
+
+
+def _difference(count: np.ndarray, elsewhere: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """How far the shares of toxic and of ordinary texts differ, in standard deviations."""
+    return (count / n1 - elsewhere / n0) / np.sqrt((count + elsewhere) / (n1 + n0) * (1 / n1 + 1 / n0))
+
+
+def _candidates(found: list[bytes], n1: int, n0: int, least_z: float, least_docs: int) -> bytes:
+    """Grams of a slice that may tell toxic texts apart.
+
+    A gram has no more settings in toxic texts than texts that hold it, and no fewer in the ordinary ones than the
+    lesser of texts and contexts found. The difference grows with the first and falls with the second.
+    """
+    parts = [pickle.loads(x) for x in found]
+    grams, _ = _distinct(np.concatenate([p[1] for p in parts]))
+    texts, contexts = np.zeros((2, len(grams))), np.zeros((2, len(grams)))
+    for label, own, n, least in parts:
+        at = np.searchsorted(grams, own)
+        texts[label, at] += n
+        contexts[label, at] = np.maximum(contexts[label, at], least)
+    z = _difference(texts[1], np.minimum(texts[0], contexts[0]), n1, n0)
+    return grams[(texts[1] >= least_docs) & (z >= least_z)].tobytes()
+
+
+def _settings_found(rows: Iterable[Row], among: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """Of the grams ``among``, by their number: how many texts hold each, and its distinct contexts there (24 bits for the gram, 40 for the context)."""
+    for label, blobs in _together(rows):
+        own, at, contexts = [], [], []
+        for blob in blobs:
+            g, before = _with_context(blob)
+            near = np.minimum(np.searchsorted(among, g), len(among) - 1)
+            use = among[near] == g
+            at.append(near[use])
+            contexts.append(before[use])
+            own.append(_distinct(at[-1])[0])
+        number, texts = _distinct(np.concatenate(own))
+        at, contexts = np.concatenate(at), np.concatenate(contexts)
+        slices = at % SLICES
+        for k in range(SLICES):
+            if len(of := np.flatnonzero(number % SLICES == k)):
+                pairs = (at[slices == k] // SLICES).astype(np.uint64) << np.uint64(40) | contexts[slices == k]
+                yield k, pickle.dumps((label, number[of], texts[of], _distinct(pairs)[0]))
+
+
+def _settings(found: list[bytes]) -> bytes:
+    """Numbers of grams and in how many settings of ordinary and of toxic texts each stands.
 
-    Zstandard's own trainer would fill a dictionary with what is frequent in toxic texts, which is the language
-    they share with the others. So grams are ranked by how far their frequency differs, their runs
-    in toxic windows are the phrases, and phrases are taken greedily while they bring grams not yet covered.
+    A setting is a text, or the bytes before the gram, whichever are fewer. So neither a word that one
+    text repeats nor a passage that many copies share counts more than once.
     """
-    grams, count = _settings(toxic)
-    grams, count = grams[count >= least_docs], count[count >= least_docs]
-    if not len(grams):
-        return b""
-    other, other_count = _settings(ordinary, grams)
-    elsewhere = np.zeros(len(grams))
-    elsewhere[np.searchsorted(grams, other)] = other_count
-    n1, n0 = len(toxic), len(ordinary)
-    z = (count / n1 - elsewhere / n0) / np.sqrt((count + elsewhere) / (n1 + n0) * (1 / n1 + 1 / n0))
-    grams, z = grams[z >= least_z], z[z >= least_z]
-    if not len(grams):
-        return b""
+    parts = [pickle.loads(x) for x in found]
+    numbers, _ = _distinct(np.concatenate([number for _, number, _, _ in parts]))
+    counts = np.zeros((2, len(numbers)), np.int64)
+    for label in (0, 1):
+        texts = np.zeros(len(numbers), np.int64)
+        for _, number, n, _ in (p for p in parts if p[0] == label):
+            texts[np.searchsorted(numbers, number)] += n
+        pairs = _distinct(np.concatenate([np.zeros(0, np.uint64), *(p[3] for p in parts if p[0] == label)]))[0]
+        of = np.searchsorted(numbers // SLICES, (pairs >> np.uint64(40)).astype(np.int64))
+        counts[label] = np.minimum(texts, np.bincount(of, minlength=len(numbers)))
+    return pickle.dumps((numbers, counts))
+
+
+def _phrases_found(rows: Iterable[Row], grams: np.ndarray, z: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """Runs of telling grams in toxic texts: how many texts hold each, and its strength."""
     found: dict[bytes, int] = {}
     strengths: dict[bytes, float] = {}
-    for blob in toxic:
+    for _, _, blob in rows:
         h, whole = _grams(blob)
         at = np.minimum(np.searchsorted(grams, h), len(grams) - 1)
         strength = np.where((grams[at] == h) & whole, z[at], 0.0) if len(h) else np.zeros(0)
@@ -169,10 +246,45 @@ def _toxic_dictionary(toxic: list[bytes], ordinary: list[bytes], size: int, leas
             strengths[phrase] = max(strengths.get(phrase, 0.0), float(strength[a:b].max()))
         for phrase in phrases:
             found[phrase] = found.get(phrase, 0) + 1
+    for k in {crc32(phrase) % SLICES for phrase in found}:
+        yield k, pickle.dumps([(phrase, n, strengths[phrase]) for phrase, n in found.items() if crc32(phrase) % SLICES == k])
+
+
+def _phrases(found: list[bytes]) -> bytes:
+    merged: dict[bytes, tuple[int, float]] = {}
+    for phrase, n, strength in (x for part in found for x in pickle.loads(part)):
+        was = merged.get(phrase, (0, 0.0))
+        merged[phrase] = was[0] + n, max(was[1], strength)
+    return pickle.dumps(merged)
+
+
+def _toxic_dictionary(toxic: Texts, both: Texts, n1: int, n0: int, size: int, least_z: float, least_docs: int) -> bytes:
+    """Phrases that stand in far more settings of toxic than of ordinary texts, the most telling ones last.
+
+    Zstandard's own trainer would fill a dictionary with what is frequent in toxic texts, which is the language
+    they share with the others. So grams are ranked by how far their frequency differs, their runs
+    in toxic windows are the phrases, and phrases are taken greedily while they bring grams not yet covered.
+    Bounds rule out nearly all grams first, so that contexts are gathered for few.
+    """
+    likely = both.gathered(_bounds_found, partial(_candidates, n1=n1, n0=n0, least_z=least_z, least_docs=least_docs))
+    among = np.sort(np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(x, np.uint64) for x in likely)]))
+    if not len(among):
+        return b""
+    parts = [pickle.loads(x) for x in both.gathered(partial(_settings_found, among=among), _settings)]
+    counts = np.zeros((2, len(among)), np.int64)
+    for numbers, settings in parts:
+        counts[:, numbers] = settings
+    elsewhere, count = counts
+    z = _difference(count, elsewhere, n1, n0)
+    grams, z = among[(count >= least_docs) & (z >= least_z)], z[(count >= least_docs) & (z >= least_z)]
+    if not len(grams):
+        return b""
+    found = {p: v for part in toxic.gathered(partial(_phrases_found, grams=grams, z=z), _phrases) for p, v in pickle.loads(part).items()}
     chosen: list[bytes] = []
     covered: set[int] = set()
-    for phrase in sorted(found, key=lambda p: (-found[p] * strengths[p], p)):
-        own = set(_grams(phrase)[0].tolist()) & set(grams.tolist()) if len(phrase) >= GRAM else set()
+    telling_grams = set(grams.tolist())
+    for phrase in sorted(found, key=lambda p: (-found[p][0] * found[p][1], p)):
+        own = set(_grams(phrase)[0].tolist()) & telling_grams if len(phrase) >= GRAM else set()
         if own - covered and sum(map(len, chosen)) + len(phrase) <= size:
             chosen.append(phrase)
             covered |= own
@@ -198,32 +310,145 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50
     return tuple(float(v) for v in w)
 
 
-def fit_compression(texts: list[tuple[int, int, bytes]], ordinary_size: int = 16_384, toxic_size: int = 1024, least_effect: float = 0.33, least_docs: int = 5) -> CompressionModel:
+class Texts:
+    """Texts to fit on, one of each family of copies; what is found in them is gathered by part and merged."""
+
+    def sizes(self) -> list[tuple[int, int, int]]:
+        """Family, label and bytes of the windows of each text."""
+        raise NotImplementedError
+
+    def labels(self) -> tuple[int, int]:
+        """How many texts were sampled, copies included, and how many of them have label 1."""
+        raise NotImplementedError
+
+    def only(self, label: int | None = None, held: bool | None = None, empty: bool = False) -> Texts:
+        """Those of a label, and those that calibrate (``held``) or train."""
+        raise NotImplementedError
+
+    def gathered(self, found: Callable[[Iterable[Row]], Iterator[tuple[int, bytes]]], merge: Callable[[list[bytes]], bytes]) -> list[bytes]:
+        raise NotImplementedError
+
+
+def _is_held(family: int) -> bool:
+    """Every third family calibrates what the others trained."""
+    return family % 3 == 0
+
+
+class ListedTexts(Texts):
+    """A few texts of this process."""
+
+    def __init__(self, texts: Iterable[tuple[int, int, bytes]]):
+        listed, families = sorted(texts), {}
+        for _, label, blob in listed:
+            families.setdefault(_family(blob), (label, blob))
+        self.rows = [(f, *v) for f, v in families.items()]
+        self.sampled = len(listed), sum(label for _, label, _ in listed)
+
+    def sizes(self):
+        return [(f, label, len(blob)) for f, label, blob in self.rows]
+
+    def labels(self):
+        return self.sampled
+
+    def only(self, label=None, held=None, empty=False):
+        part = ListedTexts([])
+        part.rows = [r for r in self.rows if label in (None, r[1]) and held in (None, _is_held(r[0])) and (empty or r[2])]
+        return part
+
+    def gathered(self, found, merge):
+        parts: dict[int, list[bytes]] = {}
+        for k, x in found(self.rows):
+            parts.setdefault(k, []).append(x)
+        return [merge(parts[k]) for k in sorted(parts)]
+
+
+class SampledTexts(Texts):
+    """Texts of a table with ``family``, ``sample_id``, ``label``, ``windows``, and ``copies`` and ``toxic_copies`` of the family."""
+
+    def __init__(self, table: DataFrame):
+        self.table = table
+
+    def __iter__(self) -> Iterator[tuple[int, int, bytes]]:
+        for r in self.table.select("sample_id", "label", "windows").toLocalIterator():
+            yield r.sample_id, r.label, bytes(r.windows)
+
+    def sizes(self):
+        return [tuple(r) for r in self.table.select("family", "label", F.octet_length("windows")).collect()]
+
+    def labels(self):
+        r = self.table.agg(F.sum("copies"), F.sum("toxic_copies")).first()
+        return r[0] or 0, r[1] or 0
+
+    def only(self, label=None, held=None, empty=False):
+        table = self.table if empty else self.table.where(F.octet_length("windows") > 0)
+        if label is not None:
+            table = table.where(F.col("label") == label)
+        return SampledTexts(table if held is None else table.where((F.col("family") % 3 == 0) == held))
+
+    def gathered(self, found, merge):
+        def rows(batches: Iterator[pd.DataFrame]) -> Iterator[Row]:
+            for pdf in batches:
+                yield from zip(pdf["family"].tolist(), pdf["label"].tolist(), map(bytes, pdf["windows"]))
+
+        def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for k, x in found(rows(batches)):
+                yield pd.DataFrame({"part": [k], "payload": [x]})
+
+        def merged(pdf: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame({"part": pdf["part"].iloc[:1], "payload": [merge([bytes(x) for x in pdf["payload"]])]})
+
+        schema = "part int, payload binary"
+        parts = self.table.select("family", "label", "windows").mapInPandas(emit, schema).groupBy("part").applyInPandas(merged, schema)
+        return [bytes(r.payload) for r in sorted(parts.collect())]
+
+
+def _in_order(rows: Iterable[Row]) -> Iterator[tuple[int, bytes]]:
+    for family, _, blob in rows:
+        yield 0, pickle.dumps(((_is_held(family), family), blob))
+
+
+def _trained(found: list[bytes], size: int) -> bytes:
+    """Zstandard's trainer sees its samples together; their order counts."""
+    return _ordinary_dictionary([blob for _, blob in sorted(map(pickle.loads, found))], size)
+
+
+def _gains_found(rows: Iterable[Row], model: CompressionModel) -> Iterator[tuple[int, bytes]]:
+    for family, label, blob in rows:
+        yield family % SLICES, pickle.dumps([(family, label, model.gains(blob.split(b"\n")).astype(np.int32))])
+
+
+def _joined(found: list[bytes]) -> bytes:
+    return pickle.dumps([x for part in found for x in pickle.loads(part)])
+
+
+def fit_compression(texts: Iterable[tuple[int, int, bytes]], ordinary_size: int = 16_384, toxic_size: int = 1024, least_effect: float = 0.33, least_docs: int = 5) -> CompressionModel:
     """Fit on (id, label, windows joined by line feeds); every third family of copies calibrates what the others trained."""
-    y = np.array([label for _, label, _ in texts], np.float64)
-    prior = (y.sum() + 1) / (len(y) + 2)
+    texts = texts if isinstance(texts, Texts) else ListedTexts(texts)
+    n, n_toxic = texts.labels()
+    prior = (n_toxic + 1) / (n + 2)
     flat = CompressionModel(weights=(float(np.log(prior / (1 - prior))), 0.0, 0.0, 0.0, 0.0))
-    if len(y) == 0 or y.min() == y.max():
+    if n_toxic in (0, n):
         return flat
-    families: dict[int, tuple[int, bytes]] = {}
-    for _, label, blob in sorted(texts):
-        families.setdefault(_family(blob), (label, blob))
-    folds = [[v for f, v in sorted(families.items()) if (f % 3 == 0) == held] for held in (False, True)]
-
-    def dictionaries(part: list[tuple[int, bytes]]) -> tuple[bytes, bytes]:
-        toxic, ordinary = ([blob for label, blob in part if label == k and blob] for k in (1, 0))
-        if not toxic or not ordinary:
+    sizes = texts.sizes()
+
+    def dictionaries(held: bool | None) -> tuple[bytes, bytes]:
+        n0, n1 = (sum(1 for f, label, size in sizes if label == k and size and held in (None, _is_held(f))) for k in (0, 1))
+        if not n0 or not n1:
             return b"", b""
-        return _ordinary_dictionary(ordinary, ordinary_size), _toxic_dictionary(toxic, ordinary, toxic_size, max(5.0, least_effect * len(toxic) ** 0.5), min(least_docs, max(2, len(toxic) // 4)))
+        (ordinary,) = texts.only(0, held).gathered(_in_order, partial(_trained, size=ordinary_size))
+        least_z, docs = max(5.0, least_effect * n1**0.5), min(least_docs, max(2, n1 // 4))
+        return ordinary, _toxic_dictionary(texts.only(1, held), texts.only(None, held), n1, n0, toxic_size, least_z, docs)
 
-    trial = CompressionModel(*dictionaries(folds[0]))
-    if not trial.toxic or not folds[1]:
+    trial = CompressionModel(*dictionaries(False))
+    if not trial.toxic or not any(_is_held(f) for f, _, _ in sizes):
         return flat
-    gains = [trial.gains(blob.split(b"\n")) for _, blob in folds[1]]
-    trial.noise = float(np.quantile(np.concatenate([g for g, (label, _) in zip(gains, folds[1]) if not label] or [np.zeros(1)]), 0.99))
+    found = texts.only(held=True, empty=True).gathered(partial(_gains_found, model=trial), _joined)
+    measured = sorted((x for part in found for x in pickle.loads(part)), key=lambda x: x[0])
+    gains, y = [g.astype(np.float64) for _, _, g in measured], np.array([label for _, label, _ in measured], np.float64)
+    trial.noise = float(np.quantile(np.concatenate([g for g, label in zip(gains, y) if not label] or [np.zeros(1)]), 0.99))
     x = np.array([trial.summary(g) for g in gains]).reshape(-1, 4)
-    weights = _logistic(x, np.array([label for label, _ in folds[1]], np.float64))
-    ordinary, toxic = dictionaries(folds[0] + folds[1])
+    weights = _logistic(x, y)
+    ordinary, toxic = dictionaries(None)
     return CompressionModel(ordinary, toxic, trial.noise, weights)
 
 
@@ -238,11 +463,14 @@ def fit_toxicity(
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             windows = [b"\n".join(text_windows(t)) for t in pdf["text"]]
-            yield pd.DataFrame({"sample_id": pdf["sample_id"], "label": pdf["label"], "windows": windows})
-
-    got = sampled_texts(documents, sample, key, text).mapInPandas(rows, "sample_id long, label int, windows binary").toPandas()
-    model = fit_compression([(int(i), int(y), bytes(w)) for i, y, w in zip(got["sample_id"], got["label"], got["windows"])], **options)
-    return _rebalanced(model, got["label"].mean() if len(got) else 0.5, share.first()["share"])
+            yield pd.DataFrame({"family": [_family(w) for w in windows], "sample_id": pdf["sample_id"], "label": pdf["label"], "windows": windows})
+
+    found = sampled_texts(documents, sample, key, text).mapInPandas(rows, "family long, sample_id long, label int, windows binary")
+    families = found.repartition(SLICES, "family").groupBy("family").agg(F.min(F.struct("sample_id", "label", "windows")).alias("first"), F.count("*").alias("copies"), F.sum("label").alias("toxic_copies"))
+    texts = SampledTexts(saved(families.select("family", "first.*", "copies", "toxic_copies"), "toxicity_sample"))
+    n, n_toxic = texts.labels()
+    model = fit_compression(texts, **options)
+    return _rebalanced(model, n_toxic / n if n else 0.5, share.first()["share"])
 
 
 def _rebalanced(model: CompressionModel, sampled: float, everywhere: float | None) -> CompressionModel:
